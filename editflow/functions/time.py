@@ -40,3 +40,20 @@ def hour_bucket(text_time: Column | str) -> Column:
 def calendar_day_span(end_text: Column | str, start_text: Column | str) -> Column:
     """Calendar-date boundaries between two event-time texts (not 24h periods)."""
     return F.datediff(_col(end_text), _col(start_text))
+
+
+def latest_text(text_time: Column | str) -> Column:
+    """``max`` of event-time texts, aggregated as a timestamp.
+
+    A string ``max`` has a variable-width buffer and forces a sort-based
+    aggregate (every partition sorted); a timestamp buffer keeps the
+    aggregate hash-based.  For zero-padded ``yyyy-MM-dd HH:mm:ss`` texts
+    (years 0001-9999) the text order is the time order, so rendering the
+    timestamp back gives exactly the text maximum.
+    """
+    return F.date_format(F.max(_col(text_time).cast("timestamp")), TEXT_TIME_FORMAT)
+
+
+def earliest_text(text_time: Column | str) -> Column:
+    """``min`` counterpart of :func:`latest_text`."""
+    return F.date_format(F.min(_col(text_time).cast("timestamp")), TEXT_TIME_FORMAT)

@@ -27,6 +27,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from editflow.functions.time import earliest_text, latest_text
+
 EDITOR_KEYS = ("editor", "wiki_language")
 PAGE_KEYS = ("page_title", "wiki_language")
 DEFAULT_TOP_N = 100
@@ -65,8 +67,8 @@ def editor_stats(clean: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("total_edits"),
             F.count_distinct("page_title").alias("pages_edited"),
             F.avg("length_change").alias("avg_length_change"),
-            F.max("event_timestamp").alias("last_edit_time"),
-            F.min("event_timestamp").alias("first_edit_time"),
+            latest_text("event_timestamp").alias("last_edit_time"),
+            earliest_text("event_timestamp").alias("first_edit_time"),
         )
         .withColumn("edit_frequency", F.try_divide("total_edits", "pages_edited"))
     )
@@ -81,8 +83,8 @@ def page_stats(clean: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("edit_count"),
             F.count_distinct("editor").alias("unique_editors"),
             F.avg("length_change").alias("avg_length_change"),
-            F.max("event_timestamp").alias("last_edit_time"),
-            F.min("event_timestamp").alias("first_edit_time"),
+            latest_text("event_timestamp").alias("last_edit_time"),
+            earliest_text("event_timestamp").alias("first_edit_time"),
             F.sum(F.when(F.col("is_bot_edit"), 1).otherwise(0)).alias("bot_edits"),
             F.sum(F.when(F.col("is_minor_edit"), 1).otherwise(0)).alias("minor_edits"),
         )

@@ -48,11 +48,8 @@ def edits_from_events(events: DataFrame) -> DataFrame:
     kind = F.lit(DEFAULT_TYPE)
     for source, target in reversed(TYPE_OF_EVENT.items()):
         kind = F.when(etype == source, target).otherwise(kind)
-    epoch_ms = F.call_function(
-        "div",
-        F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)"),
-        F.lit(1000),
-    )
+    # ``ts`` has no zone; it is read as UTC (the session time zone editflow pins).
+    epoch_ms = F.unix_millis(F.col("ts").cast("timestamp"))
     old_length = (eid * 37 % 5000).cast("int")
     new_length = (eid * 37 % 5000 + F.lit(8) * (F.floor("value") - 40)).cast("int")
     return events.select(
@@ -60,7 +57,9 @@ def edits_from_events(events: DataFrame) -> DataFrame:
         kind.alias("type"),
         (eid % 4).cast("int").alias("namespace"),
         _null_every(
-            F.concat(F.lit("Page_"), _text(F.call_function("div", k * k * k * k, F.lit(1000000)))),
+            # k is referenced once: a repeated JSON lookup inside a CASE branch
+            # is not shared by subexpression elimination.
+            F.concat(F.lit("Page_"), _text(F.call_function("div", F.pow(k, 4).cast("long"), F.lit(1000000)))),
             eid,
             NULL_EVERY["title"],
         ).alias("title"),
@@ -95,7 +94,21 @@ def edits_from_events(events: DataFrame) -> DataFrame:
 
 
 def read_events(spark, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin an input that yields fewer scan partitions than cores.
+
+    A file with a single large row group is one scan task; spreading it lets
+    the row-local work that follows use every core.  Inputs that already
+    split into enough partitions (any large table) are left untouched, so
+    this adds no shuffle at scale.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
 
 
 def raw_edits(spark, sf_dir: str) -> DataFrame:
