@@ -10,15 +10,21 @@ from editflow.functions.time import calendar_day_span
 
 
 def editor_profile(top_editors: DataFrame) -> DataFrame:
-    """Activity span in calendar days, edits per day and an editor class."""
-    span = F.col("activity_span_days")
-    return (
-        top_editors.withColumn("activity_span_days", calendar_day_span("last_edit_time", "first_edit_time"))
-        .withColumn(
-            "edits_per_day",
-            F.when(span > 0, F.col("total_edits") / span).otherwise(F.col("total_edits").cast("double")),
-        )
-        .withColumn("editor_type", editor_type("avg_length_change"))
+    """Activity span in calendar days, edits per day and an editor class.
+
+    One projection whose expressions do not refer to each other, so it stays
+    a single ``Project`` that folds into the ranking's top-n
+    (``TakeOrderedAndProject``) instead of forcing a global sort.
+    """
+    span = calendar_day_span("last_edit_time", "first_edit_time")
+    return top_editors.withColumns(
+        {
+            "activity_span_days": span,
+            "edits_per_day": F.when(span > 0, F.col("total_edits") / span).otherwise(
+                F.col("total_edits").cast("double")
+            ),
+            "editor_type": editor_type("avg_length_change"),
+        }
     )
 
 
