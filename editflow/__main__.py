@@ -34,6 +34,8 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--top-n", type=int, default=100)
     run.add_argument("--time-unit", choices=("ms", "s"), default="ms")
     run.add_argument("--register", action="store_true", help="record tables in the session catalog")
+    run.add_argument("--max-files-per-trigger", type=int, help="bound one landing micro-batch")
+    run.add_argument("--archive", help="move landed source files here after their batch commits")
     cap = sub.add_parser("capture", help="turn captured feed text into landing files")
     cap.add_argument("--capture", required=True)
     cap.add_argument("--landing", required=True)
@@ -56,6 +58,7 @@ def main(argv: list[str] | None = None) -> int:
     options = dict(
         suffix=args.suffix, rules=not args.no_rules, fmt=args.format, top_n=args.top_n,
         time_unit=args.time_unit, register=args.register,
+        max_files_per_trigger=args.max_files_per_trigger, archive_dir=args.archive,
     )
     if args.layer:
         result = run_layer(spark, args.layer, args.base, source_dir=args.source, **options)

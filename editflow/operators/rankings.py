@@ -10,14 +10,16 @@ distinct count, so the distinct count is only computed for the winners:
 2. take the top ``n`` keys with a total order (count desc, keys asc NULLs
    first) - ``TakeOrderedAndProject``, no global sort;
 3. keep only the rows of those keys with a null-safe left-semi join whose
-   build side has at most ``n`` rows, broadcast while ``n`` is below
-   ``BROADCAST_KEY_LIMIT`` and shuffle-joined beyond it;
+   build side is the top-``n`` table: at most ``n`` rows, broadcast;
 4. compute every statistic (exact distinct count included) on those rows and
    order/limit again.
 
 The single-pass plan (``strategy="single_pass"``) shuffles every distinct
 (key, page) or (key, editor) pair of the whole table before the cut; the
-result is identical.
+result is identical.  It is also what ``top_first`` falls back to when ``n``
+exceeds ``BROADCAST_KEY_LIMIT``: the key set would then be too large to
+broadcast, and a shuffle join of the whole table on (possibly hot) keys
+would cost more than it saves.
 """
 
 from __future__ import annotations
@@ -45,12 +47,13 @@ def ranking_order(count_column: str, keys: Sequence[str]) -> list[Column]:
 def restrict_to_keys(df: DataFrame, keys_df: DataFrame, keys: Sequence[str], max_keys: int) -> DataFrame:
     """Rows of ``df`` whose key (NULL-safe) appears in ``keys_df``.
 
-    ``keys_df`` must hold at most ``max_keys`` rows; it is broadcast only when
-    that bound is small enough.
+    ``keys_df`` must be proven to hold at most ``max_keys`` rows (e.g. a
+    ``limit``); it is broadcast, so that bound must not exceed
+    ``BROADCAST_KEY_LIMIT``.
     """
-    build = keys_df.select([F.col(k).alias(f"__key_{i}") for i, k in enumerate(keys)])
-    if max_keys <= BROADCAST_KEY_LIMIT:
-        build = F.broadcast(build)
+    if max_keys > BROADCAST_KEY_LIMIT:
+        raise ValueError(f"{max_keys} keys exceed the broadcast bound {BROADCAST_KEY_LIMIT}")
+    build = F.broadcast(keys_df.select([F.col(k).alias(f"__key_{i}") for i, k in enumerate(keys)]))
     condition = None
     for i, k in enumerate(keys):
         term = df[k].eqNullSafe(build[f"__key_{i}"])
@@ -104,7 +107,7 @@ def _top(clean, stats, key_filter, keys, count_column, n, strategy):
     if n < 0:
         raise ValueError("n must be >= 0")
     order = ranking_order(count_column, keys)
-    if strategy == "single_pass":
+    if strategy == "single_pass" or n > BROADCAST_KEY_LIMIT:
         return stats(clean).orderBy(*order).limit(n)
     base = clean.where(key_filter)
     top_keys = (

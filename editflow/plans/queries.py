@@ -78,7 +78,7 @@ def q_json_lines_roundtrip(spark, sf_dir):
 
 def _capture(spark, sf_dir):
     work = scratch_dir(spark, "feed_capture")
-    n_files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_files = spark.sparkContext.defaultParallelism
     fixtures.write_feed_capture(fixtures.render_feed_capture(raw_edits(spark, sf_dir)), work, n_files)
     return read_feed_capture(spark, work)
 

@@ -10,6 +10,7 @@ observed on the same write actions, so they cost no extra pass.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -38,7 +39,7 @@ class RunResult:
 
 def _write(result: RunResult, df: DataFrame, name: str, rules: bool, fmt: str, register: bool) -> None:
     spec = T.TABLE_BY_NAME[name]
-    observation = Observation(f"rules_{name}{result.suffix}") if rules and spec.rules else None
+    observation = Observation(f"rules_{name}{result.suffix}_{uuid.uuid4().hex[:8]}") if rules and spec.rules else None
     checked = R.apply_rules(df, spec.rules, enabled=rules, observation=observation)
     result.tables[name] = T.write_table(checked, result.base_dir, name, result.suffix, fmt, register)
     if observation is not None:
@@ -57,8 +58,14 @@ def run_layer(
     time_unit: str = "ms",
     register: bool = False,
     result: RunResult | None = None,
+    max_files_per_trigger: int | None = None,
+    archive_dir: str | None = None,
 ) -> RunResult:
-    """Build the tables of one layer (``landing``, ``bronze``, ``silver``, ``gold``)."""
+    """Build the tables of one layer (``landing``, ``bronze``, ``silver``, ``gold``).
+
+    ``max_files_per_trigger`` and ``archive_dir`` are passed to the landing
+    stream (see :func:`editflow.streaming.landing.land_edits`).
+    """
     if layer not in T.LAYERS:
         raise ValueError(f"layer must be one of {T.LAYERS}, got {layer!r}")
     result = result or RunResult(base_dir, suffix)
@@ -68,7 +75,8 @@ def run_layer(
             raise ValueError("the landing layer needs source_dir")
         target = T.table_path(base_dir, "edits_raw", suffix)
         run = land_edits(
-            spark, source_dir, target, f"{target}_checkpoint", rules=rules, metrics_dir=f"{target}_rule_metrics"
+            spark, source_dir, target, f"{target}_checkpoint", rules=rules, metrics_dir=f"{target}_rule_metrics",
+            max_files_per_trigger=max_files_per_trigger, archive_dir=archive_dir,
         )
         result.tables["edits_raw"] = target
         if rules and run.batches:
@@ -118,6 +126,8 @@ def run_all_layers(
     top_n: int = DEFAULT_TOP_N,
     time_unit: str = "ms",
     register: bool = False,
+    max_files_per_trigger: int | None = None,
+    archive_dir: str | None = None,
 ) -> RunResult:
     """Landing -> bronze -> silver -> gold, in that fixed order."""
     result = RunResult(base_dir, suffix)
@@ -125,6 +135,7 @@ def run_all_layers(
         run_layer(
             spark, layer, base_dir, source_dir=source_dir, suffix=suffix, rules=rules, fmt=fmt,
             top_n=top_n, time_unit=time_unit, register=register, result=result,
+            max_files_per_trigger=max_files_per_trigger, archive_dir=archive_dir,
         )
     return result
 

@@ -45,11 +45,14 @@ def stream_edit_files(
     glob: str | None = LANDING_GLOB,
     wide_ids: bool = False,
     max_files_per_trigger: int | None = None,
+    archive_dir: str | None = None,
 ) -> DataFrame:
     """Streaming read: each new matching file is processed exactly once."""
     reader = spark.readStream.schema(edit_event_schema(wide_ids)).options(**_options(glob))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     return reader.json(path)
 
 

@@ -11,6 +11,7 @@ are observed on the same write (no second pass) and stored next to it.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -40,13 +41,19 @@ def land_edits(
     wide_ids: bool = False,
     max_files_per_trigger: int | None = None,
     metrics_dir: str | None = None,
+    archive_dir: str | None = None,
 ) -> LandingRun:
-    """Land all new files of ``source_dir`` into ``target_dir`` and stop."""
+    """Land all new files of ``source_dir`` into ``target_dir`` and stop.
+
+    ``max_files_per_trigger`` bounds one micro-batch while a backlog drains;
+    ``archive_dir`` moves every landed file there once its batch is
+    committed, so the source listing stays small however long the feed runs.
+    """
     metrics_dir = metrics_dir or f"{target_dir.rstrip('/')}_rule_metrics"
     run = LandingRun(target_dir, metrics_dir)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        observation = Observation(f"landing_rules_{batch_id}") if rules else None
+        observation = Observation(f"landing_rules_{batch_id}_{uuid.uuid4().hex[:8]}") if rules else None
         landed = apply_rules(batch, LANDING_RULES, enabled=rules, observation=observation)
         landed.write.mode("overwrite").parquet(f"{target_dir}/batch_id={batch_id}")
         if observation is not None:
@@ -56,7 +63,7 @@ def land_edits(
             )
         run.batches.append(batch_id)
 
-    stream = stream_edit_files(spark, source_dir, glob, wide_ids, max_files_per_trigger)
+    stream = stream_edit_files(spark, source_dir, glob, wide_ids, max_files_per_trigger, archive_dir)
     query = (
         stream.writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint_dir)

@@ -102,3 +102,20 @@ def test_stream_on_empty_directory(spark, workdir):
     run = land_edits(spark, f"{workdir}/in", f"{workdir}/raw", f"{workdir}/ckpt")
     assert run.batches == [] or read_landed(spark, f"{workdir}/raw").count() == 0
     assert read_landed(spark, f"{workdir}/raw").count() == 0
+
+
+def test_bounded_batches_and_archive(spark, workdir):
+    import os
+
+    source, target = f"{workdir}/in", f"{workdir}/raw"
+    for i in range(3):
+        write_lines(source, f"wiki_edits_{i}.json", [edit(f"{i}a"), edit(f"{i}b")])
+    run = land_edits(
+        spark, source, target, f"{workdir}/ckpt", max_files_per_trigger=1, archive_dir=f"{workdir}/archive"
+    )
+    assert len(run.batches) == 3
+    assert read_landed(spark, target).count() == 6
+    # every file of a committed batch is moved out of the source folder
+    # (the last batch's files move when the next batch commits)
+    archived = [f for _, _, fs in os.walk(f"{workdir}/archive") for f in fs if f.endswith(".json")]
+    assert len(archived) >= 2

@@ -49,3 +49,16 @@ def test_register_tables_with_comment(spark, workdir):
     T.write_table(df, workdir, "page_profile", "_t", register=True)
     detail = {r["col_name"]: r["data_type"] for r in spark.sql("DESCRIBE TABLE EXTENDED gold.page_profile_t").collect()}
     assert detail.get("Comment") == T.TABLE_BY_NAME["page_profile"].comment
+
+
+def test_command_line(spark, workdir, capsys):
+    import json
+
+    from editflow.__main__ import main
+
+    source = f"{workdir}/incoming"
+    write_json_lines(raw_edits(spark, SF0001), source)
+    assert main(["run", "--source", source, "--base", f"{workdir}/t", "--suffix", "_cli"]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert set(out["tables"]) == {spec.name for spec in T.TABLES} and len(out["rules"]) == 13
+    assert main(["run", "--base", f"{workdir}/t", "--suffix", "_cli", "--layer", "gold"]) == 0
