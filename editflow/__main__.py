@@ -66,7 +66,8 @@ def main(argv: list[str] | None = None) -> int:
         if not args.source:
             parser.error("--source is needed to run all layers")
         result = run_all_layers(spark, args.source, args.base, **options)
-    print(json.dumps({"tables": result.tables, "rules": result.rule_rows}))
+    report = result.save_rule_report(spark) if result.rule_rows else None
+    print(json.dumps({"tables": result.tables, "rules": result.rule_rows, "rule_report": report}))
     return 0
 
 

@@ -226,6 +226,10 @@ def _sql() -> dict[str, str]:
         "meta_offset FROM clean"
     )
     q["hourly_activity"] = _with(RAW, LANDED, CLEAN, HOURLY) + "SELECT * FROM hourly"
+    q["hourly_activity_ordered"] = (
+        _with(RAW, LANDED, CLEAN, HOURLY)
+        + 'SELECT * FROM hourly ORDER BY "hour", wiki_language NULLS FIRST, is_bot_edit NULLS FIRST'
+    )
     q["editor_ranking"] = _with(RAW, LANDED, CLEAN, TOP_EDITORS) + "SELECT * FROM top_editors"
     q["editor_ranking_unchecked"] = (
         _with(RAW, CLEAN_UNCHECKED, TOP_EDITORS_UNCHECKED) + "SELECT * FROM top_editors_unchecked"

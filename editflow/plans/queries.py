@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from editflow.operators import rules as R
-from editflow.operators.activity import hourly_activity
+from editflow.operators.activity import hourly_activity, hourly_activity_sorted
 from editflow.operators.clean import clean_edits
 from editflow.operators.profiles import class_mix, editor_profile, page_profile
 from editflow.operators.rankings import editor_stats, page_stats, rank_editors, rank_pages
@@ -120,6 +120,11 @@ def q_hourly_activity(spark, sf_dir):
     return R.apply_rules(hourly_activity(cleaned(spark, sf_dir)), R.HOURLY_RULES)
 
 
+def q_hourly_activity_ordered(spark, sf_dir):
+    """The summary in presentation order (a range-partitioned global sort)."""
+    return R.apply_rules(hourly_activity_sorted(cleaned(spark, sf_dir)), R.HOURLY_RULES)
+
+
 # -- silver --------------------------------------------------------------------
 
 def q_editor_ranking(spark, sf_dir):
@@ -220,6 +225,7 @@ QUERIES: dict[str, Query] = {
     "edit_size_change": q_edit_size_change,
     "edit_metadata": q_edit_metadata,
     "hourly_activity": q_hourly_activity,
+    "hourly_activity_ordered": q_hourly_activity_ordered,
     "editor_ranking": q_editor_ranking,
     "editor_ranking_unchecked": q_editor_ranking_unchecked,
     "page_ranking": q_page_ranking,

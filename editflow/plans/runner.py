@@ -36,6 +36,15 @@ class RunResult:
         schema = "table_name string, rule string, action string, n_rows bigint, n_failed bigint"
         return spark.createDataFrame(self.rule_rows, schema)
 
+    def save_rule_report(self, spark: SparkSession, run_id: str | None = None) -> str:
+        """Append this run's counters to ``<base>/_rule_reports/rule_report<suffix>/run_id=<id>``."""
+        from datetime import datetime, timezone
+
+        run_id = run_id or datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S") + "_" + uuid.uuid4().hex[:6]
+        path = f"{self.base_dir.rstrip('/')}/_rule_reports/rule_report{self.suffix}/run_id={run_id}"
+        self.rule_report(spark).coalesce(1).write.mode("overwrite").parquet(path)
+        return path
+
 
 def _write(result: RunResult, df: DataFrame, name: str, rules: bool, fmt: str, register: bool) -> None:
     spec = T.TABLE_BY_NAME[name]

@@ -39,3 +39,15 @@ def test_land_capture_writes_landing_files(spark, workdir):
     assert written and all("wiki_edits_20240101_000000_" in p for p in written)
     assert sorted(r["id"] for r in read_edit_files(spark, f"{workdir}/landing").collect()) == ["a", "b"]
     assert spark.read.parquet(f"{workdir}/quarantine").count() == 1
+
+
+def test_capture_stamp_format():
+    from datetime import datetime, timezone
+
+    from editflow.sources.json_lines import LANDING_GLOB, capture_stamp
+
+    stamp = capture_stamp(datetime(2024, 3, 5, 7, 8, 9, tzinfo=timezone.utc))
+    assert stamp == "20240305_070809"
+    import fnmatch
+
+    assert fnmatch.fnmatch(f"wiki_edits_{stamp}.json", LANDING_GLOB)

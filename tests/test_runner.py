@@ -33,6 +33,8 @@ def test_end_to_end_and_layer_by_layer_agree(spark, workdir):
     assert report[("edits_raw", "valid_timestamp")] == (1000, 10)
     assert report[("editor_ranking", "valid_wiki_language")] == (19, 2)
     assert report[("editor_profile", "non_negative_activity_span")][1] == 0
+    saved = spark.read.parquet(seq.save_rule_report(spark, run_id="r1"))
+    assert saved.count() == 13 and "run_id" not in saved.columns
 
 
 def test_rules_off_variant(spark, workdir):
