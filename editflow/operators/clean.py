@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,12 +20,14 @@ CLEAN_COLUMNS = (
 )
 
 
-def clean_edits(raw: DataFrame, time_unit: str = "ms") -> DataFrame:
+def clean_edits(raw: DataFrame, time_unit: str = "ms", keep: Sequence[str] = ()) -> DataFrame:
     """Flatten, rename and type one landed event per row.
 
     One projection: Catalyst prunes every landed field (and nested field)
     that is not used, down to the scan.  ``length_change`` uses
     ``try_subtract`` so an int overflow gives NULL instead of failing the job.
+    ``keep`` names input columns passed through after the table columns
+    (e.g. the landing ``batch_id``).
     """
     return raw.select(
         F.col("id"),
@@ -50,4 +54,12 @@ def clean_edits(raw: DataFrame, time_unit: str = "ms") -> DataFrame:
         F.col("meta.topic").alias("meta_topic"),
         F.col("meta.partition").alias("meta_partition"),
         F.col("meta.offset").alias("meta_offset"),
+        *[F.col(c) for c in keep],
     )
+
+
+def clean_schema(spark) -> "StructType":
+    """Schema of ``edits_clean`` (derived from the landing schema, nothing hand-written)."""
+    from editflow.sources.schema import edit_event_schema
+
+    return clean_edits(spark.createDataFrame([], edit_event_schema())).schema

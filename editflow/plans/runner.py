@@ -1,11 +1,16 @@
 """Run one layer from the stored tables of the previous layer, or all layers.
 
-Every table is fully recomputed and written (``overwrite``) except the
-landing table, which the streaming ingest appends to incrementally.  Writing
-each table is also what cuts the lineage between layers: the next layer
-reads the stored, columnar table instead of re-running the plan, and a lost
-executor only costs the tasks of the current table.  Rule counters are
-observed on the same write actions, so they cost no extra pass.
+The landing table grows by one ``batch_id=<n>`` folder per streaming
+micro-batch.  ``edits_clean`` is row-local, so it is built batch by batch:
+each run cleans only the landed batches it has not cleaned yet and writes
+them to the same ``batch_id`` folders (dynamic partition overwrite, so a
+re-run is idempotent); ``full_refresh=True`` rebuilds it from every landed
+batch.  The aggregate tables (hourly activity, rankings, profiles) are fully
+recomputed from the stored tables each run.  Writing each table is also what
+cuts the lineage between layers: the next layer reads the stored, columnar
+table instead of re-running the plan, and a lost executor only costs the
+tasks of the current table.  Rule counters are observed on the same write
+actions, so they cost no extra pass.
 """
 
 from __future__ import annotations
@@ -17,10 +22,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 
 from editflow.operators import rules as R
 from editflow.operators.activity import hourly_activity
-from editflow.operators.clean import clean_edits
+from editflow.operators.clean import clean_edits, clean_schema
 from editflow.operators.profiles import editor_profile, page_profile
 from editflow.operators.rankings import DEFAULT_TOP_N, rank_editors, rank_pages
+from editflow.sources import files
 from editflow.sources import tables as T
+from editflow.sources.schema import edit_event_schema
 from editflow.streaming.landing import land_edits, read_landed, read_landing_metrics
 
 
@@ -46,15 +53,43 @@ class RunResult:
         return path
 
 
-def _write(result: RunResult, df: DataFrame, name: str, rules: bool, fmt: str, register: bool) -> None:
+def _write(
+    result: RunResult, df: DataFrame, name: str, rules: bool, fmt: str, register: bool, batches: str | None = None
+) -> None:
+    """Apply the table's rules (observed) and write it; ``batches`` selects the per-batch writer."""
     spec = T.TABLE_BY_NAME[name]
     observation = Observation(f"rules_{name}{result.suffix}_{uuid.uuid4().hex[:8]}") if rules and spec.rules else None
     checked = R.apply_rules(df, spec.rules, enabled=rules, observation=observation)
-    result.tables[name] = T.write_table(checked, result.base_dir, name, result.suffix, fmt, register)
+    if batches is None:
+        result.tables[name] = T.write_table(checked, result.base_dir, name, result.suffix, fmt, register)
+    else:
+        result.tables[name] = T.write_batches(
+            checked, result.base_dir, name, result.suffix, fmt, replace_all=batches == "all", register=register
+        )
     if observation is not None:
         result.rule_rows.extend(R.observed_counts(observation, spec.rules, name))
 
 
+def _clean_batches(
+    spark: SparkSession, result: RunResult, rules: bool, fmt: str, time_unit: str, register: bool, full_refresh: bool
+) -> list[int]:
+    """Clean the committed landed batches that ``edits_clean`` does not hold yet."""
+    landed_root = T.table_path(result.base_dir, "edits_raw", result.suffix)
+    clean_root = T.table_path(result.base_dir, "edits_clean", result.suffix)
+    done = set() if full_refresh else set(files.batch_folders(spark, clean_root))
+    todo = [b for b in files.batch_folders(spark, landed_root, marker="_SUCCESS") if b not in done]
+    if not todo and (done or files.exists(spark, clean_root)):
+        result.tables["edits_clean"] = clean_root
+        return []
+    schema = edit_event_schema().add(T.BATCH_COLUMN, "long")
+    raw = spark.read.schema(schema).option("basePath", landed_root).parquet(
+        *[f"{landed_root}/{T.BATCH_COLUMN}={b}" for b in todo]
+    ) if todo else spark.createDataFrame([], schema)
+    clean = clean_edits(raw, time_unit, keep=(T.BATCH_COLUMN,))
+    _write(result, clean, "edits_clean", rules, fmt, register, batches="all" if full_refresh else "new")
+    return todo
+
+
 def run_layer(
     spark: SparkSession,
     layer: str,
@@ -69,11 +104,14 @@ def run_layer(
     result: RunResult | None = None,
     max_files_per_trigger: int | None = None,
     archive_dir: str | None = None,
+    full_refresh: bool = False,
 ) -> RunResult:
     """Build the tables of one layer (``landing``, ``bronze``, ``silver``, ``gold``).
 
     ``max_files_per_trigger`` and ``archive_dir`` are passed to the landing
-    stream (see :func:`editflow.streaming.landing.land_edits`).
+    stream (see :func:`editflow.streaming.landing.land_edits`);
+    ``full_refresh`` rebuilds ``edits_clean`` from every landed batch (needed
+    after changing ``rules`` or ``time_unit``).
     """
     if layer not in T.LAYERS:
         raise ValueError(f"layer must be one of {T.LAYERS}, got {layer!r}")
@@ -106,14 +144,13 @@ def run_layer(
         return result
 
     if layer == "bronze":
-        raw = read_landed(spark, T.table_path(base_dir, "edits_raw", suffix))
-        _write(result, clean_edits(raw, time_unit), "edits_clean", rules, fmt, register)
-        clean = T.read_table(spark, base_dir, "edits_clean", suffix, fmt)
+        _clean_batches(spark, result, rules, fmt, time_unit, register, full_refresh)
+        clean = T.read_table(spark, base_dir, "edits_clean", suffix, fmt, schema=clean_schema(spark))
         _write(result, hourly_activity(clean), "hourly_activity", rules, fmt, register)
         return result
 
     if layer == "silver":
-        clean = T.read_table(spark, base_dir, "edits_clean", suffix, fmt)
+        clean = T.read_table(spark, base_dir, "edits_clean", suffix, fmt, schema=clean_schema(spark))
         _write(result, rank_editors(clean, top_n), "editor_ranking", rules, fmt, register)
         _write(result, rank_pages(clean, top_n), "page_ranking", rules, fmt, register)
         return result
@@ -137,6 +174,7 @@ def run_all_layers(
     register: bool = False,
     max_files_per_trigger: int | None = None,
     archive_dir: str | None = None,
+    full_refresh: bool = False,
 ) -> RunResult:
     """Landing -> bronze -> silver -> gold, in that fixed order."""
     result = RunResult(base_dir, suffix)
@@ -144,7 +182,7 @@ def run_all_layers(
         run_layer(
             spark, layer, base_dir, source_dir=source_dir, suffix=suffix, rules=rules, fmt=fmt,
             top_n=top_n, time_unit=time_unit, register=register, result=result,
-            max_files_per_trigger=max_files_per_trigger, archive_dir=archive_dir,
+            max_files_per_trigger=max_files_per_trigger, archive_dir=archive_dir, full_refresh=full_refresh,
         )
     return result
 
@@ -159,6 +197,8 @@ def table_counts(spark: SparkSession, result: RunResult, fmt: str = "parquet") -
             continue
         if spec.name == "edits_raw":
             df = read_landed(spark, result.tables[spec.name])
+        elif spec.name == "edits_clean":
+            df = T.read_table(spark, result.base_dir, spec.name, result.suffix, fmt, schema=clean_schema(spark))
         else:
             df = spark.read.format(fmt).load(result.tables[spec.name])
         counts.append(df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(spec.name).alias("table_name"), "n_rows"))

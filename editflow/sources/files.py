@@ -56,3 +56,16 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
 def delete(spark: SparkSession, path: str) -> None:
     fs, hpath = _fs_and_path(spark, path)
     fs.delete(hpath, True)
+
+
+def batch_folders(spark: SparkSession, root: str, column: str = "batch_id", marker: str | None = None) -> list[int]:
+    """Ids of the ``<column>=<id>`` folders under ``root``, ascending.
+
+    With ``marker`` (e.g. ``_SUCCESS``) only folders holding that file count,
+    i.e. folders whose write job has committed.
+    """
+    ids = []
+    for name in list_names(spark, root, prefix=f"{column}="):
+        if marker is None or exists(spark, f"{root.rstrip('/')}/{name}/{marker}"):
+            ids.append(int(name.split("=", 1)[1]))
+    return sorted(ids)

@@ -11,6 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from editflow.operators import rules as R
 
@@ -58,8 +59,52 @@ def write_table(
     return path
 
 
-def read_table(spark: SparkSession, base_dir: str, name: str, suffix: str = "", fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(table_path(base_dir, name, suffix))
+BATCH_COLUMN = "batch_id"
+
+
+def read_table(
+    spark: SparkSession,
+    base_dir: str,
+    name: str,
+    suffix: str = "",
+    fmt: str = "parquet",
+    schema: StructType | None = None,
+) -> DataFrame:
+    """The stored table; a per-batch layout's ``batch_id`` folder column is dropped.
+
+    With ``schema`` nothing is inferred, and a table without any batch yet
+    reads as an empty DataFrame of that schema.
+    """
+    reader = spark.read.format(fmt)
+    if schema is not None:
+        reader = reader.schema(schema)
+    df = reader.load(table_path(base_dir, name, suffix))
+    return df.drop(BATCH_COLUMN) if BATCH_COLUMN in df.columns else df
+
+
+def write_batches(
+    df: DataFrame,
+    base_dir: str,
+    name: str,
+    suffix: str = "",
+    fmt: str = "parquet",
+    replace_all: bool = False,
+    register: bool = False,
+) -> str:
+    """Write ``df`` partitioned by ``batch_id``.
+
+    By default only the batch folders present in ``df`` are replaced
+    (dynamic partition overwrite), so re-running a batch is idempotent and
+    the other batches are untouched; ``replace_all`` rewrites the table.
+    """
+    path = table_path(base_dir, name, suffix)
+    writer = df.write.mode("overwrite").format(fmt).partitionBy(BATCH_COLUMN)
+    if not replace_all:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.save(path)
+    if register:
+        register_table(df.sparkSession, base_dir, name, suffix, fmt)
+    return path
 
 
 def register_table(spark: SparkSession, base_dir: str, name: str, suffix: str = "", fmt: str = "parquet") -> str:

@@ -76,9 +76,10 @@ def land_edits(
 
 def read_landed(spark: SparkSession, target_dir: str, wide_ids: bool = False) -> DataFrame:
     """The landed table (all batches), without the batch folder column."""
-    if not files.has_data_files(spark, target_dir):
+    if not files.exists(spark, target_dir):
         return spark.createDataFrame([], edit_event_schema(wide_ids))
-    return spark.read.schema(edit_event_schema(wide_ids)).parquet(target_dir).drop("batch_id")
+    schema = edit_event_schema(wide_ids).add("batch_id", "long")
+    return spark.read.schema(schema).parquet(target_dir).drop("batch_id")
 
 
 def read_landing_metrics(spark: SparkSession, metrics_dir: str) -> DataFrame:
