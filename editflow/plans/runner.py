@@ -19,6 +19,7 @@ import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from editflow.operators import rules as R
 from editflow.operators.activity import hourly_activity
@@ -54,17 +55,24 @@ class RunResult:
 
 
 def _write(
-    result: RunResult, df: DataFrame, name: str, rules: bool, fmt: str, register: bool, batches: str | None = None
+    result: RunResult,
+    df: DataFrame,
+    name: str,
+    rules: bool,
+    fmt: str,
+    register: bool,
+    partition_by: str | None = None,
+    replace_all: bool = True,
 ) -> None:
-    """Apply the table's rules (observed) and write it; ``batches`` selects the per-batch writer."""
+    """Apply the table's rules (observed) and write it, whole or by partition folders."""
     spec = T.TABLE_BY_NAME[name]
     observation = Observation(f"rules_{name}{result.suffix}_{uuid.uuid4().hex[:8]}") if rules and spec.rules else None
     checked = R.apply_rules(df, spec.rules, enabled=rules, observation=observation)
-    if batches is None:
+    if partition_by is None:
         result.tables[name] = T.write_table(checked, result.base_dir, name, result.suffix, fmt, register)
     else:
-        result.tables[name] = T.write_batches(
-            checked, result.base_dir, name, result.suffix, fmt, replace_all=batches == "all", register=register
+        result.tables[name] = T.write_partitions(
+            checked, result.base_dir, name, partition_by, result.suffix, fmt, replace_all, register
         )
     if observation is not None:
         result.rule_rows.extend(R.observed_counts(observation, spec.rules, name))
@@ -86,10 +94,72 @@ def _clean_batches(
         *[f"{landed_root}/{T.BATCH_COLUMN}={b}" for b in todo]
     ) if todo else spark.createDataFrame([], schema)
     clean = clean_edits(raw, time_unit, keep=(T.BATCH_COLUMN,))
-    _write(result, clean, "edits_clean", rules, fmt, register, batches="all" if full_refresh else "new")
+    _write(result, clean, "edits_clean", rules, fmt, register, T.BATCH_COLUMN, replace_all=full_refresh)
     return todo
 
 
+# Most days an incremental hourly update may touch before a full recompute is cheaper.
+MAX_INCREMENTAL_DAYS = 1000
+
+
+def _day_ranges(days: list[str]) -> list[tuple[str, str]]:
+    """Contiguous runs of ``yyyy-MM-dd`` days as [first, day after last) pairs."""
+    from datetime import date, timedelta
+
+    parsed = sorted(date.fromisoformat(d) for d in days)
+    runs, start, prev = [], parsed[0], parsed[0]
+    for d in parsed[1:]:
+        if d != prev + timedelta(days=1):
+            runs.append((start, prev))
+            start = d
+        prev = d
+    runs.append((start, prev))
+    return [(a.isoformat(), (b + timedelta(days=1)).isoformat()) for a, b in runs]
+
+
+def _hourly(
+    spark: SparkSession, result: RunResult, rules: bool, fmt: str, register: bool, new_batches: list[int], full: bool
+) -> None:
+    """Hourly summary stored per ``event_day``; only the days new batches touch are recomputed.
+
+    Hour groups never cross a day, so recomputing a day from every clean row
+    of that day gives exactly the rows a full recompute would.  The days are
+    selected with ranges on the ``event_timestamp`` text, which Parquet
+    row-group statistics can prune.
+    """
+    schema = clean_schema(spark)
+    clean = T.read_table(spark, result.base_dir, "edits_clean", result.suffix, fmt, schema=schema)
+    hourly_root = T.table_path(result.base_dir, "hourly_activity", result.suffix)
+    day = F.substring("event_timestamp", 1, 10)
+    if not full and files.exists(spark, hourly_root):
+        if not new_batches:
+            result.tables["hourly_activity"] = hourly_root
+            return
+        clean_root = T.table_path(result.base_dir, "edits_clean", result.suffix)
+        batch_schema = clean_schema(spark).add(T.BATCH_COLUMN, "long")
+        fresh = spark.read.schema(batch_schema).option("basePath", clean_root).parquet(
+            *[f"{clean_root}/{T.BATCH_COLUMN}={b}" for b in new_batches]
+        )
+        # At most MAX_INCREMENTAL_DAYS + 1 short strings reach the driver.
+        days = [r[0] for r in fresh.select(day).distinct().limit(MAX_INCREMENTAL_DAYS + 1).collect()]
+        if len(days) <= MAX_INCREMENTAL_DAYS:
+            ts = F.col("event_timestamp")
+            known = [d for d in days if d is not None]
+            condition = F.lit(False)
+            for first, after_last in _day_ranges(known) if known else []:
+                condition = condition | ((ts >= first) & (ts < after_last))
+            if len(known) < len(days):
+                condition = condition | ts.isNull()
+            summary = hourly_activity(clean.where(condition))
+            _write(result, _with_day(summary), "hourly_activity", rules, fmt, register, T.DAY_COLUMN, replace_all=False)
+            return
+    _write(result, _with_day(hourly_activity(clean)), "hourly_activity", rules, fmt, register, T.DAY_COLUMN)
+
+
+def _with_day(summary: DataFrame) -> DataFrame:
+    return summary.withColumn(T.DAY_COLUMN, F.date_format("hour", "yyyy-MM-dd"))
+
+
 def run_layer(
     spark: SparkSession,
     layer: str,
@@ -144,9 +214,8 @@ def run_layer(
         return result
 
     if layer == "bronze":
-        _clean_batches(spark, result, rules, fmt, time_unit, register, full_refresh)
-        clean = T.read_table(spark, base_dir, "edits_clean", suffix, fmt, schema=clean_schema(spark))
-        _write(result, hourly_activity(clean), "hourly_activity", rules, fmt, register)
+        new_batches = _clean_batches(spark, result, rules, fmt, time_unit, register, full_refresh)
+        _hourly(spark, result, rules, fmt, register, new_batches, full_refresh)
         return result
 
     if layer == "silver":
@@ -187,6 +256,22 @@ def run_all_layers(
     return result
 
 
+def stored_schema(spark: SparkSession, name: str):
+    """Explicit read schema of the tables stored in partition folders (may hold no file yet)."""
+    if name == "edits_clean":
+        return clean_schema(spark)
+    if name == "hourly_activity":
+        return hourly_activity(spark.createDataFrame([], clean_schema(spark))).schema
+    return None
+
+
+def read_stored(spark: SparkSession, result: RunResult, name: str, fmt: str = "parquet") -> DataFrame:
+    """A table of a run, as later layers read it."""
+    if name == "edits_raw":
+        return read_landed(spark, result.tables[name])
+    return T.read_table(spark, result.base_dir, name, result.suffix, fmt, schema=stored_schema(spark, name))
+
+
 def table_counts(spark: SparkSession, result: RunResult, fmt: str = "parquet") -> DataFrame:
     """Rows per stored table of a run, as one lazy union of counts."""
     from pyspark.sql import functions as F
@@ -195,12 +280,7 @@ def table_counts(spark: SparkSession, result: RunResult, fmt: str = "parquet") -
     for spec in T.TABLES:
         if spec.name not in result.tables:
             continue
-        if spec.name == "edits_raw":
-            df = read_landed(spark, result.tables[spec.name])
-        elif spec.name == "edits_clean":
-            df = T.read_table(spark, result.base_dir, spec.name, result.suffix, fmt, schema=clean_schema(spark))
-        else:
-            df = spark.read.format(fmt).load(result.tables[spec.name])
+        df = read_stored(spark, result, spec.name, fmt)
         counts.append(df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(spec.name).alias("table_name"), "n_rows"))
     out = counts[0]
     for other in counts[1:]:

@@ -60,6 +60,9 @@ def write_table(
 
 
 BATCH_COLUMN = "batch_id"
+DAY_COLUMN = "event_day"
+# Folder columns of the stored layouts; not part of any table's contents.
+LAYOUT_COLUMNS = (BATCH_COLUMN, DAY_COLUMN)
 
 
 def read_table(
@@ -70,7 +73,7 @@ def read_table(
     fmt: str = "parquet",
     schema: StructType | None = None,
 ) -> DataFrame:
-    """The stored table; a per-batch layout's ``batch_id`` folder column is dropped.
+    """The stored table without its folder (layout) columns.
 
     With ``schema`` nothing is inferred, and a table without any batch yet
     reads as an empty DataFrame of that schema.
@@ -79,26 +82,27 @@ def read_table(
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.load(table_path(base_dir, name, suffix))
-    return df.drop(BATCH_COLUMN) if BATCH_COLUMN in df.columns else df
+    return df.drop(*[c for c in LAYOUT_COLUMNS if c in df.columns])
 
 
-def write_batches(
+def write_partitions(
     df: DataFrame,
     base_dir: str,
     name: str,
+    column: str,
     suffix: str = "",
     fmt: str = "parquet",
     replace_all: bool = False,
     register: bool = False,
 ) -> str:
-    """Write ``df`` partitioned by ``batch_id``.
+    """Write ``df`` partitioned by ``column`` (``batch_id`` or ``event_day``).
 
-    By default only the batch folders present in ``df`` are replaced
-    (dynamic partition overwrite), so re-running a batch is idempotent and
-    the other batches are untouched; ``replace_all`` rewrites the table.
+    By default only the folders present in ``df`` are replaced (dynamic
+    partition overwrite), so re-running is idempotent and the other folders
+    are untouched; ``replace_all`` rewrites the whole table.
     """
     path = table_path(base_dir, name, suffix)
-    writer = df.write.mode("overwrite").format(fmt).partitionBy(BATCH_COLUMN)
+    writer = df.write.mode("overwrite").format(fmt).partitionBy(column)
     if not replace_all:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.save(path)

@@ -10,7 +10,9 @@ from tests.conftest import SF0001
 
 
 def _contents(spark, base, name, suffix):
-    df = T.read_table(spark, base, name, suffix)
+    from editflow.plans.runner import stored_schema
+
+    df = T.read_table(spark, base, name, suffix, schema=stored_schema(spark, name))
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
@@ -84,6 +86,10 @@ def test_incremental_bronze_equals_full_refresh(spark, workdir):
     run_layer(spark, "bronze", base, result=second)
     n_second = {(r["table_name"], r["rule"]): r["n_rows"] for r in second.rule_rows}[("edits_clean", "valid_editor")]
     assert n_first + n_second == 981  # each landed row cleaned exactly once
+    # the second hourly update recomputed only the days the new batch touched
+    hourly_rows = {r["table_name"]: r["n_rows"] for r in second.rule_rows}["hourly_activity"]
+    total_hourly = T.read_table(spark, base, "hourly_activity").count()
+    assert 0 < hourly_rows < total_hourly
 
     # nothing new: no clean write, same contents
     third = run_layer(spark, "bronze", base)
@@ -105,3 +111,13 @@ def test_bronze_before_any_batch(spark, workdir):
     result = run_all_layers(spark, f"{workdir}/incoming", f"{workdir}/t")
     counts = {r["table_name"]: r["n_rows"] for r in table_counts(spark, result).collect()}
     assert set(counts.values()) == {0} and len(counts) == 7
+
+
+def test_day_ranges():
+    from editflow.plans.runner import _day_ranges
+
+    assert _day_ranges(["2024-01-03", "2024-01-01", "2024-01-02", "2024-02-29", "2024-12-31"]) == [
+        ("2024-01-01", "2024-01-04"),
+        ("2024-02-29", "2024-03-01"),
+        ("2024-12-31", "2025-01-01"),
+    ]
