@@ -117,30 +117,34 @@ def _day_ranges(days: list[str]) -> list[tuple[str, str]]:
     return [(a.isoformat(), (b + timedelta(days=1)).isoformat()) for a, b in runs]
 
 
-def _hourly(
-    spark: SparkSession, result: RunResult, rules: bool, fmt: str, register: bool, new_batches: list[int], full: bool
-) -> None:
+def _hourly(spark: SparkSession, result: RunResult, rules: bool, fmt: str, register: bool, full: bool) -> None:
     """Hourly summary stored per ``event_day``; only the days new batches touch are recomputed.
 
     Hour groups never cross a day, so recomputing a day from every clean row
     of that day gives exactly the rows a full recompute would.  The days are
     selected with ranges on the ``event_timestamp`` text, which Parquet
-    row-group statistics can prune.
+    row-group statistics can prune.  A watermark (the highest clean batch
+    already folded in, kept in ``_state/``) is advanced only after the write
+    succeeds, so a run that died between the clean and the hourly step is
+    caught up by the next one.
     """
     schema = clean_schema(spark)
     clean = T.read_table(spark, result.base_dir, "edits_clean", result.suffix, fmt, schema=schema)
+    clean_root = T.table_path(result.base_dir, "edits_clean", result.suffix)
     hourly_root = T.table_path(result.base_dir, "hourly_activity", result.suffix)
-    day = F.substring("event_timestamp", 1, 10)
-    if not full and files.exists(spark, hourly_root):
-        if not new_batches:
+    watermark_path = f"{hourly_root}/_state/consumed_batch"
+    clean_batches = files.batch_folders(spark, clean_root)
+    watermark = files.read_text(spark, watermark_path)
+    if not full and watermark is not None:
+        pending = [b for b in clean_batches if b > int(watermark)]
+        if not pending:
             result.tables["hourly_activity"] = hourly_root
             return
-        clean_root = T.table_path(result.base_dir, "edits_clean", result.suffix)
-        batch_schema = clean_schema(spark).add(T.BATCH_COLUMN, "long")
-        fresh = spark.read.schema(batch_schema).option("basePath", clean_root).parquet(
-            *[f"{clean_root}/{T.BATCH_COLUMN}={b}" for b in new_batches]
-        )
+        fresh = spark.read.schema(clean_schema(spark).add(T.BATCH_COLUMN, "long")).option(
+            "basePath", clean_root
+        ).parquet(*[f"{clean_root}/{T.BATCH_COLUMN}={b}" for b in pending])
         # At most MAX_INCREMENTAL_DAYS + 1 short strings reach the driver.
+        day = F.substring("event_timestamp", 1, 10)
         days = [r[0] for r in fresh.select(day).distinct().limit(MAX_INCREMENTAL_DAYS + 1).collect()]
         if len(days) <= MAX_INCREMENTAL_DAYS:
             ts = F.col("event_timestamp")
@@ -152,8 +156,10 @@ def _hourly(
                 condition = condition | ts.isNull()
             summary = hourly_activity(clean.where(condition))
             _write(result, _with_day(summary), "hourly_activity", rules, fmt, register, T.DAY_COLUMN, replace_all=False)
+            files.write_text(spark, watermark_path, str(max(pending)))
             return
     _write(result, _with_day(hourly_activity(clean)), "hourly_activity", rules, fmt, register, T.DAY_COLUMN)
+    files.write_text(spark, watermark_path, str(max(clean_batches, default=-1)))
 
 
 def _with_day(summary: DataFrame) -> DataFrame:
@@ -214,8 +220,8 @@ def run_layer(
         return result
 
     if layer == "bronze":
-        new_batches = _clean_batches(spark, result, rules, fmt, time_unit, register, full_refresh)
-        _hourly(spark, result, rules, fmt, register, new_batches, full_refresh)
+        _clean_batches(spark, result, rules, fmt, time_unit, register, full_refresh)
+        _hourly(spark, result, rules, fmt, register, full_refresh)
         return result
 
     if layer == "silver":

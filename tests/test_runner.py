@@ -121,3 +121,22 @@ def test_day_ranges():
         ("2024-02-29", "2024-03-01"),
         ("2024-12-31", "2025-01-01"),
     ]
+
+
+def test_hourly_catches_up_after_an_interrupted_run(spark, workdir):
+    from pyspark.sql import functions as F
+
+    from editflow.plans import runner
+    from editflow.sources.events_adapter import edits_from_events, read_events
+
+    events = read_events(spark, SF0001)
+    source, base = f"{workdir}/incoming", f"{workdir}/t"
+    write_json_lines(edits_from_events(events.where(F.col("event_id") < 500)), source, stamp="20240101_000000")
+    run_all_layers(spark, source, base)
+    write_json_lines(edits_from_events(events.where(F.col("event_id") >= 500)), source, stamp="20240101_001500")
+    res = run_layer(spark, "landing", base, source_dir=source)
+    runner._clean_batches(spark, res, True, "parquet", "ms", False, False)  # the run dies here
+    run_layer(spark, "bronze", base)  # nothing left to clean, hourly must still catch up
+    caught_up = _contents(spark, base, "hourly_activity", "")
+    run_layer(spark, "bronze", base, full_refresh=True)
+    assert _contents(spark, base, "hourly_activity", "") == caught_up
