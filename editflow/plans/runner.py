@@ -163,7 +163,13 @@ def _hourly(spark: SparkSession, result: RunResult, rules: bool, fmt: str, regis
 
 
 def _with_day(summary: DataFrame) -> DataFrame:
-    return summary.withColumn(T.DAY_COLUMN, F.date_format("hour", "yyyy-MM-dd"))
+    """Add the day folder column and gather each day into one task.
+
+    The summary holds one row per (hour, wiki, bot flag), so this shuffle is
+    small; without it every aggregate task would write a file for every day
+    it holds (tasks x days small files).
+    """
+    return summary.withColumn(T.DAY_COLUMN, F.date_format("hour", "yyyy-MM-dd")).repartition(T.DAY_COLUMN)
 
 
 def run_layer(
