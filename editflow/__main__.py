@@ -37,6 +37,7 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--max-files-per-trigger", type=int, help="bound one landing micro-batch")
     run.add_argument("--archive", help="move landed source files here after their batch commits")
     run.add_argument("--full-refresh", action="store_true", help="rebuild edits_clean from every landed batch")
+    run.add_argument("--wide-ids", action="store_true", help="read revision ids as bigint")
     cap = sub.add_parser("capture", help="turn captured feed text into landing files")
     cap.add_argument("--capture", required=True)
     cap.add_argument("--landing", required=True)
@@ -60,7 +61,7 @@ def main(argv: list[str] | None = None) -> int:
         suffix=args.suffix, rules=not args.no_rules, fmt=args.format, top_n=args.top_n,
         time_unit=args.time_unit, register=args.register,
         max_files_per_trigger=args.max_files_per_trigger, archive_dir=args.archive,
-        full_refresh=args.full_refresh,
+        full_refresh=args.full_refresh, wide_ids=args.wide_ids,
     )
     if args.layer:
         result = run_layer(spark, args.layer, args.base, source_dir=args.source, **options)

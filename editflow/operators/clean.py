@@ -58,8 +58,8 @@ def clean_edits(raw: DataFrame, time_unit: str = "ms", keep: Sequence[str] = ())
     )
 
 
-def clean_schema(spark) -> "StructType":
+def clean_schema(spark, wide_ids: bool = False) -> "StructType":
     """Schema of ``edits_clean`` (derived from the landing schema, nothing hand-written)."""
     from editflow.sources.schema import edit_event_schema
 
-    return clean_edits(spark.createDataFrame([], edit_event_schema())).schema
+    return clean_edits(spark.createDataFrame([], edit_event_schema(wide_ids))).schema

@@ -79,7 +79,14 @@ def _write(
 
 
 def _clean_batches(
-    spark: SparkSession, result: RunResult, rules: bool, fmt: str, time_unit: str, register: bool, full_refresh: bool
+    spark: SparkSession,
+    result: RunResult,
+    rules: bool,
+    fmt: str,
+    time_unit: str,
+    register: bool,
+    full_refresh: bool,
+    wide_ids: bool = False,
 ) -> list[int]:
     """Clean the committed landed batches that ``edits_clean`` does not hold yet."""
     landed_root = T.table_path(result.base_dir, "edits_raw", result.suffix)
@@ -89,7 +96,7 @@ def _clean_batches(
     if not todo and (done or files.exists(spark, clean_root)):
         result.tables["edits_clean"] = clean_root
         return []
-    schema = edit_event_schema().add(T.BATCH_COLUMN, "long")
+    schema = edit_event_schema(wide_ids).add(T.BATCH_COLUMN, "long")
     raw = spark.read.schema(schema).option("basePath", landed_root).parquet(
         *[f"{landed_root}/{T.BATCH_COLUMN}={b}" for b in todo]
     ) if todo else spark.createDataFrame([], schema)
@@ -117,7 +124,9 @@ def _day_ranges(days: list[str]) -> list[tuple[str, str]]:
     return [(a.isoformat(), (b + timedelta(days=1)).isoformat()) for a, b in runs]
 
 
-def _hourly(spark: SparkSession, result: RunResult, rules: bool, fmt: str, register: bool, full: bool) -> None:
+def _hourly(
+    spark: SparkSession, result: RunResult, rules: bool, fmt: str, register: bool, full: bool, wide_ids: bool = False
+) -> None:
     """Hourly summary stored per ``event_day``; only the days new batches touch are recomputed.
 
     Hour groups never cross a day, so recomputing a day from every clean row
@@ -128,8 +137,9 @@ def _hourly(spark: SparkSession, result: RunResult, rules: bool, fmt: str, regis
     succeeds, so a run that died between the clean and the hourly step is
     caught up by the next one.
     """
-    schema = clean_schema(spark)
-    clean = T.read_table(spark, result.base_dir, "edits_clean", result.suffix, fmt, schema=schema)
+    clean = T.read_table(
+        spark, result.base_dir, "edits_clean", result.suffix, fmt, schema=clean_schema(spark, wide_ids)
+    )
     clean_root = T.table_path(result.base_dir, "edits_clean", result.suffix)
     hourly_root = T.table_path(result.base_dir, "hourly_activity", result.suffix)
     watermark_path = f"{hourly_root}/_state/consumed_batch"
@@ -140,7 +150,7 @@ def _hourly(spark: SparkSession, result: RunResult, rules: bool, fmt: str, regis
         if not pending:
             result.tables["hourly_activity"] = hourly_root
             return
-        fresh = spark.read.schema(clean_schema(spark).add(T.BATCH_COLUMN, "long")).option(
+        fresh = spark.read.schema(clean_schema(spark, wide_ids).add(T.BATCH_COLUMN, "long")).option(
             "basePath", clean_root
         ).parquet(*[f"{clean_root}/{T.BATCH_COLUMN}={b}" for b in pending])
         # At most MAX_INCREMENTAL_DAYS + 1 short strings reach the driver.
@@ -187,13 +197,15 @@ def run_layer(
     max_files_per_trigger: int | None = None,
     archive_dir: str | None = None,
     full_refresh: bool = False,
+    wide_ids: bool = False,
 ) -> RunResult:
     """Build the tables of one layer (``landing``, ``bronze``, ``silver``, ``gold``).
 
     ``max_files_per_trigger`` and ``archive_dir`` are passed to the landing
     stream (see :func:`editflow.streaming.landing.land_edits`);
     ``full_refresh`` rebuilds ``edits_clean`` from every landed batch (needed
-    after changing ``rules`` or ``time_unit``).
+    after changing ``rules`` or ``time_unit``); ``wide_ids`` lands and reads
+    revision ids as bigint.
     """
     if layer not in T.LAYERS:
         raise ValueError(f"layer must be one of {T.LAYERS}, got {layer!r}")
@@ -205,7 +217,7 @@ def run_layer(
         target = T.table_path(base_dir, "edits_raw", suffix)
         run = land_edits(
             spark, source_dir, target, f"{target}_checkpoint", rules=rules, metrics_dir=f"{target}_rule_metrics",
-            max_files_per_trigger=max_files_per_trigger, archive_dir=archive_dir,
+            max_files_per_trigger=max_files_per_trigger, archive_dir=archive_dir, wide_ids=wide_ids,
         )
         result.tables["edits_raw"] = target
         if rules and run.batches:
@@ -226,12 +238,12 @@ def run_layer(
         return result
 
     if layer == "bronze":
-        _clean_batches(spark, result, rules, fmt, time_unit, register, full_refresh)
-        _hourly(spark, result, rules, fmt, register, full_refresh)
+        _clean_batches(spark, result, rules, fmt, time_unit, register, full_refresh, wide_ids)
+        _hourly(spark, result, rules, fmt, register, full_refresh, wide_ids)
         return result
 
     if layer == "silver":
-        clean = T.read_table(spark, base_dir, "edits_clean", suffix, fmt, schema=clean_schema(spark))
+        clean = T.read_table(spark, base_dir, "edits_clean", suffix, fmt, schema=clean_schema(spark, wide_ids))
         _write(result, rank_editors(clean, top_n), "editor_ranking", rules, fmt, register)
         _write(result, rank_pages(clean, top_n), "page_ranking", rules, fmt, register)
         return result
@@ -256,6 +268,7 @@ def run_all_layers(
     max_files_per_trigger: int | None = None,
     archive_dir: str | None = None,
     full_refresh: bool = False,
+    wide_ids: bool = False,
 ) -> RunResult:
     """Landing -> bronze -> silver -> gold, in that fixed order."""
     result = RunResult(base_dir, suffix)
@@ -264,6 +277,7 @@ def run_all_layers(
             spark, layer, base_dir, source_dir=source_dir, suffix=suffix, rules=rules, fmt=fmt,
             top_n=top_n, time_unit=time_unit, register=register, result=result,
             max_files_per_trigger=max_files_per_trigger, archive_dir=archive_dir, full_refresh=full_refresh,
+            wide_ids=wide_ids,
         )
     return result
 

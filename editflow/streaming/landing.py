@@ -22,6 +22,7 @@ from editflow.sources.json_lines import LANDING_GLOB, stream_edit_files
 from editflow.sources.schema import edit_event_schema
 
 LANDED_TABLE = "edits_raw"
+METRICS_SCHEMA = "table_name string, rule string, action string, n_rows bigint, n_failed bigint"
 
 
 @dataclass
@@ -57,8 +58,9 @@ def land_edits(
         landed = apply_rules(batch, LANDING_RULES, enabled=rules, observation=observation)
         landed.write.mode("overwrite").parquet(f"{target_dir}/batch_id={batch_id}")
         if observation is not None:
-            rows = [dict(r, batch_id=batch_id) for r in observed_counts(observation, LANDING_RULES, LANDED_TABLE)]
-            batch.sparkSession.createDataFrame(rows).write.mode("overwrite").parquet(
+            # one row per rule; the batch id is the folder name
+            rows = observed_counts(observation, LANDING_RULES, LANDED_TABLE)
+            batch.sparkSession.createDataFrame(rows, METRICS_SCHEMA).write.mode("overwrite").parquet(
                 f"{metrics_dir}/batch_id={batch_id}"
             )
         run.batches.append(batch_id)

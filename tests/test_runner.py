@@ -140,3 +140,14 @@ def test_hourly_catches_up_after_an_interrupted_run(spark, workdir):
     caught_up = _contents(spark, base, "hourly_activity", "")
     run_layer(spark, "bronze", base, full_refresh=True)
     assert _contents(spark, base, "hourly_activity", "") == caught_up
+
+
+def test_wide_ids_through_the_layers(spark, workdir):
+    from tests.conftest import edit, write_lines
+
+    write_lines(f"{workdir}/in", "wiki_edits_1.json", [dict(edit("a"), revision={"old": 2300000000, "new": 2300000001})])
+    run_all_layers(spark, f"{workdir}/in", f"{workdir}/t", wide_ids=True)
+    from editflow.operators.clean import clean_schema
+
+    row = T.read_table(spark, f"{workdir}/t", "edits_clean", schema=clean_schema(spark, True)).collect()[0]
+    assert (row["old_revision"], row["new_revision"]) == (2300000000, 2300000001)
