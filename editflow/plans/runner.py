@@ -29,7 +29,7 @@ from editflow.operators.rankings import DEFAULT_TOP_N, rank_editors, rank_pages
 from editflow.sources import files
 from editflow.sources import tables as T
 from editflow.sources.schema import edit_event_schema
-from editflow.streaming.landing import land_edits, read_landed, read_landing_metrics
+from editflow.streaming.landing import land_edits, read_landed
 
 
 @dataclass
@@ -220,21 +220,7 @@ def run_layer(
             max_files_per_trigger=max_files_per_trigger, archive_dir=archive_dir, wide_ids=wide_ids,
         )
         result.tables["edits_raw"] = target
-        if rules and run.batches:
-            metrics = read_landing_metrics(spark, run.metrics_dir).where(
-                f"batch_id IN ({', '.join(str(b) for b in run.batches)})"
-            )
-            totals = metrics.groupBy("table_name", "rule", "action").agg({"n_rows": "sum", "n_failed": "sum"})
-            for row in totals.collect():  # one row per landing rule
-                result.rule_rows.append(
-                    {
-                        "table_name": row["table_name"],
-                        "rule": row["rule"],
-                        "action": row["action"],
-                        "n_rows": int(row["sum(n_rows)"]),
-                        "n_failed": int(row["sum(n_failed)"]),
-                    }
-                )
+        result.rule_rows.extend(run.rule_totals())
         return result
 
     if layer == "bronze":

@@ -30,6 +30,18 @@ class LandingRun:
     target_dir: str
     metrics_dir: str
     batches: list[int] = field(default_factory=list)
+    # rule counters of the batches of this run (one row per batch and rule)
+    rule_rows: list[dict] = field(default_factory=list)
+
+    def rule_totals(self) -> list[dict]:
+        """Counters summed over this run's batches, one row per rule."""
+        totals: dict[tuple, dict] = {}
+        for row in self.rule_rows:
+            key = (row["table_name"], row["rule"], row["action"])
+            acc = totals.setdefault(key, dict(row, n_rows=0, n_failed=0))
+            acc["n_rows"] += row["n_rows"]
+            acc["n_failed"] += row["n_failed"]
+        return list(totals.values())
 
 
 def land_edits(
@@ -63,6 +75,7 @@ def land_edits(
             batch.sparkSession.createDataFrame(rows, METRICS_SCHEMA).write.mode("overwrite").parquet(
                 f"{metrics_dir}/batch_id={batch_id}"
             )
+            run.rule_rows.extend(rows)
         run.batches.append(batch_id)
 
     stream = stream_edit_files(spark, source_dir, glob, wide_ids, max_files_per_trigger, archive_dir)
