@@ -18,7 +18,14 @@ SF001 = "/root/testdata/sf0.01"
 def spark():
     from pyspark.sql import SparkSession
 
-    builder = SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
+    import tempfile
+
+    builder = (
+        SparkSession.builder.master("local[*]")
+        .config("spark.sql.shuffle.partitions", "8")
+        # catalog tables of the tests live outside the repository
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="editflow-warehouse-"))
+    )
     for key, value in SESSION_DEFAULTS.items():
         builder = builder.config(key, value)
     session = builder.getOrCreate()
