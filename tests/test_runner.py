@@ -151,3 +151,35 @@ def test_wide_ids_through_the_layers(spark, workdir):
 
     row = T.read_table(spark, f"{workdir}/t", "edits_clean", schema=clean_schema(spark, True)).collect()[0]
     assert (row["old_revision"], row["new_revision"]) == (2300000000, 2300000001)
+
+
+def _two_step_run(spark, workdir, rules):
+    from pyspark.sql import functions as F
+
+    from editflow.sources.events_adapter import edits_from_events, read_events
+
+    events = read_events(spark, SF0001)
+    source, base = f"{workdir}/incoming", f"{workdir}/t"
+    write_json_lines(edits_from_events(events.where(F.col("event_id") < 700)), source, stamp="20240101_000000")
+    run_all_layers(spark, source, base, rules=rules)
+    write_json_lines(edits_from_events(events.where(F.col("event_id") >= 700)), source, stamp="20240101_001500")
+    run_all_layers(spark, source, base, rules=rules)
+    return base
+
+
+def test_incremental_hourly_with_null_days_rules_off(spark, workdir):
+    base = _two_step_run(spark, workdir, rules=False)
+    incremental = _contents(spark, base, "hourly_activity", "")
+    assert any(row[0] is None for row in incremental)  # the NULL-hour group exists
+    run_layer(spark, "bronze", base, rules=False, full_refresh=True)
+    assert _contents(spark, base, "hourly_activity", "") == incremental
+
+
+def test_incremental_hourly_falls_back_beyond_day_limit(spark, workdir, monkeypatch):
+    from editflow.plans import runner
+
+    monkeypatch.setattr(runner, "MAX_INCREMENTAL_DAYS", 1)
+    base = _two_step_run(spark, workdir, rules=True)
+    fallback = _contents(spark, base, "hourly_activity", "")
+    run_layer(spark, "bronze", base, full_refresh=True)
+    assert _contents(spark, base, "hourly_activity", "") == fallback
