@@ -88,12 +88,19 @@ def _clean_batches(
     full_refresh: bool,
     wide_ids: bool = False,
 ) -> list[int]:
-    """Clean the committed landed batches that ``edits_clean`` does not hold yet."""
+    """Clean the committed landed batches not consumed yet (above the watermark).
+
+    The watermark (highest landed batch cleaned, in ``_state/``) advances
+    only after the write succeeds; batches whose rows are all dropped leave
+    no folder behind, which is why progress is not read from the folders.
+    """
     landed_root = T.table_path(result.base_dir, "edits_raw", result.suffix)
     clean_root = T.table_path(result.base_dir, "edits_clean", result.suffix)
-    done = set() if full_refresh else set(files.batch_folders(spark, clean_root))
-    todo = [b for b in files.batch_folders(spark, landed_root, marker="_SUCCESS") if b not in done]
-    if not todo and (done or files.exists(spark, clean_root)):
+    watermark_path = f"{clean_root}/_state/consumed_landed_batch"
+    watermark = None if full_refresh else files.read_text(spark, watermark_path)
+    committed = files.batch_folders(spark, landed_root, marker="_SUCCESS")
+    todo = [b for b in committed if watermark is None or b > int(watermark)]
+    if not todo and watermark is not None:
         result.tables["edits_clean"] = clean_root
         return []
     schema = edit_event_schema(wide_ids).add(T.BATCH_COLUMN, "long")
@@ -101,7 +108,8 @@ def _clean_batches(
         *[f"{landed_root}/{T.BATCH_COLUMN}={b}" for b in todo]
     ) if todo else spark.createDataFrame([], schema)
     clean = clean_edits(raw, time_unit, keep=(T.BATCH_COLUMN,))
-    _write(result, clean, "edits_clean", rules, fmt, register, T.BATCH_COLUMN, replace_all=full_refresh)
+    _write(result, clean, "edits_clean", rules, fmt, register, T.BATCH_COLUMN, replace_all=watermark is None)
+    files.write_text(spark, watermark_path, str(max(committed, default=-1)))
     return todo
 
 

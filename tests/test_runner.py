@@ -183,3 +183,19 @@ def test_incremental_hourly_falls_back_beyond_day_limit(spark, workdir, monkeypa
     fallback = _contents(spark, base, "hourly_activity", "")
     run_layer(spark, "bronze", base, full_refresh=True)
     assert _contents(spark, base, "hourly_activity", "") == fallback
+
+
+def test_batches_without_surviving_rows_are_not_recleaned(spark, workdir):
+    from tests.conftest import edit, write_lines
+
+    source, base = f"{workdir}/in", f"{workdir}/t"
+    write_lines(source, "wiki_edits_1.json", [edit("a"), edit("b")])
+    run_all_layers(spark, source, base)
+    # every row of the next file fails a clean rule (no editor): the batch leaves no folder
+    write_lines(source, "wiki_edits_2.json", [edit("c", user=None), edit("d", user=None)])
+    second = run_all_layers(spark, source, base)
+    cleaned = {r["rule"]: (r["n_rows"], r["n_failed"]) for r in second.rule_rows if r["table_name"] == "edits_clean"}
+    assert cleaned["valid_editor"] == (2, 2)
+    third = run_layer(spark, "bronze", base)
+    assert not [r for r in third.rule_rows if r["table_name"] == "edits_clean"]
+    assert T.read_table(spark, base, "edits_clean").count() == 2
