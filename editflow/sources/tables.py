@@ -107,12 +107,24 @@ def write_partitions(
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.save(path)
     if register:
-        register_table(df.sparkSession, base_dir, name, suffix, fmt)
+        register_table(df.sparkSession, base_dir, name, suffix, fmt, partition_column=column)
     return path
 
 
-def register_table(spark: SparkSession, base_dir: str, name: str, suffix: str = "", fmt: str = "parquet") -> str:
-    """Record the stored table in the catalog as ``<layer>.<name><suffix>`` with its comment."""
+def register_table(
+    spark: SparkSession,
+    base_dir: str,
+    name: str,
+    suffix: str = "",
+    fmt: str = "parquet",
+    partition_column: str | None = None,
+) -> str:
+    """Record the stored table in the catalog as ``<layer>.<name><suffix>`` with its comment.
+
+    For a table stored in partition folders the partitioning is inferred
+    from the folders and the partitions are recovered into the catalog, so
+    catalog reads see every partition.
+    """
     spec = TABLE_BY_NAME[name]
     qualified = f"`{spec.layer}`.`{spec.name}{suffix}`"
     comment = spec.comment.replace("'", "''")
@@ -122,4 +134,6 @@ def register_table(spark: SparkSession, base_dir: str, name: str, suffix: str =
         f"CREATE TABLE {qualified} USING {fmt} LOCATION '{table_path(base_dir, name, suffix)}' "
         f"COMMENT '{comment}'"
     )
+    if partition_column:
+        spark.sql(f"ALTER TABLE {qualified} RECOVER PARTITIONS")
     return f"{spec.layer}.{spec.name}{suffix}"

@@ -199,3 +199,12 @@ def test_batches_without_surviving_rows_are_not_recleaned(spark, workdir):
     third = run_layer(spark, "bronze", base)
     assert not [r for r in third.rule_rows if r["table_name"] == "edits_clean"]
     assert T.read_table(spark, base, "edits_clean").count() == 2
+
+
+def test_registered_tables_read_through_the_catalog(spark, workdir):
+    source = f"{workdir}/incoming"
+    write_json_lines(raw_edits(spark, SF0001), source)
+    result = run_all_layers(spark, source, f"{workdir}/t", suffix="_cat", register=True)
+    counts = {r["table_name"]: r["n_rows"] for r in table_counts(spark, result).collect()}
+    for spec in T.TABLES[1:]:
+        assert spark.table(f"{spec.layer}.{spec.name}_cat").count() == counts[spec.name], spec.name
