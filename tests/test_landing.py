@@ -119,3 +119,22 @@ def test_bounded_batches_and_archive(spark, workdir):
     # (the last batch's files move when the next batch commits)
     archived = [f for _, _, fs in os.walk(f"{workdir}/archive") for f in fs if f.endswith(".json")]
     assert len(archived) >= 2
+
+
+def test_replayed_batch_leaves_no_duplicates(spark, workdir):
+    """A batch written but not committed (driver lost) is replayed into the same folder."""
+    import os
+
+    source, target, ckpt = f"{workdir}/in", f"{workdir}/raw", f"{workdir}/ckpt"
+    write_lines(source, "wiki_edits_1.json", [edit("a"), edit("b")])
+    write_lines(source, "wiki_edits_2.json", [edit("c")])
+    first = land_edits(spark, source, target, ckpt)
+    assert read_landed(spark, target).count() == 3
+    last = max(first.batches)
+    # the commit of the last batch never happened (with its local checksum file)
+    for name in (str(last), f".{last}.crc"):
+        if os.path.exists(f"{ckpt}/commits/{name}"):
+            os.remove(f"{ckpt}/commits/{name}")
+    replay = land_edits(spark, source, target, ckpt)
+    assert replay.batches == [last]
+    assert sorted(r["id"] for r in read_landed(spark, target).collect()) == ["a", "b", "c"]
