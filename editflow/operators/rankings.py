@@ -24,7 +24,8 @@ would cost more than it saves.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -101,30 +102,69 @@ def page_stats(clean: DataFrame) -> DataFrame:
     )
 
 
-def _top(clean, stats, key_filter, keys, count_column, n, strategy):
+@dataclass(frozen=True)
+class RankingSpec:
+    """What a ranking groups by, what it counts and which statistics it reports."""
+
+    keys: tuple[str, ...]
+    count_column: str
+    stats: Callable[[DataFrame], DataFrame]
+
+    def key_filter(self) -> Column:
+        return F.col(self.keys[0]).isNotNull()
+
+    def order(self) -> list[Column]:
+        return ranking_order(self.count_column, self.keys)
+
+
+EDITOR_RANKING = RankingSpec(EDITOR_KEYS, "total_edits", editor_stats)
+PAGE_RANKING = RankingSpec(PAGE_KEYS, "edit_count", page_stats)
+
+
+def key_counts(clean: DataFrame, spec: RankingSpec) -> DataFrame:
+    """Rows per ranking key (map-side partial counts, one shuffle of per-key rows)."""
+    return clean.where(spec.key_filter()).groupBy(*spec.keys).agg(F.count(F.lit(1)).alias(spec.count_column))
+
+
+def merge_key_counts(state: DataFrame, delta: DataFrame, spec: RankingSpec) -> DataFrame:
+    """Add the counts of new rows to stored per-key counts (one row per key in, one out)."""
+    return (
+        state.unionByName(delta)
+        .groupBy(*spec.keys)
+        .agg(F.sum(spec.count_column).cast("long").alias(spec.count_column))
+    )
+
+
+def rank_from_counts(clean: DataFrame, counts: DataFrame, spec: RankingSpec, n: int = DEFAULT_TOP_N) -> DataFrame:
+    """Top ``n`` keys taken from per-key counts, statistics computed from their rows only.
+
+    ``counts`` must hold the counts of exactly the rows of ``clean``; the
+    result equals :func:`rank` on ``clean``.
+    """
+    if n < 0:
+        raise ValueError("n must be >= 0")
+    if n > BROADCAST_KEY_LIMIT:
+        return spec.stats(clean).orderBy(*spec.order()).limit(n)
+    top_keys = counts.orderBy(*spec.order()).limit(n).select(*spec.keys)
+    base = clean.where(spec.key_filter())
+    return spec.stats(restrict_to_keys(base, top_keys, spec.keys, n)).orderBy(*spec.order()).limit(n)
+
+
+def rank(clean: DataFrame, spec: RankingSpec, n: int = DEFAULT_TOP_N, strategy: str = "top_first") -> DataFrame:
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}, got {strategy!r}")
     if n < 0:
         raise ValueError("n must be >= 0")
-    order = ranking_order(count_column, keys)
     if strategy == "single_pass" or n > BROADCAST_KEY_LIMIT:
-        return stats(clean).orderBy(*order).limit(n)
-    base = clean.where(key_filter)
-    top_keys = (
-        base.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias(count_column))
-        .orderBy(*order)
-        .limit(n)
-        .select(*keys)
-    )
-    return stats(restrict_to_keys(base, top_keys, keys, n)).orderBy(*order).limit(n)
+        return spec.stats(clean).orderBy(*spec.order()).limit(n)
+    return rank_from_counts(clean, key_counts(clean, spec), spec, n)
 
 
 def rank_editors(clean: DataFrame, n: int = DEFAULT_TOP_N, strategy: str = "top_first") -> DataFrame:
     """Top ``n`` (editor, wiki_language) by ``total_edits``; rules apply after the cut."""
-    return _top(clean, editor_stats, F.col("editor").isNotNull(), EDITOR_KEYS, "total_edits", n, strategy)
+    return rank(clean, EDITOR_RANKING, n, strategy)
 
 
 def rank_pages(clean: DataFrame, n: int = DEFAULT_TOP_N, strategy: str = "top_first") -> DataFrame:
     """Top ``n`` (page_title, wiki_language) by ``edit_count``; rules apply after the cut."""
-    return _top(clean, page_stats, F.col("page_title").isNotNull(), PAGE_KEYS, "edit_count", n, strategy)
+    return rank(clean, PAGE_RANKING, n, strategy)

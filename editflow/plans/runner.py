@@ -1,15 +1,28 @@
 """Run one layer from the stored tables of the previous layer, or all layers.
 
-The landing table grows by one ``batch_id=<n>`` folder per streaming
-micro-batch.  ``edits_clean`` is row-local, so it is built batch by batch:
-each run cleans only the landed batches it has not cleaned yet and writes
-them to the same ``batch_id`` folders (dynamic partition overwrite, so a
-re-run is idempotent); ``full_refresh=True`` rebuilds it from every landed
-batch.  The aggregate tables (hourly activity, rankings, profiles) are fully
-recomputed from the stored tables each run.  Writing each table is also what
-cuts the lineage between layers: the next layer reads the stored, columnar
-table instead of re-running the plan, and a lost executor only costs the
-tasks of the current table.  Rule counters are observed on the same write
+Work per run follows the new data, not the history:
+
+* landing - a streaming query lands the new files, one ``batch_id=<n>``
+  folder per micro-batch;
+* ``edits_clean`` - row-local, so only the landed batches above its
+  watermark are cleaned, into the same ``batch_id`` folders (dynamic
+  partition overwrite: re-running is idempotent);
+* ``hourly_activity`` - stored per ``event_day``; only the days touched by
+  new clean batches are recomputed (an hour never crosses a day);
+* rankings - per-key row counts are kept as a small versioned table and
+  updated from the new clean batches; the top keys come from it, and only
+  their rows are read for the exact statistics;
+* profiles - computed from the (at most n-row) rankings.
+
+Progress lives in ``<base>/_state/<table><suffix>/`` and is advanced only
+after the table write succeeds, so a run that dies anywhere is completed by
+the next one.  Every full rewrite of ``edits_clean`` gets a new generation
+id; state derived from an older generation is rebuilt.  ``full_refresh``
+rebuilds everything (needed after changing ``rules`` or ``time_unit``).
+
+Writing each table is also what cuts the lineage between layers: the next
+layer reads the stored, columnar table, and a lost executor only costs the
+tasks of the current table.  Rule counters are observed on the write
 actions, so they cost no extra pass.
 """
 
@@ -25,12 +38,24 @@ from editflow.operators import rules as R
 from editflow.operators.activity import hourly_activity
 from editflow.operators.clean import clean_edits, clean_schema
 from editflow.operators.profiles import editor_profile, page_profile
-from editflow.operators.rankings import DEFAULT_TOP_N, rank_editors, rank_pages
+from editflow.operators.rankings import (
+    DEFAULT_TOP_N,
+    EDITOR_RANKING,
+    PAGE_RANKING,
+    RankingSpec,
+    key_counts,
+    merge_key_counts,
+    rank_from_counts,
+)
 from editflow.sources import files
 from editflow.sources import tables as T
 from editflow.sources.schema import edit_event_schema
 from editflow.streaming.landing import land_edits, read_landed
 
+RANKINGS = {"editor_ranking": EDITOR_RANKING, "page_ranking": PAGE_RANKING}
+# Most days an incremental hourly update may touch before a full recompute is cheaper.
+MAX_INCREMENTAL_DAYS = 1000
+
 
 @dataclass
 class RunResult:
@@ -54,6 +79,21 @@ class RunResult:
         return path
 
 
+class _State:
+    """Small progress values of one table, kept next to (not inside) the tables."""
+
+    def __init__(self, spark: SparkSession, result: RunResult, name: str):
+        self.spark = spark
+        self.root = f"{result.base_dir.rstrip('/')}/_state/{name}{result.suffix}"
+
+    def get(self, key: str) -> str | None:
+        return files.read_text(self.spark, f"{self.root}/{key}")
+
+    def put(self, **values) -> None:
+        for key, value in values.items():
+            files.write_text(self.spark, f"{self.root}/{key}", str(value))
+
+
 def _write(
     result: RunResult,
     df: DataFrame,
@@ -78,6 +118,18 @@ def _write(
         result.rule_rows.extend(R.observed_counts(observation, spec.rules, name))
 
 
+def _read_clean(spark: SparkSession, result: RunResult, fmt: str, wide_ids: bool, batches=None) -> DataFrame:
+    """The stored clean table, or only the given batch folders of it (with ``batch_id``)."""
+    if batches is None:
+        schema = clean_schema(spark, wide_ids)
+        return T.read_table(spark, result.base_dir, "edits_clean", result.suffix, fmt, schema=schema)
+    root = T.table_path(result.base_dir, "edits_clean", result.suffix)
+    schema = clean_schema(spark, wide_ids).add(T.BATCH_COLUMN, "long")
+    return spark.read.format(fmt).schema(schema).option("basePath", root).load(
+        *[f"{root}/{T.BATCH_COLUMN}={b}" for b in batches]
+    )
+
+
 def _clean_batches(
     spark: SparkSession,
     result: RunResult,
@@ -90,14 +142,15 @@ def _clean_batches(
 ) -> list[int]:
     """Clean the committed landed batches not consumed yet (above the watermark).
 
-    The watermark (highest landed batch cleaned, in ``_state/``) advances
-    only after the write succeeds; batches whose rows are all dropped leave
-    no folder behind, which is why progress is not read from the folders.
+    Batches whose rows are all dropped leave no folder behind, which is why
+    progress is a watermark and not read from the folders.
     """
+    state = _State(spark, result, "edits_clean")
     landed_root = T.table_path(result.base_dir, "edits_raw", result.suffix)
     clean_root = T.table_path(result.base_dir, "edits_clean", result.suffix)
-    watermark_path = f"{clean_root}/_state/consumed_landed_batch"
-    watermark = None if full_refresh else files.read_text(spark, watermark_path)
+    watermark = None if full_refresh else state.get("consumed_landed_batch")
+    if watermark is not None and state.get("generation") is None:
+        watermark = None
     committed = files.batch_folders(spark, landed_root, marker="_SUCCESS")
     todo = [b for b in committed if watermark is None or b > int(watermark)]
     if not todo and watermark is not None:
@@ -109,12 +162,16 @@ def _clean_batches(
     ) if todo else spark.createDataFrame([], schema)
     clean = clean_edits(raw, time_unit, keep=(T.BATCH_COLUMN,))
     _write(result, clean, "edits_clean", rules, fmt, register, T.BATCH_COLUMN, replace_all=watermark is None)
-    files.write_text(spark, watermark_path, str(max(committed, default=-1)))
+    if watermark is None:  # the whole table was rewritten: derived state must be rebuilt
+        state.put(generation=uuid.uuid4().hex)
+    state.put(consumed_landed_batch=max(committed, default=-1))
     return todo
 
 
-# Most days an incremental hourly update may touch before a full recompute is cheaper.
-MAX_INCREMENTAL_DAYS = 1000
+def _clean_progress(spark: SparkSession, result: RunResult) -> tuple[str | None, list[int]]:
+    """Generation of the clean table and its batch folders."""
+    clean_root = T.table_path(result.base_dir, "edits_clean", result.suffix)
+    return _State(spark, result, "edits_clean").get("generation"), files.batch_folders(spark, clean_root)
 
 
 def _day_ranges(days: list[str]) -> list[tuple[str, str]]:
@@ -140,29 +197,20 @@ def _hourly(
     Hour groups never cross a day, so recomputing a day from every clean row
     of that day gives exactly the rows a full recompute would.  The days are
     selected with ranges on the ``event_timestamp`` text, which Parquet
-    row-group statistics can prune.  A watermark (the highest clean batch
-    already folded in, kept in ``_state/``) is advanced only after the write
-    succeeds, so a run that died between the clean and the hourly step is
-    caught up by the next one.
+    row-group statistics can prune.
     """
-    clean = T.read_table(
-        spark, result.base_dir, "edits_clean", result.suffix, fmt, schema=clean_schema(spark, wide_ids)
-    )
-    clean_root = T.table_path(result.base_dir, "edits_clean", result.suffix)
-    hourly_root = T.table_path(result.base_dir, "hourly_activity", result.suffix)
-    watermark_path = f"{hourly_root}/_state/consumed_batch"
-    clean_batches = files.batch_folders(spark, clean_root)
-    watermark = files.read_text(spark, watermark_path)
-    if not full and watermark is not None:
+    state = _State(spark, result, "hourly_activity")
+    generation, clean_batches = _clean_progress(spark, result)
+    clean = _read_clean(spark, result, fmt, wide_ids)
+    watermark = state.get("consumed_batch")
+    if not full and watermark is not None and state.get("generation") == generation:
         pending = [b for b in clean_batches if b > int(watermark)]
         if not pending:
-            result.tables["hourly_activity"] = hourly_root
+            result.tables["hourly_activity"] = T.table_path(result.base_dir, "hourly_activity", result.suffix)
             return
-        fresh = spark.read.schema(clean_schema(spark, wide_ids).add(T.BATCH_COLUMN, "long")).option(
-            "basePath", clean_root
-        ).parquet(*[f"{clean_root}/{T.BATCH_COLUMN}={b}" for b in pending])
         # At most MAX_INCREMENTAL_DAYS + 1 short strings reach the driver.
         day = F.substring("event_timestamp", 1, 10)
+        fresh = _read_clean(spark, result, fmt, wide_ids, batches=pending)
         days = [r[0] for r in fresh.select(day).distinct().limit(MAX_INCREMENTAL_DAYS + 1).collect()]
         if len(days) <= MAX_INCREMENTAL_DAYS:
             ts = F.col("event_timestamp")
@@ -174,10 +222,10 @@ def _hourly(
                 condition = condition | ts.isNull()
             summary = hourly_activity(clean.where(condition))
             _write(result, _with_day(summary), "hourly_activity", rules, fmt, register, T.DAY_COLUMN, replace_all=False)
-            files.write_text(spark, watermark_path, str(max(pending)))
+            state.put(consumed_batch=max(pending))
             return
     _write(result, _with_day(hourly_activity(clean)), "hourly_activity", rules, fmt, register, T.DAY_COLUMN)
-    files.write_text(spark, watermark_path, str(max(clean_batches, default=-1)))
+    state.put(consumed_batch=max(clean_batches, default=-1), generation=generation)
 
 
 def _with_day(summary: DataFrame) -> DataFrame:
@@ -190,6 +238,60 @@ def _with_day(summary: DataFrame) -> DataFrame:
     return summary.withColumn(T.DAY_COLUMN, F.date_format("hour", "yyyy-MM-dd")).repartition(T.DAY_COLUMN)
 
 
+def _ranking(
+    spark: SparkSession,
+    result: RunResult,
+    name: str,
+    spec: RankingSpec,
+    rules: bool,
+    fmt: str,
+    register: bool,
+    top_n: int,
+    full: bool,
+    wide_ids: bool,
+) -> None:
+    """Top-n table from per-key counts that are kept up to date incrementally.
+
+    The counts (one row per key) live in ``_state`` as versioned folders: a
+    run adds the counts of the new clean batches to the current version and
+    writes the next one (a shuffle of per-key rows, not of the history).  The
+    ranking is rewritten only when the counts, ``top_n`` or ``rules`` changed.
+    """
+    state = _State(spark, result, name)
+    generation, clean_batches = _clean_progress(spark, result)
+    clean = _read_clean(spark, result, fmt, wide_ids)
+    settings = f"top_n={top_n};rules={rules}"
+    version = state.get("counts_version")
+    consumed = state.get("consumed_batch")
+    fresh_state = full or version is None or consumed is None or state.get("generation") != generation
+    pending = clean_batches if fresh_state else [b for b in clean_batches if b > int(consumed)]
+    table_root = T.table_path(result.base_dir, name, result.suffix)
+    if not pending and not fresh_state and state.get("settings") == settings and files.exists(spark, table_root):
+        result.tables[name] = table_root
+        return
+    if fresh_state:
+        counts = key_counts(clean, spec)
+    elif pending:
+        delta = key_counts(_read_clean(spark, result, fmt, wide_ids, batches=pending), spec)
+        counts = merge_key_counts(spark.read.parquet(version), delta, spec)
+    else:
+        counts = None
+    new_version = version
+    if counts is not None:
+        new_version = f"{state.root}/key_counts/v={uuid.uuid4().hex[:12]}"
+        counts.write.mode("overwrite").parquet(new_version)
+    stored_counts = spark.read.parquet(new_version) if new_version else key_counts(clean, spec)
+    _write(result, rank_from_counts(clean, stored_counts, spec, top_n), name, rules, fmt, register)
+    state.put(
+        counts_version=new_version,
+        consumed_batch=max(clean_batches, default=-1),
+        generation=generation,
+        settings=settings,
+    )
+    if version and new_version != version:
+        files.delete(spark, version)
+
+
 def run_layer(
     spark: SparkSession,
     layer: str,
@@ -211,9 +313,9 @@ def run_layer(
 
     ``max_files_per_trigger`` and ``archive_dir`` are passed to the landing
     stream (see :func:`editflow.streaming.landing.land_edits`);
-    ``full_refresh`` rebuilds ``edits_clean`` from every landed batch (needed
-    after changing ``rules`` or ``time_unit``); ``wide_ids`` lands and reads
-    revision ids as bigint.
+    ``full_refresh`` rebuilds the layer's tables and state from all their
+    input (needed after changing ``rules`` or ``time_unit``); ``wide_ids``
+    lands and reads revision ids as bigint.
     """
     if layer not in T.LAYERS:
         raise ValueError(f"layer must be one of {T.LAYERS}, got {layer!r}")
@@ -237,9 +339,8 @@ def run_layer(
         return result
 
     if layer == "silver":
-        clean = T.read_table(spark, base_dir, "edits_clean", suffix, fmt, schema=clean_schema(spark, wide_ids))
-        _write(result, rank_editors(clean, top_n), "editor_ranking", rules, fmt, register)
-        _write(result, rank_pages(clean, top_n), "page_ranking", rules, fmt, register)
+        for name, spec in RANKINGS.items():
+            _ranking(spark, result, name, spec, rules, fmt, register, top_n, full_refresh, wide_ids)
         return result
 
     editors = T.read_table(spark, base_dir, "editor_ranking", suffix, fmt)
