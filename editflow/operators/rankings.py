@@ -20,6 +20,11 @@ result is identical.  It is also what ``top_first`` falls back to when ``n``
 exceeds ``BROADCAST_KEY_LIMIT``: the key set would then be too large to
 broadcast, and a shuffle join of the whole table on (possibly hot) keys
 would cost more than it saves.
+
+Step 1 only needs per-key counts, so :func:`rank_from_counts` can take them
+from a stored table that is kept up to date incrementally (the layer runner
+does this); :func:`key_counts` and :func:`merge_key_counts` build and update
+such a table.
 """
 
 from __future__ import annotations
