@@ -9,9 +9,10 @@ Work per run follows the new data, not the history:
   partition overwrite: re-running is idempotent);
 * ``hourly_activity`` - stored per ``event_day``; only the days touched by
   new clean batches are recomputed (an hour never crosses a day);
-* rankings - per-key row counts are kept as a small versioned table and
-  updated from the new clean batches; the top keys come from it, and only
-  their rows are read for the exact statistics;
+* rankings - per-key partial aggregates are kept as a small versioned table
+  and updated from the new clean batches; the top keys and all mergeable
+  statistics come from it, and only the key and value columns of the top
+  keys' rows are read for the exact distinct counts;
 * profiles - computed from the (at most n-row) rankings.
 
 Progress lives in ``<base>/_state/<table><suffix>/`` and is advanced only
@@ -43,9 +44,9 @@ from editflow.operators.rankings import (
     EDITOR_RANKING,
     PAGE_RANKING,
     RankingSpec,
-    key_counts,
-    merge_key_counts,
-    rank_from_counts,
+    key_state,
+    merge_key_state,
+    rank_from_state,
 )
 from editflow.sources import files
 from editflow.sources import tables as T
@@ -250,18 +251,21 @@ def _ranking(
     full: bool,
     wide_ids: bool,
 ) -> None:
-    """Top-n table from per-key counts that are kept up to date incrementally.
-
-    The counts (one row per key) live in ``_state`` as versioned folders: a
-    run adds the counts of the new clean batches to the current version and
-    writes the next one (a shuffle of per-key rows, not of the history).  The
-    ranking is rewritten only when the counts, ``top_n`` or ``rules`` changed.
+    """Top-n table from per-key partial aggregates that are kept up to date incrementally.
+
+    The partials (one row per key: rows, length-change sum and count,
+    event-time bounds, conditional counts) live in ``_state`` as versioned
+    folders: a run folds the partials of the new clean batches into the
+    current version and writes the next one - a shuffle of per-key rows, not
+    of the history.  Only the exact distinct count is computed from rows: the
+    key and value columns of the top keys' rows.  The ranking is rewritten
+    only when the partials, ``top_n`` or ``rules`` changed.
     """
     state = _State(spark, result, name)
     generation, clean_batches = _clean_progress(spark, result)
     clean = _read_clean(spark, result, fmt, wide_ids)
     settings = f"top_n={top_n};rules={rules}"
-    version = state.get("counts_version")
+    version = state.get("state_version")
     consumed = state.get("consumed_batch")
     fresh_state = full or version is None or consumed is None or state.get("generation") != generation
     pending = clean_batches if fresh_state else [b for b in clean_batches if b > int(consumed)]
@@ -270,20 +274,19 @@ def _ranking(
         result.tables[name] = table_root
         return
     if fresh_state:
-        counts = key_counts(clean, spec)
+        partials = key_state(clean, spec)
     elif pending:
-        delta = key_counts(_read_clean(spark, result, fmt, wide_ids, batches=pending), spec)
-        counts = merge_key_counts(spark.read.parquet(version), delta, spec)
+        delta = key_state(_read_clean(spark, result, fmt, wide_ids, batches=pending), spec)
+        partials = merge_key_state(spark.read.parquet(version), delta, spec)
     else:
-        counts = None
+        partials = None
     new_version = version
-    if counts is not None:
-        new_version = f"{state.root}/key_counts/v={uuid.uuid4().hex[:12]}"
-        counts.write.mode("overwrite").parquet(new_version)
-    stored_counts = spark.read.parquet(new_version) if new_version else key_counts(clean, spec)
-    _write(result, rank_from_counts(clean, stored_counts, spec, top_n), name, rules, fmt, register)
+    if partials is not None:
+        new_version = f"{state.root}/key_state/v={uuid.uuid4().hex[:12]}"
+        partials.write.mode("overwrite").parquet(new_version)
+    _write(result, rank_from_state(clean, spark.read.parquet(new_version), spec, top_n), name, rules, fmt, register)
     state.put(
-        counts_version=new_version,
+        state_version=new_version,
         consumed_batch=max(clean_batches, default=-1),
         generation=generation,
         settings=settings,

@@ -108,3 +108,27 @@ def test_top_first_equals_single_pass(spark, rows, n):
         fast = [tuple(r) for r in rank(df, n).collect()]
         slow = [tuple(r) for r in rank(df, n, "single_pass").collect()]
         assert fast == slow  # same rows in the same order
+
+
+@SETTINGS
+@given(st.lists(ROW, min_size=0, max_size=60), st.lists(ROW, min_size=0, max_size=30), st.integers(0, 6))
+def test_rank_from_merged_state_equals_rank(spark, rows, more_rows, n):
+    """Partials of two row sets merged == partials of all rows; ranking from them == rank()."""
+    from editflow.operators.rankings import EDITOR_RANKING, PAGE_RANKING, key_state, merge_key_state, rank, rank_from_state
+
+    schema = (
+        "editor string, wiki_language string, page_title string, length_change int, ts long, "
+        "is_bot_edit boolean, is_minor_edit boolean"
+    )
+
+    def frame(data):
+        return spark.createDataFrame(data, schema).withColumn("event_timestamp", F.from_unixtime("ts")).drop("ts")
+
+    first, second, both = frame(rows), frame(more_rows), frame(rows + more_rows)
+    for spec in (EDITOR_RANKING, PAGE_RANKING):
+        state = merge_key_state(key_state(first, spec), key_state(second, spec), spec)
+        got = rank_from_state(both, state, spec, n)
+        want = rank(both, spec, n)
+        # names and types (nullability is not kept by stored Parquet anyway)
+        assert [(f.name, f.dataType) for f in got.schema] == [(f.name, f.dataType) for f in want.schema]
+        assert [tuple(r) for r in got.collect()] == [tuple(r) for r in want.collect()]

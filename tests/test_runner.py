@@ -222,11 +222,20 @@ def test_incremental_rankings_equal_full_refresh(spark, workdir):
     run_layer(spark, "silver", base, full_refresh=True)
     for name, rows in incremental.items():
         assert _contents(spark, base, name, "") == rows, name
-    # the key counts equal a recount of the clean table
-    from editflow.operators.rankings import EDITOR_RANKING, key_counts
-    from editflow.plans.runner import _State, RunResult
+    # the stored partials equal a recomputation from the clean table, and the
+    # stored rankings equal rankings computed directly from it
+    from editflow.operators.rankings import EDITOR_RANKING, PAGE_RANKING, key_state, rank
+    from editflow.operators.rules import EDITOR_RANKING_RULES, PAGE_RANKING_RULES, apply_rules
+    from editflow.plans.runner import RunResult, _State
 
+    clean = T.read_table(spark, base, "edits_clean")
     state = _State(spark, RunResult(base, ""), "editor_ranking")
-    stored = spark.read.parquet(state.get("counts_version"))
-    recount = key_counts(T.read_table(spark, base, "edits_clean"), EDITOR_RANKING)
+    stored = spark.read.parquet(state.get("state_version"))
+    recount = key_state(clean, EDITOR_RANKING)
     assert sorted(map(tuple, stored.collect()), key=repr) == sorted(map(tuple, recount.collect()), key=repr)
+    direct = {
+        "editor_ranking": apply_rules(rank(clean, EDITOR_RANKING), EDITOR_RANKING_RULES),
+        "page_ranking": apply_rules(rank(clean, PAGE_RANKING), PAGE_RANKING_RULES),
+    }
+    for name, df in direct.items():
+        assert _contents(spark, base, name, "") == sorted((tuple(r) for r in df.collect()), key=repr), name
