@@ -103,8 +103,8 @@ def write_partitions(
     """
     path = table_path(base_dir, name, suffix)
     writer = df.write.mode("overwrite").format(fmt).partitionBy(column)
-    if not replace_all:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
+    # explicit either way: a session-wide default must not turn a full rewrite into a partial one
+    writer = writer.option("partitionOverwriteMode", "static" if replace_all else "dynamic")
     writer.save(path)
     if register:
         register_table(df.sparkSession, base_dir, name, suffix, fmt, partition_column=column)
