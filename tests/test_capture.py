@@ -51,3 +51,15 @@ def test_capture_stamp_format():
     import fnmatch
 
     assert fnmatch.fnmatch(f"wiki_edits_{stamp}.json", LANDING_GLOB)
+
+
+def test_capture_command_line(spark, workdir, capsys):
+    from editflow.__main__ import main
+
+    write_lines(f"{workdir}/cap", "cap_1.txt", _feed([edit("a"), edit("b"), edit("c")]) + ["data: {bad"])
+    args = ["capture", "--capture", f"{workdir}/cap", "--landing", f"{workdir}/landing",
+            "--quarantine", f"{workdir}/q", "--limit", "2"]
+    assert main(args) == 0
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["files"] >= 1
+    assert sorted(r["id"] for r in read_edit_files(spark, f"{workdir}/landing").collect()) == ["a", "b"]
+    assert spark.read.parquet(f"{workdir}/q").count() == 1
