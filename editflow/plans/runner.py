@@ -18,8 +18,9 @@ Work per run follows the new data, not the history:
 Progress lives in ``<base>/_state/<table><suffix>/`` and is advanced only
 after the table write succeeds, so a run that dies anywhere is completed by
 the next one.  Every full rewrite of ``edits_clean`` gets a new generation
-id; state derived from an older generation is rebuilt.  ``full_refresh``
-rebuilds everything (needed after changing ``rules`` or ``time_unit``).
+id; state derived from an older generation is rebuilt.  ``edits_clean`` is
+rewritten whole when ``rules``, ``time_unit`` or ``wide_ids`` differ from the
+run that built it; ``full_refresh`` rebuilds everything regardless.
 
 Writing each table is also what cuts the lineage between layers: the next
 layer reads the stored, columnar table, and a lost executor only costs the
@@ -149,9 +150,10 @@ def _clean_batches(
     state = _State(spark, result, "edits_clean")
     landed_root = T.table_path(result.base_dir, "edits_raw", result.suffix)
     clean_root = T.table_path(result.base_dir, "edits_clean", result.suffix)
+    settings = f"rules={rules};time_unit={time_unit};wide_ids={wide_ids}"
     watermark = None if full_refresh else state.get("consumed_landed_batch")
-    if watermark is not None and state.get("generation") is None:
-        watermark = None
+    if watermark is not None and (state.get("generation") is None or state.get("settings") != settings):
+        watermark = None  # rows cleaned under other settings: rebuild the whole table
     committed = files.batch_folders(spark, landed_root, marker="_SUCCESS")
     todo = [b for b in committed if watermark is None or b > int(watermark)]
     if not todo and watermark is not None:
@@ -164,7 +166,7 @@ def _clean_batches(
     clean = clean_edits(raw, time_unit, keep=(T.BATCH_COLUMN,))
     _write(result, clean, "edits_clean", rules, fmt, register, T.BATCH_COLUMN, replace_all=watermark is None)
     if watermark is None:  # the whole table was rewritten: derived state must be rebuilt
-        state.put(generation=uuid.uuid4().hex)
+        state.put(generation=uuid.uuid4().hex, settings=settings)
     state.put(consumed_landed_batch=max(committed, default=-1))
     return todo
 

@@ -239,3 +239,20 @@ def test_incremental_rankings_equal_full_refresh(spark, workdir):
     }
     for name, df in direct.items():
         assert _contents(spark, base, name, "") == sorted((tuple(r) for r in df.collect()), key=repr), name
+
+
+def test_changed_settings_rebuild_the_derived_tables(spark, workdir):
+    source, base = f"{workdir}/incoming", f"{workdir}/t"
+    write_json_lines(raw_edits(spark, SF0001), source)
+    run_all_layers(spark, source, base, rules=False)
+    assert T.read_table(spark, base, "edits_clean").count() == 1000
+    # rules switched on without full_refresh: the clean table and everything derived follow
+    # (the landed rows stay as landed: landing is not replayed)
+    run_all_layers(spark, source, base, rules=True)
+    reference = f"{workdir}/fresh"
+    run_layer(spark, "landing", reference, source_dir=source, rules=False)
+    for layer in ("bronze", "silver", "gold"):
+        run_layer(spark, layer, reference, rules=True)
+    assert T.read_table(spark, base, "edits_clean").count() == 969  # clean rules only
+    for name in ("edits_clean", "hourly_activity", "editor_ranking", "page_ranking", "editor_profile"):
+        assert _contents(spark, base, name, "") == _contents(spark, reference, name, ""), name
