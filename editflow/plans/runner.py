@@ -344,17 +344,39 @@ def run_layer(
         return result
 
     if layer == "silver":
-        for name, spec in RANKINGS.items():
-            _ranking(spark, result, name, spec, rules, fmt, register, top_n, full_refresh, wide_ids)
+        _side_by_side(
+            *[
+                (lambda name=name, spec=spec: _ranking(
+                    spark, result, name, spec, rules, fmt, register, top_n, full_refresh, wide_ids
+                ))
+                for name, spec in RANKINGS.items()
+            ]
+        )
         return result
 
     editors = T.read_table(spark, base_dir, "editor_ranking", suffix, fmt)
     pages = T.read_table(spark, base_dir, "page_ranking", suffix, fmt)
-    _write(result, editor_profile(editors), "editor_profile", rules, fmt, register)
-    _write(result, page_profile(pages), "page_profile", rules, fmt, register)
+    _side_by_side(
+        lambda: _write(result, editor_profile(editors), "editor_profile", rules, fmt, register),
+        lambda: _write(result, page_profile(pages), "page_profile", rules, fmt, register),
+    )
     return result
 
 
+def _side_by_side(*steps) -> None:
+    """Submit independent table builds from parallel driver threads.
+
+    Their Spark jobs then share the cluster instead of waiting for each
+    other's driver-side work (planning, broadcasts, commits); the first
+    failure is raised.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+        for future in [pool.submit(step) for step in steps]:
+            future.result()
+
+
 def run_all_layers(
     spark: SparkSession,
     source_dir: str,
