@@ -290,6 +290,11 @@ def _sql() -> dict[str, str]:
             ("page_profile", "page_profile"),
         ]
     )
+    # built in two arrival waves; the final tables equal a single run's
+    q["layer_incremental_counts"] = q["layer_table_counts"]
+    q["layer_incremental_hourly"] = q["hourly_activity"]
+    q["layer_incremental_editor_profile"] = q["editor_profile"]
+    q["layer_incremental_page_profile"] = q["page_profile"]
     return q
 
 
