@@ -32,9 +32,13 @@ def _options(glob: str | None) -> dict[str, str]:
 def read_edit_files(
     spark: SparkSession, path: str, glob: str | None = LANDING_GLOB, wide_ids: bool = False
 ) -> DataFrame:
-    """Batch read of landed JSON-lines files under ``path``."""
+    """Batch read of landed JSON-lines files under ``path``.
+
+    With the explicit schema an existing but empty folder reads as an empty
+    table; only a missing folder needs the fallback.
+    """
     schema = edit_event_schema(wide_ids)
-    if not files.has_data_files(spark, path):
+    if not files.exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).options(**_options(glob)).json(path)
 
