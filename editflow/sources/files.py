@@ -20,19 +20,6 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
-def has_data_files(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds at least one non-hidden file (recursively)."""
-    fs, hpath = _fs_and_path(spark, path)
-    if not fs.exists(hpath):
-        return False
-    files = fs.listFiles(hpath, True)
-    while files.hasNext():
-        name = files.next().getPath().getName()
-        if not name.startswith(("_", ".")):
-            return True
-    return False
-
-
 def list_names(spark: SparkSession, path: str, prefix: str = "") -> list[str]:
     fs, hpath = _fs_and_path(spark, path)
     if not fs.exists(hpath):
