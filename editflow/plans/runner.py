@@ -19,8 +19,9 @@ Progress lives in ``<base>/_state/<table><suffix>/`` and is advanced only
 after the table write succeeds, so a run that dies anywhere is completed by
 the next one.  Every full rewrite of ``edits_clean`` gets a new generation
 id; state derived from an older generation is rebuilt.  ``edits_clean`` is
-rewritten whole when ``rules``, ``time_unit`` or ``wide_ids`` differ from the
-run that built it; ``full_refresh`` rebuilds everything regardless.
+rewritten whole when ``rules``, ``time_unit``, ``wide_ids`` or the table
+format differ from the run that built it; ``full_refresh`` rebuilds
+everything regardless.
 
 Writing each table is also what cuts the lineage between layers: the next
 layer reads the stored, columnar table, and a lost executor only costs the
@@ -150,7 +151,7 @@ def _clean_batches(
     state = _State(spark, result, "edits_clean")
     landed_root = T.table_path(result.base_dir, "edits_raw", result.suffix)
     clean_root = T.table_path(result.base_dir, "edits_clean", result.suffix)
-    settings = f"rules={rules};time_unit={time_unit};wide_ids={wide_ids}"
+    settings = f"rules={rules};time_unit={time_unit};wide_ids={wide_ids};format={fmt}"
     watermark = None if full_refresh else state.get("consumed_landed_batch")
     if watermark is not None and (state.get("generation") is None or state.get("settings") != settings):
         watermark = None  # rows cleaned under other settings: rebuild the whole table

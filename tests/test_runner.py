@@ -256,3 +256,12 @@ def test_changed_settings_rebuild_the_derived_tables(spark, workdir):
     assert T.read_table(spark, base, "edits_clean").count() == 969  # clean rules only
     for name in ("edits_clean", "hourly_activity", "editor_ranking", "page_ranking", "editor_profile"):
         assert _contents(spark, base, name, "") == _contents(spark, reference, name, ""), name
+
+
+def test_other_table_format_and_format_switch(spark, workdir):
+    source, base = f"{workdir}/incoming", f"{workdir}/t"
+    write_json_lines(raw_edits(spark, SF0001), source)
+    parquet_counts = {r["table_name"]: r["n_rows"] for r in table_counts(spark, run_all_layers(spark, source, base)).collect()}
+    orc = run_all_layers(spark, source, base, fmt="orc")  # switching formats rebuilds every derived table
+    assert {r["table_name"]: r["n_rows"] for r in table_counts(spark, orc, fmt="orc").collect()} == parquet_counts
+    assert spark.read.orc(T.table_path(base, "page_ranking")).count() == 100
