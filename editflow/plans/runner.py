@@ -13,7 +13,8 @@ Work per run follows the new data, not the history:
   and updated from the new clean batches; the top keys and all mergeable
   statistics come from it, and only the key and value columns of the top
   keys' rows are read for the exact distinct counts;
-* profiles - computed from the (at most n-row) rankings.
+* profiles - computed from the (at most n-row) rankings, and only when a
+  ranking was rewritten.
 
 Progress lives in ``<base>/_state/<table><suffix>/`` and is advanced only
 after the table write succeeds, so a run that dies anywhere is completed by
@@ -293,6 +294,7 @@ def _ranking(
         consumed_batch=max(clean_batches, default=-1),
         generation=generation,
         settings=settings,
+        written=uuid.uuid4().hex,  # tells the profiles this ranking changed
     )
     if version and new_version != version:
         files.delete(spark, version)
@@ -355,12 +357,22 @@ def run_layer(
         )
         return result
 
+    # gold: skipped when neither ranking was rewritten since the profiles were built
+    state = _State(spark, result, "profiles")
+    inputs = ";".join(
+        [*(str(_State(spark, result, name).get("written")) for name in RANKINGS), f"rules={rules}", f"format={fmt}"]
+    )
+    profiles = [T.table_path(base_dir, name, suffix) for name in ("editor_profile", "page_profile")]
+    if not full_refresh and state.get("inputs") == inputs and all(files.exists(spark, p) for p in profiles):
+        result.tables.update(dict(zip(("editor_profile", "page_profile"), profiles)))
+        return result
     editors = T.read_table(spark, base_dir, "editor_ranking", suffix, fmt)
     pages = T.read_table(spark, base_dir, "page_ranking", suffix, fmt)
     _side_by_side(
         lambda: _write(result, editor_profile(editors), "editor_profile", rules, fmt, register),
         lambda: _write(result, page_profile(pages), "page_profile", rules, fmt, register),
     )
+    state.put(inputs=inputs)
     return result
 
 

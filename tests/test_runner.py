@@ -265,3 +265,17 @@ def test_other_table_format_and_format_switch(spark, workdir):
     orc = run_all_layers(spark, source, base, fmt="orc")  # switching formats rebuilds every derived table
     assert {r["table_name"]: r["n_rows"] for r in table_counts(spark, orc, fmt="orc").collect()} == parquet_counts
     assert spark.read.orc(T.table_path(base, "page_ranking")).count() == 100
+
+
+def test_idle_run_writes_nothing(spark, workdir):
+    source, base = f"{workdir}/incoming", f"{workdir}/t"
+    write_json_lines(raw_edits(spark, SF0001), source)
+    run_all_layers(spark, source, base)
+    before = {spec.name: _contents(spark, base, spec.name, "") for spec in T.TABLES[1:]}
+    idle = run_all_layers(spark, source, base)
+    assert idle.rule_rows == [] and set(idle.tables) == {spec.name for spec in T.TABLES}
+    assert {spec.name: _contents(spark, base, spec.name, "") for spec in T.TABLES[1:]} == before
+    # a ranking setting change rewrites the rankings and therefore the profiles
+    changed = run_all_layers(spark, source, base, top_n=5)
+    assert {r["table_name"] for r in changed.rule_rows} == {"editor_ranking", "page_ranking", "editor_profile", "page_profile"}
+    assert T.read_table(spark, base, "page_profile").count() == 5
