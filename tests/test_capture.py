@@ -63,3 +63,18 @@ def test_capture_command_line(spark, workdir, capsys):
     assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["files"] >= 1
     assert sorted(r["id"] for r in read_edit_files(spark, f"{workdir}/landing").collect()) == ["a", "b"]
     assert spark.read.parquet(f"{workdir}/q").count() == 1
+
+
+def test_capture_order_across_splits_of_one_file(spark, workdir):
+    """One large capture file read as many splits: the first N events are still the first N lines."""
+    events = [edit(f"e{i:04d}", ts=1704067200000 + i) for i in range(400)]
+    write_lines(workdir, "cap_big.txt", _feed(events))
+    previous = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        lines = read_feed_capture(spark, workdir)
+        assert lines.rdd.getNumPartitions() > 10  # the file really is split
+        first = capture_events(lines, limit=37)
+        assert sorted(r["id"] for r in first.collect()) == [f"e{i:04d}" for i in range(37)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", previous)

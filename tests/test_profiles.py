@@ -53,3 +53,24 @@ def test_hourly_activity_groups(spark):
     first = rows[("2024-01-01 10:00:00", "enwiki", False)]
     assert (first["edit_count"], first["unique_editors"], first["unique_pages"], first["avg_length_change"]) == (3, 2, 2, 3.0)
     assert ("2024-01-01 10:00:00", None, None) in rows and len(rows) == 3
+
+
+def test_hourly_activity_sorted_order(spark):
+    from editflow.operators.activity import hourly_activity_sorted
+
+    data = [
+        ("U1", "enwiki", "P1", 1, "2024-01-01 11:00:00", True),
+        ("U1", None, "P1", 1, "2024-01-01 10:30:00", False),
+        ("U2", "dewiki", "P1", 1, "2024-01-01 10:00:00", None),
+        ("U2", "dewiki", "P2", 1, "2024-01-01 10:10:00", True),
+        ("U3", "enwiki", "P3", 1, "2024-01-01 10:20:00", False),
+    ]
+    clean = spark.createDataFrame(data, "editor string, wiki_language string, page_title string, length_change int, event_timestamp string, is_bot_edit boolean")
+    keys = [(str(r["hour"]), r["wiki_language"], r["is_bot_edit"]) for r in hourly_activity_sorted(clean).collect()]
+    assert keys == [
+        ("2024-01-01 10:00:00", None, False),
+        ("2024-01-01 10:00:00", "dewiki", None),
+        ("2024-01-01 10:00:00", "dewiki", True),
+        ("2024-01-01 10:00:00", "enwiki", False),
+        ("2024-01-01 11:00:00", "enwiki", True),
+    ]
