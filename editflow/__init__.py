@@ -10,6 +10,7 @@ from editflow.operators.clean import clean_edits
 from editflow.operators.profiles import editor_profile, page_profile
 from editflow.operators.rankings import rank_editors, rank_pages
 from editflow.operators.rules import Rule, apply_rules, rule_report
+from editflow.plans.runner import run_all_layers, run_layer
 from editflow.sources.schema import edit_event_schema
 
 __all__ = [
@@ -26,4 +27,6 @@ __all__ = [
     "rank_editors",
     "rank_pages",
     "rule_report",
+    "run_all_layers",
+    "run_layer",
 ]
