@@ -44,6 +44,10 @@ def main(argv: list[str] | None = None) -> int:
     cap.add_argument("--quarantine")
     cap.add_argument("--limit", type=int)
     args = parser.parse_args(argv)
+    if args.command == "run" and not args.layer and not args.source:
+        parser.error("--source is needed to run all layers")
+    if args.command == "run" and args.layer == "landing" and not args.source:
+        parser.error("--source is needed for the landing layer")
 
     builder = SparkSession.builder.appName(f"editflow-{args.command}")
     spark = builder.getOrCreate()
@@ -66,8 +70,6 @@ def main(argv: list[str] | None = None) -> int:
     if args.layer:
         result = run_layer(spark, args.layer, args.base, source_dir=args.source, **options)
     else:
-        if not args.source:
-            parser.error("--source is needed to run all layers")
         result = run_all_layers(spark, args.source, args.base, **options)
     report = result.save_rule_report(spark) if result.rule_rows else None
     print(json.dumps({"tables": result.tables, "rules": result.rule_rows, "rule_report": report}))
