@@ -75,6 +75,14 @@ CONFIG_RULES = (
 )
 
 
+def all_hold(rules: Sequence[Rule]) -> Column:
+    """True when a row passes every rule (NULL predicates fail)."""
+    condition = F.lit(True)
+    for rule in rules:
+        condition = condition & rule.holds()
+    return condition
+
+
 def _failed_count(rule: Rule) -> Column:
     return F.count_if(~rule.holds())
 
@@ -97,13 +105,8 @@ def apply_rules(
         metrics = [F.count(F.lit(1)).alias("n_rows")]
         metrics += [_failed_count(rule).alias(rule.name) for rule in rules]
         df = df.observe(observation, *metrics)
-    drops = [rule.holds() for rule in rules if rule.action == DROP]
-    if not drops:
-        return df
-    condition = drops[0]
-    for extra in drops[1:]:
-        condition = condition & extra
-    return df.where(condition)
+    drops = [rule for rule in rules if rule.action == DROP]
+    return df.where(all_hold(drops)) if drops else df
 
 
 def rule_report(df: DataFrame, rules: Sequence[Rule], table: str) -> DataFrame:
@@ -125,6 +128,25 @@ def rule_report(df: DataFrame, rules: Sequence[Rule], table: str) -> DataFrame:
     ).select("table_name", "rule", "action", "n_rows", "n_failed")
 
 
+def rule_reports(df: DataFrame, sections: Sequence[tuple[str, Sequence[Rule], Column | None]]) -> DataFrame:
+    """Several tables' rule reports from one aggregate pass over ``df``.
+
+    Each section is ``(table, rules, scope)``; ``scope`` selects the rows that
+    section covers (``None``: all rows), e.g. the clean rules only see rows
+    that passed the landing rules.  Same output as :func:`rule_report`.
+    """
+    counters, rows = [], []
+    for s_i, (table, rules, scope) in enumerate(sections):
+        in_scope = F.lit(True) if scope is None else F.coalesce(scope, F.lit(False))
+        counters.append(F.count_if(in_scope).alias(f"n{s_i}"))
+        for r_i, rule in enumerate(rules):
+            counters.append(F.count_if(in_scope & ~rule.holds()).alias(f"f{s_i}_{r_i}"))
+            rows.append(f"'{table}', '{rule.name}', '{rule.action}', n{s_i}, f{s_i}_{r_i}")
+    return df.agg(*counters).select(
+        F.expr(f"stack({len(rows)}, {', '.join(rows)}) AS (table_name, rule, action, n_rows, n_failed)")
+    )
+
+
 def union_reports(reports: Iterable[DataFrame]) -> DataFrame:
     reports = list(reports)
     out = reports[0]

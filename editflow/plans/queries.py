@@ -177,10 +177,15 @@ def q_editor_type_mix(spark, sf_dir):
 
 def q_rule_drop_report(spark, sf_dir):
     clean = cleaned(spark, sf_dir)
+    # landing and clean counters in one pass: the clean rules see the rows the landing rules keep
+    raw_and_clean = clean_edits(raw_edits(spark, sf_dir), keep=("timestamp",))
+    landing_ok = R.all_hold(R.LANDING_RULES)
     return R.union_reports(
         [
-            R.rule_report(raw_edits(spark, sf_dir), R.LANDING_RULES, "edits_raw"),
-            R.rule_report(clean_edits(landed(spark, sf_dir)), R.CLEAN_RULES, "edits_clean"),
+            R.rule_reports(
+                raw_and_clean,
+                [("edits_raw", R.LANDING_RULES, None), ("edits_clean", R.CLEAN_RULES, landing_ok)],
+            ),
             R.rule_report(rank_editors(clean), R.EDITOR_RANKING_RULES, "editor_ranking"),
             R.rule_report(rank_pages(clean), R.PAGE_RANKING_RULES, "page_ranking"),
         ]

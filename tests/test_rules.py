@@ -60,3 +60,18 @@ def test_builders(spark):
 def test_bad_action():
     with pytest.raises(ValueError):
         Rule("x", "true", "fail")
+
+
+def test_several_reports_in_one_pass(df):
+    from editflow.operators.rules import all_hold, rule_reports
+
+    has_s = Rule("has_s", "s IS NOT NULL")
+    positive = Rule("positive", "n > 0", WARN)
+    combined = {(r["table_name"], r["rule"]): (r["n_rows"], r["n_failed"]) for r in rule_reports(
+        df, [("first", [has_s], None), ("second", [positive], all_hold([has_s]))]
+    ).collect()}
+    # the second section only covers rows that pass the first section's rule
+    assert combined == {("first", "has_s"): (4, 1), ("second", "positive"): (3, 2)}
+    separate = {(r["table_name"], r["rule"]): (r["n_rows"], r["n_failed"]) for r in rule_report(
+        apply_rules(df, [has_s]), [positive], "second").collect()}
+    assert separate[("second", "positive")] == combined[("second", "positive")]
