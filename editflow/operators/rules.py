@@ -110,22 +110,12 @@ def apply_rules(
 
 
 def rule_report(df: DataFrame, rules: Sequence[Rule], table: str) -> DataFrame:
-    """One row per rule: ``table, rule, action, n_rows, n_failed``.
+    """One row per rule: ``table_name, rule, action, n_rows, n_failed``.
 
     A single global aggregate over ``df`` (partial counts per task, one final
     row), then a ``stack`` to turn the counters into rows.
     """
-    counters = [F.count(F.lit(1)).alias("n_rows")]
-    counters += [_failed_count(rule).alias(f"f{i}") for i, rule in enumerate(rules)]
-    totals = df.agg(*counters)
-    stacked = ", ".join(
-        f"'{rule.name}', '{rule.action}', f{i}" for i, rule in enumerate(rules)
-    )
-    return totals.select(
-        F.lit(table).alias("table_name"),
-        F.expr(f"stack({len(rules)}, {stacked}) AS (rule, action, n_failed)"),
-        F.col("n_rows"),
-    ).select("table_name", "rule", "action", "n_rows", "n_failed")
+    return rule_reports(df, [(table, rules, None)])
 
 
 def rule_reports(df: DataFrame, sections: Sequence[tuple[str, Sequence[Rule], Column | None]]) -> DataFrame:
