@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 from editflow.plans.runner import run_all_layers, run_layer, table_counts
 from editflow.sources import tables as T
 from editflow.sources.events_adapter import raw_edits
@@ -279,3 +281,14 @@ def test_idle_run_writes_nothing(spark, workdir):
     changed = run_all_layers(spark, source, base, top_n=5)
     assert {r["table_name"] for r in changed.rule_rows} == {"editor_ranking", "page_ranking", "editor_profile", "page_profile"}
     assert T.read_table(spark, base, "page_profile").count() == 5
+
+
+@pytest.mark.parametrize(
+    "args", [["run", "--base", "/nowhere"], ["run", "--base", "/nowhere", "--layer", "landing"]]
+)
+def test_command_line_needs_a_source(args):
+    from editflow.__main__ import main
+
+    with pytest.raises(SystemExit) as stop:
+        main(args)
+    assert stop.value.code == 2  # argparse usage error, raised before any Spark work
