@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, pieces, secret_scan, urls
+from . import langid, pieces, secret_scan, topk, urls, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,14 @@ def span_digest(df: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
     return df.select("doc_id", *counts, base.alias("base_sha256"), joined_spans(F.col("found")).alias("spans"))
 
 
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return span_digest(secret_scan.scan(docs, secret_scan.train(docs)), ("assign", "access", "hex"))
@@ -60,10 +68,42 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_embedding_near_dedup": op2_embedding_near_dedup,
+    "op5_exact_topk": op5_exact_topk,
     "op6_secret_scan": op6_secret_scan,
     "op7_language_id": op7_language_id,
     "op9_piece_encoding": op9_piece_encoding,
     "op10_url_filter": op10_url_filter,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_embedding_near_dedup": """
+WITH RECURSIVE sound AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM sound a JOIN sound b
+    ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.95
+), reach AS (
+  SELECT vec_id AS id, vec_id AS root FROM embeddings
+  UNION
+  SELECT links.v, reach.root FROM reach JOIN links ON reach.id = links.u
+), roots AS (SELECT id, min(root) AS root FROM reach GROUP BY id),
+counts AS (SELECT u, count(*) AS n FROM links GROUP BY u)
+SELECT e.vec_id, coalesce(c.n, 0) AS n_links, r.root AS component_id, e.vec_id = r.root AS kept
+FROM embeddings e JOIN roots r ON r.id = e.vec_id LEFT JOIN counts c ON c.u = e.vec_id
+""",
+    "op5_exact_topk": """
+WITH sound AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM sound q JOIN sound c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+""",
+}
