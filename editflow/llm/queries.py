@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, pieces, secret_scan, topk, urls, vectors
+from . import jaccard, langid, pieces, secret_scan, topk, urls, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +51,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_join(_table(spark, sf_dir, "documents"))
+
+
 def op9_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, digested, and the digest of the text that they decode to."""
     back = pieces.decode(pieces.encode(_table(spark, sf_dir, "documents")))
@@ -72,11 +76,33 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_exact_topk": op5_exact_topk,
     "op6_secret_scan": op6_secret_scan,
     "op7_language_id": op7_language_id,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_piece_encoding": op9_piece_encoding,
     "op10_url_filter": op10_url_filter,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op8_jaccard_join": """
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '\\s+'), lambda x: x <> '') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')) END) AS s FROM words
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id
+), links AS (
+  SELECT u, v FROM common JOIN sizes x ON x.doc_id = u JOIN sizes y ON y.doc_id = v WHERE 5 * c >= 4 * (x.n + y.n - c)
+), reach AS (
+  SELECT doc_id AS id, doc_id AS root FROM documents
+  UNION
+  SELECT links.v, reach.root FROM reach JOIN links ON reach.id = links.u
+), roots AS (SELECT id, min(root) AS root FROM reach GROUP BY id),
+counts AS (SELECT u, count(*) AS n FROM links GROUP BY u)
+SELECT d.doc_id, r.root AS class_id, coalesce(c.n, 0) AS n_links, d.doc_id = r.root AS kept
+FROM documents d JOIN roots r ON r.id = d.doc_id LEFT JOIN counts c ON c.u = d.doc_id
+""",
     "op2_embedding_near_dedup": """
 WITH RECURSIVE sound AS (
   SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
