@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, langid, pieces, secret_scan, topk, urls, vectors
+from . import jaccard, langid, mixing, pieces, pii, secret_scan, topk, urls, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,14 @@ def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_digest(pii.find(_table(spark, sf_dir, "documents")), ("email", "ip", "card", "phone"))
+
+
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_plan(_table(spark, sf_dir, "documents"))
+
+
 def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
 
@@ -73,6 +81,8 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
+    "op3_pii": op3_pii,
+    "op4_source_mixing": op4_source_mixing,
     "op5_exact_topk": op5_exact_topk,
     "op6_secret_scan": op6_secret_scan,
     "op7_language_id": op7_language_id,
