@@ -10,7 +10,7 @@ the fewest normalised phrases wins.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -168,22 +168,25 @@ _PARSERS: dict[int, CrossParser] = {}
 
 
 def identify(
-    df: DataFrame, samples: dict[str, str], text_col: str = "text", id_col: str = "doc_id"
+    df: DataFrame, samples: dict[str, str], text_col: str = "text", id_col: str = "doc_id", carry: Sequence[str] = ()
 ) -> DataFrame:
-    """Rows (``id_col``, lang_pred, score), one for each row of ``df``.
+    """Rows (``id_col``, lang_pred, score), one for each row of ``df``, with the columns to ``carry`` along.
 
     ``lang_pred`` is the language of ``samples`` whose automaton needs the
     fewest normalised phrases (ties: the first by name), and ``und`` where the
     text is null or has no letter or nothing was learned. ``score`` is 0 for
     ``und``, else one less the ratio of the best to the second-best entropy
     (1 where only one language was learned). Whole texts are parsed; repeated
-    rows are each answered; other columns of ``df`` are not read.
+    rows are each answered; an empty table gives no rows; other columns of
+    ``df`` are not read.
     """
     spark = df.sparkSession
-    rows = pick(df, id=id_col, text=text_col).withColumn(
+    along = {f"c{i}": c for i, c in enumerate(carry)}
+    rows = pick(df, id=id_col, text=text_col, **along).withColumn(
         "has", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     )
-    kind = rows.schema["id"].dataType
+    kept = [f for f in rows.schema.fields if f.name not in ("text", "has")]
+    places = [rows.columns.index(f.name) for f in kept]
     shared = spark.sparkContext.broadcast(samples)  # at most chars_per_lang code points a language
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,7 +197,7 @@ def identify(
         parser = _PARSERS[key]
         for batch in batches:
             for part, texts in slices(batch, "text"):
-                has = np.array(part.column(2).to_pylist(), dtype=bool) & bool(parser.langs)
+                has = np.array(part.column(part.num_columns - 1).to_pylist(), dtype=bool) & bool(parser.langs)
                 pred, score = np.full(len(texts), UNKNOWN, dtype=object), np.zeros(len(texts))
                 if has.any():
                     seen = np.flatnonzero(has)
@@ -206,18 +209,13 @@ def identify(
                         score[seen] = np.clip(1 - low[:, 0] / np.maximum(low[:, 1], 1e-12), 0, 1)
                     else:
                         score[seen] = 1.0
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(pred, pa.string()), pa.array(score)], names=["id", "lang_pred", "score"]
-                )
+                columns = [*(part.column(i) for i in places), pa.array(pred, pa.string()), pa.array(score)]
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     schema = T.StructType(
-        [
-            T.StructField("id", kind),
-            T.StructField("lang_pred", T.StringType()),
-            T.StructField("score", T.DoubleType()),
-        ]
+        [*kept, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
     )
-    return rows.mapInArrow(judge, schema).withColumnRenamed("id", id_col)
+    return rows.mapInArrow(judge, schema).withColumnsRenamed({"id": id_col, **along})
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -103,10 +103,39 @@ def mix_plan(
     empty table gives no rows; repeated rows are each placed; other columns
     are not read.
     """
+    slim = _slim(df, text_col, source_col, id_col, seed)
+    ends, small = _source_ends(slim, budget_ratio, max_repeats, entropy)
+    joined = _beside(slim, ends, small, "left")
+    return joined.select(
+        F.col("id").alias(id_col), "source", "tokens", F.coalesce("weight", F.lit(0.0)).alias("weight"),
+        _copies().alias("copies"), _place().alias("place"),
+    )
+
+
+def _hash(seed: int, id_: Column, source: Column) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), id_, source), 1)
+
+
+def _slim(df: DataFrame, text_col: str, source_col: str, id_col: str, seed: int) -> DataFrame:
+    """(id, source, tokens, h) of each row, stored."""
     rows = pick(df, id=id_col, text=text_col, source=source_col)
-    h = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "id", "source"), 1)
-    slim = rows.select("id", "source", word_count(F.col("text")).alias("tokens"), h.alias("h"))
-    slim = stored(slim, "mix")
+    tokens, h = word_count(F.col("text")), _hash(seed, F.col("id"), F.col("source"))
+    return stored(rows.select("id", "source", tokens.alias("tokens"), h.alias("h")), "mix")
+
+
+def _copies() -> Column:
+    """How often a row is taken, from its hash and what is known about its source."""
+    bin_ = F.shiftright("h", 63 - LEVEL_BITS * LEVELS)
+    part = (bin_ < F.col("prefix")) | ((bin_ == F.col("prefix")) & (F.struct("h", "id") <= F.col("last")))
+    return (F.coalesce("passes", F.lit(0)) + F.coalesce(part, F.col("prefix").isNull()).cast("bigint")).cast("bigint")
+
+
+def _place() -> Column:
+    return F.least(F.col("h") / F.lit(2.0**63), F.lit(1 - 2.0**-53))
+
+
+def _source_ends(slim: DataFrame, budget_ratio: float, max_repeats: float | None, entropy: float | None) -> tuple[DataFrame, bool]:
+    """(source, weight, passes, prefix, last): where each source's last part of a pass ends; whether there are few sources."""
     targets = source_targets(slim, budget_ratio, max_repeats, entropy)
     small = targets.count() <= SMALL_SOURCES
     # The place where each source's last part of a pass ends: token histograms over ever smaller ranges of the hash.
@@ -135,15 +164,39 @@ def mix_plan(
     ends = targets.join(open_, targets["source"].eqNullSafe(open_["source"]), "left").select(targets["*"], "prefix")
     ends = ends.join(last, ends["source"].eqNullSafe(last["source"]), "left").select(ends["*"], "last")
     ends = cut(ends.select("source", "weight", "passes", "prefix", "last"))
-    joined = _beside(slim, ends, small, "left")
-    bin_ = F.shiftright("h", shift)
-    part = (bin_ < F.col("prefix")) | ((bin_ == F.col("prefix")) & (F.struct("h", "id") <= F.col("last")))
-    copies = F.coalesce("passes", F.lit(0)) + F.coalesce(part, F.col("prefix").isNull()).cast("bigint")
-    place = F.col("h") / F.lit(2.0**63)
-    return joined.select(
-        F.col("id").alias(id_col), "source", "tokens", F.coalesce("weight", F.lit(0.0)).alias("weight"),
-        copies.cast("long").alias("copies"), F.least(place, F.lit(1 - 2.0**-53)).alias("place"),
-    )
+    return ends, small
+
+
+def mix(
+    df: DataFrame,
+    text_col: str = "text",
+    source_col: str = "source",
+    id_col: str = "doc_id",
+    n_blocks: int = 64,
+    budget_ratio: float = 1.0,
+    max_repeats: float | None = 1.25,
+    entropy: float | None = None,
+    seed: int = 13,
+) -> DataFrame:
+    """The rows of ``df``, each as often as ``mix_plan`` says, dealt to blocks in order.
+
+    Every copy goes to one of ``n_blocks`` blocks, which hold about the same
+    number of tokens in the target proportions; a partition holds whole blocks,
+    each in the order of a pseudo-random permutation. The columns are those of
+    ``df``.
+    """
+    slim = _slim(df, text_col, source_col, id_col, seed)
+    ends, small = _source_ends(slim, budget_ratio, max_repeats, entropy)
+    names = {c: f"c{i}" for i, c in enumerate(df.columns)}
+    rows = pick(df, **{new: c for c, new in names.items()})
+    id_, source = F.col(names[id_col]), F.col(names[source_col])
+    rows = rows.withColumns({"id": id_, "source": source, "h": _hash(seed, id_, source)})
+    taken = _beside(rows, ends, small, "left").withColumn("copies", _copies()).where(F.col("copies") > 0)
+    taken = taken.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1)))
+    block = F.floor((F.col("epoch") + _place()) / F.col("copies") * n_blocks).cast("int")
+    taken = taken.withColumns({"block": block, "position": F.xxhash64(F.lit(seed), "id", "epoch")})
+    taken = taken.repartition(n_blocks, "block").sortWithinPartitions("block", "position")
+    return taken.select(*(F.col(new).alias(c) for c, new in names.items()))
 
 
 def _beside(slim: DataFrame, about: DataFrame, small: bool, how: str = "inner") -> DataFrame:
@@ -151,22 +204,3 @@ def _beside(slim: DataFrame, about: DataFrame, small: bool, how: str = "inner")
     about = about.withColumnRenamed("source", "key")
     about = F.broadcast(about) if small else about
     return slim.join(about, F.col("source").eqNullSafe(F.col("key")), how).drop("key")
-
-
-def mix(df: DataFrame, n_blocks: int = 64, id_col: str = "doc_id", seed: int = 13, **plan) -> DataFrame:
-    """The rows of ``df``, each as often as its plan says, with columns epoch, block and position.
-
-    Blocks follow one another; each holds about the same number of tokens in
-    the target proportions. Within a block, ``position`` is the order of a
-    pseudo-random permutation. Rows without an id are not taken. Columns of
-    ``df`` named like the added ones are replaced.
-    """
-    planned = mix_plan(df, id_col=id_col, seed=seed, **plan).distinct()
-    keys = planned.select(F.col(f"`{id_col}`").alias("mix_id"), "copies", F.col("place").alias("mix_place"))
-    taken = keys.where(F.col("copies") > 0).withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1)))
-    at = (F.col("epoch") + F.col("mix_place")) / F.col("copies")
-    taken = taken.select(
-        "mix_id", "epoch", F.floor(at * n_blocks).alias("block"), F.xxhash64(F.lit(seed), "mix_id", "epoch").alias("position")
-    )
-    rows = df.drop("epoch", "block", "position")
-    return rows.join(taken, F.col(f"`{id_col}`") == F.col("mix_id")).drop("mix_id")

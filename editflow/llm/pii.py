@@ -134,24 +134,63 @@ def find(
     and empty texts have none; repeated rows are each answered (an id names one
     text); an empty table gives no rows; other columns are not read.
     """
-    rows = pick(df, id=id_col, text=text_col)
-    text = F.translate(F.coalesce("text", F.lit("")), _MARK, _OTHER)
-    base = rows.select("id", text.alias("text")).withColumn("base", base_spans(F.col("text")))
-    scanned = stored(base.select("id", "base", _occurrences(F.col("text"), F.col("base")).alias("tokens")), "pii")
-    tokens = scanned.where(F.size("tokens") > 0).select("id", F.explode("tokens").alias("t")).select("id", "t.*")
+    scanned = _scanned(df, text_col, id_col)
+    added = _context_spans(scanned, rounds, support, confidence, accept)
+    joined = scanned.select("own", "base").join(added, F.col("own").eqNullSafe(F.col("id")), "left")
+    return joined.select(F.col("own").alias(id_col), _named(F.col("base"), F.col("added")).alias("found"))
+
+
+def _clean(text: Column) -> Column:
+    return F.translate(F.coalesce(text, F.lit("")), _MARK, _OTHER)
+
+
+def _scanned(df: DataFrame, text_col: str, id_col: str) -> DataFrame:
+    """(own, base, tokens) of each row: base spans and identifier-like tokens, stored."""
+    base = pick(df, own=id_col, text=text_col).withColumn("text", _clean(F.col("text")))
+    base = base.withColumn("base", base_spans(F.col("text")))
+    return stored(base.select("own", "base", _occurrences(F.col("text"), F.col("base")).alias("tokens")), "pii")
+
+
+def _context_spans(scanned: DataFrame, rounds: int, support: int, confidence: float, accept: float) -> DataFrame:
+    """(id, added): the spans that high-confidence patterns add to each id's text."""
+    tokens = scanned.where(F.size("tokens") > 0).select(F.col("own").alias("id"), F.explode("tokens").alias("t")).select("id", "t.*")
     # A pattern is a word on one side, and the shape of the token that stands beside it.
     sides = (F.when(F.length(c) > 0, F.concat_ws(" ", F.lit(c), c, "shape")) for c in ("left", "right"))
     graph = tokens.select("id", "start", "end", "instance", "known", F.explode(F.array_compact(F.array(*sides))).alias("pattern"))
     patterns = learn_patterns(graph.select("pattern", "instance", "known"), rounds, support, confidence, accept)
     added = graph.where(~F.col("known")).join(patterns, "pattern", "left_semi")
-    span = F.struct("start", F.lit(4).alias("kind"), "end")
-    added = added.groupBy("id").agg(F.collect_set(span).alias("added"))
-    joined = scanned.select(F.col("id").alias("own"), "base").join(added, F.col("own").eqNullSafe(F.col("id")), "left")
-    plain = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
-    spans = F.array_sort(F.concat(plain, F.coalesce("added", F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>"))))
+    return added.groupBy("id").agg(F.collect_set(F.struct("start", F.lit(4).alias("kind"), "end")).alias("added"))
+
+
+def _named(base: Column, added: Column) -> Column:
+    """(kind, start, end) of both kinds of spans, by start and kind."""
+    plain = F.transform(base, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
+    none = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
     names = F.array(*(F.lit(k) for k in KINDS))
-    named = F.transform(spans, lambda s: F.struct(F.get(names, s["kind"]).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    return joined.select(F.col("own").alias(id_col), named.alias("found"))
+    name = lambda s: F.struct(F.get(names, s["kind"]).alias("kind"), s["start"].alias("start"), s["end"].alias("end"))
+    return F.transform(F.array_sort(F.concat(plain, F.coalesce(added, none))), name)
+
+
+def mask(
+    df: DataFrame,
+    text_col: str = "text",
+    id_col: str = "doc_id",
+    rounds: int = 3,
+    support: int = 3,
+    confidence: float = 0.8,
+    accept: float = 0.9,
+) -> DataFrame:
+    """The rows of ``df`` with every span that ``find`` names replaced by its kind in brackets.
+
+    Null texts stay null. Only the few spans that patterns add are joined; the
+    base spans are found again in the row. Rows without an id get base spans only.
+    """
+    added = _context_spans(_scanned(df, text_col, id_col), rounds, support, confidence, accept)
+    added = added.where(F.col("id").isNotNull()).select(F.col("id").alias("pii_id"), F.col("added").alias("pii_added"))
+    text = F.col(f"`{text_col}`")
+    joined = df.join(added, F.col(f"`{id_col}`") == F.col("pii_id"), "left")
+    joined = joined.withColumn("pii_found", _named(base_spans(_clean(text)), F.col("pii_added")))
+    return joined.withColumn(text_col, masked(text, F.col("pii_found"))).select(*(F.col(f"`{c}`") for c in df.columns))
 
 
 def masked(text: Column, found: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, langid, mixing, pieces, pii, secret_scan, topk, urls, vectors
+from . import jaccard, langid, mixing, pieces, pii, secret_scan, suffix_dedup, topk, urls, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,14 @@ def span_digest(df: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
     return df.select("doc_id", *counts, base.alias("base_sha256"), joined_spans(F.col("found")).alias("spans"))
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return done.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
@@ -80,6 +88,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op3_pii": op3_pii,
     "op4_source_mixing": op4_source_mixing,
@@ -92,6 +101,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_suffix_dedup": """
+WITH bytes AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+places AS (SELECT doc_id, h, unnest(range(0, greatest(length(h) // 2 - 99, 0))) AS p FROM bytes),
+windows AS (SELECT doc_id, p, row_number() OVER (PARTITION BY substr(h, 2 * p + 1, 200) ORDER BY doc_id, p) AS k FROM places),
+later AS (
+  SELECT doc_id, p, CASE WHEN p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <= 100 THEN 0 ELSE 1 END AS fresh
+  FROM windows WHERE k > 1
+), runs AS (SELECT doc_id, p, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM later),
+spans AS (SELECT doc_id, min(p) AS a, max(p) + 100 AS e FROM runs GROUP BY doc_id, run),
+between_spans AS (SELECT doc_id, a, e, lag(e, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS b FROM spans),
+cut AS (
+  SELECT x.doc_id, sum(e - a) AS n_removed, count(*) AS n_spans,
+    string_agg(substr(h, 2 * b + 1, 2 * (a - b)), '' ORDER BY a) || substr(any_value(h), 2 * max(e) + 1) AS kept
+  FROM between_spans x JOIN bytes USING (doc_id) GROUP BY x.doc_id
+)
+SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM bytes LEFT JOIN cut USING (doc_id)
+""",
     "op8_jaccard_join": """
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '\\s+'), lambda x: x <> '') AS w FROM documents
