@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -21,12 +22,18 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet under the shared folder and read it back; the folder goes with the session."""
+    """Write ``df`` as Parquet under the shared folder and read it back; the folder goes with the session.
+
+    The shuffle files behind the table are not needed any more. Spark removes
+    them when the driver collects its garbage, so this asks for it.
+    """
     spark = df.sparkSession
     path = scratch_dir(spark, name)
     df.write.parquet(path)
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, pick, slices, stored
+from .common import pick, slices, stored
 
 GRAM = 24
 #: No UTF-8 text holds this byte: it stands before the first symbol of a fragment.
@@ -48,6 +48,33 @@ def gram_hashes(buf: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the base and of its inverse, modulo 2^64."""
+    have = _POWERS.get("n", 0)
+    if have < n:
+        size = max(n, 1 << 19)
+        inverse = np.uint64(pow(int(_POWER), -1, 1 << 64))
+        both = []
+        for base in (_POWER, inverse):
+            column = np.full(size, base, dtype=np.uint64)
+            column[0] = 1
+            both.append(np.cumprod(column))
+        _POWERS.update(n=size, up=both[0], down=both[1])
+    return _POWERS["up"], _POWERS["down"]
+
+
+_POWERS: dict = {}
+
+
+def range_hashes(buf: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Hash of the bytes of each range, from one running sum."""
+    up, down = _powers(len(buf))
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_TABLE[buf] * up[: len(buf)])))
+    h = (sums[hi] - sums[lo]) * down[lo] + (hi - lo).astype(np.uint64)
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(29))
+
+
 def sliding_min(h: np.ndarray, width: int) -> np.ndarray:
     n = 1
     while 2 * n <= width:
@@ -57,10 +84,10 @@ def sliding_min(h: np.ndarray, width: int) -> np.ndarray:
 
 
 def fragments(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
-    """(text number, start, size, minimizer, whether a window may repeat inside) of all fragments."""
+    """(text number, start, size, minimizer, hash, whether a window may repeat inside) of all fragments."""
     buf = np.frombuffer(b"".join(texts), dtype=np.uint8)
     if len(buf) < length:
-        return tuple(np.zeros(0, dtype=t) for t in (np.int64, np.int64, np.int64, np.uint64, bool))
+        return tuple(np.zeros(0, dtype=t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64, bool))
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     ends = np.cumsum(sizes)
     h = gram_hashes(buf)
@@ -73,7 +100,7 @@ def fragments(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
     inside = np.cumsum(edge)[: len(least)] == 0
     starts = np.flatnonzero(inside)
     if not len(starts):
-        return tuple(np.zeros(0, dtype=t) for t in (np.int64, np.int64, np.int64, np.uint64, bool))
+        return tuple(np.zeros(0, dtype=t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64, bool))
     value = least[starts]
     new = np.ones(len(starts), dtype=bool)
     new[1:] = (value[1:] != value[:-1]) | (starts[1:] != starts[:-1] + 1)
@@ -92,7 +119,9 @@ def fragments(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
     some = np.concatenate(([0], np.cumsum(again)))
     begin = starts[first]
     text = np.searchsorted(ends, begin, side="right")
-    return text, begin - (ends - sizes)[text], last - first + length - 1, value[first], some[last] > some[first]
+    size = last - first + length - 1
+    same = range_hashes(buf, begin, begin + size)
+    return text, begin - (ends - sizes)[text], size, value[first], same, some[last] > some[first]
 
 
 def _range_min(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
@@ -235,52 +264,47 @@ def remove_repeats(df: DataFrame, text_col: str = "text", id_col: str = "doc_id"
     docs = rows.where(F.col("id").isNotNull()).select(F.col("id").cast("bigint").alias("id"), "text")
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ("value", "same", "id", "start", "size", "rep")
         for batch in batches:
             for part, texts in slices(batch, "text", 400_000):
-                text, start, size, value, rep = fragments([t.encode() for t in texts], length)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(value.view(np.int64)), part.column(0).take(pa.array(text)), pa.array(start.astype(np.int32)),
-                     pa.array(size.astype(np.int16)), pa.array(rep)],
-                    names=["value", "id", "start", "size", "rep"],
-                )
+                text, start, size, value, same, rep = fragments([t.encode() for t in texts], length)
+                numbers = (pa.array(start.astype(np.int32)), pa.array(size.astype(np.int32)), pa.array(rep))
+                ids = part.column(0).take(pa.array(text))
+                yield pa.RecordBatch.from_arrays([*(pa.array(h.view(np.int64)) for h in (value, same)), ids, *numbers], names=names)
 
-    places = docs.mapInArrow(cut_up, T.StructType.fromDDL("value bigint, id bigint, start int, size smallint, rep boolean"))
+    places = docs.mapInArrow(cut_up, T.StructType.fromDDL("value bigint, same bigint, id bigint, start int, size int, rep boolean"))
     seen = places.groupBy("value").agg(F.count("*").alias("n"), F.max("rep").alias("any")).where((F.col("n") > 1) | F.col("any"))
-    wanted = places.join(seen.select("value"), "value", "left_semi")
-    # A document's fragments are no more than its bytes.
-    wanted = wanted.groupBy("id").agg(F.collect_set(F.struct("value", "start", "size", "rep")).alias("frags"))
+    wanted = stored(places.join(seen.select("value"), "value", "left_semi"), "fragments")
+    # Equal fragments (their minimizer and hash make 128 bits): all but the first occurrence are repeats as a whole.
+    first = F.min(F.struct("id", "start", "size")).alias("first")
+    classes = wanted.groupBy("value", "same").agg(first, F.max("rep").alias("rep"), F.count("*").alias("n"))
+    classes = stored(classes, "classes")
+    several = classes.where("n > 1").select("value", "same", "first")
+    whole = wanted.join(several, ["value", "same"]).where(F.struct("id", "start", "size") > F.col("first"))
+    whole = whole.select("id", F.col("start").cast("bigint").alias("start"), (F.col("start") + F.col("size")).cast("bigint").alias("end"))
+    # Different fragments of one minimizer, or windows that may repeat inside a fragment: one row for each class.
+    groups = classes.groupBy("value").agg(F.count("*").alias("n"), F.max("rep").alias("any")).where((F.col("n") > 1) | F.col("any"))
+    firsts = classes.join(groups.select("value", F.col("n").alias("size_of")), "value")
+    # A text's fragments are no more than its bytes.
+    firsts = firsts.select("first.id", F.struct("value", "first.start", "first.size", "size_of").alias("frag"))
+    firsts = firsts.groupBy("id").agg(F.collect_set("frag").alias("frags"))
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("value", "id", "start", "size", "rep", "frag")
+        names = ("value", "id", "start", "frag", "size_of")
         for batch in batches:
             for part, texts in slices(batch, "text", 400_000):
                 lists = part.column(2)
-                flat = lists.flatten()
                 owner = np.repeat(np.arange(part.num_rows), np.diff(lists.offsets.to_numpy()))
                 raw = [t.encode() for t in texts]
-                value, start, size, rep = (flat.field(i) for i in range(4))
+                value, start, size, size_of = (lists.flatten().field(i) for i in range(4))
                 frag = [raw[d][a : a + n] for d, a, n in zip(owner.tolist(), start.to_pylist(), size.to_pylist())]
                 ids = part.column(0).take(pa.array(owner))
-                yield pa.RecordBatch.from_arrays([value, ids, start, size, rep, pa.array(frag, pa.binary())], names=names)
+                yield pa.RecordBatch.from_arrays([value, ids, start.cast(pa.int64()), pa.array(frag, pa.binary()), size_of], names=names)
 
-    frags = docs.join(wanted, "id").select("id", "text", "frags").mapInArrow(
-        cut_out, T.StructType.fromDDL("value bigint, id bigint, start int, size smallint, rep boolean, frag binary")
+    mixed = docs.join(firsts, "id").select("id", "text", "frags").mapInArrow(
+        cut_out, T.StructType.fromDDL("value bigint, id bigint, start bigint, frag binary, size_of bigint")
     )
-    frags = frags.withColumns({"f1": F.xxhash64("frag"), "f2": F.xxhash64(F.lit(1), "frag")})
-    frags = stored(frags, "frags")
-    same = ["value", "f1", "f2"]
-    # Equal fragments: all but the first occurrence are repeats as a whole.
-    classes = frags.groupBy(*same).agg(F.min(F.struct("id", "start")).alias("first"), F.max("rep").alias("rep"), F.count("*").alias("n"))
-    classes = stored(classes, "classes")
-    several = classes.where("n > 1").select(*same, "first")
-    whole = frags.select(*same, "id", "start", "size").join(several, same).where(F.struct("id", "start") > F.col("first"))
-    whole = whole.select("id", F.col("start").cast("bigint").alias("start"), (F.col("start") + F.col("size")).cast("bigint").alias("end"))
-    # Different fragments of one minimizer, or windows that may repeat inside a fragment: one row for each class.
-    groups = classes.groupBy("value").agg(F.count("*").alias("n"), F.max("rep").alias("any")).where((F.col("n") > 1) | F.col("any"))
-    firsts = classes.join(groups.select("value", F.col("n").alias("size_of")), "value")
-    firsts = firsts.select("value", F.col("first.id").alias("id"), F.col("first.start").alias("start"), "size_of")
-    mixed = frags.select("value", "id", "start", "frag").join(firsts, ["value", "id", "start"]).dropDuplicates(["value", "id", "start"])
-    mixed = cut(mixed.select("value", "id", F.col("start").cast("bigint").alias("start"), "frag", "size_of"))
+    mixed = stored(mixed, "mixed")
     near = mixed.where(F.col("size_of") <= HOT_CLASSES).select("value", "id", "start", "frag")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -313,7 +337,6 @@ def remove_repeats(df: DataFrame, text_col: str = "text", id_col: str = "doc_id"
     windows = F.posexplode(F.transform(F.sequence(F.lit(1), F.octet_length("frag") - length + 1), lambda i: F.substr("frag", i, F.lit(length))))
     hot = mixed.where(F.col("size_of") > HOT_CLASSES).select("id", "start", windows.alias("at", "window"))
     hot = hot.select("id", (F.col("start") + F.col("at")).alias("start"), F.xxhash64("window").alias("f1"), F.xxhash64(F.lit(1), "window").alias("f2"))
-    hot = stored(hot, "windows")
     earliest = hot.groupBy("f1", "f2").agg(F.min(F.struct("id", "start")).alias("first"), F.count("*").alias("n")).where("n > 1")
     hot = hot.join(earliest, ["f1", "f2"]).where(F.struct("id", "start") > F.col("first")).select("id", "start", (F.col("start") + length).alias("end"))
     gone = whole.unionByName(compared).unionByName(hot)
@@ -336,8 +359,9 @@ def remove_repeats(df: DataFrame, text_col: str = "text", id_col: str = "doc_id"
 
     spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     out = T.StructType.fromDDL("id bigint, n_bytes bigint, spans array<struct<start:bigint,`end`:bigint>>, kept binary")
-    all_docs = rows.select(F.col("id").cast("bigint").alias("id"), "text")
-    result = all_docs.join(gone, "id", "left").select("id", "text", "gone").mapInArrow(keep, out)
+    ended = docs.join(gone, "id", "left").select("id", "text", "gone")
+    bare = rows.where(F.col("id").isNull()).select(F.col("id").cast("bigint").alias("id"), "text")
+    result = ended.unionByName(bare.withColumn("gone", F.lit(None).cast(gone.schema["gone"].dataType))).mapInArrow(keep, out)
     return result.select(F.col("id").cast(kind).alias(id_col), "n_bytes", "spans", "kept")
 
 
