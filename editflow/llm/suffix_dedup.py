@@ -5,16 +5,14 @@ Equal strings have equal minimizers (the least hash of their grams), so texts
 are cut into fragments of consecutive windows with one minimizer. Only
 minimizers that occur twice matter. Equal fragments are pre-aggregated to
 their first occurrence; where different fragments share a minimizer, the
-Burrows-Wheeler transform and the common prefixes of the fragments are built
-column-wise, one symbol of each fragment a round, over sequential files, and
+Burrows-Wheeler transform of the fragments is built column-wise, one symbol of
+each fragment a round, their common prefixes follow from it in rounds, and
 suffixes with a common prefix of ``length`` are the repeated strings.
 """
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +23,6 @@ from pyspark.sql import types as T
 from .common import pick, slices, stored
 
 GRAM = 24
-#: No UTF-8 text holds this byte: it stands before the first symbol of a fragment.
-END = 0xFF
 #: Symbols of the fragments whose transform is built together; different fragments of one minimizer that may meet there.
 BATCH_SYMBOLS, HOT_CLASSES = 1 << 20, 512
 _TABLE = np.random.default_rng(20).integers(0, 2**64, 256, dtype=np.uint64)
@@ -124,110 +120,96 @@ def fragments(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
     return text, begin - (ends - sizes)[text], size, value[first], same, some[last] > some[first]
 
 
-def _range_min(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    """Minimum of ``values[lo:hi]`` for each (nonempty) range: long ranges by minima of 64 values."""
-    out = np.full(len(lo), 255, dtype=np.uint8)
-
-    def spread(which: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
-        full = b > a
-        which, a, n = which[full], a[full], (b - a)[full]
-        if len(which):
-            offsets = np.cumsum(n) - n
-            at = np.repeat(a - offsets, n) + np.arange(int(n.sum()))
-            out[which] = np.minimum(out[which], np.minimum.reduceat(values[at], offsets))
-
-    size = hi - lo
-    short = np.flatnonzero(size <= 64)
-    spread(short, lo[short], hi[short])
-    far = np.flatnonzero(size > 64)
-    if len(far):
-        a, b = -(-lo[far] // 64), hi[far] // 64
-        spread(far, lo[far], a * 64)
-        spread(far, b * 64, hi[far])
-        whole = b > a
-        if whole.any():
-            blocks = np.append(np.minimum.reduceat(values, np.arange(0, len(values), 64)), np.uint8(255))
-            pairs = np.stack([a[whole], b[whole]], axis=1).ravel()
-            which = far[whole]
-            out[which] = np.minimum(out[which], np.minimum.reduceat(blocks, pairs)[::2])
-    return out
-
+def collection_bwt(symbol: np.ndarray, begin: np.ndarray, step: int, count: np.ndarray, end: int) -> np.ndarray:
+    """The Burrows-Wheeler transform of a collection of documents.
 
-def collection_bwt(texts: list[bytes], folder: Path) -> tuple[np.ndarray, np.ndarray]:
-    """The Burrows-Wheeler transform and the common prefixes of all suffixes of a collection.
-
-    Round j inserts the suffix of length j of every text that has one: the
-    order of the symbols in the transform so far gives the places. Transform
-    and common prefixes are read from one pair of files and written to another
-    in each round. Rows 0, 1, ... are the empty suffixes, in the order of the
-    texts.
+    Document d has ``count[d]`` symbols ``symbol[begin[d] + step * t]``. Round j
+    inserts the suffix of length j of every document that has one: the order of
+    the symbols in the transform so far gives the places. Rows 0, 1, ... are the
+    empty suffixes, in the order of the documents; ``end``, larger than all
+    symbols, stands before a document's first symbol.
     """
-    m = len(texts)
-    sizes = np.fromiter(map(len, texts), np.int64, m)
-    ends = np.cumsum(sizes)
-    buf = np.frombuffer(b"".join(texts), dtype=np.uint8)
+    m, most = len(begin), int(count.max(initial=0))
     row = np.arange(m)
-    np.where(sizes > 0, buf[np.maximum(ends - 1, 0)] if len(buf) else END, END).astype(np.uint8).tofile(folder / "bwt0")
-    np.zeros(m, dtype=np.uint8).tofile(folder / "lcp0")
-    for j in range(1, int(sizes.max(initial=0)) + 1):
-        old, new = str((j - 1) % 2), str(j % 2)
-        bwt, lcp = (np.fromfile(folder / (name + old), dtype=np.uint8) for name in ("bwt", "lcp"))
-        active = np.flatnonzero(sizes >= j)
-        order = np.argsort(bwt, kind="stable")
-        order = order[: len(order) - np.count_nonzero(bwt == END)]
-        place = np.empty(len(bwt), dtype=np.int64)
-        place[order] = m + np.arange(len(order))
-        at = place[row[active]]
-        total = len(bwt) + len(active)
-        fresh = np.zeros(total, dtype=bool)
+    bwt = symbol[begin + step * np.maximum(count - 1, 0)]
+    bwt[count == 0] = end
+    for j in range(1, most + 1):
+        active = np.flatnonzero(count >= j)
+        at = _places(bwt, m, end)[1][row[active]]
+        fresh = np.zeros(len(bwt) + len(active), dtype=bool)
         fresh[at] = True
-        out_bwt, out_lcp = np.empty(total, dtype=np.uint8), np.empty(total, dtype=np.uint8)
-        out_bwt[~fresh], out_lcp[~fresh] = bwt, lcp
-        left = ends[active] - j - 1
-        out_bwt[at] = np.where(sizes[active] > j, buf[np.maximum(left, 0)], END)
-        # The common prefix changes where a row or the one before it is new: one more than that of the two tails.
-        touched = fresh.copy()
-        touched[1:] |= fresh[:-1]
-        touched[:m] = False
-        q = np.flatnonzero(touched)
-        prefix = np.zeros(len(q), dtype=np.uint8)
-        tail = order[q - m]
-        before = np.where(q > m, order[np.maximum(q - m - 1, 0)], -1)
-        same = (before >= 0) & (bwt[tail] == bwt[np.maximum(before, 0)])
-        prefix[same] = np.minimum(_range_min(lcp, before[same] + 1, tail[same] + 1), 254) + 1
-        out_lcp[q] = prefix
-        row[active] = at
-        out_bwt.tofile(folder / ("bwt" + new))
-        out_lcp.tofile(folder / ("lcp" + new))
-    last = str(int(sizes.max(initial=0)) % 2)
-    return tuple(np.fromfile(folder / (name + last), dtype=np.uint8) for name in ("bwt", "lcp"))
+        grown = np.empty(len(fresh), dtype=bwt.dtype)
+        grown[~fresh] = bwt
+        before = count[active] - j - 1
+        grown[at] = np.where(before >= 0, symbol[begin[active] + step * np.maximum(before, 0)], end)
+        row[active], bwt = at, grown
+    return bwt
 
 
-def repeated(texts: list[bytes], ids: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """(text number, offset) of the windows of ``length`` bytes that also start earlier, by (id, position)."""
-    with tempfile.TemporaryDirectory() as folder:
-        bwt, lcp = collection_bwt(texts, Path(folder))
-    m = len(texts)
-    sizes = np.fromiter(map(len, texts), np.int64, m)
-    group = np.cumsum(lcp < length)
+def _places(bwt: np.ndarray, m: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """The rows in the order of their symbols, and for each row that of the suffix that its symbol begins."""
     order = np.argsort(bwt, kind="stable")
-    order = order[: len(order) - np.count_nonzero(bwt == END)]
+    order = order[: len(order) - np.count_nonzero(bwt == end)]
     place = np.empty(len(bwt), dtype=np.int64)
     place[order] = m + np.arange(len(order))
+    return order, place
+
+
+def common_prefix_groups(bwt: np.ndarray, order: np.ndarray, m: int, length: int) -> np.ndarray:
+    """For each row the number of the group of neighbours whose common prefix has ``length`` symbols.
+
+    Round h knows where the common prefix of a row and the one before is
+    shorter than h: where their first symbols differ, or it was shorter than
+    h - 1 somewhere between the rows of their tails.
+    """
+    differ = bwt[order[1:]] != bwt[order[:-1]]
+    shorter = np.ones(len(bwt), dtype=bool)
+    shorter[m + 1 :] = differ
+    for _ in range(length - 1):
+        upto = np.cumsum(shorter, dtype=np.int32)[order]
+        shorter[m + 1 :] = differ | (upto[1:] != upto[:-1])
+    return np.cumsum(shorter)
+
+
+def repeated(texts: list[bytes], ids: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(text number, offset) of the windows of ``length`` bytes that also start earlier, by (id, position).
+
+    Symbols are units of up to 4 bytes, and a text is one document for each
+    offset of its first unit: fewer rounds, and every window still is a suffix.
+    """
+    unit = next(u for u in (4, 2, 1) if length % u == 0)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    base = np.cumsum(sizes) - sizes
+    buf = np.frombuffer(b"".join(texts) + bytes(unit), dtype=np.uint8)
+    code = np.zeros(len(buf) - unit, dtype=np.uint32)
+    for u in range(unit):
+        code = code * np.uint32(256) + buf[u : len(buf) - unit + u]
+    known, symbol = np.unique(code, return_inverse=True)
+    end = len(known)
+    symbol = symbol.astype(np.uint16 if end < 1 << 16 else np.uint32)
+    text, shift = (x.ravel() for x in np.meshgrid(np.arange(len(texts)), np.arange(unit), indexing="ij"))
+    some = sizes[text] - shift >= length
+    text, shift = text[some], shift[some]
+    count, begin, m = (sizes[text] - shift) // unit, base[text] + shift, len(text)
+    bwt = collection_bwt(symbol, begin, unit, count, end)
+    order, place = _places(bwt, m, end)
+    group = common_prefix_groups(bwt, order, m, length // unit)
     row, who, found = np.arange(m), [], []
-    for j in range(1, int(sizes.max(initial=0)) + 1):  # the row of every suffix, from the shortest on
-        active = np.flatnonzero(sizes >= j)
+    for j in range(1, int(count.max(initial=0)) + 1):  # the row of every suffix, from the shortest on
+        active = np.flatnonzero(count >= j)
         row[active] = place[row[active]]
-        if j >= length:
-            who.append(np.stack([active, sizes[active] - j]))
+        if j >= length // unit:
+            who.append(np.stack([text[active], shift[active] + unit * (count[active] - j)]))
             found.append(group[row[active]])
     if not who:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     (text, offset), group = np.concatenate(who, axis=1), np.concatenate(found)
-    order = np.lexsort((starts[text] + offset, ids[text], group))
-    later = np.zeros(len(order), dtype=bool)
-    later[1:] = group[order][1:] == group[order][:-1]
-    return text[order[later]], offset[order[later]]
+    rank = np.unique(ids, return_inverse=True)[1]
+    place_of = (rank[text] << 32) + starts[text] + offset
+    earliest = np.full(int(group.max()) + 1, np.iinfo(np.int64).max)
+    np.minimum.at(earliest, group, place_of)
+    later = place_of != earliest[group]
+    return text[later], offset[later]
 
 
 def _removed(texts: list[bytes], ids: np.ndarray, starts: np.ndarray, length: int) -> pa.RecordBatch:
