@@ -21,56 +21,60 @@ from pyspark.sql import types as T
 from .common import cut, pick
 
 #: Rows of a block of queries or data; blocks of data that one task scores for a query block.
-QUERY_ROWS, DATA_ROWS, RUN = 256, 512, 24
+QUERY_ROWS, DATA_ROWS, RUN = 1024, 1024, 8
 
 
 class CoverTree:
     """A cover tree over a bounded sample: each level's radius is a fraction of the one above.
 
-    ``parents[i]`` is the parent of center ``i``; every center is a node, and a
-    node's vectors are those routed to it or to a descendant.
+    Every node but a leaf has a self-child, of its own center, and children of
+    other centers that cover at least ``least`` sample vectors within the
+    level's radius; vectors that no such child covers stay with the self-child.
+    ``parents[i]`` is the parent of node ``i``.
     """
 
-    def __init__(self, sample: np.ndarray, levels: int = 4, shrink: float = 0.75):
-        self.centers, self.parents, self.children = sample[:1].copy(), [-1], [[]]
-        if not len(sample):
-            self.centers, self.parents, self.children = np.zeros((0, 1)), [], []
-            return
-        chosen, owner = [0], np.zeros(len(sample), dtype=np.int64)
-        far = np.linalg.norm(sample - sample[0], axis=1)
-        radius = float(far.max())
-        level_nodes = [0]
+    def __init__(self, sample: np.ndarray, levels: int = 12, shrink: float = 0.8, least: int = 8):
+        self.parents, self.children, self.radii = [-1], [[]], [0.0]
+        centers = [sample.mean(axis=0) if len(sample) else np.zeros(1)]
+        radius = float(np.linalg.norm(sample - centers[0], axis=1).max()) if len(sample) else 0.0
+        open_ = [(0, np.arange(len(sample)))]
         for _ in range(levels):
             radius *= shrink
-            new_nodes, new_owner = [], np.full(len(sample), -1)
-            for node in level_nodes:
-                mine = np.flatnonzero(owner == node)
-                while len(mine):
-                    # the first uncovered point becomes a center; it covers what lies within the radius
-                    at = mine[0]
-                    chosen.append(int(at))
-                    self.parents.append(node)
-                    self.children.append([])
-                    child = len(chosen) - 1
-                    self.children[node].append(child)
-                    new_nodes.append(child)
-                    near = np.linalg.norm(sample[mine] - sample[at], axis=1) <= radius
-                    new_owner[mine[near]] = child
-                    mine = mine[~near]
-            level_nodes, owner = new_nodes, new_owner
-        self.centers = sample[chosen]
+            below = []
+            for node, mine in open_:
+                rest, kids = mine, []
+                for at in mine:
+                    if len(mine) < 2 * least or at not in rest:
+                        continue
+                    near = np.linalg.norm(sample[rest] - sample[at], axis=1) <= radius
+                    if least <= near.sum() < len(mine):
+                        kids.append((sample[at], rest[near]))
+                        rest = rest[~near]
+                if kids:
+                    for center, own in [(centers[node], rest), *kids]:
+                        centers.append(center)
+                        self.parents.append(node)
+                        self.children.append([])
+                        self.radii.append(radius)
+                        self.children[node].append(len(centers) - 1)
+                        below.append((len(centers) - 1, own))
+                else:
+                    below.append((node, mine))
+            open_ = below
+        self.centers = np.array(centers)
 
     def route(self, x: np.ndarray) -> np.ndarray:
-        """The leaf of each row: the nearest child, level by level."""
+        """The leaf of each row: level by level the nearest child that covers it, else the self-child."""
         at = np.zeros(len(x), dtype=np.int64)
-        for node in range(len(self.children)):
-            kids = self.children[node]
-            if kids:
-                mine = np.flatnonzero(at == node)
-                if len(mine):
-                    c = self.centers[kids]
-                    away = (c * c).sum(axis=1)[None, :] - 2 * x[mine] @ c.T
-                    at[mine] = np.array(kids)[away.argmin(axis=1)]
+        for node, kids in enumerate(self.children):
+            mine = np.flatnonzero(at == node)
+            if kids and len(mine):
+                best, away = np.full(len(mine), kids[0]), np.full(len(mine), np.inf)
+                for kid in kids[1:]:
+                    far = np.linalg.norm(x[mine] - self.centers[kid], axis=1)
+                    near = (far <= self.radii[kid]) & (far < away)
+                    best[near], away[near] = kid, far[near]
+                at[mine] = best
         return at
 
     def path(self, leaf: int) -> list[int]:
@@ -278,18 +282,20 @@ class _Best:
         self.other = np.zeros((len(ids), 0), dtype=np.int64)
 
     def add(self, ids: np.ndarray, data: np.ndarray) -> None:
-        score = self.queries @ data.T
-        score[self.ids[:, None] == ids[None, :]] = -np.inf
-        other = np.broadcast_to(ids, score.shape)
-        if score.shape[1] > 4 * self.k:  # what cannot be among the k best, ties included, goes before the sort
-            low = np.partition(score, -self.k, axis=1)[:, -self.k][:, None]
-            wide = int((score >= low).sum(axis=1).max())
-            at = np.argsort(-score, axis=1, kind="stable")[:, :wide]
-            score, other = np.take_along_axis(score, at, 1), np.take_along_axis(other, at, 1)
-        score = np.concatenate([self.score, score], axis=1)
-        other = np.concatenate([self.other, other], axis=1)
-        at = np.lexsort((other, -score), axis=1)[:, : self.k]
-        self.score, self.other = np.take_along_axis(score, at, 1), np.take_along_axis(other, at, 1)
+        fresh = self.queries @ data.T
+        fresh[self.ids[:, None] == ids[None, :]] = -np.inf
+        score = np.concatenate([self.score, fresh], axis=1)
+        other = np.concatenate([self.other, np.broadcast_to(ids, fresh.shape)], axis=1)
+        low = np.partition(score, -self.k, axis=1)[:, -self.k][:, None] if score.shape[1] > self.k else -np.inf
+        row, at = np.nonzero((score >= low) & (score > -np.inf))  # the k best and what ties with the last of them
+        score, other = score[row, at], other[row, at]
+        order = np.lexsort((other, -score, row))
+        row, score, other = row[order], score[order], other[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        best = place < self.k
+        self.score = np.full((len(self.ids), self.k), -np.inf)
+        self.other = np.zeros((len(self.ids), self.k), dtype=np.int64)
+        self.score[row[best], place[best]], self.other[row[best], place[best]] = score[best], other[best]
 
     def worst(self) -> float:
         """The smallest kth score of the block; minus infinity where a query has fewer."""
