@@ -5,9 +5,9 @@ signs are its binary code, and the inner product of the code with the rotated
 vector is its stored correction factor. ``<code, q> / factor`` estimates an
 inner product without bias, with a confidence bound that follows from the
 factor. Code bands deal the vectors into buckets; inside a bucket only the
-pairs whose estimate plus bound reaches the threshold count as candidates;
-candidates form families, and within a family the same estimates decide which
-pairs are recomputed exactly in double precision.
+pairs whose estimate plus bound reaches the threshold are recomputed exactly in
+double precision. The linked vectors form families, and within a family, where
+every pair meets once, the same is done to count the links.
 """
 
 from __future__ import annotations
@@ -118,11 +118,15 @@ def near_duplicates(
     dealt = block_pairs(entries, 2 * BLOCK_ROWS, "dim", "band", "key")
     vectors = distinct.select(F.col("id").cast("bigint").alias("id"), "v", F.col("w").cast("bigint").alias("w"))
 
+    def linked_pairs(x: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        left, right = np.nonzero(may_reach(x, x, threshold, seed, sigmas) & _once(own))
+        parts = [slice(a, a + 65536) for a in range(0, len(left), 65536)]
+        cosine = np.concatenate([np.zeros(0), *(np.einsum("ij,ij->i", x[left[p]], x[right[p]]) for p in parts)])
+        return left[cosine >= threshold], right[cosine >= threshold]
+
     def stars(groups) -> Iterator[pa.RecordBatch]:
         for _, ids, x, own, _ in _blocks(groups):
-            pair = may_reach(x, x, threshold, seed, sigmas) & _once(own)
-            left, right = np.nonzero(pair)
-            yield from _star(ids, left, right)
+            yield from _star(ids, *linked_pairs(x, own))
 
     linked = map_groups(
         dealt.join(vectors.select("id", "v"), "id"), ["dim", "band", "key", "b1", "b2"], stars, T.StructType.fromDDL("u bigint, v bigint")
@@ -130,27 +134,19 @@ def near_duplicates(
     family = components(linked)
     members = block_pairs(family, BLOCK_ROWS, "root").join(vectors, "id").withColumn("dim", F.size("v"))
 
-    def exact(groups) -> Iterator[pa.RecordBatch]:
+    def count(groups) -> Iterator[pa.RecordBatch]:
         for _, ids, x, own, w in _blocks(groups):
-            left, right = np.nonzero(may_reach(x, x, threshold, seed, sigmas) & _once(own))
-            cosine = np.concatenate([np.einsum("ij,ij->i", x[left[a : a + 65536]], x[right[a : a + 65536]]) for a in range(0, len(left), 65536)] or [np.zeros(0)])
-            left, right = left[cosine >= threshold], right[cosine >= threshold]
-            count = np.bincount(left, w[right], len(ids)) + np.bincount(right, w[left], len(ids))
-            for star in _star(ids, left, right):
-                yield pa.RecordBatch.from_arrays([*star.columns, pa.array(np.zeros(star.num_rows, np.int64))], names=["u", "v", "n"])
-            some = np.flatnonzero(count)
-            own_ids = pa.array(ids[some])
-            yield pa.RecordBatch.from_arrays([own_ids, own_ids, pa.array(count[some].astype(np.int64))], names=["u", "v", "n"])
-
-    found = cut(
-        map_groups(members, ["dim", "root", "b1", "b2"], exact, T.StructType.fromDDL("u bigint, v bigint, n bigint"))
-    )
-    counts = found.groupBy(F.col("u").alias("id")).agg(F.sum("n").alias("n"))
-    roots = components(found.select("u", "v"))
+            left, right = linked_pairs(x, own)
+            n = np.bincount(left, w[right], len(ids)) + np.bincount(right, w[left], len(ids))
+            some = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(n[some].astype(np.int64))], names=["id", "n"])
+
+    found = map_groups(members, ["dim", "root", "b1", "b2"], count, T.StructType.fromDDL("id bigint, n bigint"))
+    counts = found.groupBy("id").agg(F.sum("n").alias("n"))
     about = (
         distinct.select(F.col("id").cast("bigint").alias("id"), "v", "w")
         .join(counts, "id", "left")
-        .join(roots, "id", "left")
+        .join(family, "id", "left")
         .select("v", (F.coalesce("n", F.lit(0)) + F.col("w") - 1).alias("n_links"), F.coalesce("root", "id").alias("component_id"))
     )
     kind = rows.schema["id"].dataType
