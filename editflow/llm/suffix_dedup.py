@@ -24,7 +24,9 @@ from .common import pick, slices, stored
 
 GRAM = 24
 #: Symbols of the fragments whose transform is built together; different fragments of one minimizer that may meet there.
-BATCH_SYMBOLS, HOT_CLASSES = 1 << 20, 512
+BATCH_SYMBOLS, HOT_CLASSES = 1 << 20, 2048
+#: How often the fragments of such a minimizer are cut again by another one.
+LEVELS = 8
 _TABLE = np.random.default_rng(20).integers(0, 2**64, 256, dtype=np.uint64)
 _POWER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -79,7 +81,7 @@ def sliding_min(h: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(h[: len(h) - (width - n)], h[width - n :]) if width > n else h
 
 
-def fragments(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
+def fragments(texts: list[bytes], length: int, level: int = 0) -> tuple[np.ndarray, ...]:
     """(text number, start, size, minimizer, hash, whether a window may repeat inside) of all fragments."""
     buf = np.frombuffer(b"".join(texts), dtype=np.uint8)
     if len(buf) < length:
@@ -87,6 +89,9 @@ def fragments(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     ends = np.cumsum(sizes)
     h = gram_hashes(buf)
+    if level:  # another order of the grams
+        h = (h ^ np.uint64(level)) * np.uint64(0x94D049BB133111EB)
+        h ^= h >> np.uint64(32)
     width = length - GRAM + 1
     least = sliding_min(h, width)
     # windows that would reach into the next text
@@ -257,19 +262,9 @@ def remove_repeats(df: DataFrame, text_col: str = "text", id_col: str = "doc_id"
     places = docs.mapInArrow(cut_up, T.StructType.fromDDL("value bigint, same bigint, id bigint, start int, size int, rep boolean"))
     seen = places.groupBy("value").agg(F.count("*").alias("n"), F.max("rep").alias("any")).where((F.col("n") > 1) | F.col("any"))
     wanted = stored(places.join(seen.select("value"), "value", "left_semi"), "fragments")
-    # Equal fragments (their minimizer and hash make 128 bits): all but the first occurrence are repeats as a whole.
-    first = F.min(F.struct("id", "start", "size")).alias("first")
-    classes = wanted.groupBy("value", "same").agg(first, F.max("rep").alias("rep"), F.count("*").alias("n"))
-    classes = stored(classes, "classes")
-    several = classes.where("n > 1").select("value", "same", "first")
-    whole = wanted.join(several, ["value", "same"]).where(F.struct("id", "start", "size") > F.col("first"))
-    whole = whole.select("id", F.col("start").cast("bigint").alias("start"), (F.col("start") + F.col("size")).cast("bigint").alias("end"))
-    # Different fragments of one minimizer, or windows that may repeat inside a fragment: one row for each class.
-    groups = classes.groupBy("value").agg(F.count("*").alias("n"), F.max("rep").alias("any")).where((F.col("n") > 1) | F.col("any"))
-    firsts = classes.join(groups.select("value", F.col("n").alias("size_of")), "value")
+    gone, firsts = _classes(wanted)
     # A text's fragments are no more than its bytes.
-    firsts = firsts.select("first.id", F.struct("value", "first.start", "first.size", "size_of").alias("frag"))
-    firsts = firsts.groupBy("id").agg(F.collect_set("frag").alias("frags"))
+    firsts = firsts.groupBy("id").agg(F.collect_set(F.struct("value", "start", "size", "size_of")).alias("frags"))
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ("value", "id", "start", "frag", "size_of")
@@ -281,22 +276,35 @@ def remove_repeats(df: DataFrame, text_col: str = "text", id_col: str = "doc_id"
                 value, start, size, size_of = (lists.flatten().field(i) for i in range(4))
                 frag = [raw[d][a : a + n] for d, a, n in zip(owner.tolist(), start.to_pylist(), size.to_pylist())]
                 ids = part.column(0).take(pa.array(owner))
-                yield pa.RecordBatch.from_arrays([value, ids, start.cast(pa.int64()), pa.array(frag, pa.binary()), size_of], names=names)
-
-    mixed = docs.join(firsts, "id").select("id", "text", "frags").mapInArrow(
-        cut_out, T.StructType.fromDDL("value bigint, id bigint, start bigint, frag binary, size_of bigint")
-    )
-    mixed = stored(mixed, "mixed")
-    near = mixed.where(F.col("size_of") <= HOT_CLASSES).select("value", "id", "start", "frag")
+                yield pa.RecordBatch.from_arrays([value, ids, start, pa.array(frag, pa.binary()), size_of], names=names)
+
+    cut_type = T.StructType.fromDDL("value bigint, id bigint, start int, frag binary, size_of bigint")
+    mixed = stored(docs.join(firsts, "id").select("id", "text", "frags").mapInArrow(cut_out, cut_type), "mixed")
+
+    def cut_again(level: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            names = ("value", "same", "id", "start", "size", "rep", "frag")
+            for batch in batches:
+                raw = batch.column(3).to_pylist()
+                text, start, size, value, same, rep = fragments(raw, length, level)
+                old = batch.column(0).to_numpy().view(np.uint64)[text]
+                value = (value + old * _POWER) ^ (old >> np.uint64(31))
+                own = batch.column(2).to_numpy()[text] + start
+                frag = [raw[d][a : a + n] for d, a, n in zip(text.tolist(), start.tolist(), size.tolist())]
+                ids, numbers = batch.column(1).take(pa.array(text)), (pa.array(x.astype(np.int32)) for x in (own, size))
+                hashes = (pa.array(h.view(np.int64)) for h in (value, same))
+                yield pa.RecordBatch.from_arrays([*hashes, ids, *numbers, pa.array(rep), pa.array(frag, pa.binary())], names=names)
+
+        return run
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Whole groups of a minimizer, as many as make up a batch; equal windows of two groups cannot be."""
         held: list[pa.RecordBatch] = []
         symbols = 0
 
-        def done() -> Iterator[pa.RecordBatch]:
+        def done() -> pa.RecordBatch:
             table = pa.Table.from_batches(held)
-            yield _removed(table["frag"].to_pylist(), table["id"].to_numpy(), table["start"].to_numpy(), length)
+            return _removed(table["frag"].to_pylist(), table["id"].to_numpy(), table["start"].to_numpy().astype(np.int64), length)
 
         last = None
         for batch in batches:
@@ -305,23 +313,30 @@ def remove_repeats(df: DataFrame, text_col: str = "text", id_col: str = "doc_id"
             begin = 0
             for end in [*edges.tolist(), len(value)] if len(value) else []:
                 if symbols >= BATCH_SYMBOLS and value[begin] != last:
-                    yield from done()
+                    yield done()
                     held, symbols = [], 0
                 held.append(batch.slice(begin, end - begin))
                 symbols += (end - begin) * (2 * length - GRAM)
                 last, begin = value[begin], end
         if held:
-            yield from done()
+            yield done()
 
     ranges = T.StructType.fromDDL("id bigint, start bigint, `end` bigint")
-    compared = near.repartition("value").sortWithinPartitions("value").mapInArrow(compare, ranges)
-    # A minimizer of very many different fragments: these are cut into their windows, which are aggregated like fragments.
-    windows = F.posexplode(F.transform(F.sequence(F.lit(1), F.octet_length("frag") - length + 1), lambda i: F.substr("frag", i, F.lit(length))))
-    hot = mixed.where(F.col("size_of") > HOT_CLASSES).select("id", "start", windows.alias("at", "window"))
-    hot = hot.select("id", (F.col("start") + F.col("at")).alias("start"), F.xxhash64("window").alias("f1"), F.xxhash64(F.lit(1), "window").alias("f2"))
-    earliest = hot.groupBy("f1", "f2").agg(F.min(F.struct("id", "start")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    hot = hot.join(earliest, ["f1", "f2"]).where(F.struct("id", "start") > F.col("first")).select("id", "start", (F.col("start") + length).alias("end"))
-    gone = whole.unionByName(compared).unionByName(hot)
+    again_type = T.StructType.fromDDL("value bigint, same bigint, id bigint, start int, size int, rep boolean, frag binary")
+    level = 0
+    while mixed is not None:
+        # Groups of very many different fragments are cut again by another minimizer; what is equal is aggregated anew.
+        hot = mixed.where(F.col("size_of") > (HOT_CLASSES if level < LEVELS else 1 << 62))
+        near = mixed.where(F.col("size_of") <= (HOT_CLASSES if level < LEVELS else 1 << 62)).drop("size_of")
+        gone = gone.unionByName(near.repartition("value").sortWithinPartitions("value").mapInArrow(compare, ranges))
+        mixed = None
+        if hot.limit(1).count():
+            level += 1
+            again = stored(hot.drop("size_of").mapInArrow(cut_again(level), again_type), "again")
+            whole, firsts = _classes(again.drop("frag"))
+            gone = gone.unionByName(whole)
+            mixed = again.select("value", "id", "start", "frag").join(firsts.drop("size"), ["value", "id", "start"])
+            mixed = stored(mixed.select(cut_type.names), "mixed")
     gone = gone.groupBy("id").agg(F.collect_set(F.struct("start", "end")).alias("gone"))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -347,6 +362,25 @@ def remove_repeats(df: DataFrame, text_col: str = "text", id_col: str = "doc_id"
     return result.select(F.col("id").cast(kind).alias(id_col), "n_bytes", "spans", "kept")
 
 
+def _classes(frags: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of fragments (value, same, id, start, size, rep): ranges that are repeats as a whole, and firsts to compare.
+
+    Equal fragments (their minimizer and hash make 128 bits) are one class: all
+    but its first occurrence are repeats as a whole. First occurrences (value,
+    id, start, size, size_of) are to be compared where a minimizer has several
+    classes, ``size_of``, or a window may repeat inside.
+    """
+    first = F.min(F.struct("id", "start", "size")).alias("first")
+    classes = stored(frags.groupBy("value", "same").agg(first, F.max("rep").alias("rep"), F.count("*").alias("n")), "classes")
+    several = classes.where("n > 1").select("value", "same", "first")
+    whole = frags.join(several, ["value", "same"]).where(F.struct("id", "start", "size") > F.col("first"))
+    whole = whole.select("id", F.col("start").cast("bigint").alias("start"), (F.col("start") + F.col("size")).cast("bigint").alias("end"))
+    groups = classes.groupBy("value").agg(F.count("*").alias("size_of"), F.max("rep").alias("any"))
+    groups = groups.where((F.col("size_of") > 1) | F.col("any")).drop("any")
+    firsts = classes.join(groups, "value").select("value", "first.*", "size_of")
+    return whole, firsts
+
+
 def _merged(ranges: list[dict]) -> list[dict]:
     """Maximal ranges of the union."""
     out: list[dict] = []
