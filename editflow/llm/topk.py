@@ -42,14 +42,16 @@ class CoverTree:
             radius *= shrink
             below = []
             for node, mine in open_:
-                rest, kids = mine, []
-                for at in mine:
-                    if len(mine) < 2 * least or at not in rest:
-                        continue
-                    near = np.linalg.norm(sample[rest] - sample[at], axis=1) <= radius
-                    if least <= near.sum() < len(mine):
-                        kids.append((sample[at], rest[near]))
-                        rest = rest[~near]
+                x = sample[mine]
+                square = (x * x).sum(axis=1)
+                close = square[:, None] + square[None, :] - 2 * x @ x.T <= radius**2
+                free, kids = np.ones(len(mine), dtype=bool), []
+                for at in np.flatnonzero(close.sum(axis=1) >= least):
+                    near = close[at] & free
+                    if free[at] and least <= near.sum() < len(mine):
+                        kids.append((x[at], mine[near]))
+                        free &= ~near
+                rest = mine[free]
                 if kids:
                     for center, own in [(centers[node], rest), *kids]:
                         centers.append(center)
@@ -99,7 +101,7 @@ def top_k(
     vector_col: str = "embedding",
     id_col: str = "vec_id",
     scale: int = 64,
-    sample: int = 4096,
+    sample: int = 1024,
     seed: int = 3,
 ) -> DataFrame:
     """Rows (query_id, rank, ``id_col``, score): each query's ``k`` highest scores, ties to the smaller id.
@@ -164,7 +166,8 @@ def top_k(
 
     def blocks(part: DataFrame, per: int, count: str) -> DataFrame:
         n_blocks = F.ceil(F.col(count) / per).cast("int")
-        salted = part.join(sizes, ["dim", "leaf"]).withColumn("block", F.pmod(F.xxhash64("id", F.lit(29)), n_blocks))
+        salted = part.join(F.broadcast(sizes), ["dim", "leaf"])  # as many rows as the trees have leaves
+        salted = salted.withColumn("block", F.pmod(F.xxhash64("id", F.lit(29)), n_blocks))
         return salted.groupBy("dim", "leaf", "block").agg(F.collect_list(F.struct("id", "v")).alias("rows"))
 
     data = cut(blocks(placed, DATA_ROWS, "n"))
