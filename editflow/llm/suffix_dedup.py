@@ -225,7 +225,7 @@ def _removed(texts: list[bytes], ids: np.ndarray, starts: np.ndarray, length: in
     new = np.ones(len(text), dtype=bool)
     new[1:] = (text[1:] != text[:-1]) | (offset[1:] != offset[:-1] + 1)
     first = np.flatnonzero(new)
-    last = np.append(first[1:], len(text)) - 1
+    last = np.append(first[1:], len(text))[: len(first)] - 1
     who, begin = text[first], starts[text[first]]
     return pa.RecordBatch.from_arrays(
         [pa.array(ids[who]), pa.array(begin + offset[first]), pa.array(begin + offset[last] + length)], names=["id", "start", "end"]
