@@ -1,18 +1,24 @@
 """SentencePiece encoding and decoding by a shared-prefix Viterbi.
 
 The distinct marked words of a chunk of texts are sorted, which is a
-depth-first walk over their trie: the forward scores of the prefix that a word
+depth-first walk over their trie: the forward states of the prefix that a word
 shares with the one before it are kept, and only the rest is computed. Words
-are then replaced by their ids. A text has the ids of its best segmentation:
-the largest sum of piece scores, as in a unigram lattice.
+are then replaced by their ids.
+
+For a unigram model a state is the best sum of piece scores up to a place. The
+sums do not give a byte-pair model's ids. There the state is the last piece of
+the prefix's own encoding: it is the one piece that may stand after the
+encoding of what comes before it, because two pieces stand side by side only
+if merging their characters by score leads back to them.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from os.path import commonprefix
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,13 +29,23 @@ from pyspark.sql import types as T
 from .common import pick, slices
 
 SPACE = "▁"
-#: No piece goes on from a letter into a marked space, so a text's best segmentation is that of its marked words.
-_WORDS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-CACHED_WORDS = 400_000
+#: No piece goes on from a letter into a marked space, or holds a line end (``load`` sees to both), so a text's best
+#: segmentation is that of its marked words.
+_WORDS = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n|[^{SPACE}\n]+")
+CACHED_WORDS, CACHED_PAIRS = 500_000, 300_000
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MODEL_LIMIT = 64 << 20
 
 
+def marked_words(text: str) -> list[str]:
+    """The words of a text with its spaces marked, a line end being one; some may be empty."""
+    if not text:
+        return []
+    if "  " in text or text[0] == " " or SPACE in text:
+        return _WORDS.findall(SPACE + text.replace(" ", SPACE))
+    return (SPACE + text.replace(" ", " " + SPACE).replace("\n", " \n ")).split(" ")
+
+
 @dataclass
 class Pieces:
     """The pieces of a model file: (id, score) of each text piece, ids of the byte pieces, bytes of every id."""
@@ -40,59 +56,106 @@ class Pieces:
     unk_id: int
     unk_score: float
     longest: int
-    cache: dict[str, list[int]] = field(default_factory=dict)
-
-    def encode_words(self, words: set[str]) -> dict[str, list[int]]:
-        """Ids of each word; forward scores are shared along common prefixes of the sorted words."""
-        out: dict[str, list[int]] = {}
-        best, back, before = [0.0], [0], ""
-        get, longest, unk = self.scores.get, self.longest, self.unk_score
+    merges: bool
+    known: dict[str, int] = field(default_factory=dict)
+    # Pairs of pieces, the second of which may or may not follow the first.
+    beside: dict[int, bool] = field(default_factory=dict)
+    # The words seen: their number, and where each one's ids begin and how many they are.
+    number: dict[str, int] = field(default_factory=dict)
+    ids: array = field(default_factory=lambda: array("i"))
+    begin: array = field(default_factory=lambda: array("q"))
+    size: array = field(default_factory=lambda: array("q"))
+
+    def learn(self, words: set[str]) -> None:
+        """Encode some new words; forward states are shared along common prefixes of the sorted words."""
+        best, back, last, before = [0.0], [0], [-2], ""
+        extend = self._by_merges if self.merges else self._by_scores
         for word in sorted(words):
-            shared = len(commonprefix((before, word)))
-            del best[shared + 1 :], back[shared + 1 :]
-            for end in range(shared + 1, len(word) + 1):
-                top, at = best[end - 1] + unk, end - 1
-                found = get(word[end - 1 : end])
-                if found:
-                    top = best[end - 1] + found[1]
-                for begin in range(end - 2, max(-1, end - longest - 1), -1):
-                    found = get(word[begin:end])
-                    if found and best[begin] + found[1] >= top:  # a tie goes to the longer last piece
-                        top, at = best[begin] + found[1], begin
-                best.append(top)
-                back.append(at)
-            ids: list[list[int]] = []
-            end = len(word)
+            shared, n = 0, len(word)
+            for x, y in zip(before, word):
+                if x != y:
+                    break
+                shared += 1
+            del best[shared + 1 :], back[shared + 1 :], last[shared + 1 :]
+            extend(word, shared + 1, best, back, last)
+            ids, end = [], n
             while end:
-                piece = word[back[end] : end]
-                ids.append([get(piece)[0]] if piece in self.scores else self._fallback(piece))
-                end = back[end]
-            out[word] = [i for part in reversed(ids) for i in part]
+                begin = back[end]
+                ids += [last[end]] if last[end] >= 0 else self._fallback(word[begin:end])
+                end = begin
+            ids.reverse()
+            self.number[word] = len(self.begin)
+            self.begin.append(len(self.ids))
+            self.size.append(len(ids))
+            self.ids.extend(ids)
             before = word
-        return out
 
-    def _fallback(self, piece: str) -> list[int]:
-        return [self.byte_ids[b] for b in piece.encode()] if self.byte_ids else [self.unk_id]
+    def _by_scores(self, word: str, first: int, best: list, back: list, last: list) -> None:
+        """States from ``first`` on: the best sum of scores of the pieces so far; a tie goes to the longer last piece."""
+        for end in range(first, len(word) + 1):
+            top, at, piece = best[end - 1] + self.unk_score, end - 1, -1
+            for begin in range(end - 1, max(-1, end - self.longest - 1), -1):
+                found = self.scores.get(word[begin:end])
+                if found and best[begin] + found[1] >= top:
+                    top, at, piece = best[begin] + found[1], begin, found[0]
+            best.append(top)
+            back.append(at)
+            last.append(piece)
+
+    def _by_merges(self, word: str, first: int, best: list, back: list, last: list) -> None:
+        """States from ``first`` on: the last piece of the prefix's encoding, the one that may follow that of what is before it."""
+        get, beside, longest = self.known.get, self.beside, self.longest
+        fits_of = beside.get
+        for end in range(first, len(word) + 1):
+            at, piece, begin, low = end - 1, -1, end, max(0, end - longest)
+            while begin > low:
+                begin -= 1
+                found = get(word[begin:end])
+                if found is not None:
+                    key = (last[begin] + 2) << 32 | found
+                    fits = fits_of(key)
+                    if fits is None:
+                        fits = self._may_follow(word[back[begin] : begin] if last[begin] >= 0 else "", word[begin:end])
+                        if len(beside) > CACHED_PAIRS:
+                            beside.clear()
+                        beside[key] = fits
+                    if fits:
+                        at, piece = begin, found
+                        break
+            back.append(at)
+            last.append(piece)
+
+    def _may_follow(self, left: str, right: str) -> bool:
+        """Whether merging the characters of both, the highest score first, ends in just these two pieces."""
+        symbols = list(left + right)
+        while True:
+            pairs = [(self.scores[symbols[i] + symbols[i + 1]][1], -i) for i in range(len(symbols) - 1) if symbols[i] + symbols[i + 1] in self.scores]
+            if not pairs:
+                return symbols == ([left, right] if left else [right])
+            i = -max(pairs)[1]
+            symbols[i : i + 2] = [symbols[i] + symbols[i + 1]]
+
+    def _fallback(self, char: str) -> list[int]:
+        """Ids of an unknown character's bytes, last first."""
+        return [self.byte_ids[b] for b in reversed(char.encode())] if self.byte_ids else [self.unk_id]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and the number of ids of each."""
-        marked = [_WORDS.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
-        distinct = set().union(*marked)
-        if len(self.cache) + len(distinct) > CACHED_WORDS:
-            self.cache.clear()
-        self.cache.update(self.encode_words(distinct - self.cache.keys()))
-        place = {w: i for i, w in enumerate(distinct)}
-        own = [self.cache[w] for w in place]
-        size = np.fromiter(map(len, own), np.int64, len(own))
-        flat = np.fromiter((i for ids in own for i in ids), np.int32, int(size.sum()))
-        begin = np.cumsum(size) - size
+        marked = [marked_words(t) for t in texts]
+        distinct = set(chain.from_iterable(marked))
+        if len(self.number) + len(distinct) > CACHED_WORDS:
+            self.number.clear()
+            self.ids, self.begin, self.size = array("i"), array("q"), array("q")
+        self.learn(distinct - self.number.keys())
         n_words = np.fromiter(map(len, marked), np.int64, len(marked))
-        at = np.fromiter((place[w] for words in marked for w in words), np.int64, int(n_words.sum()))
+        words = chain.from_iterable(marked)
+        at = np.fromiter(map(self.number.__getitem__, words), np.int64, int(n_words.sum()))
+        flat, begin, size = (np.array(x) for x in (self.ids, self.begin, self.size))
         sizes = size[at]
         ends = np.cumsum(sizes)
         ids = flat[np.repeat(begin[at] - (ends - sizes), sizes) + np.arange(int(sizes.sum()))]
         bounds = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(n_words)))]
-        return ids, np.diff(bounds)
+        return ids.astype(np.int32), np.diff(bounds)
 
     def decode(self, ids: list[int]) -> str:
         """The text of some ids; invalid bytes become U+FFFD, ids out of range and control pieces nothing."""
@@ -120,7 +183,7 @@ def load(path: str = MODEL) -> Pieces:
         if p.type in (kind.NORMAL, kind.USER_DEFINED):
             scores[p.piece] = (i, float(p.score))
             bytes_of[i] = p.piece.encode()
-            if re.search(f"[^{SPACE}]{SPACE}", p.piece):
+            if re.search(f"[^{SPACE}]{SPACE}|\n", p.piece):
                 raise ValueError(f"piece {p.piece!r} spans words")
         elif p.type == kind.BYTE:
             byte_ids[int(p.piece[3:5], 16)] = i
@@ -129,7 +192,9 @@ def load(path: str = MODEL) -> Pieces:
             unk, bytes_of[i] = i, " ⁇ ".encode()
     worst = min([0.0, *(s for _, s in scores.values())])
     all_bytes = [byte_ids[b] for b in range(256)] if len(byte_ids) == 256 else []
-    return Pieces(scores, all_bytes, bytes_of, unk, worst - 10, max([1, *map(len, scores)]))
+    merges = model.trainer_spec.model_type == model_pb2.TrainerSpec.BPE
+    known = {piece: i for piece, (i, _) in scores.items()}
+    return Pieces(scores, all_bytes, bytes_of, unk, worst - 10, max([1, *map(len, scores)]), merges, known)
 
 
 def encode(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", model: str = MODEL) -> DataFrame:
