@@ -5,14 +5,16 @@ from __future__ import annotations
 import gc
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, scratch_dir
 
 #: Code points of text that one step of a Python task works on at a time.
-CHUNK_CHARS = 2_000_000
+CHUNK_CHARS = 1_000_000
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -44,12 +46,10 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
 
 def slices(batch: pa.RecordBatch, column: str, most: int = CHUNK_CHARS) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Consecutive rows of ``batch`` with about ``most`` code points of text (nulls as empty strings)."""
-    texts = [t or "" for t in batch.column(batch.schema.get_field_index(column)).to_pylist()]
-    begin = size = 0
-    for i, t in enumerate(texts):
-        size += len(t) + 1
-        if size >= most:
-            yield batch.slice(begin, i + 1 - begin), texts[begin : i + 1]
-            begin, size = i + 1, 0
-    if begin < len(texts):
-        yield batch.slice(begin), texts[begin:]
+    sizes = pc.fill_null(pc.utf8_length(batch.column(batch.schema.get_field_index(column))), 0).to_numpy(zero_copy_only=False)
+    group = (np.cumsum(sizes + 1) - 1) // most
+    edges = [0, *(np.flatnonzero(group[1:] != group[:-1]) + 1).tolist(), batch.num_rows]
+    for begin, end in zip(edges[:-1], edges[1:]):
+        if end > begin:
+            part = batch.slice(begin, end - begin)
+            yield part, [t or "" for t in part.column(part.schema.get_field_index(column)).to_pylist()]

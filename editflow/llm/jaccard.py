@@ -41,7 +41,7 @@ def shingle_sets(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
     but one at least, has one shingle of all its words; no word, no shingle.
     """
     words = [t.split() for t in texts]
-    if len(_WORDS) > 1_000_000:
+    if len(_WORDS) > 300_000:
         _WORDS.clear()
     for w in set().union(*words) - _WORDS.keys():
         _WORDS[w] = xxhash.xxh64_intdigest(w) | 1
