@@ -16,15 +16,7 @@ distinct count, so the distinct count is only computed for the winners:
 
 The single-pass plan (``strategy="single_pass"``) shuffles every distinct
 (key, page) or (key, editor) pair of the whole table before the cut; the
-result is identical.  It is also what ``top_first`` falls back to when ``n``
-exceeds ``BROADCAST_KEY_LIMIT``: the key set would then be too large to
-broadcast, and a shuffle join of the whole table on (possibly hot) keys
-would cost more than it saves.
-
-Step 1 only needs per-key counts, so :func:`rank_from_counts` can take them
-from a stored table that is kept up to date incrementally (the layer runner
-does this); :func:`key_counts` and :func:`merge_key_counts` build and update
-such a table.
+result is identical.
 """
 
 from __future__ import annotations
@@ -35,13 +27,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from editflow.functions.time import TEXT_TIME_FORMAT, earliest_text, latest_text
+from editflow.functions.time import earliest_text, latest_text
 
 EDITOR_KEYS = ("editor", "wiki_language")
 PAGE_KEYS = ("page_title", "wiki_language")
 DEFAULT_TOP_N = 100
-# Largest key set we broadcast: ~100 bytes per (name, wiki) pair -> ~20 MB.
-BROADCAST_KEY_LIMIT = 200_000
 STRATEGIES = ("top_first", "single_pass")
 
 
@@ -50,16 +40,13 @@ def ranking_order(count_column: str, keys: Sequence[str]) -> list[Column]:
     return [F.col(count_column).desc(), *[F.col(k).asc_nulls_first() for k in keys]]
 
 
-def restrict_to_keys(df: DataFrame, keys_df: DataFrame, keys: Sequence[str], max_keys: int) -> DataFrame:
+def restrict_to_keys(df: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key (NULL-safe) appears in ``keys_df``.
 
-    ``keys_df`` must be proven to hold at most ``max_keys`` rows (e.g. a
-    ``limit``); it is broadcast, so that bound must not exceed
-    ``BROADCAST_KEY_LIMIT``.
+    No join is forced: from the size of a ``limit`` Spark broadcasts a small
+    key set and shuffles a large one.
     """
-    if max_keys > BROADCAST_KEY_LIMIT:
-        raise ValueError(f"{max_keys} keys exceed the broadcast bound {BROADCAST_KEY_LIMIT}")
-    build = F.broadcast(keys_df.select([F.col(k).alias(f"__key_{i}") for i, k in enumerate(keys)]))
+    build = keys_df.select([F.col(k).alias(f"__key_{i}") for i, k in enumerate(keys)])
     condition = None
     for i, k in enumerate(keys):
         term = df[k].eqNullSafe(build[f"__key_{i}"])
@@ -114,13 +101,6 @@ class RankingSpec:
     keys: tuple[str, ...]
     count_column: str
     stats: Callable[[DataFrame], DataFrame]
-    # the exact distinct count: which value, under which name
-    distinct_value: str
-    distinct_column: str
-    # conditional counts: output name -> boolean input column
-    flag_counts: tuple[tuple[str, str], ...]
-    # ratios computed last: output name -> (numerator, denominator)
-    ratios: tuple[tuple[str, tuple[str, str]], ...]
 
     def key_filter(self) -> Column:
         return F.col(self.keys[0]).isNotNull()
@@ -129,19 +109,8 @@ class RankingSpec:
         return ranking_order(self.count_column, self.keys)
 
 
-EDITOR_RANKING = RankingSpec(
-    EDITOR_KEYS, "total_edits", editor_stats, "page_title", "pages_edited", (),
-    (("edit_frequency", ("total_edits", "pages_edited")),),
-)
-PAGE_RANKING = RankingSpec(
-    PAGE_KEYS, "edit_count", page_stats, "editor", "unique_editors",
-    (("bot_edits", "is_bot_edit"), ("minor_edits", "is_minor_edit")),
-    (
-        ("bot_edit_ratio", ("bot_edits", "edit_count")),
-        ("minor_edit_ratio", ("minor_edits", "edit_count")),
-        ("edits_per_editor", ("edit_count", "unique_editors")),
-    ),
-)
+EDITOR_RANKING = RankingSpec(EDITOR_KEYS, "total_edits", editor_stats)
+PAGE_RANKING = RankingSpec(PAGE_KEYS, "edit_count", page_stats)
 
 
 def key_counts(clean: DataFrame, spec: RankingSpec) -> DataFrame:
@@ -149,15 +118,6 @@ def key_counts(clean: DataFrame, spec: RankingSpec) -> DataFrame:
     return clean.where(spec.key_filter()).groupBy(*spec.keys).agg(F.count(F.lit(1)).alias(spec.count_column))
 
 
-def merge_key_counts(state: DataFrame, delta: DataFrame, spec: RankingSpec) -> DataFrame:
-    """Add the counts of new rows to stored per-key counts (one row per key in, one out)."""
-    return (
-        state.unionByName(delta)
-        .groupBy(*spec.keys)
-        .agg(F.sum(spec.count_column).cast("long").alias(spec.count_column))
-    )
-
-
 def rank_from_counts(clean: DataFrame, counts: DataFrame, spec: RankingSpec, n: int = DEFAULT_TOP_N) -> DataFrame:
     """Top ``n`` keys taken from per-key counts, statistics computed from their rows only.
 
@@ -166,83 +126,9 @@ def rank_from_counts(clean: DataFrame, counts: DataFrame, spec: RankingSpec, n:
     """
     if n < 0:
         raise ValueError("n must be >= 0")
-    if n > BROADCAST_KEY_LIMIT:
-        return spec.stats(clean).orderBy(*spec.order()).limit(n)
     top_keys = counts.orderBy(*spec.order()).limit(n).select(*spec.keys)
     base = clean.where(spec.key_filter())
-    return spec.stats(restrict_to_keys(base, top_keys, spec.keys, n)).orderBy(*spec.order()).limit(n)
-
-
-# Per-key partial aggregates that merge by plain sums / max / min.
-_LEN_SUM, _LEN_CNT, _TS_MAX, _TS_MIN = "len_sum", "len_cnt", "ts_max", "ts_min"
-
-
-def key_state(clean: DataFrame, spec: RankingSpec) -> DataFrame:
-    """Every mergeable statistic per key: rows, length-change sum and count,
-    event-time bounds (as timestamps) and the conditional counts.
-
-    Only the exact distinct count is not mergeable; :func:`rank_from_state`
-    computes it for the top keys alone.
-    """
-    ts = F.col("event_timestamp").cast("timestamp")
-    aggs = [
-        F.count(F.lit(1)).alias(spec.count_column),
-        F.sum("length_change").cast("long").alias(_LEN_SUM),
-        F.count("length_change").alias(_LEN_CNT),
-        F.max(ts).alias(_TS_MAX),
-        F.min(ts).alias(_TS_MIN),
-    ]
-    aggs += [F.sum(F.when(F.col(flag), 1).otherwise(0)).cast("long").alias(name) for name, flag in spec.flag_counts]
-    return clean.where(spec.key_filter()).groupBy(*spec.keys).agg(*aggs)
-
-
-def merge_key_state(state: DataFrame, delta: DataFrame, spec: RankingSpec) -> DataFrame:
-    """Fold the partials of new rows into stored per-key partials."""
-    sums = [spec.count_column, _LEN_SUM, _LEN_CNT, *[name for name, _ in spec.flag_counts]]
-    return (
-        state.unionByName(delta)
-        .groupBy(*spec.keys)
-        .agg(
-            *[F.sum(c).cast("long").alias(c) for c in sums],
-            F.max(_TS_MAX).alias(_TS_MAX),
-            F.min(_TS_MIN).alias(_TS_MIN),
-        )
-    )
-
-
-def rank_from_state(clean: DataFrame, state: DataFrame, spec: RankingSpec, n: int = DEFAULT_TOP_N) -> DataFrame:
-    """The ranking from per-key partials plus the exact distinct count of the top keys.
-
-    The statistics pass reads only the key and distinct-value columns of the
-    top keys' rows.  ``state`` must hold the partials of exactly the rows of
-    ``clean``; the result equals :func:`rank` on ``clean`` (mean = sum / count
-    as in ``avg``, bounds rendered back to text).
-    """
-    if n < 0:
-        raise ValueError("n must be >= 0")
-    if n > BROADCAST_KEY_LIMIT:
-        return spec.stats(clean).orderBy(*spec.order()).limit(n)
-    top = state.orderBy(*spec.order()).limit(n)
-    rows = restrict_to_keys(clean.where(spec.key_filter()), top.select(*spec.keys), spec.keys, n)
-    distinct = rows.groupBy(*spec.keys).agg(F.count_distinct(spec.distinct_value).alias(spec.distinct_column))
-    found = distinct.select(*[F.col(k).alias(f"__d_{i}") for i, k in enumerate(spec.keys)], spec.distinct_column)
-    condition = None
-    for i, k in enumerate(spec.keys):
-        term = top[k].eqNullSafe(found[f"__d_{i}"])
-        condition = term if condition is None else condition & term
-    joined = top.join(F.broadcast(found), condition, "left")  # both sides hold at most n rows
-    columns = [
-        *[F.col(k) for k in spec.keys],
-        F.col(spec.count_column),
-        F.coalesce(F.col(spec.distinct_column), F.lit(0)).alias(spec.distinct_column),
-        F.try_divide(F.col(_LEN_SUM).cast("double"), F.col(_LEN_CNT)).alias("avg_length_change"),
-        F.date_format(_TS_MAX, TEXT_TIME_FORMAT).alias("last_edit_time"),
-        F.date_format(_TS_MIN, TEXT_TIME_FORMAT).alias("first_edit_time"),
-        *[F.col(name) for name, _ in spec.flag_counts],
-    ]
-    out = joined.select(*columns)
-    out = out.withColumns({name: F.try_divide(a, b) for name, (a, b) in spec.ratios})
-    return out.orderBy(*spec.order()).limit(n)
+    return spec.stats(restrict_to_keys(base, top_keys, spec.keys)).orderBy(*spec.order()).limit(n)
 
 
 def rank(clean: DataFrame, spec: RankingSpec, n: int = DEFAULT_TOP_N, strategy: str = "top_first") -> DataFrame:
@@ -250,7 +136,7 @@ def rank(clean: DataFrame, spec: RankingSpec, n: int = DEFAULT_TOP_N, strategy:
         raise ValueError(f"strategy must be one of {STRATEGIES}, got {strategy!r}")
     if n < 0:
         raise ValueError("n must be >= 0")
-    if strategy == "single_pass" or n > BROADCAST_KEY_LIMIT:
+    if strategy == "single_pass":
         return spec.stats(clean).orderBy(*spec.order()).limit(n)
     return rank_from_counts(clean, key_counts(clean, spec), spec, n)
 

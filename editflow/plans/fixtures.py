@@ -47,10 +47,10 @@ def render_feed_capture(raw: DataFrame) -> DataFrame:
     )
 
 
-def write_feed_capture(lines: DataFrame, directory: str, n_files: int) -> str:
+def write_feed_capture(lines: DataFrame, directory: str) -> str:
     """Write capture text so that file order, then line order, is capture order."""
     (
-        lines.repartitionByRange(n_files, "event_key", "pos")
+        lines.repartitionByRange("event_key", "pos")
         .sortWithinPartitions("event_key", "pos")
         .select("value")
         .write.mode("overwrite")

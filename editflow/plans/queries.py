@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from editflow.operators import rules as R
 from editflow.operators.activity import hourly_activity, hourly_activity_sorted
@@ -20,10 +21,9 @@ from editflow.operators.rankings import editor_stats, page_stats, rank_editors,
 from editflow.plans import fixtures
 from editflow.plans.runner import read_stored, run_all_layers, table_counts
 from editflow.session import scratch_dir
-from editflow.sources import files
 from editflow.sources.events_adapter import raw_edits
 from editflow.sources.feed_capture import EVENTS_PER_CAPTURE, capture_events, capture_rejects, read_feed_capture
-from editflow.sources.json_lines import FILE_STEM, read_edit_files, write_json_lines
+from editflow.sources.json_lines import read_edit_files, write_json_lines
 from editflow.sources.schema import flatten_events
 from editflow.streaming.landing import land_edits, read_landed
 
@@ -61,9 +61,7 @@ def q_landed_stream(spark, sf_dir):
     raw = raw_edits(spark, sf_dir)
     write_json_lines(raw, source)
     # A file outside the landing glob: must not be read.
-    raw.write.option("compression", "none").json(f"{work}/foreign")
-    for i, name in enumerate(files.list_names(spark, f"{work}/foreign", prefix="part-")):
-        files.rename(spark, f"{work}/foreign/{name}", f"{source}/other_{i:05d}.json")
+    raw.limit(1).write.option("compression", "none").json(f"{source}/other_edits.json")
     run = land_edits(spark, source, f"{work}/edits_raw", f"{work}/checkpoint")
     return flatten_events(read_landed(spark, run.target_dir))
 
@@ -76,8 +74,7 @@ def q_json_lines_roundtrip(spark, sf_dir):
 
 def _capture(spark, sf_dir):
     work = scratch_dir(spark, "feed_capture")
-    n_files = spark.sparkContext.defaultParallelism
-    fixtures.write_feed_capture(fixtures.render_feed_capture(raw_edits(spark, sf_dir)), work, n_files)
+    fixtures.write_feed_capture(fixtures.render_feed_capture(raw_edits(spark, sf_dir)), work)
     return read_feed_capture(spark, work)
 
 
@@ -216,28 +213,19 @@ def q_layer_table_counts(spark, sf_dir):
     return table_counts(spark, result)
 
 
-# (application id, input folder) -> the two-wave build of that input in this session
-_TWO_WAVE_BUILDS: dict[tuple[str, str], object] = {}
-
-
 def _two_wave_build(spark, sf_dir):
-    """Build all layers in two runs: half of the landing files arrive, every
-    layer runs, the rest arrive, every layer runs again - the incremental
-    paths (batch watermark, touched days, merged ranking partials).  The
-    final tables must equal a single run over everything."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _TWO_WAVE_BUILDS:
-        work = scratch_dir(spark, "layered_incremental")
-        staged, incoming = f"{work}/staged", f"{work}/incoming"
-        write_json_lines(raw_edits(spark, sf_dir), staged)
-        arrivals = files.list_names(spark, staged, prefix=FILE_STEM)
-        result = None
-        for wave in (arrivals[: len(arrivals) // 2], arrivals[len(arrivals) // 2 :]):
-            for name in wave:
-                files.rename(spark, f"{staged}/{name}", f"{incoming}/{name}")
-            result = run_all_layers(spark, incoming, f"{work}/tables", suffix="_seq")
-        _TWO_WAVE_BUILDS[key] = result
-    return _TWO_WAVE_BUILDS[key]
+    """Build all layers in two runs: half of the events' keys arrive, every
+    layer runs, the rest arrive, every layer runs again. Landing adds the new
+    files, and the other tables are recomputed: they must equal a single run
+    over everything."""
+    work = scratch_dir(spark, "layered_waves")
+    raw = raw_edits(spark, sf_dir)
+    early = F.pmod(F.xxhash64("id", "title"), F.lit(2)) == 0
+    result = None
+    for wave in (raw.where(early), raw.where(~F.coalesce(early, F.lit(False)))):
+        write_json_lines(wave, f"{work}/incoming")
+        result = run_all_layers(spark, f"{work}/incoming", f"{work}/tables", suffix="_seq")
+    return result
 
 
 def q_layer_incremental_counts(spark, sf_dir):

@@ -1,38 +1,22 @@
 """Run one layer from the stored tables of the previous layer, or all layers.
 
-Work per run follows the new data, not the history:
-
-* landing - a streaming query lands the new files, one ``batch_id=<n>``
-  folder per micro-batch;
-* ``edits_clean`` - row-local, so only the landed batches above its
-  watermark are cleaned, into the same ``batch_id`` folders (dynamic
-  partition overwrite: re-running is idempotent);
-* ``hourly_activity`` - stored per ``event_day``; only the days touched by
-  new clean batches are recomputed (an hour never crosses a day);
-* rankings - per-key partial aggregates are kept as a small versioned table
-  and updated from the new clean batches; the top keys and all mergeable
-  statistics come from it, and only the key and value columns of the top
-  keys' rows are read for the exact distinct counts;
-* profiles - computed from the (at most n-row) rankings, and only when a
-  ranking was rewritten.
-
-Progress lives in ``<base>/_state/<table><suffix>/`` and is advanced only
-after the table write succeeds, so a run that dies anywhere is completed by
-the next one.  Every full rewrite of ``edits_clean`` gets a new generation
-id; state derived from an older generation is rebuilt.  ``edits_clean`` is
-rewritten whole when ``rules``, ``time_unit``, ``wide_ids`` or the table
-format differ from the run that built it; ``full_refresh`` rebuilds
-everything regardless.
-
-Writing each table is also what cuts the lineage between layers: the next
-layer reads the stored, columnar table, and a lost executor only costs the
-tasks of the current table.  Rule counters are observed on the write
-actions, so they cost no extra pass.
+Landing is incremental: a streaming query lands the new files (the engine's
+own checkpoint says which). Every other table is recomputed from the stored
+table before it and replaced, so there is no progress to keep: a run that
+dies anywhere, inside a write included, is put right by the next one.
+
+The landed rows depend on whether the rules are on and on the width of the
+ids, so each combination has a folder and a checkpoint of its own: a run with
+other settings lands all source files anew.
+
+Writing each table is also what cuts the lineage between layers. Rule counters
+are observed on the write actions, so they cost no extra pass.
 """
 
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -42,24 +26,11 @@ from editflow.operators import rules as R
 from editflow.operators.activity import hourly_activity
 from editflow.operators.clean import clean_edits, clean_schema
 from editflow.operators.profiles import editor_profile, page_profile
-from editflow.operators.rankings import (
-    DEFAULT_TOP_N,
-    EDITOR_RANKING,
-    PAGE_RANKING,
-    RankingSpec,
-    key_state,
-    merge_key_state,
-    rank_from_state,
-)
+from editflow.operators.rankings import DEFAULT_TOP_N, rank_editors, rank_pages
 from editflow.sources import files
 from editflow.sources import tables as T
-from editflow.sources.schema import edit_event_schema
 from editflow.streaming.landing import land_edits, read_landed
 
-RANKINGS = {"editor_ranking": EDITOR_RANKING, "page_ranking": PAGE_RANKING}
-# Most days an incremental hourly update may touch before a full recompute is cheaper.
-MAX_INCREMENTAL_DAYS = 1000
-
 
 @dataclass
 class RunResult:
@@ -83,221 +54,41 @@ class RunResult:
         return path
 
 
-class _State:
-    """Small progress values of one table, kept next to (not inside) the tables."""
-
-    def __init__(self, spark: SparkSession, result: RunResult, name: str):
-        self.spark = spark
-        self.root = f"{result.base_dir.rstrip('/')}/_state/{name}{result.suffix}"
-
-    def get(self, key: str) -> str | None:
-        return files.read_text(self.spark, f"{self.root}/{key}")
-
-    def put(self, **values) -> None:
-        for key, value in values.items():
-            files.write_text(self.spark, f"{self.root}/{key}", str(value))
-
-
-def _write(
-    result: RunResult,
-    df: DataFrame,
-    name: str,
-    rules: bool,
-    fmt: str,
-    register: bool,
-    partition_by: str | None = None,
-    replace_all: bool = True,
-) -> None:
-    """Apply the table's rules (observed) and write it, whole or by partition folders."""
-    spec = T.TABLE_BY_NAME[name]
-    observation = Observation(f"rules_{name}{result.suffix}_{uuid.uuid4().hex[:8]}") if rules and spec.rules else None
-    checked = R.apply_rules(df, spec.rules, enabled=rules, observation=observation)
-    if partition_by is None:
-        result.tables[name] = T.write_table(checked, result.base_dir, name, result.suffix, fmt, register)
-    else:
-        result.tables[name] = T.write_partitions(
-            checked, result.base_dir, name, partition_by, result.suffix, fmt, replace_all, register
+def landed_path(base_dir: str, suffix: str = "", rules: bool = True, wide_ids: bool = False) -> str:
+    """Where the landing stream keeps the rows that were landed with these settings."""
+    settings = f"rules-{'on' if rules else 'off'}_ids-{'wide' if wide_ids else 'int'}"
+    return f"{T.table_path(base_dir, 'edits_raw', suffix)}/{settings}"
+
+
+def _land(
+    spark: SparkSession, result: RunResult, source_dir: str, rules: bool, wide_ids: bool, fresh: bool,
+    max_files_per_trigger: int | None, archive_dir: str | None, register: bool, namespace: str | None,
+) -> None:
+    target = landed_path(result.base_dir, result.suffix, rules, wide_ids)
+    checkpoint, metrics = f"{target}_checkpoint", f"{target}_rule_metrics"
+    root = T.table_path(result.base_dir, "edits_raw", result.suffix)
+    landed_before = files.matches(spark, f"{root}/*_checkpoint")
+    if archive_dir and landed_before and (fresh or not files.exists(spark, checkpoint)):
+        raise ValueError("files that were landed before are archived; land them again from the archive with other settings")
+    if fresh:
+        for path in (checkpoint, target, metrics):
+            files.delete(spark, path)
+    run = land_edits(
+        spark, source_dir, target, checkpoint, rules=rules, metrics_dir=metrics,
+        max_files_per_trigger=max_files_per_trigger, archive_dir=archive_dir, wide_ids=wide_ids,
+    )
+    result.tables["edits_raw"] = target
+    if rules:
+        known = {r["rule"] for r in run.rule_totals()}
+        idle = [
+            {"table_name": "edits_raw", "rule": r.name, "action": r.action, "n_rows": 0, "n_failed": 0}
+            for r in R.LANDING_RULES if r.name not in known
+        ]
+        result.rule_rows.extend([*run.rule_totals(), *idle])
+    if register and files.exists(spark, target):
+        T.register_table(
+            spark, result.base_dir, "edits_raw", result.suffix, path=target, namespace=namespace, partitioned=True
         )
-    if observation is not None:
-        result.rule_rows.extend(R.observed_counts(observation, spec.rules, name))
-
-
-def _read_clean(spark: SparkSession, result: RunResult, fmt: str, wide_ids: bool, batches=None) -> DataFrame:
-    """The stored clean table, or only the given batch folders of it (with ``batch_id``)."""
-    if batches is None:
-        schema = clean_schema(spark, wide_ids)
-        return T.read_table(spark, result.base_dir, "edits_clean", result.suffix, fmt, schema=schema)
-    root = T.table_path(result.base_dir, "edits_clean", result.suffix)
-    schema = clean_schema(spark, wide_ids).add(T.BATCH_COLUMN, "long")
-    return spark.read.format(fmt).schema(schema).option("basePath", root).load(
-        *[f"{root}/{T.BATCH_COLUMN}={b}" for b in batches]
-    )
-
-
-def _clean_batches(
-    spark: SparkSession,
-    result: RunResult,
-    rules: bool,
-    fmt: str,
-    time_unit: str,
-    register: bool,
-    full_refresh: bool,
-    wide_ids: bool = False,
-) -> list[int]:
-    """Clean the committed landed batches not consumed yet (above the watermark).
-
-    Batches whose rows are all dropped leave no folder behind, which is why
-    progress is a watermark and not read from the folders.
-    """
-    state = _State(spark, result, "edits_clean")
-    landed_root = T.table_path(result.base_dir, "edits_raw", result.suffix)
-    clean_root = T.table_path(result.base_dir, "edits_clean", result.suffix)
-    settings = f"rules={rules};time_unit={time_unit};wide_ids={wide_ids};format={fmt}"
-    watermark = None if full_refresh else state.get("consumed_landed_batch")
-    if watermark is not None and (state.get("generation") is None or state.get("settings") != settings):
-        watermark = None  # rows cleaned under other settings: rebuild the whole table
-    committed = files.batch_folders(spark, landed_root, marker="_SUCCESS")
-    todo = [b for b in committed if watermark is None or b > int(watermark)]
-    if not todo and watermark is not None:
-        result.tables["edits_clean"] = clean_root
-        return []
-    schema = edit_event_schema(wide_ids).add(T.BATCH_COLUMN, "long")
-    raw = spark.read.schema(schema).option("basePath", landed_root).parquet(
-        *[f"{landed_root}/{T.BATCH_COLUMN}={b}" for b in todo]
-    ) if todo else spark.createDataFrame([], schema)
-    clean = clean_edits(raw, time_unit, keep=(T.BATCH_COLUMN,))
-    _write(result, clean, "edits_clean", rules, fmt, register, T.BATCH_COLUMN, replace_all=watermark is None)
-    if watermark is None:  # the whole table was rewritten: derived state must be rebuilt
-        state.put(generation=uuid.uuid4().hex, settings=settings)
-    state.put(consumed_landed_batch=max(committed, default=-1))
-    return todo
-
-
-def _clean_progress(spark: SparkSession, result: RunResult) -> tuple[str | None, list[int]]:
-    """Generation of the clean table and its batch folders."""
-    clean_root = T.table_path(result.base_dir, "edits_clean", result.suffix)
-    return _State(spark, result, "edits_clean").get("generation"), files.batch_folders(spark, clean_root)
-
-
-def _day_ranges(days: list[str]) -> list[tuple[str, str]]:
-    """Contiguous runs of ``yyyy-MM-dd`` days as [first, day after last) pairs."""
-    from datetime import date, timedelta
-
-    parsed = sorted(date.fromisoformat(d) for d in days)
-    runs, start, prev = [], parsed[0], parsed[0]
-    for d in parsed[1:]:
-        if d != prev + timedelta(days=1):
-            runs.append((start, prev))
-            start = d
-        prev = d
-    runs.append((start, prev))
-    return [(a.isoformat(), (b + timedelta(days=1)).isoformat()) for a, b in runs]
-
-
-def _hourly(
-    spark: SparkSession, result: RunResult, rules: bool, fmt: str, register: bool, full: bool, wide_ids: bool = False
-) -> None:
-    """Hourly summary stored per ``event_day``; only the days new batches touch are recomputed.
-
-    Hour groups never cross a day, so recomputing a day from every clean row
-    of that day gives exactly the rows a full recompute would.  The days are
-    selected with ranges on the ``event_timestamp`` text, which Parquet
-    row-group statistics can prune.
-    """
-    state = _State(spark, result, "hourly_activity")
-    generation, clean_batches = _clean_progress(spark, result)
-    clean = _read_clean(spark, result, fmt, wide_ids)
-    watermark = state.get("consumed_batch")
-    if not full and watermark is not None and state.get("generation") == generation:
-        pending = [b for b in clean_batches if b > int(watermark)]
-        if not pending:
-            result.tables["hourly_activity"] = T.table_path(result.base_dir, "hourly_activity", result.suffix)
-            return
-        # At most MAX_INCREMENTAL_DAYS + 1 short strings reach the driver.
-        day = F.substring("event_timestamp", 1, 10)
-        fresh = _read_clean(spark, result, fmt, wide_ids, batches=pending)
-        days = [r[0] for r in fresh.select(day).distinct().limit(MAX_INCREMENTAL_DAYS + 1).collect()]
-        if len(days) <= MAX_INCREMENTAL_DAYS:
-            ts = F.col("event_timestamp")
-            known = [d for d in days if d is not None]
-            condition = F.lit(False)
-            for first, after_last in _day_ranges(known) if known else []:
-                condition = condition | ((ts >= first) & (ts < after_last))
-            if len(known) < len(days):
-                condition = condition | ts.isNull()
-            summary = hourly_activity(clean.where(condition))
-            _write(result, _with_day(summary), "hourly_activity", rules, fmt, register, T.DAY_COLUMN, replace_all=False)
-            state.put(consumed_batch=max(pending))
-            return
-    _write(result, _with_day(hourly_activity(clean)), "hourly_activity", rules, fmt, register, T.DAY_COLUMN)
-    state.put(consumed_batch=max(clean_batches, default=-1), generation=generation)
-
-
-def _with_day(summary: DataFrame) -> DataFrame:
-    """Add the day folder column and gather each day into one task.
-
-    The summary holds one row per (hour, wiki, bot flag), so this shuffle is
-    small; without it every aggregate task would write a file for every day
-    it holds (tasks x days small files).
-    """
-    return summary.withColumn(T.DAY_COLUMN, F.date_format("hour", "yyyy-MM-dd")).repartition(T.DAY_COLUMN)
-
-
-def _ranking(
-    spark: SparkSession,
-    result: RunResult,
-    name: str,
-    spec: RankingSpec,
-    rules: bool,
-    fmt: str,
-    register: bool,
-    top_n: int,
-    full: bool,
-    wide_ids: bool,
-) -> None:
-    """Top-n table from per-key partial aggregates that are kept up to date incrementally.
-
-    The partials (one row per key: rows, length-change sum and count,
-    event-time bounds, conditional counts) live in ``_state`` as versioned
-    folders: a run folds the partials of the new clean batches into the
-    current version and writes the next one - a shuffle of per-key rows, not
-    of the history.  Only the exact distinct count is computed from rows: the
-    key and value columns of the top keys' rows.  The ranking is rewritten
-    only when the partials, ``top_n`` or ``rules`` changed.
-    """
-    state = _State(spark, result, name)
-    generation, clean_batches = _clean_progress(spark, result)
-    clean = _read_clean(spark, result, fmt, wide_ids)
-    settings = f"top_n={top_n};rules={rules}"
-    version = state.get("state_version")
-    consumed = state.get("consumed_batch")
-    fresh_state = full or version is None or consumed is None or state.get("generation") != generation
-    pending = clean_batches if fresh_state else [b for b in clean_batches if b > int(consumed)]
-    table_root = T.table_path(result.base_dir, name, result.suffix)
-    if not pending and not fresh_state and state.get("settings") == settings and files.exists(spark, table_root):
-        result.tables[name] = table_root
-        return
-    if fresh_state:
-        partials = key_state(clean, spec)
-    elif pending:
-        delta = key_state(_read_clean(spark, result, fmt, wide_ids, batches=pending), spec)
-        partials = merge_key_state(spark.read.parquet(version), delta, spec)
-    else:
-        partials = None
-    new_version = version
-    if partials is not None:
-        new_version = f"{state.root}/key_state/v={uuid.uuid4().hex[:12]}"
-        partials.write.mode("overwrite").parquet(new_version)
-    _write(result, rank_from_state(clean, spark.read.parquet(new_version), spec, top_n), name, rules, fmt, register)
-    state.put(
-        state_version=new_version,
-        consumed_batch=max(clean_batches, default=-1),
-        generation=generation,
-        settings=settings,
-        written=uuid.uuid4().hex,  # tells the profiles this ranking changed
-    )
-    if version and new_version != version:
-        files.delete(spark, version)
 
 
 def run_layer(
@@ -316,66 +107,57 @@ def run_layer(
     archive_dir: str | None = None,
     full_refresh: bool = False,
     wide_ids: bool = False,
+    namespace: str | None = None,
 ) -> RunResult:
     """Build the tables of one layer (``landing``, ``bronze``, ``silver``, ``gold``).
 
     ``max_files_per_trigger`` and ``archive_dir`` are passed to the landing
     stream (see :func:`editflow.streaming.landing.land_edits`);
-    ``full_refresh`` rebuilds the layer's tables and state from all their
-    input (needed after changing ``rules`` or ``time_unit``); ``wide_ids``
-    lands and reads revision ids as bigint.
+    ``full_refresh`` lands all source files anew (an error where they were
+    archived); ``wide_ids`` lands and reads revision ids as bigint;
+    ``register`` records the tables in the catalog, in one ``namespace`` or
+    in one for each layer.
     """
     if layer not in T.LAYERS:
         raise ValueError(f"layer must be one of {T.LAYERS}, got {layer!r}")
     result = result or RunResult(base_dir, suffix)
 
+    def write(df: DataFrame, name: str) -> None:
+        spec = T.TABLE_BY_NAME[name]
+        observation = Observation(f"rules_{name}{suffix}_{uuid.uuid4().hex[:8]}") if rules and spec.rules else None
+        checked = R.apply_rules(df, spec.rules, enabled=rules, observation=observation)
+        result.tables[name] = T.write_table(checked, base_dir, name, suffix, fmt, register, namespace)
+        if observation is not None:
+            result.rule_rows.extend(R.observed_counts(observation, spec.rules, name))
+
     if layer == "landing":
         if source_dir is None:
             raise ValueError("the landing layer needs source_dir")
-        target = T.table_path(base_dir, "edits_raw", suffix)
-        run = land_edits(
-            spark, source_dir, target, f"{target}_checkpoint", rules=rules, metrics_dir=f"{target}_rule_metrics",
-            max_files_per_trigger=max_files_per_trigger, archive_dir=archive_dir, wide_ids=wide_ids,
+        _land(
+            spark, result, source_dir, rules, wide_ids, full_refresh, max_files_per_trigger, archive_dir, register, namespace
         )
-        result.tables["edits_raw"] = target
-        result.rule_rows.extend(run.rule_totals())
-        return result
-
-    if layer == "bronze":
-        _clean_batches(spark, result, rules, fmt, time_unit, register, full_refresh, wide_ids)
-        _hourly(spark, result, rules, fmt, register, full_refresh, wide_ids)
-        return result
-
-    if layer == "silver":
+    elif layer == "bronze":
+        write(clean_edits(read_landed(spark, landed_path(base_dir, suffix, rules, wide_ids), wide_ids), time_unit), "edits_clean")
+        write(hourly_activity(_clean(spark, base_dir, suffix, fmt, wide_ids)), "hourly_activity")
+    elif layer == "silver":
+        clean = _clean(spark, base_dir, suffix, fmt, wide_ids)
         _side_by_side(
-            *[
-                (lambda name=name, spec=spec: _ranking(
-                    spark, result, name, spec, rules, fmt, register, top_n, full_refresh, wide_ids
-                ))
-                for name, spec in RANKINGS.items()
-            ]
+            lambda: write(rank_editors(clean, top_n), "editor_ranking"),
+            lambda: write(rank_pages(clean, top_n), "page_ranking"),
+        )
+    else:
+        editors, pages = (T.read_table(spark, base_dir, name, suffix, fmt) for name in ("editor_ranking", "page_ranking"))
+        _side_by_side(
+            lambda: write(editor_profile(editors), "editor_profile"),
+            lambda: write(page_profile(pages), "page_profile"),
         )
-        return result
-
-    # gold: skipped when neither ranking was rewritten since the profiles were built
-    state = _State(spark, result, "profiles")
-    inputs = ";".join(
-        [*(str(_State(spark, result, name).get("written")) for name in RANKINGS), f"rules={rules}", f"format={fmt}"]
-    )
-    profiles = [T.table_path(base_dir, name, suffix) for name in ("editor_profile", "page_profile")]
-    if not full_refresh and state.get("inputs") == inputs and all(files.exists(spark, p) for p in profiles):
-        result.tables.update(dict(zip(("editor_profile", "page_profile"), profiles)))
-        return result
-    editors = T.read_table(spark, base_dir, "editor_ranking", suffix, fmt)
-    pages = T.read_table(spark, base_dir, "page_ranking", suffix, fmt)
-    _side_by_side(
-        lambda: _write(result, editor_profile(editors), "editor_profile", rules, fmt, register),
-        lambda: _write(result, page_profile(pages), "page_profile", rules, fmt, register),
-    )
-    state.put(inputs=inputs)
     return result
 
 
+def _clean(spark: SparkSession, base_dir: str, suffix: str, fmt: str, wide_ids: bool) -> DataFrame:
+    return T.read_table(spark, base_dir, "edits_clean", suffix, fmt, schema=clean_schema(spark, wide_ids))
+
+
 def _side_by_side(*steps) -> None:
     """Submit independent table builds from parallel driver threads.
 
@@ -383,67 +165,36 @@ def _side_by_side(*steps) -> None:
     other's driver-side work (planning, broadcasts, commits); the first
     failure is raised.
     """
-    from concurrent.futures import ThreadPoolExecutor
-
     with ThreadPoolExecutor(max_workers=len(steps)) as pool:
         for future in [pool.submit(step) for step in steps]:
             future.result()
 
 
-def run_all_layers(
-    spark: SparkSession,
-    source_dir: str,
-    base_dir: str,
-    suffix: str = "",
-    rules: bool = True,
-    fmt: str = "parquet",
-    top_n: int = DEFAULT_TOP_N,
-    time_unit: str = "ms",
-    register: bool = False,
-    max_files_per_trigger: int | None = None,
-    archive_dir: str | None = None,
-    full_refresh: bool = False,
-    wide_ids: bool = False,
-) -> RunResult:
-    """Landing -> bronze -> silver -> gold, in that fixed order."""
+def run_all_layers(spark: SparkSession, source_dir: str, base_dir: str, suffix: str = "", **options) -> RunResult:
+    """Landing -> bronze -> silver -> gold, in that fixed order (options as of :func:`run_layer`)."""
     result = RunResult(base_dir, suffix)
     for layer in T.LAYERS:
-        run_layer(
-            spark, layer, base_dir, source_dir=source_dir, suffix=suffix, rules=rules, fmt=fmt,
-            top_n=top_n, time_unit=time_unit, register=register, result=result,
-            max_files_per_trigger=max_files_per_trigger, archive_dir=archive_dir, full_refresh=full_refresh,
-            wide_ids=wide_ids,
-        )
+        run_layer(spark, layer, base_dir, source_dir=source_dir, suffix=suffix, result=result, **options)
     return result
 
 
-def stored_schema(spark: SparkSession, name: str):
-    """Explicit read schema of the tables stored in partition folders (may hold no file yet)."""
-    if name == "edits_clean":
-        return clean_schema(spark)
-    if name == "hourly_activity":
-        return hourly_activity(spark.createDataFrame([], clean_schema(spark))).schema
-    return None
-
-
-def read_stored(spark: SparkSession, result: RunResult, name: str, fmt: str = "parquet") -> DataFrame:
+def read_stored(
+    spark: SparkSession, result: RunResult, name: str, fmt: str = "parquet", wide_ids: bool = False
+) -> DataFrame:
     """A table of a run, as later layers read it."""
     if name == "edits_raw":
-        return read_landed(spark, result.tables[name])
-    return T.read_table(spark, result.base_dir, name, result.suffix, fmt, schema=stored_schema(spark, name))
+        return read_landed(spark, result.tables[name], wide_ids)
+    if name == "edits_clean":
+        return _clean(spark, result.base_dir, result.suffix, fmt, wide_ids)
+    return T.read_table(spark, result.base_dir, name, result.suffix, fmt)
 
 
-def table_counts(spark: SparkSession, result: RunResult, fmt: str = "parquet") -> DataFrame:
+def table_counts(spark: SparkSession, result: RunResult, fmt: str = "parquet", wide_ids: bool = False) -> DataFrame:
     """Rows per stored table of a run, as one lazy union of counts."""
-    from pyspark.sql import functions as F
-
-    counts = []
+    out = None
     for spec in T.TABLES:
-        if spec.name not in result.tables:
-            continue
-        df = read_stored(spark, result, spec.name, fmt)
-        counts.append(df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(spec.name).alias("table_name"), "n_rows"))
-    out = counts[0]
-    for other in counts[1:]:
-        out = out.unionByName(other)
+        if spec.name in result.tables:
+            rows = read_stored(spark, result, spec.name, fmt, wide_ids).agg(F.count(F.lit(1)).alias("n_rows"))
+            rows = rows.select(F.lit(spec.name).alias("table_name"), "n_rows")
+            out = rows if out is None else out.unionByName(rows)
     return out

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -38,7 +37,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster ``spark.checkpoint.dir`` must point at shared storage; it is
     read from the session, never invented.  Only a local-mode session without
-    one (tests) gets a fresh directory of its own.
+    one (tests) gets a fresh directory in its warehouse, which goes with the session.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
@@ -49,7 +48,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return spark.sparkContext.getCheckpointDir()
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder before running editflow jobs")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="editflow-ckpt-"))
+    scratch = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch-{uuid.uuid4().hex[:12]}"
+    spark.sparkContext.setCheckpointDir(scratch)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
     return spark.sparkContext.getCheckpointDir()
 
 

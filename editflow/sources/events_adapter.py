@@ -95,32 +95,7 @@ def edits_from_events(events: DataFrame) -> DataFrame:
 
 def read_events(spark, sf_dir: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/events.parquet"
-    return spread(spark.read.parquet(path), key=path)
-
-
-# (application id, input key) -> scan partitions; planning a scan just to count
-# its partitions costs ~0.1 s, and a table's layout does not change mid-session.
-_SCAN_PARTITIONS: dict[tuple[str, str], int] = {}
-
-
-def spread(df: DataFrame, min_partitions: int | None = None, key: str | None = None) -> DataFrame:
-    """Round-robin an input that yields fewer scan partitions than cores.
-
-    A file with a single large row group is one scan task; spreading it lets
-    the row-local work that follows use every core.  Inputs that already
-    split into enough partitions (any large table) are left untouched, so
-    this adds no shuffle at scale.  ``key`` (e.g. the input path) caches the
-    partition count for the session.
-    """
-    sc = df.sparkSession.sparkContext
-    target = min_partitions or sc.defaultParallelism
-    cache_key = (sc.applicationId, key) if key else None
-    n = _SCAN_PARTITIONS.get(cache_key) if cache_key else None
-    if n is None:
-        n = df.rdd.getNumPartitions()
-        if cache_key:
-            _SCAN_PARTITIONS[cache_key] = n
-    return df.repartition(target) if n < target else df
+    return spark.read.parquet(path)
 
 
 def raw_edits(spark, sf_dir: str) -> DataFrame:

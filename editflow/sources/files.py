@@ -45,37 +45,7 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hpath, True)
 
 
-def batch_folders(spark: SparkSession, root: str, column: str = "batch_id", marker: str | None = None) -> list[int]:
-    """Ids of the ``<column>=<id>`` folders under ``root``, ascending.
-
-    With ``marker`` (e.g. ``_SUCCESS``) only folders holding that file count,
-    i.e. folders whose write job has committed.
-    """
-    ids = []
-    for name in list_names(spark, root, prefix=f"{column}="):
-        if marker is None or exists(spark, f"{root.rstrip('/')}/{name}/{marker}"):
-            ids.append(int(name.split("=", 1)[1]))
-    return sorted(ids)
-
-
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Replace a small state file (a few bytes, e.g. a watermark)."""
-    fs, hpath = _fs_and_path(spark, path)
-    stream = fs.create(hpath, True)
-    try:
-        stream.write(bytearray(text.encode("utf-8")))
-    finally:
-        stream.close()
-
-
-def read_text(spark: SparkSession, path: str) -> str | None:
-    """Content of a small state file, or None when it does not exist."""
-    fs, hpath = _fs_and_path(spark, path)
-    if not fs.exists(hpath):
-        return None
-    jvm = spark.sparkContext._jvm
-    stream = fs.open(hpath)
-    try:
-        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
+def matches(spark: SparkSession, pattern: str) -> bool:
+    """Whether any path matches a glob pattern."""
+    fs, hpath = _fs_and_path(spark, pattern)
+    return bool(fs.globStatus(hpath))

@@ -20,13 +20,17 @@ from editflow.sources.schema import edit_event_schema
 FILE_STEM = "wiki_edits"
 LANDING_GLOB = "wiki_edits_*.json"
 STAMP_FORMAT = "%Y%m%d_%H%M%S"
+# The file source forgets files older than this against the newest one: never, so late files still land.
+MAX_FILE_AGE = "36500d"
 
 
-def _options(glob: str | None) -> dict[str, str]:
-    opts = {"multiLine": "false", "mode": "PERMISSIVE"}
-    if glob:
-        opts["pathGlobFilter"] = glob
-    return opts
+def _options() -> dict[str, str]:
+    return {"multiLine": "false", "mode": "PERMISSIVE"}
+
+
+def _matching(path: str, glob: str | None) -> str:
+    """Files of the folder that match, and the files in folders of a matching name (published batches)."""
+    return f"{path.rstrip('/')}/{glob}" if glob else path
 
 
 def read_edit_files(
@@ -38,9 +42,10 @@ def read_edit_files(
     table; only a missing folder needs the fallback.
     """
     schema = edit_event_schema(wide_ids)
-    if not files.exists(spark, path):
+    matching = _matching(path, glob)
+    if not files.matches(spark, matching):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).options(**_options(glob)).json(path)
+    return spark.read.schema(schema).options(**_options()).json(matching)
 
 
 def stream_edit_files(
@@ -52,42 +57,46 @@ def stream_edit_files(
     archive_dir: str | None = None,
 ) -> DataFrame:
     """Streaming read: each new matching file is processed exactly once."""
-    reader = spark.readStream.schema(edit_event_schema(wide_ids)).options(**_options(glob))
+    reader = spark.readStream.schema(edit_event_schema(wide_ids)).options(**_options()).option("maxFileAge", MAX_FILE_AGE)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    return reader.json(path)
+    return reader.json(_matching(path, glob))
 
 
 def capture_stamp(when: datetime | None = None) -> str:
     return (when or datetime.now(timezone.utc)).strftime(STAMP_FORMAT)
 
 
-def write_json_lines(df: DataFrame, directory: str, stem: str = FILE_STEM, stamp: str | None = None) -> list[str]:
-    """Write typed rows as JSON lines: ``<directory>/<stem>_<stamp>_<nnnnn>.json``."""
-    return _write_named(df, "json", directory, stem, stamp)
+def write_json_lines(
+    df: DataFrame, directory: str, stem: str = FILE_STEM, stamp: str | None = None, run_id: str | None = None
+) -> list[str]:
+    """Write typed rows as JSON lines into the folder ``<directory>/<stem>_<stamp>_<run>.json``."""
+    return _publish(df, "json", directory, stem, stamp, run_id)
 
 
-def write_text_lines(df: DataFrame, directory: str, stem: str = FILE_STEM, stamp: str | None = None) -> list[str]:
+def write_text_lines(
+    df: DataFrame, directory: str, stem: str = FILE_STEM, stamp: str | None = None, run_id: str | None = None
+) -> list[str]:
     """Write a one-string-column DataFrame line by line under the same naming."""
-    return _write_named(df, "text", directory, stem, stamp)
+    return _publish(df, "text", directory, stem, stamp, run_id)
+
 
+def _publish(df: DataFrame, fmt: str, directory: str, stem: str, stamp: str | None, run_id: str | None) -> list[str]:
+    """Write a batch into a staging folder and publish it by one rename of that folder.
 
-def _write_named(df: DataFrame, fmt: str, directory: str, stem: str, stamp: str | None) -> list[str]:
-    """Spark writes the part files into a staging folder next to the target;
-    they are then renamed (metadata only) so the landing glob picks them up
-    and a half-written batch is never visible to a running landing stream.
+    The readers' glob matches the published folder only. A batch that was
+    published before under the same stamp and ``run_id`` is not written again,
+    so a retry adds no rows; a run that died before the rename left nothing
+    that a reader sees.
     """
     spark = df.sparkSession
-    stamp = stamp or capture_stamp()
+    stamp, run_id = stamp or capture_stamp(), run_id or uuid.uuid4().hex[:12]
     directory = directory.rstrip("/")
-    staging = f"{directory}/_staging_{stamp}_{uuid.uuid4().hex[:8]}"
-    df.write.format(fmt).option("compression", "none").save(staging)
-    written = []
-    for i, name in enumerate(files.list_names(spark, staging, prefix="part-")):
-        target = f"{directory}/{stem}_{stamp}_{i:05d}.json"
-        files.rename(spark, f"{staging}/{name}", target)
-        written.append(target)
-    files.delete(spark, staging)
-    return written
+    target = f"{directory}/{stem}_{stamp}_{run_id}.json"
+    if not files.exists(spark, target):
+        staging = f"{directory}/_staging_{stamp}_{run_id}"
+        df.write.format(fmt).option("compression", "none").mode("overwrite").save(staging)
+        files.rename(spark, staging, target)
+    return [target]

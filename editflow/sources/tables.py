@@ -50,21 +50,16 @@ def write_table(
     suffix: str = "",
     fmt: str = "parquet",
     register: bool = False,
+    namespace: str | None = None,
 ) -> str:
     """Replace the table's contents with ``df`` (a full recompute)."""
     path = table_path(base_dir, name, suffix)
     df.write.mode("overwrite").format(fmt).save(path)
     if register:
-        register_table(df.sparkSession, base_dir, name, suffix, fmt)
+        register_table(df.sparkSession, base_dir, name, suffix, fmt, namespace=namespace)
     return path
 
 
-BATCH_COLUMN = "batch_id"
-DAY_COLUMN = "event_day"
-# Folder columns of the stored layouts; not part of any table's contents.
-LAYOUT_COLUMNS = (BATCH_COLUMN, DAY_COLUMN)
-
-
 def read_table(
     spark: SparkSession,
     base_dir: str,
@@ -73,42 +68,11 @@ def read_table(
     fmt: str = "parquet",
     schema: StructType | None = None,
 ) -> DataFrame:
-    """The stored table without its folder (layout) columns.
-
-    With ``schema`` nothing is inferred, and a table without any batch yet
-    reads as an empty DataFrame of that schema.
-    """
+    """The stored table; with ``schema`` nothing is inferred."""
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
-    df = reader.load(table_path(base_dir, name, suffix))
-    return df.drop(*[c for c in LAYOUT_COLUMNS if c in df.columns])
-
-
-def write_partitions(
-    df: DataFrame,
-    base_dir: str,
-    name: str,
-    column: str,
-    suffix: str = "",
-    fmt: str = "parquet",
-    replace_all: bool = False,
-    register: bool = False,
-) -> str:
-    """Write ``df`` partitioned by ``column`` (``batch_id`` or ``event_day``).
-
-    By default only the folders present in ``df`` are replaced (dynamic
-    partition overwrite), so re-running is idempotent and the other folders
-    are untouched; ``replace_all`` rewrites the whole table.
-    """
-    path = table_path(base_dir, name, suffix)
-    writer = df.write.mode("overwrite").format(fmt).partitionBy(column)
-    # explicit either way: a session-wide default must not turn a full rewrite into a partial one
-    writer = writer.option("partitionOverwriteMode", "static" if replace_all else "dynamic")
-    writer.save(path)
-    if register:
-        register_table(df.sparkSession, base_dir, name, suffix, fmt, partition_column=column)
-    return path
+    return reader.load(table_path(base_dir, name, suffix))
 
 
 def register_table(
@@ -117,23 +81,25 @@ def register_table(
     name: str,
     suffix: str = "",
     fmt: str = "parquet",
-    partition_column: str | None = None,
+    path: str | None = None,
+    namespace: str | None = None,
+    partitioned: bool = False,
 ) -> str:
-    """Record the stored table in the catalog as ``<layer>.<name><suffix>`` with its comment.
+    """Record the stored table in the catalog as ``<namespace or layer>.<name><suffix>`` with its comment.
 
     For a table stored in partition folders the partitioning is inferred
-    from the folders and the partitions are recovered into the catalog, so
-    catalog reads see every partition.
+    from the folders and the partitions are recovered into the catalog.
     """
     spec = TABLE_BY_NAME[name]
-    qualified = f"`{spec.layer}`.`{spec.name}{suffix}`"
+    space = namespace or spec.layer
+    qualified = f"`{space}`.`{spec.name}{suffix}`"
     comment = spec.comment.replace("'", "''")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{spec.layer}`")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{space}`")
     spark.sql(f"DROP TABLE IF EXISTS {qualified}")
     spark.sql(
-        f"CREATE TABLE {qualified} USING {fmt} LOCATION '{table_path(base_dir, name, suffix)}' "
+        f"CREATE TABLE {qualified} USING {fmt} LOCATION '{path or table_path(base_dir, name, suffix)}' "
         f"COMMENT '{comment}'"
     )
-    if partition_column:
+    if partitioned:
         spark.sql(f"ALTER TABLE {qualified} RECOVER PARTITIONS")
-    return f"{spec.layer}.{spec.name}{suffix}"
+    return f"{space}.{spec.name}{suffix}"

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import sys
 
 import pytest
@@ -25,6 +26,7 @@ def spark():
         .config("spark.sql.shuffle.partitions", "8")
         # catalog tables of the tests live outside the repository
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="editflow-warehouse-"))
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="editflow-checkpoint-"))
     )
     for key, value in SESSION_DEFAULTS.items():
         builder = builder.config(key, value)
@@ -38,7 +40,7 @@ def spark():
 @pytest.fixture
 def workdir(spark, request):
     """A fresh folder under the session's checkpoint directory."""
-    path = scratch_dir(spark, f"test-{request.node.name[:40]}")
+    path = scratch_dir(spark, "test-" + re.sub(r"\W", "_", request.node.name[:40]))
     local = path[len("file:"):] if path.startswith("file:") else path
     os.makedirs(local, exist_ok=True)
     return local

@@ -78,3 +78,11 @@ def test_capture_order_across_splits_of_one_file(spark, workdir):
         assert sorted(r["id"] for r in first.collect()) == [f"e{i:04d}" for i in range(37)]
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", previous)
+
+
+def test_what_json_loads_accepts_is_valid(spark, workdir):
+    lines = ['data: {"id":"a","id":"b"}', 'data: {"id": 7, "timestamp": "x"}', "data: {bad", 'data: {"id":"c"']
+    write_lines(f"{workdir}/cap", "cap_1.txt", lines)
+    capture = read_feed_capture(spark, f"{workdir}/cap")
+    assert capture_events(capture).count() == 2
+    assert sorted(r["line"] for r in capture_rejects(capture).collect()) == ['data: {"id":"c"', "data: {bad"]

@@ -145,3 +145,40 @@ def test_replayed_batch_leaves_no_duplicates(spark, workdir):
     replay = land_edits(spark, source, target, ckpt)
     assert replay.batches == [last]
     assert sorted(r["id"] for r in read_landed(spark, target).collect()) == ["a", "b", "c"]
+
+
+def test_old_files_that_arrive_late_are_landed(spark, workdir):
+    import os
+    import time
+
+    source, target, ckpt = f"{workdir}/in", f"{workdir}/raw", f"{workdir}/ckpt"
+    write_lines(source, "wiki_edits_1.json", [edit("new")])
+    land_edits(spark, source, target, ckpt)
+    for days in (3, 30, 700):
+        path = write_lines(source, f"wiki_edits_late{days}.json", [edit(f"late{days}")])
+        os.utime(path, (time.time() - days * 86400,) * 2)
+    land_edits(spark, source, target, ckpt)
+    assert {r["id"] for r in read_landed(spark, target).collect()} == {"new", "late3", "late30", "late700"}
+
+
+def test_publishing_again_adds_no_rows(spark, workdir, monkeypatch):
+    from editflow.sources import files
+
+    source, target, ckpt = f"{workdir}/in", f"{workdir}/raw", f"{workdir}/ckpt"
+    rows = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "id string").repartition(3)
+    real = files.rename
+    monkeypatch.setattr(files, "rename", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    try:
+        write_json_lines(rows, source, stamp="20240101_000000", run_id="r1")
+    except OSError:
+        pass
+    assert read_edit_files(spark, source).count() == 0  # nothing half-written is visible
+    monkeypatch.setattr(files, "rename", real)
+    for _ in range(2):
+        write_json_lines(rows, source, stamp="20240101_000000", run_id="r1")
+    assert read_edit_files(spark, source).count() == 4
+    land_edits(spark, source, target, ckpt, rules=False)
+    # another batch of the same second
+    write_json_lines(rows, source, stamp="20240101_000000")
+    land_edits(spark, source, target, ckpt, rules=False)
+    assert read_landed(spark, target).count() == 8

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from editflow.operators.activity import hourly_activity
 from editflow.operators.clean import clean_schema
-from editflow.operators.rankings import EDITOR_RANKING, PAGE_RANKING, key_state, rank_editors, rank_from_state
+from editflow.operators.rankings import rank_editors
 from editflow.plans.queries import QUERIES
 from editflow.plans.runner import run_all_layers
 from editflow.sources import tables as T
@@ -33,14 +33,11 @@ def _plan(df) -> str:
 
 
 def _clean_scans(plan: str) -> list[set[str]]:
-    """Column sets read by the scans of the clean table (the only input stored in
-    ``batch_id`` folders; plan strings truncate scan locations)."""
-    scans = []
-    for match in re.finditer(r"FileScan parquet \[([^\]]*)\]", plan):
-        columns = {re.sub(r"#\d+L?$", "", c.strip()) for c in match.group(1).split(",")}
-        if "batch_id" in columns:
-            scans.append(columns)
-    return scans
+    """Column sets read by the scans of a plan."""
+    return [
+        {re.sub(r"#\d+L?$", "", c.strip()) for c in match.group(1).split(",")}
+        for match in re.finditer(r"FileScan parquet \[([^\]]*)\]", plan)
+    ]
 
 
 @pytest.fixture(scope="module")
@@ -53,20 +50,10 @@ def stored(spark, tmp_path_factory):
     return T.read_table(spark, f"{base}/t", "edits_clean", schema=clean_schema(spark)), base
 
 
-def test_distinct_pass_reads_only_key_and_value_columns(spark, stored):
-    clean, base = stored
-    for spec in (EDITOR_RANKING, PAGE_RANKING):
-        key_state(clean, spec).write.mode("overwrite").parquet(f"{base}/state_{spec.count_column}")
-        plan = _plan(rank_from_state(clean, spark.read.parquet(f"{base}/state_{spec.count_column}"), spec))
-        scans = _clean_scans(plan)
-        assert scans and all(cols - {"batch_id"} == {*spec.keys, spec.distinct_value} for cols in scans), scans
-        assert "SortAggregate" not in plan
-
-
 def test_first_ranking_pass_reads_two_columns(stored):
     clean, _ = stored
     scans = _clean_scans(_plan(rank_editors(clean)))
-    assert {"editor", "wiki_language"} in [cols - {"batch_id"} for cols in scans]
+    assert {"editor", "wiki_language"} in scans
 
 
 def test_day_ranges_reach_the_scan(stored):

@@ -4,7 +4,7 @@ the two ranking plans."""
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta, timezone
+from datetime import datetime, timedelta, timezone
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from editflow.functions.classify import edit_intensity, editor_diversity, editor_type
 from editflow.functions.time import earliest_text, epoch_to_text, latest_text
 from editflow.operators.rankings import rank_editors, rank_pages
-from editflow.plans.runner import _day_ranges
 
 SETTINGS = settings(max_examples=15, deadline=None)
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
@@ -72,19 +71,6 @@ def test_classifiers_match_python(spark, rows):
     assert got == want
 
 
-@given(st.sets(st.dates(min_value=date(2000, 1, 1), max_value=date(2030, 12, 31)), min_size=1, max_size=60))
-def test_day_ranges_cover_exactly(days):
-    ranges = _day_ranges([d.isoformat() for d in days])
-    covered = set()
-    previous_end = None
-    for first, after_last in ranges:
-        a, b = date.fromisoformat(first), date.fromisoformat(after_last)
-        assert a < b and (previous_end is None or a > previous_end)  # sorted, disjoint, not adjacent
-        covered |= {a + timedelta(days=i) for i in range((b - a).days)}
-        previous_end = b
-    assert covered == set(days)
-
-
 ROW = st.tuples(
     st.one_of(st.none(), st.sampled_from(["A", "B", "C", "D", "E"])),
     st.one_of(st.none(), st.sampled_from(["enwiki", "dewiki"])),
@@ -108,27 +94,3 @@ def test_top_first_equals_single_pass(spark, rows, n):
         fast = [tuple(r) for r in rank(df, n).collect()]
         slow = [tuple(r) for r in rank(df, n, "single_pass").collect()]
         assert fast == slow  # same rows in the same order
-
-
-@SETTINGS
-@given(st.lists(ROW, min_size=0, max_size=60), st.lists(ROW, min_size=0, max_size=30), st.integers(0, 6))
-def test_rank_from_merged_state_equals_rank(spark, rows, more_rows, n):
-    """Partials of two row sets merged == partials of all rows; ranking from them == rank()."""
-    from editflow.operators.rankings import EDITOR_RANKING, PAGE_RANKING, key_state, merge_key_state, rank, rank_from_state
-
-    schema = (
-        "editor string, wiki_language string, page_title string, length_change int, ts long, "
-        "is_bot_edit boolean, is_minor_edit boolean"
-    )
-
-    def frame(data):
-        return spark.createDataFrame(data, schema).withColumn("event_timestamp", F.from_unixtime("ts")).drop("ts")
-
-    first, second, both = frame(rows), frame(more_rows), frame(rows + more_rows)
-    for spec in (EDITOR_RANKING, PAGE_RANKING):
-        state = merge_key_state(key_state(first, spec), key_state(second, spec), spec)
-        got = rank_from_state(both, state, spec, n)
-        want = rank(both, spec, n)
-        # names and types (nullability is not kept by stored Parquet anyway)
-        assert [(f.name, f.dataType) for f in got.schema] == [(f.name, f.dataType) for f in want.schema]
-        assert [tuple(r) for r in got.collect()] == [tuple(r) for r in want.collect()]

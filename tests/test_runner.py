@@ -4,17 +4,15 @@ from __future__ import annotations
 
 import pytest
 
-from editflow.plans.runner import run_all_layers, run_layer, table_counts
+from editflow.plans.runner import read_stored, run_all_layers, run_layer, table_counts
 from editflow.sources import tables as T
 from editflow.sources.events_adapter import raw_edits
 from editflow.sources.json_lines import write_json_lines
-from tests.conftest import SF0001
+from tests.conftest import SF0001, edit, write_lines
 
 
 def _contents(spark, base, name, suffix):
-    from editflow.plans.runner import stored_schema
-
-    df = T.read_table(spark, base, name, suffix, schema=stored_schema(spark, name))
+    df = T.read_table(spark, base, name, suffix)
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
@@ -70,137 +68,99 @@ def test_command_line(spark, workdir, capsys):
     assert main(["run", "--base", f"{workdir}/t", "--suffix", "_cli", "--layer", "gold"]) == 0
 
 
-def test_incremental_bronze_equals_full_refresh(spark, workdir):
-    from pyspark.sql import functions as F
-
-    from editflow.operators.clean import clean_schema
-    from editflow.sources.events_adapter import edits_from_events, read_events
-
-    events = read_events(spark, SF0001)
-    source, base = f"{workdir}/incoming", f"{workdir}/t"
-    write_json_lines(edits_from_events(events.where(F.col("event_id") < 600)), source, stamp="20240101_000000")
-    first = run_layer(spark, "landing", base, source_dir=source)
-    run_layer(spark, "bronze", base, result=first)
-    n_first = {(r["table_name"], r["rule"]): r["n_rows"] for r in first.rule_rows}[("edits_clean", "valid_editor")]
-
-    write_json_lines(edits_from_events(events.where(F.col("event_id") >= 600)), source, stamp="20240101_001500")
-    second = run_layer(spark, "landing", base, source_dir=source)
-    run_layer(spark, "bronze", base, result=second)
-    n_second = {(r["table_name"], r["rule"]): r["n_rows"] for r in second.rule_rows}[("edits_clean", "valid_editor")]
-    assert n_first + n_second == 981  # each landed row cleaned exactly once
-    # the second hourly update recomputed only the days the new batch touched
-    hourly_rows = {r["table_name"]: r["n_rows"] for r in second.rule_rows}["hourly_activity"]
-    total_hourly = T.read_table(spark, base, "hourly_activity").count()
-    assert 0 < hourly_rows < total_hourly
-
-    # nothing new: no clean write, same contents
-    third = run_layer(spark, "bronze", base)
-    assert not [r for r in third.rule_rows if r["table_name"] == "edits_clean"]
-    incremental = _contents(spark, base, "edits_clean", "")
-    hourly = _contents(spark, base, "hourly_activity", "")
-
-    run_layer(spark, "bronze", base, full_refresh=True)
-    assert _contents(spark, base, "edits_clean", "") == incremental
-    assert _contents(spark, base, "hourly_activity", "") == hourly
-    assert len(incremental) == 960
-    assert T.read_table(spark, base, "edits_clean", schema=clean_schema(spark)).columns[-1] == "meta_offset"
-
-
 def test_bronze_before_any_batch(spark, workdir):
-    import os
-
-    os.makedirs(f"{workdir}/incoming")
-    result = run_all_layers(spark, f"{workdir}/incoming", f"{workdir}/t")
-    counts = {r["table_name"]: r["n_rows"] for r in table_counts(spark, result).collect()}
-    assert set(counts.values()) == {0} and len(counts) == 7
-
-
-def test_day_ranges():
-    from editflow.plans.runner import _day_ranges
+    result = run_layer(spark, "bronze", f"{workdir}/t")
+    assert {r["table_name"]: r["n_rows"] for r in table_counts(spark, result).collect()} == {"edits_clean": 0, "hourly_activity": 0}
 
-    assert _day_ranges(["2024-01-03", "2024-01-01", "2024-01-02", "2024-02-29", "2024-12-31"]) == [
-        ("2024-01-01", "2024-01-04"),
-        ("2024-02-29", "2024-03-01"),
-        ("2024-12-31", "2025-01-01"),
-    ]
 
-
-def test_hourly_catches_up_after_an_interrupted_run(spark, workdir):
-    from pyspark.sql import functions as F
-
-    from editflow.plans import runner
-    from editflow.sources.events_adapter import edits_from_events, read_events
-
-    events = read_events(spark, SF0001)
+@pytest.mark.parametrize("inside", [False, True])
+@pytest.mark.parametrize("table", [spec.name for spec in T.TABLES[1:]])
+def test_a_run_that_dies_at_a_table_is_put_right_by_the_next(spark, workdir, monkeypatch, table, inside):
     source, base = f"{workdir}/incoming", f"{workdir}/t"
-    write_json_lines(edits_from_events(events.where(F.col("event_id") < 500)), source, stamp="20240101_000000")
+    write_lines(source, "wiki_edits_1.json", [edit(str(i), user=f"U{i % 3}", ts=1704067200000 + i * 7_000_000) for i in range(20)])
     run_all_layers(spark, source, base)
-    write_json_lines(edits_from_events(events.where(F.col("event_id") >= 500)), source, stamp="20240101_001500")
-    res = run_layer(spark, "landing", base, source_dir=source)
-    runner._clean_batches(spark, res, True, "parquet", "ms", False, False)  # the run dies here
-    run_layer(spark, "bronze", base)  # nothing left to clean, hourly must still catch up
-    caught_up = _contents(spark, base, "hourly_activity", "")
-    run_layer(spark, "bronze", base, full_refresh=True)
-    assert _contents(spark, base, "hourly_activity", "") == caught_up
+    write_lines(source, "wiki_edits_2.json", [edit(f"n{i}", user=f"U{i % 2}") for i in range(10)])
+    real = T.write_table
+
+    def dies(df, base_dir, name, *args, **kwargs):
+        if name != table:
+            return real(df, base_dir, name, *args, **kwargs)
+        if inside:  # the old rows are gone and only some new ones are there
+            real(df.limit(1), base_dir, name, *args, **kwargs)
+        else:
+            real(df, base_dir, name, *args, **kwargs)
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(T, "write_table", dies)
+    with pytest.raises(RuntimeError):
+        run_all_layers(spark, source, base)
+    monkeypatch.setattr(T, "write_table", real)
+    run_all_layers(spark, source, base)
+    run_all_layers(spark, source, f"{workdir}/fresh")
+    for spec in T.TABLES[1:]:
+        assert _contents(spark, base, spec.name, "") == _contents(spark, f"{workdir}/fresh", spec.name, ""), spec.name
 
 
 def test_wide_ids_through_the_layers(spark, workdir):
-    from tests.conftest import edit, write_lines
-
     write_lines(f"{workdir}/in", "wiki_edits_1.json", [dict(edit("a"), revision={"old": 2300000000, "new": 2300000001})])
     run_all_layers(spark, f"{workdir}/in", f"{workdir}/t", wide_ids=True)
-    from editflow.operators.clean import clean_schema
-
-    row = T.read_table(spark, f"{workdir}/t", "edits_clean", schema=clean_schema(spark, True)).collect()[0]
+    result = run_all_layers(spark, f"{workdir}/in", f"{workdir}/t", wide_ids=True)
+    assert read_stored(spark, result, "edits_raw", wide_ids=True).collect()[0]["revision"]["old"] == 2300000000
+    assert table_counts(spark, result, wide_ids=True).count() == 7
+    row = read_stored(spark, result, "edits_clean", wide_ids=True).collect()[0]
     assert (row["old_revision"], row["new_revision"]) == (2300000000, 2300000001)
 
 
-def _two_step_run(spark, workdir, rules):
-    from pyspark.sql import functions as F
-
-    from editflow.sources.events_adapter import edits_from_events, read_events
-
-    events = read_events(spark, SF0001)
-    source, base = f"{workdir}/incoming", f"{workdir}/t"
-    write_json_lines(edits_from_events(events.where(F.col("event_id") < 700)), source, stamp="20240101_000000")
-    run_all_layers(spark, source, base, rules=rules)
-    write_json_lines(edits_from_events(events.where(F.col("event_id") >= 700)), source, stamp="20240101_001500")
-    run_all_layers(spark, source, base, rules=rules)
-    return base
+@pytest.mark.parametrize("first", [True, False])
+def test_rules_switched_on_an_existing_base(spark, workdir, first):
+    source, base = f"{workdir}/in", f"{workdir}/t"
+    write_lines(source, "wiki_edits_1.json", [edit("a"), edit(None), edit("b", ts=None), edit("c", user=None), edit("d")])
+    for rules in (first, not first, first):
+        run_all_layers(spark, source, base, rules=rules)
+        run_all_layers(spark, source, f"{workdir}/fresh_{rules}", rules=rules)
+        for spec in T.TABLES[1:]:
+            assert _contents(spark, base, spec.name, "") == _contents(spark, f"{workdir}/fresh_{rules}", spec.name, "")
 
 
-def test_incremental_hourly_with_null_days_rules_off(spark, workdir):
-    base = _two_step_run(spark, workdir, rules=False)
-    incremental = _contents(spark, base, "hourly_activity", "")
-    assert any(row[0] is None for row in incremental)  # the NULL-hour group exists
-    run_layer(spark, "bronze", base, rules=False, full_refresh=True)
-    assert _contents(spark, base, "hourly_activity", "") == incremental
+def test_full_refresh_lands_anew_unless_archived(spark, workdir):
+    source, base = f"{workdir}/in", f"{workdir}/t"
+    write_lines(source, "wiki_edits_1.json", [edit("a"), edit("b")])
+    run_all_layers(spark, source, base)
+    result = run_all_layers(spark, source, base, full_refresh=True)
+    assert read_stored(spark, result, "edits_raw").count() == 2
+    with pytest.raises(ValueError):
+        run_layer(spark, "landing", base, source, full_refresh=True, archive_dir=f"{workdir}/archive")
+    with pytest.raises(ValueError):
+        run_layer(spark, "landing", base, source, rules=False, archive_dir=f"{workdir}/archive")
 
 
-def test_incremental_hourly_falls_back_beyond_day_limit(spark, workdir, monkeypatch):
-    from editflow.plans import runner
+def test_microsecond_timestamp_through_the_layers(spark, workdir):
+    """Its text is of a year beyond 9999; later runs are not stopped by it."""
+    source, base = f"{workdir}/in", f"{workdir}/t"
+    write_lines(source, "wiki_edits_1.json", [edit("a"), edit("b", ts=1704067200999000)])
+    run_all_layers(spark, source, base)
+    write_lines(source, "wiki_edits_2.json", [edit("c")])
+    result = run_all_layers(spark, source, base)
+    assert {r["table_name"]: r["n_rows"] for r in table_counts(spark, result).collect()}["edits_clean"] == 3
 
-    monkeypatch.setattr(runner, "MAX_INCREMENTAL_DAYS", 1)
-    base = _two_step_run(spark, workdir, rules=True)
-    fallback = _contents(spark, base, "hourly_activity", "")
-    run_layer(spark, "bronze", base, full_refresh=True)
-    assert _contents(spark, base, "hourly_activity", "") == fallback
 
+def test_every_run_reports_every_rule(spark, workdir):
+    source, base = f"{workdir}/in", f"{workdir}/t"
+    write_lines(source, "wiki_edits_1.json", [edit("a"), edit("b")])
+    for _ in range(2):
+        assert len(run_all_layers(spark, source, base).rule_rows) == 13
 
-def test_batches_without_surviving_rows_are_not_recleaned(spark, workdir):
-    from tests.conftest import edit, write_lines
 
-    source, base = f"{workdir}/in", f"{workdir}/t"
+def test_one_namespace(spark, workdir):
+    source = f"{workdir}/in"
     write_lines(source, "wiki_edits_1.json", [edit("a"), edit("b")])
-    run_all_layers(spark, source, base)
-    # every row of the next file fails a clean rule (no editor): the batch leaves no folder
-    write_lines(source, "wiki_edits_2.json", [edit("c", user=None), edit("d", user=None)])
-    second = run_all_layers(spark, source, base)
-    cleaned = {r["rule"]: (r["n_rows"], r["n_failed"]) for r in second.rule_rows if r["table_name"] == "edits_clean"}
-    assert cleaned["valid_editor"] == (2, 2)
-    third = run_layer(spark, "bronze", base)
-    assert not [r for r in third.rule_rows if r["table_name"] == "edits_clean"]
-    assert T.read_table(spark, base, "edits_clean").count() == 2
+    for _ in range(2):  # unchanged tables as well
+        run_all_layers(spark, source, f"{workdir}/t", suffix="_one", register=True, namespace="unified")
+    names = {r["tableName"] for r in spark.sql("SHOW TABLES IN unified").collect()}
+    assert {f"{spec.name}_one" for spec in T.TABLES} <= names
+    for spec in T.TABLES:
+        detail = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED unified.{spec.name}_one").collect()}
+        assert detail["Comment"] == spec.comment
 
 
 def test_registered_tables_read_through_the_catalog(spark, workdir):
@@ -208,58 +168,10 @@ def test_registered_tables_read_through_the_catalog(spark, workdir):
     write_json_lines(raw_edits(spark, SF0001), source)
     result = run_all_layers(spark, source, f"{workdir}/t", suffix="_cat", register=True)
     counts = {r["table_name"]: r["n_rows"] for r in table_counts(spark, result).collect()}
-    for spec in T.TABLES[1:]:
+    for spec in T.TABLES:
         assert spark.table(f"{spec.layer}.{spec.name}_cat").count() == counts[spec.name], spec.name
 
 
-def test_incremental_rankings_equal_full_refresh(spark, workdir):
-    base = _two_step_run(spark, workdir, rules=True)
-    incremental = {name: _contents(spark, base, name, "") for name in ("editor_ranking", "page_ranking")}
-    # nothing new: silver is skipped entirely
-    idle = run_layer(spark, "silver", base)
-    assert not idle.rule_rows
-    # a different n is a different table
-    smaller = run_layer(spark, "silver", base, top_n=5)
-    assert T.read_table(spark, base, "page_ranking").count() == 5 and smaller.rule_rows
-    run_layer(spark, "silver", base, full_refresh=True)
-    for name, rows in incremental.items():
-        assert _contents(spark, base, name, "") == rows, name
-    # the stored partials equal a recomputation from the clean table, and the
-    # stored rankings equal rankings computed directly from it
-    from editflow.operators.rankings import EDITOR_RANKING, PAGE_RANKING, key_state, rank
-    from editflow.operators.rules import EDITOR_RANKING_RULES, PAGE_RANKING_RULES, apply_rules
-    from editflow.plans.runner import RunResult, _State
-
-    clean = T.read_table(spark, base, "edits_clean")
-    state = _State(spark, RunResult(base, ""), "editor_ranking")
-    stored = spark.read.parquet(state.get("state_version"))
-    recount = key_state(clean, EDITOR_RANKING)
-    assert sorted(map(tuple, stored.collect()), key=repr) == sorted(map(tuple, recount.collect()), key=repr)
-    direct = {
-        "editor_ranking": apply_rules(rank(clean, EDITOR_RANKING), EDITOR_RANKING_RULES),
-        "page_ranking": apply_rules(rank(clean, PAGE_RANKING), PAGE_RANKING_RULES),
-    }
-    for name, df in direct.items():
-        assert _contents(spark, base, name, "") == sorted((tuple(r) for r in df.collect()), key=repr), name
-
-
-def test_changed_settings_rebuild_the_derived_tables(spark, workdir):
-    source, base = f"{workdir}/incoming", f"{workdir}/t"
-    write_json_lines(raw_edits(spark, SF0001), source)
-    run_all_layers(spark, source, base, rules=False)
-    assert T.read_table(spark, base, "edits_clean").count() == 1000
-    # rules switched on without full_refresh: the clean table and everything derived follow
-    # (the landed rows stay as landed: landing is not replayed)
-    run_all_layers(spark, source, base, rules=True)
-    reference = f"{workdir}/fresh"
-    run_layer(spark, "landing", reference, source_dir=source, rules=False)
-    for layer in ("bronze", "silver", "gold"):
-        run_layer(spark, layer, reference, rules=True)
-    assert T.read_table(spark, base, "edits_clean").count() == 969  # clean rules only
-    for name in ("edits_clean", "hourly_activity", "editor_ranking", "page_ranking", "editor_profile"):
-        assert _contents(spark, base, name, "") == _contents(spark, reference, name, ""), name
-
-
 def test_other_table_format_and_format_switch(spark, workdir):
     source, base = f"{workdir}/incoming", f"{workdir}/t"
     write_json_lines(raw_edits(spark, SF0001), source)
@@ -269,20 +181,6 @@ def test_other_table_format_and_format_switch(spark, workdir):
     assert spark.read.orc(T.table_path(base, "page_ranking")).count() == 100
 
 
-def test_idle_run_writes_nothing(spark, workdir):
-    source, base = f"{workdir}/incoming", f"{workdir}/t"
-    write_json_lines(raw_edits(spark, SF0001), source)
-    run_all_layers(spark, source, base)
-    before = {spec.name: _contents(spark, base, spec.name, "") for spec in T.TABLES[1:]}
-    idle = run_all_layers(spark, source, base)
-    assert idle.rule_rows == [] and set(idle.tables) == {spec.name for spec in T.TABLES}
-    assert {spec.name: _contents(spark, base, spec.name, "") for spec in T.TABLES[1:]} == before
-    # a ranking setting change rewrites the rankings and therefore the profiles
-    changed = run_all_layers(spark, source, base, top_n=5)
-    assert {r["table_name"] for r in changed.rule_rows} == {"editor_ranking", "page_ranking", "editor_profile", "page_profile"}
-    assert T.read_table(spark, base, "page_profile").count() == 5
-
-
 @pytest.mark.parametrize(
     "args", [["run", "--base", "/nowhere"], ["run", "--base", "/nowhere", "--layer", "landing"]]
 )

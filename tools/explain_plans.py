@@ -19,7 +19,7 @@ from editflow.operators import rules as R  # noqa: E402
 from editflow.operators.activity import hourly_activity  # noqa: E402
 from editflow.operators.clean import clean_edits  # noqa: E402
 from editflow.operators.profiles import editor_profile, page_profile  # noqa: E402
-from editflow.operators.rankings import EDITOR_RANKING, PAGE_RANKING, key_state, rank_from_state  # noqa: E402
+from editflow.operators.rankings import rank_editors, rank_pages  # noqa: E402
 from editflow.plans.runner import run_layer  # noqa: E402
 from editflow.session import local_session, scratch_dir  # noqa: E402
 from editflow.sources import tables as T  # noqa: E402
@@ -37,18 +37,10 @@ def main(argv):
     result = run_layer(spark, "landing", f"{work}/t", source_dir=f"{work}/incoming")
     run_layer(spark, "bronze", f"{work}/t", result=result)
     clean = T.read_table(spark, f"{work}/t", "edits_clean")
-    # the rankings as the runner builds them: from stored per-key partials
-    partials = {}
-    for spec in (EDITOR_RANKING, PAGE_RANKING):
-        path = f"{work}/partials_{spec.count_column}"
-        key_state(clean, spec).write.parquet(path)
-        partials[spec.count_column] = spark.read.parquet(path)
-    editors = rank_from_state(clean, partials["total_edits"], EDITOR_RANKING)
-    pages = rank_from_state(clean, partials["edit_count"], PAGE_RANKING)
+    editors, pages = rank_editors(clean), rank_pages(clean)
     steps = {
         "edits_clean": R.apply_rules(clean_edits(read_landed(spark, result.tables["edits_raw"])), R.CLEAN_RULES),
         "hourly_activity": hourly_activity(clean),
-        "ranking_partials": key_state(clean, PAGE_RANKING),
         "editor_ranking": R.apply_rules(editors, R.EDITOR_RANKING_RULES),
         "page_ranking": R.apply_rules(pages, R.PAGE_RANKING_RULES),
         "editor_profile": editor_profile(editors),
