@@ -48,16 +48,18 @@ def _codes(s: str) -> np.ndarray:
 
 
 class MarkovRatio:
-    """Log-likelihood ratio of two character bigram models with additive smoothing."""
+    """Log-likelihood ratio of two character bigram models, each interpolated with its character frequencies."""
 
-    def __init__(self, secrets: Iterable[str], ordinary: Iterable[str]):
+    def __init__(self, secrets: Iterable[str], ordinary: Iterable[str], weight: float = 5.0):
         logs = []
         for strings in (secrets, ordinary):
-            counts = np.full((len(_ALPHABET) + 1,) * 2, 0.05)
+            counts = np.zeros((len(_ALPHABET) + 1,) * 2)
             for s in strings:
                 c = _codes(s)
                 np.add.at(counts, (c[:-1], c[1:]), 1)
-            logs.append(np.log(counts / counts.sum(axis=1, keepdims=True)))
+            single = counts.sum(axis=0) + 0.5
+            single /= single.sum()
+            logs.append(np.log((counts + weight * single) / (counts.sum(axis=1, keepdims=True) + weight)))
         self.ratio = logs[0] - logs[1]
 
     def score(self, s: str) -> float:
