@@ -18,10 +18,10 @@ import re
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,18 +32,20 @@ SPACE = "▁"
 #: No piece goes on from a letter into a marked space, or holds a line end (``load`` sees to both), so a text's best
 #: segmentation is that of its marked words.
 _WORDS = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n|[^{SPACE}\n]+")
-CACHED_WORDS, CACHED_PAIRS = 500_000, 300_000
+CACHED_WORDS, CACHED_PAIRS = 700_000, 300_000
+#: Code points of text that are encoded together: the more, the fewer words are looked up again.
+ENCODED_CHARS = 4_000_000
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MODEL_LIMIT = 64 << 20
 
 
-def marked_words(text: str) -> list[str]:
-    """The words of a text with its spaces marked, a line end being one; some may be empty."""
+def marked_words(text: str) -> str:
+    """The words of a text with its spaces marked, a line end being one, joined by spaces; some may be empty."""
     if not text:
-        return []
+        return ""
     if "  " in text or text[0] == " " or SPACE in text:
-        return _WORDS.findall(SPACE + text.replace(" ", SPACE))
-    return (SPACE + text.replace(" ", " " + SPACE).replace("\n", " \n ")).split(" ")
+        return " ".join(_WORDS.findall(SPACE + text.replace(" ", SPACE)))
+    return SPACE + text.replace(" ", " " + SPACE).replace("\n", " \n ")
 
 
 @dataclass
@@ -141,27 +143,39 @@ class Pieces:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and the number of ids of each."""
-        marked = [marked_words(t) for t in texts]
-        distinct = set(chain.from_iterable(marked))
+        marked = pc.split_pattern(pa.array([marked_words(t) for t in texts], pa.large_string()), " ")
+        coded = marked.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
         if len(self.number) + len(distinct) > CACHED_WORDS:
             self.number.clear()
             self.ids, self.begin, self.size = array("i"), array("q"), array("q")
-        self.learn(distinct - self.number.keys())
-        n_words = np.fromiter(map(len, marked), np.int64, len(marked))
-        words = chain.from_iterable(marked)
-        at = np.fromiter(map(self.number.__getitem__, words), np.int64, int(n_words.sum()))
+        self.learn(set(distinct) - self.number.keys())
+        number = np.fromiter(map(self.number.__getitem__, distinct), np.int64, len(distinct))
+        at = number[coded.indices.to_numpy()]
         flat, begin, size = (np.array(x) for x in (self.ids, self.begin, self.size))
         sizes = size[at]
         ends = np.cumsum(sizes)
         ids = flat[np.repeat(begin[at] - (ends - sizes), sizes) + np.arange(int(sizes.sum()))]
-        bounds = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(n_words)))]
+        bounds = np.concatenate(([0], ends))[marked.offsets.to_numpy()]
         return ids.astype(np.int32), np.diff(bounds)
 
-    def decode(self, ids: list[int]) -> str:
-        """The text of some ids; invalid bytes become U+FFFD, ids out of range and control pieces nothing."""
-        known = self.bytes_of
-        raw = b"".join([known[i] for i in ids if 0 <= i < len(known)]).decode("utf-8", "replace")
-        return raw.replace(SPACE, " ")[1:] if raw.startswith(SPACE) else raw.replace(SPACE, " ")
+    def decode(self, ids: np.ndarray, sizes: np.ndarray) -> list[str]:
+        """Texts of ids one after another: invalid bytes become U+FFFD, ids out of range and control pieces nothing."""
+        space = SPACE.encode()
+        pool = [b.replace(space, b" ") for b in self.bytes_of] + [b""]
+        length = np.fromiter(map(len, pool), np.int64, len(pool))
+        begin = np.cumsum(length) - length
+        marks = np.array([b.startswith(space) for b in self.bytes_of] + [False])
+        ids = np.where((ids >= 0) & (ids < len(self.bytes_of)), ids, len(self.bytes_of))
+        n = length[ids]
+        ends = np.cumsum(n)
+        raw = np.frombuffer(b"".join(pool), dtype=np.uint8)[np.repeat(begin[ids] - (ends - n), n) + np.arange(int(n.sum()))]
+        edges = np.cumsum(sizes)
+        first = np.minimum(edges - sizes, max(len(ids) - 1, 0))
+        lead = (sizes > 0) & (marks[ids[first]] if len(ids) else False)  # the space before the first word was added
+        bounds = np.concatenate(([0], ends))
+        spans = zip((bounds[edges - sizes] + lead).tolist(), bounds[edges].tolist())
+        return [raw[a:b].tobytes().decode("utf-8", "replace") for a, b in spans]
 
 
 def load(path: str = MODEL) -> Pieces:
@@ -209,7 +223,7 @@ def encode(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", model:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = shared.value
         for batch in batches:
-            for part, texts in slices(batch, "text"):
+            for part, texts in slices(batch, "text", ENCODED_CHARS):
                 ids, sizes = pieces.encode(texts)
                 offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32())
                 yield pa.RecordBatch.from_arrays(
@@ -230,8 +244,10 @@ def decode(df: DataFrame, ids_col: str = "ids", id_col: str = "doc_id", model: s
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                texts = [pieces.decode(ids or ()) for ids in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=["id", "ids", "text"])
+                lists = part.column(1)
+                sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+                ids = pc.fill_null(lists.flatten(), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(pieces.decode(ids, sizes), pa.string())], names=["id", "ids", "text"])
 
     schema = T.StructType([*rows.schema.fields, T.StructField("text", T.StringType())])
     return rows.mapInArrow(run, schema).withColumnsRenamed({"id": id_col, "ids": ids_col})
