@@ -32,9 +32,9 @@ SPACE = "▁"
 #: No piece goes on from a letter into a marked space, or holds a line end (``load`` sees to both), so a text's best
 #: segmentation is that of its marked words.
 _WORDS = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n|[^{SPACE}\n]+")
-CACHED_WORDS, CACHED_PAIRS = 700_000, 300_000
+CACHED_WORDS, CACHED_PAIRS = 500_000, 300_000
 #: Code points of text that are encoded together: the more, the fewer words are looked up again.
-ENCODED_CHARS = 4_000_000
+ENCODED_CHARS = 2_500_000
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MODEL_LIMIT = 64 << 20
 
