@@ -10,6 +10,8 @@ block and a place in it, such that each block holds the target mixture.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -172,7 +174,7 @@ def mix(
     text_col: str = "text",
     source_col: str = "source",
     id_col: str = "doc_id",
-    n_blocks: int = 64,
+    rows_per_block: int = 4096,
     budget_ratio: float = 1.0,
     max_repeats: float | None = 1.25,
     entropy: float | None = None,
@@ -180,13 +182,14 @@ def mix(
 ) -> DataFrame:
     """The rows of ``df``, each as often as ``mix_plan`` says, dealt to blocks in order.
 
-    Every copy goes to one of ``n_blocks`` blocks, which hold about the same
-    number of tokens in the target proportions; a partition holds whole blocks,
+    Every copy goes to one of as many blocks as make about ``rows_per_block``
+    rows each, all in the target proportions; a partition holds whole blocks,
     each in the order of a pseudo-random permutation. The columns are those of
     ``df``.
     """
     slim = _slim(df, text_col, source_col, id_col, seed)
     ends, small = _source_ends(slim, budget_ratio, max_repeats, entropy)
+    n_blocks = max(1, math.ceil(slim.count() / rows_per_block))
     names = {c: f"c{i}" for i, c in enumerate(df.columns)}
     rows = pick(df, **{new: c for c, new in names.items()})
     id_, source = F.col(names[id_col]), F.col(names[source_col])
@@ -195,7 +198,7 @@ def mix(
     taken = taken.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1)))
     block = F.floor((F.col("epoch") + _place()) / F.col("copies") * n_blocks).cast("int")
     taken = taken.withColumns({"block": block, "position": F.xxhash64(F.lit(seed), "id", "epoch")})
-    taken = taken.repartition(n_blocks, "block").sortWithinPartitions("block", "position")
+    taken = taken.repartition("block").sortWithinPartitions("block", "position")
     return taken.select(*(F.col(new).alias(c) for c, new in names.items()))
 
 
