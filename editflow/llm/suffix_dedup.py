@@ -25,7 +25,7 @@ from .common import pick, slices, stored
 GRAM = 24
 #: Symbols of the fragments whose transform is built together; different fragments of one minimizer that may meet there.
 BATCH_SYMBOLS, HOT_CLASSES = 1 << 20, 2048
-#: How often the fragments of such a minimizer are cut again by another one.
+#: How often the fragments of such a minimizer are cut again: by another one, and the last time into single windows.
 LEVELS = 8
 _TABLE = np.random.default_rng(20).integers(0, 2**64, 256, dtype=np.uint64)
 _POWER = np.uint64(0x9E3779B97F4A7C15)
@@ -81,11 +81,41 @@ def sliding_min(h: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(h[: len(h) - (width - n)], h[width - n :]) if width > n else h
 
 
+def _no_fragments() -> tuple[np.ndarray, ...]:
+    return tuple(np.zeros(0, dtype=t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64, bool))
+
+
+def _window_starts(sizes: np.ndarray, length: int) -> np.ndarray:
+    """Where the windows begin that lie in one of the texts, which stand one after another."""
+    ends = np.cumsum(sizes)
+    # windows that would reach into the next text
+    edge = np.zeros(int(ends[-1]) + 1, dtype=np.int32)
+    np.add.at(edge, np.maximum(ends - sizes, ends - length + 1), 1)
+    np.add.at(edge, ends, -1)
+    return np.flatnonzero(np.cumsum(edge)[: int(ends[-1]) - length + 1] == 0)
+
+
+def windows(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
+    """Every window as a fragment of its own, in the columns of ``fragments``; two hashes tell the windows apart."""
+    buf = np.frombuffer(b"".join(texts), dtype=np.uint8)
+    if len(buf) < length:
+        return _no_fragments()
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    starts, h = _window_starts(sizes, length), gram_hashes(buf)
+    value = np.zeros(len(starts), dtype=np.uint64)
+    for k in (*range(0, length - GRAM, GRAM), length - GRAM):  # grams that cover the window
+        value = value * _POWER + h[starts + k]
+    ends = np.cumsum(sizes)
+    text = np.searchsorted(ends, starts, side="right")
+    same = range_hashes(buf, starts, starts + length)
+    return text, starts - (ends - sizes)[text], np.full(len(starts), length), value, same, np.zeros(len(starts), dtype=bool)
+
+
 def fragments(texts: list[bytes], length: int, level: int = 0) -> tuple[np.ndarray, ...]:
     """(text number, start, size, minimizer, hash, whether a window may repeat inside) of all fragments."""
     buf = np.frombuffer(b"".join(texts), dtype=np.uint8)
     if len(buf) < length:
-        return tuple(np.zeros(0, dtype=t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64, bool))
+        return _no_fragments()
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     ends = np.cumsum(sizes)
     h = gram_hashes(buf)
@@ -94,14 +124,9 @@ def fragments(texts: list[bytes], length: int, level: int = 0) -> tuple[np.ndarr
         h ^= h >> np.uint64(32)
     width = length - GRAM + 1
     least = sliding_min(h, width)
-    # windows that would reach into the next text
-    edge = np.zeros(len(buf) + 1, dtype=np.int32)
-    np.add.at(edge, np.maximum(ends - sizes, ends - length + 1), 1)
-    np.add.at(edge, ends, -1)
-    inside = np.cumsum(edge)[: len(least)] == 0
-    starts = np.flatnonzero(inside)
+    starts = _window_starts(sizes, length)
     if not len(starts):
-        return tuple(np.zeros(0, dtype=t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64, bool))
+        return _no_fragments()
     value = least[starts]
     new = np.ones(len(starts), dtype=bool)
     new[1:] = (value[1:] != value[:-1]) | (starts[1:] != starts[:-1] + 1)
@@ -284,9 +309,9 @@ def remove_repeats(df: DataFrame, text_col: str = "text", id_col: str = "doc_id"
     def cut_again(level: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names = ("value", "same", "id", "start", "size", "rep", "frag")
-            for batch in batches:
+            for batch in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
                 raw = batch.column(3).to_pylist()
-                text, start, size, value, same, rep = fragments(raw, length, level)
+                text, start, size, value, same, rep = fragments(raw, length, level) if level < LEVELS else windows(raw, length)
                 old = batch.column(0).to_numpy().view(np.uint64)[text]
                 value = (value + old * _POWER) ^ (old >> np.uint64(31))
                 own = batch.column(2).to_numpy()[text] + start
@@ -325,9 +350,11 @@ def remove_repeats(df: DataFrame, text_col: str = "text", id_col: str = "doc_id"
     again_type = T.StructType.fromDDL("value bigint, same bigint, id bigint, start int, size int, rep boolean, frag binary")
     level = 0
     while mixed is not None:
-        # Groups of very many different fragments are cut again by another minimizer; what is equal is aggregated anew.
-        hot = mixed.where(F.col("size_of") > (HOT_CLASSES if level < LEVELS else 1 << 62))
-        near = mixed.where(F.col("size_of") <= (HOT_CLASSES if level < LEVELS else 1 << 62)).drop("size_of")
+        # Groups of very many different fragments are cut again; what is equal is aggregated anew. Single windows,
+        # the last cut, are equal or different as a whole: hardly any group is left to compare after them.
+        most = HOT_CLASSES if level < LEVELS else 1 << 62
+        hot = mixed.where(F.col("size_of") > most)
+        near = mixed.where(F.col("size_of") <= most).drop("size_of")
         gone = gone.unionByName(near.repartition("value").sortWithinPartitions("value").mapInArrow(compare, ranges))
         mixed = None
         if hot.limit(1).count():

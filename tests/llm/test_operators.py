@@ -74,6 +74,18 @@ def test_repeats_match_brute_force(spark, monkeypatch, hot):
     assert {x["doc_id"]: bytes(x["kept"]) for x in got.collect()} == brute_removed(rows, 100)
 
 
+@pytest.mark.parametrize("levels", [1, 2])
+def test_repeats_by_single_windows(spark, monkeypatch, levels):
+    """Every group of a minimizer with two fragments or more is hot, down to windows of their own."""
+    monkeypatch.setattr(suffix_dedup, "HOT_CLASSES", 1)
+    monkeypatch.setattr(suffix_dedup, "LEVELS", levels)
+    passage = prose(60, 78)
+    rows = [(i, prose(30, 500 + i) + passage[i : 150 + 3 * i] + prose(9, 600 + i)) for i in range(30)]
+    rows += [(40, "ab" * 300), (41, None), (42, passage + passage)]
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {x["doc_id"]: bytes(x["kept"]) for x in got.collect()} == brute_removed(rows, 100)
+
+
 def test_repeats_on_odd_rows(odd, empty):
     rows = [(r[0], r[1]) for r in odd_rows()]
     want = brute_removed(rows, 100)
