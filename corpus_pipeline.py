@@ -10,13 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from editflow.llm import jaccard, langid, mixing, pieces, pii
-from editflow.llm.common import stored
+from editflow.llm.common import pick, stored
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that was learned; those without a letter (``und``) go."""
-    found = langid.identify(docs, langid.learn(docs.where(~langid.held_out())), carry=["text", "lang", "source", "n_chars"])
-    return found.where(F.col("lang_pred") != langid.UNKNOWN).select(*docs.columns)
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}  # they may be named like the operator's own
+    rest = [new for c, new in names.items() if c != "doc_id"]
+    found = langid.identify(
+        pick(docs, **{new: c for c, new in names.items()}), langid.learn(docs.where(~langid.held_out())), names["text"], names["doc_id"], rest
+    )
+    found = found.where(F.col("lang_pred") != langid.UNKNOWN)
+    return found.select(*(F.col(new).alias(c) for c, new in names.items()))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -181,7 +181,7 @@ def identify(
     ``df`` are not read.
     """
     spark = df.sparkSession
-    along = {f"c{i}": c for i, c in enumerate(carry)}
+    along = {f"carried{i}": c for i, c in enumerate(carry)}
     rows = pick(df, id=id_col, text=text_col, **along).withColumn(
         "has", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     )

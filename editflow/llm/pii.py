@@ -186,11 +186,12 @@ def mask(
     base spans are found again in the row. Rows without an id get base spans only.
     """
     added = _context_spans(_scanned(df, text_col, id_col), rounds, support, confidence, accept)
-    added = added.where(F.col("id").isNotNull()).select(F.col("id").alias("pii_id"), F.col("added").alias("pii_added"))
-    text = F.col(f"`{text_col}`")
-    joined = df.join(added, F.col(f"`{id_col}`") == F.col("pii_id"), "left")
-    joined = joined.withColumn("pii_found", _named(base_spans(_clean(text)), F.col("pii_added")))
-    return joined.withColumn(text_col, masked(text, F.col("pii_found"))).select(*(F.col(f"`{c}`") for c in df.columns))
+    names = {c: f"c{i}" for i, c in enumerate(df.columns)}  # the columns of df may be named like those of this function
+    rows, text = pick(df, **{new: c for c, new in names.items()}), F.col(names[text_col])
+    joined = rows.join(added.where(F.col("id").isNotNull()), F.col(names[id_col]) == F.col("id"), "left")
+    joined = joined.withColumn("found", _named(base_spans(_clean(text)), F.col("added")))
+    joined = joined.withColumn(names[text_col], masked(text, F.col("found")))
+    return joined.select(*(F.col(new).alias(c) for c, new in names.items()))
 
 
 def masked(text: Column, found: Column) -> Column:

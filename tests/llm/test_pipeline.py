@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from editflow.llm import pieces
 from editflow.llm.common import stored
@@ -45,5 +47,19 @@ def test_stages_on_odd_rows(spark):
             some.count()
 
 
+def test_stages_carry_other_columns(spark):
+    docs = spark.read.parquet(f"{SF0001}/documents.parquet")
+    extra = ["lang_pred", "score", "id", "kept", "found", "added", "tokens", "h", "block", "c0", "carried0", "a b"]
+    docs = docs.select(*docs.columns, *(F.concat(F.col("doc_id").cast("string"), F.lit(c)).alias(c) for c in extra))
+    columns, n = docs.columns, docs.count()
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stored(stage(spark, docs, SF0001), name)
+        assert docs.columns == columns
+        same = [F.col(f"`{c}`") == F.concat(F.col("doc_id").cast("string"), F.lit(c)) for c in extra]
+        assert docs.where(~F.array_min(F.array(*same))).count() == 0
+        assert n / 2 < docs.count() < 2 * n
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF0001).count() == docs.count()
+
+
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF0001).columns == ["doc_id", "ids"]
