@@ -267,7 +267,8 @@ def _surviving(tree: CoverTree, gaps, norms, center, radius, worst) -> list[int]
             continue  # no vector lies there
         c = tree.centers[node]
         bound = min(center @ c + radius * np.linalg.norm(c) + high * gaps[node], high * norms[node])
-        if bound * (1 + 1e-9) + 1e-6 < worst:
+        rounding = 1e-9 * high * (np.linalg.norm(c) + gaps[node]) + 1e-6  # of sums whose terms may cancel
+        if bound + rounding < worst:
             continue
         kids = tree.children[node]
         stack.extend(kids)
