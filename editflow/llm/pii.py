@@ -132,11 +132,12 @@ def find(
     and then by kind as in ``KINDS``: the base patterns' spans, and ``context``
     spans that the bootstrapped patterns add where no base span overlaps. Null
     and empty texts have none; repeated rows are each answered (an id names one
-    text); an empty table gives no rows; other columns are not read.
+    text); rows without an id get base spans only; an empty table gives no
+    rows; other columns are not read.
     """
     scanned = _scanned(df, text_col, id_col)
     added = _context_spans(scanned, rounds, support, confidence, accept)
-    joined = scanned.select("own", "base").join(added, F.col("own").eqNullSafe(F.col("id")), "left")
+    joined = scanned.select("own", "base").join(added, F.col("own") == F.col("id"), "left")
     return joined.select(F.col("own").alias(id_col), _named(F.col("base"), F.col("added")).alias("found"))
 
 
@@ -158,7 +159,7 @@ def _context_spans(scanned: DataFrame, rounds: int, support: int, confidence: fl
     sides = (F.when(F.length(c) > 0, F.concat_ws(" ", F.lit(c), c, "shape")) for c in ("left", "right"))
     graph = tokens.select("id", "start", "end", "instance", "known", F.explode(F.array_compact(F.array(*sides))).alias("pattern"))
     patterns = learn_patterns(graph.select("pattern", "instance", "known"), rounds, support, confidence, accept)
-    added = graph.where(~F.col("known")).join(patterns, "pattern", "left_semi")
+    added = graph.where(~F.col("known") & F.col("id").isNotNull()).join(patterns, "pattern", "left_semi")
     return added.groupBy("id").agg(F.collect_set(F.struct("start", F.lit(4).alias("kind"), "end")).alias("added"))
 
 
@@ -188,7 +189,7 @@ def mask(
     added = _context_spans(_scanned(df, text_col, id_col), rounds, support, confidence, accept)
     names = {c: f"c{i}" for i, c in enumerate(df.columns)}  # the columns of df may be named like those of this function
     rows, text = pick(df, **{new: c for c, new in names.items()}), F.col(names[text_col])
-    joined = rows.join(added.where(F.col("id").isNotNull()), F.col(names[id_col]) == F.col("id"), "left")
+    joined = rows.join(added, F.col(names[id_col]) == F.col("id"), "left")
     joined = joined.withColumn("found", _named(base_spans(_clean(text)), F.col("added")))
     joined = joined.withColumn(names[text_col], masked(text, F.col("found")))
     return joined.select(*(F.col(new).alias(c) for c, new in names.items()))
