@@ -157,10 +157,11 @@ def _source_ends(slim: DataFrame, budget_ratio: float, max_repeats: float | None
         )
         after = F.shiftleft(F.col("prefix") + 1, LEVEL_BITS)
         open_ = cut(nxt.select("source", (F.col("left") - F.coalesce("taken", F.lit(0))).alias("left"), F.coalesce("bin", after).alias("prefix")))
-    # Within the last range, about one document in 2^30 of a source, the documents count one by one.
+    # Within the last range, about one document in 2^30 of a source, the ids count one by one.
     shift = 63 - LEVEL_BITS * LEVELS
     edge = _beside(slim, open_, small).where(F.shiftright("h", shift) == F.col("prefix"))
     order = Window.partitionBy("source").orderBy("h", "id")
+    edge = edge.groupBy("source", "h", "id").agg(F.sum("tokens").alias("tokens"), F.first("left").alias("left"))  # repeated rows
     edge = edge.withColumn("upto", F.sum("tokens").over(order)).where(F.col("upto") <= F.col("left"))
     last = edge.groupBy("source").agg(F.max(F.struct("h", "id")).alias("last"))
     ends = targets.join(open_, targets["source"].eqNullSafe(open_["source"]), "left").select(targets["*"], "prefix")
