@@ -169,6 +169,14 @@ def test_pii_patterns_discover_identifiers(spark):
     assert masked[0] == "pay card [CARD] now" and masked[10] == "pay card [CONTEXT] now" and masked[12] == rows[-1][1]
 
 
+def test_pii_rows_without_an_id(spark):
+    good = ["4111111111111111", "5500005555555559", "340000000000009", "6011000990139424", "30569309025904", "4012888888881881"]
+    rows = [*((i, f"pay card {c} now") for i, c in enumerate(good)), (None, "pay card 4111111111111112 now"), (None, "a@b.co")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [[tuple(s) for s in r["found"]] for r in pii.find(df, confidence=0.6).where("doc_id is null").collect()]
+    assert sorted(found) == [[], [("email", 0, 6)]]
+
+
 def test_pii_on_odd_rows(spark, odd, empty):
     assert pii.find(odd).count() == len(odd_rows()) and pii.find(empty).count() == 0
     assert pii.mask(odd).select("text").collect() and pii.mask(odd).columns == odd.columns
@@ -216,6 +224,13 @@ def test_mixture_reaches_an_entropy(spark):
     assert abs(-sum(x * np.log(x) for x in w.values()) - 0.6) < 1e-6
 
 
+def test_mixture_of_rows_without_an_id(spark):
+    df = spark.createDataFrame([(None, "a b c", "s")] * 500 + [(i, "a b", "s") for i in range(40)], "doc_id long, text string, source string")
+    plan = mixing.mix_plan(df, budget_ratio=0.5, max_repeats=None, entropy=0.0).collect()
+    taken = sum(r["copies"] * r["tokens"] for r in plan)
+    assert len(plan) == 540 and taken <= 790 and len({r["copies"] for r in plan if r["doc_id"] is None}) == 1
+
+
 def test_mixture_on_odd_rows(odd, empty):
     plan = mixing.mix_plan(odd).collect()
     assert len(plan) == len(odd_rows()) and all(r["copies"] >= 0 for r in plan)
@@ -242,6 +257,13 @@ def test_topk_matches_brute_force(spark):
     assert not got and topk.top_k(df.limit(0), F.col("id") % 20 == 0).count() == 0
 
 
+def test_pruning_keeps_equal_negative_scores():
+    tree = topk.CoverTree(np.array([[-1000.0, 0.0]] * 20))
+    gaps, norms = np.zeros(len(tree.parents)), np.full(len(tree.parents), 1000.0)
+    query = np.array([1000.0, 0.0])
+    assert topk._surviving(tree, gaps, norms, query, 0.0, -1e6) and not topk._surviving(tree, gaps, norms, query, 0.0, -1e6 + 1)
+
+
 # -- 6: secrets ----------------------------------------------------------------
 
 def brute_secrets(t):
