@@ -9,8 +9,8 @@ distinct count, so the distinct count is only computed for the winners:
    one row per key per task;
 2. take the top ``n`` keys with a total order (count desc, keys asc NULLs
    first) - ``TakeOrderedAndProject``, no global sort;
-3. keep only the rows of those keys with a null-safe left-semi join whose
-   build side is the top-``n`` table: at most ``n`` rows, broadcast;
+3. keep only the rows of those keys with a null-safe left-semi join against
+   the top-``n`` table; Spark plans it from the size of the ``limit``;
 4. compute every statistic (exact distinct count included) on those rows and
    order/limit again.
 
