@@ -1,10 +1,12 @@
 """Personal data: base patterns and bootstrapped contextual extraction, in DataFrame functions only.
 
 Entities that the base patterns find are the seeds. The words beside them are
-lexical patterns; patterns and the identifier-like tokens they stand beside
-form a graph, which is scored in rounds: a pattern by the share of its
+lexical patterns: one word with a coarse class of what it stands beside, or
+two words whatever that is. Patterns and the identifier-like tokens they stand
+beside form a graph, which is scored in rounds: a pattern by the share of its
 instances that are known, an instance by its patterns. Identifiers beside
-high-confidence patterns that no base pattern finds are added.
+high-confidence patterns that no base pattern finds are added, whatever their
+length and format.
 """
 
 from __future__ import annotations
@@ -24,8 +26,15 @@ _EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-
 _IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"
 _CARD = r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){11,18}+(?![ -]?[0-9])"
 _PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
-#: An identifier-like token: a run without white space that holds an @ or six digits.
-_TOKEN = r"(?<!\S)(?=\S*+(?<=@)|[^\s@]*+@|(?:[^\s0-9]*+[0-9]){6})\S++"
+#: Digits that make a token without an @ identifier-like.
+_DIGITS = 5
+#: An identifier-like token: up to four short numbers and the one that they lead to, each after one space; or a run
+#: without white space that holds an @ or enough digits. Numbers with fewer digits in all are left out later.
+_LEAD = r"[+(]*+[0-9]{1,4}+\)?+[ \xa0](?=[+(]*+[0-9])"
+_TOKEN = rf"(?<!\S)(?:(?:{_LEAD}){{0,4}}+[+(]*+[0-9]\S*+|(?=[^\s@]*+@|(?:[^\s0-9]*+[0-9]){{{_DIGITS}}})\S++)"
+_HAS_TOKEN = rf"@|(?:[0-9][^\s0-9]*+[ \xa0]?+[^\s0-9]*+){{{_DIGITS}}}"
+#: The words of a pattern are runs of letters and digits within so many characters of the slot.
+_WORD, _NEAR = r"[\p{L}\p{N}]+", 128
 _EMPTY = "array<struct<start:bigint,kind:int,end:bigint,value:string>>"
 
 
@@ -72,27 +81,43 @@ def base_spans(text: Column) -> Column:
 
 
 def _occurrences(text: Column, base: Column) -> Column:
-    """Identifier-like tokens with the words beside them, and whether a base span overlaps them."""
-    tokens = F.when(text.rlike("@|(?:[0-9]\\S*){6}"), marked_spans(text, _TOKEN, 4)).otherwise(F.array().cast(_EMPTY))
+    """Base spans, and identifier-like tokens that none overlaps, with their coarse class and the two words on either side."""
 
-    def about(s: Column) -> Column:
-        before = F.substr(text, F.greatest(s["start"] - 63, F.lit(1)), F.least(s["start"], F.lit(64)))
-        after = F.substr(text, s["end"] + 1, F.lit(64))
+    def place(s: Column) -> Column:
         core = F.regexp_extract(s["value"], r"^[^\w+@]*+(.*?)[^\w]*$", 1)
-        lead = F.length(F.regexp_extract(s["value"], r"^[^\w+@]*+", 0))
-        start = s["start"] + lead
-        end = start + F.length(core)
+        start = s["start"] + F.length(F.regexp_extract(s["value"], r"^[^\w+@]*+", 0))
+        return F.struct(start.alias("start"), (start + F.length(core)).alias("end"), core.alias("value"), F.lit(False).alias("known"))
+
+    def free(s: Column) -> Column:
+        like = s["value"].contains("@") | (F.length(_digits(s["value"])) >= _DIGITS)
+        return like & ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+
+    def about(s: Column) -> Column:
+        before = F.substr(text, F.greatest(s["start"] - (_NEAR - 1), F.lit(1)), F.least(s["start"], F.lit(_NEAR)))
+        after = F.substr(text, s["end"] + 1, F.lit(_NEAR))
+        words = lambda c: F.regexp_extract_all(F.lower(c), F.lit(_WORD), 0)
+        kind = F.when(s["value"].contains("@"), "address").when(s["value"].rlike(r"\p{L}"), "code").otherwise("number")
         return F.struct(
-            start.alias("start"),
-            end.alias("end"),
-            F.lower(core).alias("instance"),
-            F.regexp_replace(F.regexp_replace(core, "[0-9]", "9"), r"\p{L}", "a").alias("shape"),
-            F.lower(F.regexp_extract(before, r"(\S+)\s*$", 1)).alias("left"),
-            F.lower(F.regexp_extract(after, r"^\s*(\S+)", 1)).alias("right"),
-            F.exists(base, lambda b: (b["start"] < end) & (start < b["end"])).alias("known"),
+            s["start"].alias("start"),
+            s["end"].alias("end"),
+            F.lower(s["value"]).alias("instance"),
+            kind.alias("class"),
+            F.slice(F.reverse(words(before)), 1, 2).alias("left"),
+            F.slice(words(after), 1, 2).alias("right"),
+            s["known"].alias("known"),
         )
 
-    return F.filter(F.transform(tokens, about), lambda o: o["start"] < o["end"])
+    tokens = F.when(text.rlike(_HAS_TOKEN), marked_spans(text, _TOKEN, 4)).otherwise(F.array().cast(_EMPTY))
+    seeds = F.transform(base, lambda s: F.struct(s["start"], s["end"], s["value"], F.lit(True).alias("known")))
+    return F.transform(F.concat(seeds, F.filter(F.transform(tokens, place), free)), about)
+
+
+def _patterns() -> Column:
+    """The patterns that an occurrence stands beside: a word and the class, two words of a side, a word of either side."""
+    first, second = (lambda c: F.get(F.col(c), F.lit(0))), (lambda c: F.get(F.col(c), F.lit(1)))
+    one = [F.concat(F.lit(f"{c} "), first(c), F.lit(" "), F.col("class")) for c in ("left", "right")]
+    two = [F.concat(F.lit(f"two {c} "), first(c), F.lit(" "), second(c)) for c in ("left", "right")]
+    return F.array_compact(F.array(*one, *two, F.concat(F.lit("between "), first("left"), F.lit(" "), first("right"))))
 
 
 def learn_patterns(
@@ -146,7 +171,7 @@ def _clean(text: Column) -> Column:
 
 
 def _scanned(df: DataFrame, text_col: str, id_col: str) -> DataFrame:
-    """(own, base, tokens) of each row: base spans and identifier-like tokens, stored."""
+    """(own, base, tokens) of each row: base spans, and them and identifier-like tokens with their words, stored."""
     base = pick(df, own=id_col, text=text_col).withColumn("text", _clean(F.col("text")))
     base = base.withColumn("base", base_spans(F.col("text")))
     return stored(base.select("own", "base", _occurrences(F.col("text"), F.col("base")).alias("tokens")), "pii")
@@ -155,9 +180,7 @@ def _scanned(df: DataFrame, text_col: str, id_col: str) -> DataFrame:
 def _context_spans(scanned: DataFrame, rounds: int, support: int, confidence: float, accept: float) -> DataFrame:
     """(id, added): the spans that high-confidence patterns add to each id's text."""
     tokens = scanned.where(F.size("tokens") > 0).select(F.col("own").alias("id"), F.explode("tokens").alias("t")).select("id", "t.*")
-    # A pattern is a word on one side, and the shape of the token that stands beside it.
-    sides = (F.when(F.length(c) > 0, F.concat_ws(" ", F.lit(c), c, "shape")) for c in ("left", "right"))
-    graph = tokens.select("id", "start", "end", "instance", "known", F.explode(F.array_compact(F.array(*sides))).alias("pattern"))
+    graph = tokens.select("id", "start", "end", "instance", "known", F.explode(_patterns()).alias("pattern"))
     patterns = learn_patterns(graph.select("pattern", "instance", "known"), rounds, support, confidence, accept)
     added = graph.where(~F.col("known") & F.col("id").isNotNull()).join(patterns, "pattern", "left_semi")
     return added.groupBy("id").agg(F.collect_set(F.struct("start", F.lit(4).alias("kind"), "end")).alias("added"))

@@ -169,6 +169,22 @@ def test_pii_patterns_discover_identifiers(spark):
     assert masked[0] == "pay card [CARD] now" and masked[10] == "pay card [CONTEXT] now" and masked[12] == rows[-1][1]
 
 
+def test_pii_patterns_discover_other_formats(spark):
+    rows = [(i, f"{w} my phone +1555123{4567 + i} {x}") for i, (w, x) in enumerate(zip(WORDS[:40], WORDS[40:80]))]
+    rows += [(100 + i, f"{w} paid from account <{w}.{i}@example.com>, {x}") for i, (w, x) in enumerate(zip(WORDS[80:120], WORDS[120:160]))]
+    new = {  # no seed has any of these formats
+        200: "so phone: 555-123-4567, ok", 201: "or phone (555) 987 6543 ok", 202: "a phone 0049/8912345 ok", 203: "his phone 98765 is off",
+        204: "it paid from account GB29-NWBK-6016, ok", 205: "the Account bob@localhost is new",
+    }
+    want = {200: (10, 22), 201: (10, 23), 202: (8, 20), 203: (10, 15), 204: (21, 35), 205: (12, 25)}
+    clean = ["born in 1987 or 1988", "order 123456 shipped", "my phone is old", "phone 3 of 12", "build 20240101x of it", "see account 7"]
+    rows += [*new.items(), *((300 + i, t) for i, t in enumerate(clean))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: [tuple(s) for s in r["found"]] for r in pii.find(df).collect()}
+    assert {i: found[i] for i in new} == {i: [("context", *want[i])] for i in new}
+    assert all(found[300 + i] == [] for i in range(len(clean))) and all(len(found[i]) == 1 for i in range(40))
+
+
 def test_pii_rows_without_an_id(spark):
     good = ["4111111111111111", "5500005555555559", "340000000000009", "6011000990139424", "30569309025904", "4012888888881881"]
     rows = [*((i, f"pay card {c} now") for i, c in enumerate(good)), (None, "pay card 4111111111111112 now"), (None, "a@b.co")]
