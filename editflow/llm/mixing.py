@@ -5,7 +5,8 @@ by bisection so that the weights meet a target entropy or a repetition limit.
 The weights are realised within a token budget: every document of a source is
 taken as often as whole passes fit, and a last part of a pass takes the
 documents that come first in a pseudo-random permutation. Every copy gets a
-block and a place in it, such that each block holds the target mixture.
+block and a place in it by other hashes, which know nothing of that cut, such
+that each block holds the target mixture up to chance.
 """
 
 from __future__ import annotations
@@ -119,10 +120,37 @@ def _hash(seed: int, id_: Column, source: Column) -> Column:
 
 
 def _slim(df: DataFrame, text_col: str, source_col: str, id_col: str, seed: int) -> DataFrame:
-    """(id, source, tokens, h) of each row, stored."""
+    """(id, source, tokens, h, spot) of each row, stored."""
     rows = pick(df, id=id_col, text=text_col, source=source_col)
     tokens, h = word_count(F.col("text")), _hash(seed, F.col("id"), F.col("source"))
-    return stored(rows.select("id", "source", tokens.alias("tokens"), h.alias("h")), "mix")
+    spot = _spot(seed, F.col("id"), F.col("source"), F.col("text"))
+    return stored(rows.select("id", "source", tokens.alias("tokens"), h.alias("h"), spot.alias("spot")), "mix")
+
+
+def _spot(seed: int, id_: Column, source: Column, text: Column) -> Column:
+    """A hash that is independent of the permutation's; of the text as well, which tells rows without an id apart."""
+    return F.xxhash64(F.lit("block"), F.lit(seed), id_, source, text)
+
+
+def _dealt(taken: DataFrame, n_blocks: int) -> DataFrame:
+    """Each row of (id, source, spot, copies, ...) as often as it is taken, with its epoch, block and ``turn`` in the block.
+
+    Copies of a row go to equal parts of the blocks, one each, and to the same
+    spot in them. All rows are spread alike, however often they are taken.
+    """
+    taken = taken.where(F.col("copies") > 0)
+    taken = taken.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1)))
+    spot = F.least(F.shiftrightunsigned("spot", 1) / F.lit(2.0**63), F.lit(1 - 2.0**-53))
+    block = F.least(F.floor((F.col("epoch") + spot) / F.col("copies") * n_blocks), F.lit(n_blocks - 1)).cast("int")
+    return taken.withColumns({"block": block, "turn": F.xxhash64(F.lit("turn"), "spot", "epoch")})
+
+
+def _blocks(slim: DataFrame, rows_per_block: int) -> int:
+    return max(1, math.ceil(slim.count() / rows_per_block))
+
+
+#: The order within a block.
+_ORDER = ("turn", "id", "source", "epoch")
 
 
 def _copies() -> Column:
@@ -184,22 +212,19 @@ def mix(
     """The rows of ``df``, each as often as ``mix_plan`` says, dealt to blocks in order.
 
     Every copy goes to one of as many blocks as make about ``rows_per_block``
-    rows each, all in the target proportions; a partition holds whole blocks,
-    each in the order of a pseudo-random permutation. The columns are those of
-    ``df``.
+    rows each, all in the target proportions up to chance; a partition holds
+    whole blocks, each in the order of a pseudo-random permutation. The columns
+    are those of ``df``.
     """
     slim = _slim(df, text_col, source_col, id_col, seed)
     ends, small = _source_ends(slim, budget_ratio, max_repeats, entropy)
-    n_blocks = max(1, math.ceil(slim.count() / rows_per_block))
     names = {c: f"c{i}" for i, c in enumerate(df.columns)}
     rows = pick(df, **{new: c for c, new in names.items()})
     id_, source = F.col(names[id_col]), F.col(names[source_col])
-    rows = rows.withColumns({"id": id_, "source": source, "h": _hash(seed, id_, source)})
-    taken = _beside(rows, ends, small, "left").withColumn("copies", _copies()).where(F.col("copies") > 0)
-    taken = taken.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1)))
-    block = F.floor((F.col("epoch") + _place()) / F.col("copies") * n_blocks).cast("int")
-    taken = taken.withColumns({"block": block, "position": F.xxhash64(F.lit(seed), "id", "epoch")})
-    taken = taken.repartition("block").sortWithinPartitions("block", "position")
+    spot = _spot(seed, id_, source, F.col(names[text_col]))
+    rows = rows.withColumns({"id": id_, "source": source, "h": _hash(seed, id_, source), "spot": spot})
+    taken = _dealt(_beside(rows, ends, small, "left").withColumn("copies", _copies()), _blocks(slim, rows_per_block))
+    taken = taken.repartition("block").sortWithinPartitions("block", *_ORDER)
     return taken.select(*(F.col(new).alias(c) for c, new in names.items()))
 
 

@@ -234,6 +234,28 @@ def test_mixture_matches_brute_force(spark):
     assert {r["doc_id"]: r["count"] for r in mixed} == {i: c for i, c in copies.items() if c}
 
 
+def test_blocks_hold_the_mixture(spark):
+    size = {"hot": 4000, **{f"s{i}": 1000 + 500 * i for i in range(4)}}  # the hot source is scaled down, the small ones up
+    rows = [(f"{s}-{i}", "w " * 10, s) for s, n in size.items() for i in range(n)]
+    rows += [(None, f"{i} " * 10, "none") for i in range(1000)]
+    df = spark.createDataFrame(rows, "doc_id string, text string, source string")
+    weights = {r["source"]: r["weight"] for r in mixing.mix_plan(df).select("source", "weight").distinct().collect()}
+    assert weights["hot"] < 4000 / len(rows) and weights["s0"] > 1000 / len(rows)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:  # a partition holds whole blocks
+        mixed = mixing.mix(df, rows_per_block=1500).groupBy(F.spark_partition_id().alias("p"), "source").count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = defaultdict(dict)
+    for r in mixed:
+        parts[r["p"]][r["source"]] = r["count"]
+    assert len(parts) > 2
+    for part in parts.values():
+        for s, w in weights.items():
+            n = sum(part.values()) * w
+            assert abs(part.get(s, 0) - n) < 4.5 * n**0.5, (s, part, w)
+
+
 def test_mixture_reaches_an_entropy(spark):
     df = spark.createDataFrame([(i, "w " * 10, "a" if i < 900 else "b") for i in range(1000)], "doc_id long, text string, source string")
     w = {r["source"]: r["weight"] for r in mixing.mix_plan(df, max_repeats=None, entropy=0.6).collect()}
