@@ -198,6 +198,34 @@ def _source_ends(slim: DataFrame, budget_ratio: float, max_repeats: float | None
     return ends, small
 
 
+def deal(
+    df: DataFrame,
+    text_col: str = "text",
+    source_col: str = "source",
+    id_col: str = "doc_id",
+    rows_per_block: int = 4096,
+    budget_ratio: float = 1.0,
+    max_repeats: float | None = 1.25,
+    entropy: float | None = None,
+    seed: int = 13,
+) -> DataFrame:
+    """Rows (``id_col``, source, tokens, weight, copies, epoch, block, position), one for each copy that ``mix`` makes.
+
+    ``epoch`` counts a document's copies from 0, ``block`` the blocks and
+    ``position`` the rows of a block, in the order of ``mix``; documents that
+    are not taken have no row. What ``mix_plan`` says of null sources, texts
+    without a word and repeated rows holds here.
+    """
+    slim = _slim(df, text_col, source_col, id_col, seed)
+    ends, small = _source_ends(slim, budget_ratio, max_repeats, entropy)
+    taken = _dealt(_beside(slim, ends, small, "left").withColumn("copies", _copies()), _blocks(slim, rows_per_block))
+    order = Window.partitionBy("block").orderBy(*_ORDER)  # a block holds about rows_per_block rows, whatever the input
+    return taken.select(
+        F.col("id").alias(id_col), "source", "tokens", F.coalesce("weight", F.lit(0.0)).alias("weight"), "copies", "epoch", "block",
+        (F.row_number().over(order) - 1).alias("position"),
+    )
+
+
 def mix(
     df: DataFrame,
     text_col: str = "text",
@@ -209,7 +237,7 @@ def mix(
     entropy: float | None = None,
     seed: int = 13,
 ) -> DataFrame:
-    """The rows of ``df``, each as often as ``mix_plan`` says, dealt to blocks in order.
+    """The rows of ``df``, each as often as ``mix_plan`` says, dealt to blocks in order, as ``deal`` lists them.
 
     Every copy goes to one of as many blocks as make about ``rows_per_block``
     rows each, all in the target proportions up to chance; a partition holds

@@ -48,7 +48,8 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix_plan(_table(spark, sf_dir, "documents"))
+    """Every copy of a document that the mixture takes, with its block and its position there."""
+    return mixing.deal(_table(spark, sf_dir, "documents"))
 
 
 def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from editflow.llm import jaccard, langid, mixing, pieces, pii, secret_scan, suffix_dedup, topk, urls, vectors
-from editflow.llm.queries import op3_pii, op6_secret_scan, op7_language_id, op9_piece_encoding
+from editflow.llm.queries import op3_pii, op4_source_mixing, op6_secret_scan, op7_language_id, op9_piece_encoding
 from tests.conftest import SF0001
 
 rng = random.Random(4)
@@ -256,6 +256,24 @@ def test_blocks_hold_the_mixture(spark):
             assert abs(part.get(s, 0) - n) < 4.5 * n**0.5, (s, part, w)
 
 
+def test_registered_mixture_is_realised(spark):
+    docs = spark.read.parquet(f"{SF0001}/documents.parquet")
+    got = [r.asDict() for r in op4_source_mixing(spark, SF0001).collect()]
+    plan = {r["doc_id"]: r["copies"] for r in mixing.mix_plan(docs).collect()}
+    assert sorted((r["doc_id"], r["epoch"]) for r in got) == sorted((i, e) for i, c in plan.items() for e in range(c))
+    dealt = mixing.deal(docs, rows_per_block=20).orderBy("block", "position").collect()
+    blocks = defaultdict(list)
+    for r in dealt:
+        blocks[r["block"]].append(r["position"])
+    assert len(blocks) > 2 and all(p == list(range(len(p))) for p in blocks.values())
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        mixed = [r["doc_id"] for r in mixing.mix(docs, rows_per_block=20).collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert mixed == [r["doc_id"] for r in dealt]
+
+
 def test_mixture_reaches_an_entropy(spark):
     df = spark.createDataFrame([(i, "w " * 10, "a" if i < 900 else "b") for i in range(1000)], "doc_id long, text string, source string")
     w = {r["source"]: r["weight"] for r in mixing.mix_plan(df, max_repeats=None, entropy=0.6).collect()}
