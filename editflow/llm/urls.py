@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import pick
+from .common import pick, stored
 
 #: (verdict, host, path) of the production rules.
 RULES = (
@@ -30,6 +30,12 @@ RULES = (
 #: Labelled block words that join the training URLs (a parameter of ``train``).
 SEED_WORDS = ("adult", "bets", "casino", "farm", "free", "gamble", "porn", "spam", "viagra", "win", "xxx")
 CACHED_LABELS = 200_000
+#: What each seed word has of all words, besides its own count.
+SEED_SHARE = 5e-4
+#: Added to the number of all words for those that are not among them.
+UNSEEN = 10
+#: The longest label that a host name can have, so the longest word in one.
+LABEL = 63
 
 
 def host_of(url: Column) -> Column:
@@ -58,21 +64,20 @@ def rule_for(host: Column, path: Column, rules: Sequence[tuple[str, str, str]] =
     return out
 
 
-def word_counts(pages: DataFrame, html_col: str = "html", most: int = 20_000) -> dict[str, int]:
-    """Counts of the ``most`` frequent words of all pages' text (the size bound of the lexicon)."""
+def word_counts(pages: DataFrame, html_col: str = "html") -> DataFrame:
+    """(w, n): how often each word is in all pages' text."""
     text = F.lower(F.regexp_replace(F.col("html"), r"<[^>]*>", " "))
     words = pick(pages, html=html_col).select(F.explode(F.regexp_extract_all(text, F.lit("[a-z]{2,}"), 0)).alias("w"))
-    top = words.groupBy("w").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "w").limit(most)
-    return {r["w"]: r["n"] for r in top.collect()}
+    return words.groupBy("w").agg(F.count("*").alias("n"))
 
 
 class Segmenter:
     """Unigram Viterbi over concatenated words; an unknown word of length k costs log(total * 10^k)."""
 
-    def __init__(self, counts: dict[str, int], longest: int = 24):
-        self.total = sum(counts.values()) + 10
+    def __init__(self, counts: dict[str, float], longest: int = 24, total: float | None = None):
+        self.total = sum(counts.values()) + UNSEEN if total is None else total
         self.logs = {w: math.log(n / self.total) for w, n in counts.items()}
-        self.longest = max([1, *(min(longest, len(w)) for w in counts)])
+        self.longest = longest  # of unknown words too, whatever words are known
         self.cache: dict[str, list[str]] = {}
 
     def split(self, label: str) -> list[str]:
@@ -101,14 +106,54 @@ class Segmenter:
         return words[::-1]
 
 
-def features(host: str, path: str, segmenter: Segmenter) -> list[str]:
+def host_runs(host: Column) -> Column:
+    """The runs of letters in the host's labels but the last one."""
+    labels = F.regexp_replace(F.regexp_extract(host, r"^[^:]*", 0), r"\.[^.]*\z", "")
+    return F.regexp_extract_all(labels, F.lit("[a-z]+"), 0)
+
+
+def segmented(hosts: DataFrame, counts: DataFrame, seed_words: Sequence[str] = SEED_WORDS, seed_share: float = SEED_SHARE) -> DataFrame:
+    """Rows (host, words), one for each different host: its runs, split by the counts (w, n) of all words.
+
+    Each run meets the words that are a part of it by a join, so no lexicon of
+    the corpus is held anywhere; a seed word has ``seed_share`` of all words besides.
+    """
+    counts = stored(counts, "words")
+    corpus = counts.agg(F.sum("n")).first()[0] or 0
+    seeds = {w: seed_share * (corpus + UNSEEN) for w in seed_words}
+    total = corpus + sum(seeds.values()) + UNSEEN
+    hosts = stored(hosts.select("host").distinct().withColumn("runs", host_runs(F.col("host"))), "hosts")
+    runs = hosts.select(F.explode("runs").alias("run")).distinct()
+    runs = stored(runs.withColumn("key", F.monotonically_increasing_id()), "runs")
+    parts = runs.select("key", "run", F.explode(F.sequence(F.lit(1), F.length("run"))).alias("at"))
+    left = F.length("run") - F.col("at") + 1
+    parts = parts.where(left > 1).withColumn("k", F.explode(F.sequence(F.lit(2), F.least(left, F.lit(LABEL)))))
+    parts = parts.select("key", F.substring("run", F.col("at"), F.col("k")).alias("w")).distinct()
+    known = parts.join(counts, "w").groupBy("key").agg(F.collect_list("w").alias("w"), F.collect_list("n").alias("n"))
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for run, words, n in zip(*(c.to_pylist() for c in batch.columns)):
+                about = Counter(dict(zip(words or [], n or [])))
+                about.update({w: c for w, c in seeds.items() if w in run})
+                out.append(Segmenter(about, LABEL, total).split(run))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.string()))], names=["run", "words"])
+
+    words = runs.join(known, "key", "left").select("run", "w", "n").mapInArrow(split, "run string, words array<string>")
+    each = hosts.select("host", F.posexplode("runs").alias("pos", "run")).join(words, "run")
+    each = each.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("pos", "words"))).alias("all"))
+    out = hosts.select("host").join(each, "host", "left")
+    found = F.flatten(F.transform("all", lambda x: x["words"]))
+    return stored(out.select("host", F.coalesce(found, F.array().cast("array<string>")).alias("words")), "segmented")
+
+
+def features(words: Sequence[str], path: str) -> list[str]:
     """Segmented words of the host without its last label, and the path's tokens of three or more characters.
 
     Shorter path tokens name a locale or section, which is what rules are for.
     """
-    labels = host.split(":")[0].split(".")
-    runs = [run for label in labels[: max(1, len(labels) - 1)] for run in re.findall("[a-z]+", label)]
-    out = ["h:" + w for run in runs for w in segmenter.split(run)]
+    out = ["h:" + w for w in words]
     return out + ["p:" + t for t in re.findall("[^/._+&=~,;:%-]+", path.lower()) if len(t) > 2 and not t.isdigit()]
 
 
@@ -141,11 +186,11 @@ def parsed(pages: DataFrame, url_col: str, id_col: str, rules: Sequence[tuple[st
     return rows.withColumn("r", rule_for(F.col("host"), F.col("path"), rules)).select("id", "host", "path", "r.rule", "r.verdict")
 
 
-def train(rows: DataFrame, segmenter: Segmenter, sample: int = 20_000, seed_words: Sequence[str] = SEED_WORDS) -> NaiveBayes:
+def train(rows: DataFrame, sample: int = 20_000, seed_words: Sequence[str] = SEED_WORDS) -> NaiveBayes:
     """Fit on at most ``sample`` URLs that a rule decides, in order of a hash, and on as many blocked seed words."""
-    decided = rows.where(F.col("verdict").isNotNull()).select("host", "path", "verdict")
+    decided = rows.where(F.col("verdict").isNotNull()).select("host", "path", "verdict", "words")
     some = decided.orderBy(F.xxhash64("host", "path"), "host", "path", "verdict").limit(sample).collect()
-    labelled = [(r["verdict"], features(r["host"], r["path"], segmenter)) for r in some]
+    labelled = [(r["verdict"], features(r["words"], r["path"])) for r in some]
     weight = max(50, len(labelled) // max(1, len(seed_words)))
     return NaiveBayes(labelled + [("block", ["h:" + w]) for w in seed_words for _ in range(weight)])
 
@@ -156,7 +201,6 @@ def filter_urls(
     html_col: str = "html",
     id_col: str = "page_id",
     rules: Sequence[tuple[str, str, str]] = RULES,
-    lexicon: int = 20_000,
     sample: int = 20_000,
     seed_words: Sequence[str] = SEED_WORDS,
 ) -> DataFrame:
@@ -164,23 +208,21 @@ def filter_urls(
 
     The longest rule that fits decides (null rule where none does), else the
     model. A null url, or one without ``://``, has an empty host and path and
-    is judged by the model's prior. Null html adds no words; repeated rows are
-    each judged; an empty table gives no rows; other columns are not read.
+    is judged by the model's prior. The counts of all words of the html split
+    the hosts. Null html adds no words; repeated rows are each judged; an empty
+    table gives no rows; other columns are not read.
     """
     rows = parsed(pages, url_col, id_col, rules)
-    counts = Counter(word_counts(pages, html_col, lexicon))
-    counts.update({w: 50 for w in seed_words})
-    segmenter = Segmenter(counts)
-    model = train(rows, segmenter, sample, seed_words)
-    segmenter.cache.clear()
-    shared = pages.sparkSession.sparkContext.broadcast((segmenter, model))  # bounded by lexicon and sample
+    rows = rows.join(segmented(rows, word_counts(pages, html_col), seed_words), "host").select(*rows.columns, "words")
+    model = train(rows, sample, seed_words)
+    shared = pages.sparkSession.sparkContext.broadcast(model)  # bounded by sample
     kind = rows.schema["id"].dataType
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segmenter, model = shared.value
+        model = shared.value
         for batch in batches:
-            host, path, _, verdict = (batch.column(i).to_pylist() for i in range(1, 5))
-            said = [v or model.verdict(features(h, p, segmenter)) for h, p, v in zip(host, path, verdict)]
+            path, verdict, words = (batch.column(i).to_pylist() for i in (2, 4, 5))
+            said = [v or model.verdict(features(w, p)) for p, v, w in zip(path, verdict, words)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:4], pa.array(said, pa.string())], names=["id", "host", "path", "rule", "verdict"]
             )

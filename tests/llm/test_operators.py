@@ -510,6 +510,35 @@ def test_url_parts_and_rules(spark):
     assert urls.filter_urls(df.limit(0)).count() == 0
 
 
+def test_every_word_of_the_pages_splits_hosts(spark):
+    common = [a + b + c for a in "bcdfghjklm" for b in ("".join(x) for x in zip("aeiou" * 42, "nprst" * 42, sorted("abcdefghijklmnopqrstuvwxyz" * 9))) for c in ("ing", "er", "est", "ed", "ly", "al", "ic", "um", "on", "ar")]
+    common = sorted(set(common))
+    common += [w + x for w in common for x in ("zq", "zv", "zw")]
+    assert len(common) > 20_000
+    pages = [(i, "http://www.none.org/", " ".join(common)) for i in range(2)]  # each of these words is more frequent than the rare ones
+    pages += [(2, "http://quokkaxylem.org/", "<p>quokka xylem"), (3, "http://a.wombatcasino.org:80/", "wombat"), (4, "://", None)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    rows = urls.parsed(df, "url", "page_id", urls.RULES)
+    got = {r["host"]: r["words"] for r in urls.segmented(rows, urls.word_counts(df)).collect()}
+    assert got["quokkaxylem.org"] == ["quokka", "xylem"] and got["a.wombatcasino.org:80"] == ["a", "wombat", "casino"] and got[""] == []
+    assert urls.filter_urls(df).count() == len(pages)
+
+
+def test_segmentation_by_parts_is_that_of_the_whole_lexicon(spark):
+    pages = [(r["page_id"], r["url"], r["html"]) for r in spark.read.parquet(f"{SF0001}/pages.parquet").select("page_id", "url", "html").collect()]
+    hosts = ["".join(random.Random(i).choices(WORDS, k=3)) for i in range(30)]
+    pages += [(10_000 + i, f"http://{h}.x-{h[:7]}.com/", " ".join(random.Random(i).choices(WORDS, k=50))) for i, h in enumerate(hosts)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    counts = {r["w"]: r["n"] for r in urls.word_counts(df).collect()}
+    total = sum(counts.values())
+    for w in urls.SEED_WORDS:
+        counts[w] = counts.get(w, 0) + urls.SEED_SHARE * (total + urls.UNSEEN)
+    whole = urls.Segmenter(counts, urls.LABEL)
+    for r in urls.segmented(urls.parsed(df, "url", "page_id", urls.RULES), urls.word_counts(df)).collect():
+        labels = r["host"].split(":")[0].split(".")
+        assert r["words"] == [w for x in labels[: max(1, len(labels) - 1)] for run in re.findall("[a-z]+", x) for w in whole.split(run)]
+
+
 def test_segmentation_and_verdicts():
     segmenter = urls.Segmenter({"free": 50, "bets": 50, "news": 80, "daily": 80, "re": 1})
     assert segmenter.split("dailyfreebets") == ["daily", "free", "bets"] and segmenter.split("") == []
