@@ -137,9 +137,12 @@ def learn(
     """A bounded sample of labelled text for each language.
 
     At most about ``docs_per_lang`` documents a language, chosen by a hash of
-    the id, and ``chars_per_lang`` code points of them, reach the driver. Rows
-    without a label, a text or a letter teach nothing; no rows give no language.
+    the id, and ``chars_per_lang`` code points of them, teach it: of each an
+    equal part from a hashed offset on, and more in further equal parts, to the
+    end and then from the beginning, only where that falls short. Rows without a
+    label, a text or a letter teach nothing; no rows give no language.
     """
+    part = max(1, chars_per_lang // docs_per_lang)
     rows = pick(df, id=id_col, text=text_col, lang=lang_col).where(F.col("lang").isNotNull())
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
@@ -149,19 +152,31 @@ def learn(
     for lang, n in sorted(counts.items()):
         share = F.when(F.col("lang") == lang, F.lit(docs_per_lang / n * 2.0**40)).otherwise(share)
     wanted = F.row_number().over(Window.partitionBy("lang").orderBy("u", F.col("id").cast("string"), "text"))
+    at = F.pmod(F.xxhash64(F.lit(seed), F.lit("offset"), F.col("id").cast("string")), F.greatest(F.length("text") - part + 1, F.lit(1)))
+    at = at.cast("int")
+    turned = F.when(at > 0, F.concat(F.substr("text", at + 1), F.lit("\n"), F.substr(F.col("text"), F.lit(1), at))).otherwise(F.col("text"))
     some = (
         rows.where((u < share) & F.col("text").rlike(r"\p{L}"))
-        .select("lang", F.substring("text", 1, chars_per_lang).alias("text"), u.alias("u"), "id")
+        .select("lang", F.substring(turned, 1, chars_per_lang).alias("text"), u.alias("u"), "id")
         .withColumn("rank", wanted)
         .where(F.col("rank") <= 2 * docs_per_lang)
         .orderBy("lang", "rank")
     )
-    samples: dict[str, str] = {}
+    texts: dict[str, list[str]] = {}
     for r in some.collect():
-        have = samples.get(r["lang"], "")
-        if len(have) < chars_per_lang:
-            samples[r["lang"]] = (have + "\n" + r["text"])[:chars_per_lang]
-    return samples
+        texts.setdefault(r["lang"], []).append("\n" + r["text"])
+    return {lang: "".join(_shares(of, part, chars_per_lang)) for lang, of in texts.items()}
+
+
+def _shares(texts: list[str], part: int, most: int) -> list[str]:
+    """The beginning of each text, in rounds of at most ``part`` more code points each until there are ``most`` in all."""
+    took, left, more = [0] * len(texts), most, True
+    while left and more:
+        more = False
+        for i, text in enumerate(texts):
+            n = min(part, len(text) - took[i], left)
+            took[i], left, more = took[i] + n, left - n, more or n > 0
+    return [text[:n] for text, n in zip(texts, took)]
 
 
 _PARSERS: dict[int, CrossParser] = {}

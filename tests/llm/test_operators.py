@@ -510,6 +510,15 @@ def test_url_parts_and_rules(spark):
     assert urls.filter_urls(df.limit(0)).count() == 0
 
 
+def test_a_language_is_learned_from_many_documents(spark):
+    rows = [(i, f"{i:02d}" + "xyz"[i % 3] * 50_000, "long") for i in range(40)] + [(100 + i, f"short {i}", "short") for i in range(3)]
+    rows += [(200, "q" * 9_000, "one"), (201, "r" * 100, "one")]
+    samples = langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(samples["long"]) == 16_000 and min(samples["long"].count(c) for c in "xyz") > 4_000
+    assert sorted(samples["short"].split("\n")) == ["", "short 0", "short 1", "short 2"]
+    assert samples["one"].count("q") == 9_000 and samples["one"].count("r") == 100
+
+
 def test_every_word_of_the_pages_splits_hosts(spark):
     common = [a + b + c for a in "bcdfghjklm" for b in ("".join(x) for x in zip("aeiou" * 42, "nprst" * 42, sorted("abcdefghijklmnopqrstuvwxyz" * 9))) for c in ("ing", "er", "est", "ed", "ly", "al", "ic", "um", "on", "ar")]
     common = sorted(set(common))
