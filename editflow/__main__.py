@@ -1,6 +1,7 @@
 """Command line for scheduled runs (``spark-submit -m editflow ...`` or ``python -m editflow``).
 
-    python -m editflow run     --source DIR --base DIR [--layer L] [--suffix S] [--no-rules]
+    python -m editflow run     --source DIR --base DIR [--layer L] [--suffix S] [--no-rules] [--namespace N --register]
+    python -m editflow history --base DIR [--suffix S]
     python -m editflow capture --capture DIR --landing DIR [--quarantine DIR] [--limit N]
 
 The session comes from ``SparkSession.builder.getOrCreate()`` so the
@@ -36,8 +37,12 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--register", action="store_true", help="record tables in the session catalog")
     run.add_argument("--max-files-per-trigger", type=int, help="bound one landing micro-batch")
     run.add_argument("--archive", help="move landed source files here after their batch commits")
-    run.add_argument("--full-refresh", action="store_true", help="rebuild edits_clean from every landed batch")
+    run.add_argument("--full-refresh", action="store_true", help="land all source files anew, into a new generation")
+    run.add_argument("--namespace", help="one catalog database for all tables (default: one for each layer); with --register")
     run.add_argument("--wide-ids", action="store_true", help="read revision ids as bigint")
+    past = sub.add_parser("history", help="rule counters of every finished build under a base folder, as JSON lines")
+    past.add_argument("--base", required=True)
+    past.add_argument("--suffix", default="")
     cap = sub.add_parser("capture", help="turn captured feed text into landing files")
     cap.add_argument("--capture", required=True)
     cap.add_argument("--landing", required=True)
@@ -56,6 +61,12 @@ def main(argv: list[str] | None = None) -> int:
             spark.conf.set(key, value)
     ensure_checkpoint_dir(spark)
 
+    if args.command == "history":
+        past = T.rule_history(spark, args.base, args.suffix).orderBy("table_name", "run", "rule")
+        for row in past.toLocalIterator():  # a few rows a build, one partition at a time
+            print(json.dumps(row.asDict()))
+        return 0
+
     if args.command == "capture":
         written = land_capture(spark, args.capture, args.landing, args.quarantine, args.limit)
         print(json.dumps({"files": len(written)}))
@@ -65,7 +76,7 @@ def main(argv: list[str] | None = None) -> int:
         suffix=args.suffix, rules=not args.no_rules, fmt=args.format, top_n=args.top_n,
         time_unit=args.time_unit, register=args.register,
         max_files_per_trigger=args.max_files_per_trigger, archive_dir=args.archive,
-        full_refresh=args.full_refresh, wide_ids=args.wide_ids,
+        full_refresh=args.full_refresh, wide_ids=args.wide_ids, namespace=args.namespace,
     )
     if args.layer:
         result = run_layer(spark, args.layer, args.base, source_dir=args.source, **options)

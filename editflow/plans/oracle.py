@@ -295,6 +295,23 @@ def _sql() -> dict[str, str]:
     q["layer_incremental_hourly"] = q["hourly_activity"]
     q["layer_incremental_editor_profile"] = q["editor_profile"]
     q["layer_incremental_page_profile"] = q["page_profile"]
+    # the first run sees the even events; in the second the others land, and every other table is made of all
+    reports = [
+        ("edits_clean", "clean_input", CLEAN_RULE_SQL),
+        ("hourly_activity", "hourly", [("positive_edit_count", "warn", "edit_count > 0")]),
+        ("editor_ranking", "top_editors_cut", EDITOR_RANKING_RULE_SQL),
+        ("page_ranking", "top_pages_cut", PAGE_RANKING_RULE_SQL),
+        ("editor_profile", "editor_profile", [("non_negative_activity_span", "warn", "activity_span_days >= 0")]),
+        ("page_profile", "page_profile", [("positive_unique_editors", "warn", "unique_editors > 0")]),
+    ]
+    chain = (LANDED, CLEAN_INPUT, CLEAN, HOURLY, TOP_EDITORS_CUT, TOP_PAGES_CUT, TOP_EDITORS, TOP_PAGES, EDITOR_PROFILE, PAGE_PROFILE)
+    every = RAW.replace("raw AS (", "every AS (", 1)
+    runs = []
+    for run, (seen, new) in enumerate([("meta_offset % 2 = 0", "TRUE"), ("TRUE", "meta_offset % 2 = 1")], 1):
+        waves = f"\nraw AS (SELECT * FROM every WHERE {seen}),\nfresh AS (SELECT * FROM raw WHERE {new})"
+        tables = "\nUNION ALL\n".join(_report(*r) for r in [("edits_raw", "fresh", LANDING_RULE_SQL), *reports])
+        runs.append(f"SELECT CAST({run} AS BIGINT) AS run, r.* FROM (\n{_with(every, waves, *chain)}{tables}\n) r")
+    q["rule_history"] = "\nUNION ALL\n".join(runs)
     return q
 
 

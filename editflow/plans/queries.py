@@ -25,6 +25,7 @@ from editflow.sources.events_adapter import raw_edits
 from editflow.sources.feed_capture import EVENTS_PER_CAPTURE, capture_events, capture_rejects, read_feed_capture
 from editflow.sources.json_lines import read_edit_files, write_json_lines
 from editflow.sources.schema import flatten_events
+from editflow.sources.tables import rule_history
 from editflow.streaming.landing import land_edits, read_landed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -220,9 +221,9 @@ def _two_wave_build(spark, sf_dir):
     over everything."""
     work = scratch_dir(spark, "layered_waves")
     raw = raw_edits(spark, sf_dir)
-    early = F.pmod(F.xxhash64("id", "title"), F.lit(2)) == 0
+    early = F.col("meta.offset") % 2 == 0
     result = None
-    for wave in (raw.where(early), raw.where(~F.coalesce(early, F.lit(False)))):
+    for wave in (raw.where(early), raw.where(~early)):
         write_json_lines(wave, f"{work}/incoming")
         result = run_all_layers(spark, f"{work}/incoming", f"{work}/tables", suffix="_seq")
     return result
@@ -244,6 +245,12 @@ def q_layer_incremental_page_profile(spark, sf_dir):
     return read_stored(spark, _two_wave_build(spark, sf_dir), "page_profile")
 
 
+def q_rule_history(spark, sf_dir):
+    """Rule counters of both runs of the two-wave build, from the notes that the tables keep."""
+    result = _two_wave_build(spark, sf_dir)
+    return rule_history(spark, result.base_dir, result.suffix).drop("build", "finished_at")
+
+
 QUERIES: dict[str, Query] = {
     "landed_edits": q_landed_edits,
     "landed_stream": q_landed_stream,
@@ -276,4 +283,5 @@ QUERIES: dict[str, Query] = {
     "layer_incremental_hourly": q_layer_incremental_hourly,
     "layer_incremental_editor_profile": q_layer_incremental_editor_profile,
     "layer_incremental_page_profile": q_layer_incremental_page_profile,
+    "rule_history": q_rule_history,
 }

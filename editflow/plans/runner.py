@@ -3,11 +3,16 @@
 Landing is incremental: a streaming query lands the new files (the engine's
 own checkpoint says which). Every other table is recomputed from the stored
 table before it and replaced, so there is no progress to keep: a run that
-dies anywhere, inside a write included, is put right by the next one.
+dies anywhere leaves every table as it was or finished, and the next run goes
+on from there. Each build's note says which build it was made from; a layer
+refuses an upstream table that was never finished, and the profiles refuse
+rankings of two different builds.
 
 The landed rows depend on whether the rules are on and on the width of the
-ids, so each combination has a folder and a checkpoint of its own: a run with
-other settings lands all source files anew.
+ids, so each combination has a folder of its own: a run with other settings
+lands all source files anew. Rows, checkpoint and counters of the batches are
+in one folder (a generation), and a full refresh lands into a new one, which takes the
+old one's place when all files are landed.
 
 Writing each table is also what cuts the lineage between layers. Rule counters
 are observed on the write actions, so they cost no extra pass.
@@ -27,9 +32,9 @@ from editflow.operators.activity import hourly_activity
 from editflow.operators.clean import clean_edits, clean_schema
 from editflow.operators.profiles import editor_profile, page_profile
 from editflow.operators.rankings import DEFAULT_TOP_N, rank_editors, rank_pages
-from editflow.sources import files
+from editflow.sources import builds, files
 from editflow.sources import tables as T
-from editflow.streaming.landing import land_edits, read_landed
+from editflow.streaming.landing import committed_batch, land_edits, landed_rule_counts, read_landed
 
 
 @dataclass
@@ -55,40 +60,62 @@ class RunResult:
 
 
 def landed_path(base_dir: str, suffix: str = "", rules: bool = True, wide_ids: bool = False) -> str:
-    """Where the landing stream keeps the rows that were landed with these settings."""
+    """Where the generations of the rows that were landed with these settings are."""
     settings = f"rules-{'on' if rules else 'off'}_ids-{'wide' if wide_ids else 'int'}"
     return f"{T.table_path(base_dir, 'edits_raw', suffix)}/{settings}"
 
 
+@dataclass(frozen=True)
+class Landed:
+    """The landed rows of a finished run: a generation and its last batch."""
+
+    rows_dir: str
+    build: str
+    upto: int
+
+    @property
+    def version(self) -> str:
+        return f"{self.build}/{self.upto}"
+
+
+def landed(spark: SparkSession, root: str) -> Landed:
+    """What the last finished landing run left; an error where none finished."""
+    build = builds.required(spark, root)
+    return Landed(f"{build.path}/rows", build.build, build.note(spark)["upto"])
+
+
 def _land(
     spark: SparkSession, result: RunResult, source_dir: str, rules: bool, wide_ids: bool, fresh: bool,
     max_files_per_trigger: int | None, archive_dir: str | None, register: bool, namespace: str | None,
 ) -> None:
-    target = landed_path(result.base_dir, result.suffix, rules, wide_ids)
-    checkpoint, metrics = f"{target}_checkpoint", f"{target}_rule_metrics"
-    root = T.table_path(result.base_dir, "edits_raw", result.suffix)
-    landed_before = files.matches(spark, f"{root}/*_checkpoint")
-    if archive_dir and landed_before and (fresh or not files.exists(spark, checkpoint)):
+    root = landed_path(result.base_dir, result.suffix, rules, wide_ids)
+    before = builds.current(spark, root)
+    any_before = files.matches(spark, f"{T.table_path(result.base_dir, 'edits_raw', result.suffix)}/*/{builds.FOLDER}*")
+    begun = builds.unfinished(spark, root)
+    if archive_dir and any_before and (fresh or not (before or begun)):
         raise ValueError("files that were landed before are archived; land them again from the archive with other settings")
     if fresh:
-        for path in (checkpoint, target, metrics):
-            files.delete(spark, path)
-    run = land_edits(
-        spark, source_dir, target, checkpoint, rules=rules, metrics_dir=metrics,
+        build = builds.new_build()
+    else:  # a first run that died goes on where it was
+        build = before.build if before else begun[-1] if begun else builds.new_build()
+    generation = builds.folder(root, build)
+    rows_dir, checkpoint, metrics = f"{generation}/rows", f"{generation}/checkpoint", f"{generation}/rule_metrics"
+    land_edits(
+        spark, source_dir, rows_dir, checkpoint, rules=rules, metrics_dir=metrics,
         max_files_per_trigger=max_files_per_trigger, archive_dir=archive_dir, wide_ids=wide_ids,
     )
-    result.tables["edits_raw"] = target
-    if rules:
-        known = {r["rule"] for r in run.rule_totals()}
-        idle = [
-            {"table_name": "edits_raw", "rule": r.name, "action": r.action, "n_rows": 0, "n_failed": 0}
-            for r in R.LANDING_RULES if r.name not in known
-        ]
-        result.rule_rows.extend([*run.rule_totals(), *idle])
-    if register and files.exists(spark, target):
+    upto = committed_batch(spark, checkpoint)
+    after = before.note(spark)["upto"] if before and before.build == build else -1
+    counts = landed_rule_counts(spark, metrics, after, upto) if rules else []
+    noted = [{k: v for k, v in row.items() if k != "table_name"} for row in counts]
+    builds.publish(spark, root, build, table_name="edits_raw", upstream={}, upto=upto, rules=noted)
+    result.tables["edits_raw"] = rows_dir
+    result.rule_rows.extend(counts)
+    if register and files.exists(spark, rows_dir):
         T.register_table(
-            spark, result.base_dir, "edits_raw", result.suffix, path=target, namespace=namespace, partitioned=True
+            spark, result.base_dir, "edits_raw", result.suffix, path=rows_dir, namespace=namespace, where=f"batch_id <= {upto}"
         )
+    builds.clean(spark, root)
 
 
 def run_layer(
@@ -122,13 +149,18 @@ def run_layer(
         raise ValueError(f"layer must be one of {T.LAYERS}, got {layer!r}")
     result = result or RunResult(base_dir, suffix)
 
-    def write(df: DataFrame, name: str) -> None:
+    def write(df: DataFrame, name: str, **upstream: str) -> None:
         spec = T.TABLE_BY_NAME[name]
         observation = Observation(f"rules_{name}{suffix}_{uuid.uuid4().hex[:8]}") if rules and spec.rules else None
         checked = R.apply_rules(df, spec.rules, enabled=rules, observation=observation)
-        result.tables[name] = T.write_table(checked, base_dir, name, suffix, fmt, register, namespace)
-        if observation is not None:
-            result.rule_rows.extend(R.observed_counts(observation, spec.rules, name))
+        counts: list[dict] = []
+
+        def observed() -> list[dict]:
+            counts.extend(R.observed_counts(observation, spec.rules, name) if observation is not None else [])
+            return counts
+
+        result.tables[name] = T.write_table(checked, base_dir, name, suffix, fmt, register, namespace, upstream, observed)
+        result.rule_rows.extend(counts)
 
     if layer == "landing":
         if source_dir is None:
@@ -137,25 +169,37 @@ def run_layer(
             spark, result, source_dir, rules, wide_ids, full_refresh, max_files_per_trigger, archive_dir, register, namespace
         )
     elif layer == "bronze":
-        write(clean_edits(read_landed(spark, landed_path(base_dir, suffix, rules, wide_ids), wide_ids), time_unit), "edits_clean")
-        write(hourly_activity(_clean(spark, base_dir, suffix, fmt, wide_ids)), "hourly_activity")
+        source = landed(spark, landed_path(base_dir, suffix, rules, wide_ids))
+        raw = read_landed(spark, source.rows_dir, wide_ids, source.upto)
+        write(clean_edits(raw, time_unit), "edits_clean", edits_raw=source.version)
+        clean, build = _clean(spark, base_dir, suffix, fmt, wide_ids)
+        write(hourly_activity(clean), "hourly_activity", edits_clean=build)
     elif layer == "silver":
-        clean = _clean(spark, base_dir, suffix, fmt, wide_ids)
+        clean, build = _clean(spark, base_dir, suffix, fmt, wide_ids)
         _side_by_side(
-            lambda: write(rank_editors(clean, top_n), "editor_ranking"),
-            lambda: write(rank_pages(clean, top_n), "page_ranking"),
+            lambda: write(rank_editors(clean, top_n), "editor_ranking", edits_clean=build),
+            lambda: write(rank_pages(clean, top_n), "page_ranking", edits_clean=build),
         )
     else:
-        editors, pages = (T.read_table(spark, base_dir, name, suffix, fmt) for name in ("editor_ranking", "page_ranking"))
+        editors, pages = (builds.required(spark, T.table_path(base_dir, name, suffix)) for name in ("editor_ranking", "page_ranking"))
+        made_from = [build.note(spark)["upstream"] for build in (editors, pages)]
+        if made_from[0] != made_from[1]:
+            raise builds.UnfinishedBuild(f"the rankings are of different builds ({made_from[0]}, {made_from[1]}): run the silver layer again")
         _side_by_side(
-            lambda: write(editor_profile(editors), "editor_profile"),
-            lambda: write(page_profile(pages), "page_profile"),
+            lambda: write(editor_profile(_load(spark, editors, fmt)), "editor_profile", editor_ranking=editors.build),
+            lambda: write(page_profile(_load(spark, pages, fmt)), "page_profile", page_ranking=pages.build),
         )
     return result
 
 
-def _clean(spark: SparkSession, base_dir: str, suffix: str, fmt: str, wide_ids: bool) -> DataFrame:
-    return T.read_table(spark, base_dir, "edits_clean", suffix, fmt, schema=clean_schema(spark, wide_ids))
+def _load(spark: SparkSession, build: builds.Build, fmt: str) -> DataFrame:
+    return spark.read.format(fmt).load(build.path)
+
+
+def _clean(spark: SparkSession, base_dir: str, suffix: str, fmt: str, wide_ids: bool) -> tuple[DataFrame, str]:
+    """The cleaned table and the id of the build that this is."""
+    build = builds.required(spark, T.table_path(base_dir, "edits_clean", suffix))
+    return spark.read.format(fmt).schema(clean_schema(spark, wide_ids)).load(build.path), build.build
 
 
 def _side_by_side(*steps) -> None:
@@ -185,7 +229,7 @@ def read_stored(
     if name == "edits_raw":
         return read_landed(spark, result.tables[name], wide_ids)
     if name == "edits_clean":
-        return _clean(spark, result.base_dir, result.suffix, fmt, wide_ids)
+        return _clean(spark, result.base_dir, result.suffix, fmt, wide_ids)[0]
     return T.read_table(spark, result.base_dir, name, result.suffix, fmt)
 
 

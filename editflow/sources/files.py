@@ -49,3 +49,23 @@ def matches(spark: SparkSession, pattern: str) -> bool:
     """Whether any path matches a glob pattern."""
     fs, hpath = _fs_and_path(spark, pattern)
     return bool(fs.globStatus(hpath))
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's text (notes of a few hundred bytes)."""
+    fs, hpath = _fs_and_path(spark, path)
+    stream = fs.open(hpath)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file; it may be seen half-written, so rename it to the name that readers look for."""
+    fs, hpath = _fs_and_path(spark, path)
+    stream = fs.create(hpath, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()

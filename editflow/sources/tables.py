@@ -2,18 +2,22 @@
 
 Tables are stored by path, ``<base>/<layer>/<name><suffix>``, in a columnar
 format (Parquet unless told otherwise), so every read prunes columns and
-pushes filters into the scan.  ``register=True`` additionally records the
+pushes filters into the scan.  A table is replaced as a whole: the new rows go
+to a folder of their own and are switched in when they are finished (see
+:mod:`editflow.sources.builds`).  ``register=True`` additionally records the
 table and its comment in the session catalog under a database per layer.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from editflow.operators import rules as R
+from editflow.sources import builds
 
 
 @dataclass(frozen=True)
@@ -51,12 +55,23 @@ def write_table(
     fmt: str = "parquet",
     register: bool = False,
     namespace: str | None = None,
+    upstream: dict[str, str] | None = None,
+    rules: Callable[[], list[dict]] = list,
 ) -> str:
-    """Replace the table's contents with ``df`` (a full recompute)."""
-    path = table_path(base_dir, name, suffix)
-    df.write.mode("overwrite").format(fmt).save(path)
+    """Replace the table's contents with ``df`` (a full recompute); returns the folder of the build.
+
+    Readers see the old rows until all new ones are written, and then the new
+    ones. ``rules`` is asked for the rule counters after the write; they and the
+    builds of ``upstream`` are stored in the note that switches the table.
+    """
+    spark, root, build = df.sparkSession, table_path(base_dir, name, suffix), builds.new_build()
+    path = builds.folder(root, build)
+    df.write.format(fmt).save(path)
+    counters = [{k: v for k, v in row.items() if k != "table_name"} for row in rules()]
+    builds.publish(spark, root, build, table_name=name, upstream=upstream or {}, rules=counters)
     if register:
-        register_table(df.sparkSession, base_dir, name, suffix, fmt, namespace=namespace)
+        register_table(spark, base_dir, name, suffix, fmt, path, namespace)
+    builds.clean(spark, root)
     return path
 
 
@@ -68,11 +83,11 @@ def read_table(
     fmt: str = "parquet",
     schema: StructType | None = None,
 ) -> DataFrame:
-    """The stored table; with ``schema`` nothing is inferred."""
+    """The present build of the table, an error where there is none; with ``schema`` nothing is inferred."""
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.load(table_path(base_dir, name, suffix))
+    return reader.load(builds.required(spark, table_path(base_dir, name, suffix)).path)
 
 
 def register_table(
@@ -83,23 +98,35 @@ def register_table(
     fmt: str = "parquet",
     path: str | None = None,
     namespace: str | None = None,
-    partitioned: bool = False,
+    where: str | None = None,
 ) -> str:
     """Record the stored table in the catalog as ``<namespace or layer>.<name><suffix>`` with its comment.
 
-    For a table stored in partition folders the partitioning is inferred
-    from the folders and the partitions are recovered into the catalog.
+    The entry is a view of the folder of the present build. When the table is
+    registered again, the view is changed in place, so the name never
+    disappears; partition folders give partition columns, and ``where`` is pushed to them.
     """
     spec = TABLE_BY_NAME[name]
-    space = namespace or spec.layer
-    qualified = f"`{space}`.`{spec.name}{suffix}`"
-    comment = spec.comment.replace("'", "''")
+    space, entry = namespace or spec.layer, f"{spec.name}{suffix}"
+    qualified = f"`{space}`.`{entry}`"
+    path = path or builds.required(spark, table_path(base_dir, name, suffix)).path
+    query = f"SELECT * FROM {fmt}.`{path}`" + (f" WHERE {where}" if where else "")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{space}`")
-    spark.sql(f"DROP TABLE IF EXISTS {qualified}")
-    spark.sql(
-        f"CREATE TABLE {qualified} USING {fmt} LOCATION '{path or table_path(base_dir, name, suffix)}' "
-        f"COMMENT '{comment}'"
-    )
-    if partitioned:
-        spark.sql(f"ALTER TABLE {qualified} RECOVER PARTITIONS")
-    return f"{space}.{spec.name}{suffix}"
+    if spark.catalog.tableExists(qualified):
+        if spark.catalog.getTable(qualified).tableType == "VIEW":
+            spark.sql(f"ALTER VIEW {qualified} AS {query}")
+            return f"{space}.{entry}"
+        spark.sql(f"DROP TABLE {qualified}")  # an entry of another kind, made by hand
+    comment = spec.comment.replace("'", "''")
+    spark.sql(f"CREATE VIEW {qualified} COMMENT '{comment}' AS {query}")
+    return f"{space}.{entry}"
+
+
+def rule_history(spark: SparkSession, base_dir: str, suffix: str = "") -> DataFrame:
+    """Rule counters of every finished build of every table under ``base_dir``.
+
+    (table_name, run, build, finished_at, rule, action, n_rows, n_failed);
+    ``run`` numbers a table's builds (for the landed table: the runs that landed into it).
+    """
+    roots = [table_path(base_dir, spec.name, suffix) for spec in TABLES]
+    return builds.history(spark, [roots[0] + "/*", *roots[1:]])

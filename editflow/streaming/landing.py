@@ -15,6 +15,7 @@ import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from editflow.operators.rules import LANDING_RULES, apply_rules, observed_counts
 from editflow.sources import files
@@ -89,13 +90,41 @@ def land_edits(
     return run
 
 
-def read_landed(spark: SparkSession, target_dir: str, wide_ids: bool = False) -> DataFrame:
-    """The landed table (all batches), without the batch folder column."""
+def read_landed(spark: SparkSession, target_dir: str, wide_ids: bool = False, upto: int | None = None) -> DataFrame:
+    """The landed table without the batch folder column; with ``upto`` only the batches up to that one."""
     if not files.exists(spark, target_dir):
         return spark.createDataFrame([], edit_event_schema(wide_ids))
     schema = edit_event_schema(wide_ids).add("batch_id", "long")
-    return spark.read.schema(schema).parquet(target_dir).drop("batch_id")
+    rows = spark.read.schema(schema).parquet(target_dir)
+    if upto is not None:
+        rows = rows.where(F.col("batch_id") <= upto)
+    return rows.drop("batch_id")
 
 
 def read_landing_metrics(spark: SparkSession, metrics_dir: str) -> DataFrame:
     return spark.read.parquet(metrics_dir)
+
+
+def committed_batch(spark: SparkSession, checkpoint_dir: str) -> int:
+    """The last batch that the stream committed; -1 where there is none."""
+    return max((int(n) for n in files.list_names(spark, f"{checkpoint_dir.rstrip('/')}/commits") if n.isdigit()), default=-1)
+
+
+def landed_rule_counts(spark: SparkSession, metrics_dir: str, after: int, upto: int) -> list[dict]:
+    """Counters of the batches beyond ``after``, as the batches stored them, one row per rule (0 where no batch came)."""
+    seen = {}
+    if upto > after and files.exists(spark, metrics_dir):
+        rows = spark.read.schema(METRICS_SCHEMA + ", batch_id bigint").parquet(metrics_dir)
+        rows = rows.where((F.col("batch_id") > after) & (F.col("batch_id") <= upto)).groupBy("rule")
+        seen = {r["rule"]: r for r in rows.agg(F.sum("n_rows").alias("n_rows"), F.sum("n_failed").alias("n_failed")).collect()}
+    counts = [(rule, seen.get(rule.name)) for rule in LANDING_RULES]
+    return [
+        {
+            "table_name": LANDED_TABLE,
+            "rule": rule.name,
+            "action": rule.action,
+            "n_rows": row["n_rows"] if row else 0,
+            "n_failed": row["n_failed"] if row else 0,
+        }
+        for rule, row in counts
+    ]
