@@ -40,6 +40,18 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not rename {source} to {target}")
 
 
+def replace(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file; a target of the same size is a copy whose source was not removed, any other is made again."""
+    fs, src = _fs_and_path(spark, source)
+    dst = _fs_and_path(spark, target)[1]
+    if fs.exists(dst):
+        if fs.getFileStatus(dst).getLen() == fs.getFileStatus(src).getLen():
+            fs.delete(src, False)
+            return
+        fs.delete(dst, False)
+    rename(spark, source, target)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, hpath = _fs_and_path(spark, path)
     fs.delete(hpath, True)

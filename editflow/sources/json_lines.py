@@ -29,7 +29,7 @@ def _options() -> dict[str, str]:
 
 
 def _matching(path: str, glob: str | None) -> str:
-    """Files of the folder that match, and the files in folders of a matching name (published batches)."""
+    """Files of the folder that match, and the files in folders of a matching name."""
     return f"{path.rstrip('/')}/{glob}" if glob else path
 
 
@@ -72,7 +72,7 @@ def capture_stamp(when: datetime | None = None) -> str:
 def write_json_lines(
     df: DataFrame, directory: str, stem: str = FILE_STEM, stamp: str | None = None, run_id: str | None = None
 ) -> list[str]:
-    """Write typed rows as JSON lines into the folder ``<directory>/<stem>_<stamp>_<run>.json``."""
+    """Write typed rows as JSON lines into files ``<directory>/<stem>_<stamp>_<run>-<part>.json``."""
     return _publish(df, "json", directory, stem, stamp, run_id)
 
 
@@ -84,19 +84,31 @@ def write_text_lines(
 
 
 def _publish(df: DataFrame, fmt: str, directory: str, stem: str, stamp: str | None, run_id: str | None) -> list[str]:
-    """Write a batch into a staging folder and publish it by one rename of that folder.
+    """Write a batch into a staging folder, decide it by one written list, and give its files their names.
 
-    The readers' glob matches the published folder only. A batch that was
-    published before under the same stamp and ``run_id`` is not written again,
-    so a retry adds no rows; a run that died before the rename left nothing
-    that a reader sees.
+    - Nothing of a staging folder matches the readers' glob, so a run that dies while it writes left nothing to read.
+    - When all files are written, a list of them gets its name by one rename. From then on the batch is these files: a
+      retry under the same stamp and ``run_id`` computes nothing, it names what is left to be named.
+    - Each file is renamed on its own, so readers see whole files only, also in stores that rename by copying. A copy
+      that was finished is not made again; one that was not is made again from the staged file.
+
+    The list stays and says that the batch is published, so a later retry adds no rows either.
     """
     spark = df.sparkSession
     stamp, run_id = stamp or capture_stamp(), run_id or uuid.uuid4().hex[:12]
     directory = directory.rstrip("/")
-    target = f"{directory}/{stem}_{stamp}_{run_id}.json"
-    if not files.exists(spark, target):
-        staging = f"{directory}/_staging_{stamp}_{run_id}"
+    batch, staging = f"{stem}_{stamp}_{run_id}", f"{directory}/_staging_{stamp}_{run_id}"
+    decided = f"{directory}/_batches/{batch}.list"
+    if not files.exists(spark, decided):
         df.write.format(fmt).option("compression", "none").mode("overwrite").save(staging)
-        files.rename(spark, staging, target)
-    return [target]
+        parts = files.list_names(spark, staging, "part-")
+        files.write_text(spark, f"{decided}-written", "\n".join(parts))
+        files.rename(spark, f"{decided}-written", decided)
+    parts = files.read_text(spark, decided).split("\n")
+    named = [(part, f"{directory}/{batch}-{k:05d}.json") for k, part in enumerate(parts) if part]
+    if files.exists(spark, staging):  # else all of them have their names
+        for part, target in named:
+            if files.exists(spark, f"{staging}/{part}"):
+                files.replace(spark, f"{staging}/{part}", target)
+        files.delete(spark, staging)
+    return [target for _, target in named]

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import json
 
-from editflow.sources.feed_capture import capture_events, capture_rejects, land_capture, read_feed_capture
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from editflow.sources.feed_capture import capture_events, capture_rejects, data_payloads, land_capture, read_feed_capture
 from editflow.sources.json_lines import read_edit_files
 from tests.conftest import edit, write_lines
 
@@ -86,3 +89,45 @@ def test_what_json_loads_accepts_is_valid(spark, workdir):
     capture = read_feed_capture(spark, f"{workdir}/cap")
     assert capture_events(capture).count() == 2
     assert sorted(r["line"] for r in capture_rejects(capture).collect()) == ['data: {"id":"c"', "data: {bad"]
+
+
+_JSON = st.recursive(
+    st.none() | st.booleans() | st.integers(-(10**12), 10**12) | st.floats() | st.text(max_size=6),
+    lambda inner: st.lists(inner, max_size=3) | st.dictionaries(st.sampled_from(["id", "user", "meta", "revision", "_end", "x"]), inner, max_size=3),
+    max_leaves=6,
+)
+_EDITS = st.lists(
+    st.tuples(st.integers(0, 40), st.sampled_from(list("[]{},:\"'\\ \t\x01+-.0eN") + ["INF", "NaN", "Infinity", "null", "],[", "},{", " //", '"id":'])), max_size=2
+)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(_JSON, _EDITS), min_size=40, max_size=40))
+def test_valid_is_what_a_strict_parser_says(spark, samples):
+    """JSON values, and such values with characters put in, against the standard parser."""
+    texts = []
+    for value, edits in samples:
+        text = json.dumps(value, ensure_ascii=len(edits) > 1)
+        for at, piece in edits:
+            text = text[:at] + piece + text[at:]
+        if "\n" not in text and "\r" not in text and not any("\ud800" <= c <= "\udfff" for c in text):
+            texts.append(text)
+    expected = []
+    for text in texts:
+        try:
+            json.loads(text)
+            expected.append(True)
+        except ValueError:
+            expected.append(False)
+    lines = spark.createDataFrame([(f"data: {t}",) for t in texts], "value string").coalesce(1)
+    found = {r["payload"]: r["valid"] for r in data_payloads(lines).collect()}
+    assert {t: found[t] for t in texts} == dict(zip(texts, expected))
+
+
+def test_text_behind_or_around_a_value_is_set_aside(spark, workdir):
+    bad = ['{"id":"a"} trailing', "{'id':'a'}", '{"id":"a"}{"id":"b"}', '{"id":"a\tb"}', '{"id":"a"}],[{"id":"b"}', '{"id":"a"},{"id":"b"}', "", "nul"]
+    good = ['{"id":"a","id":"b"}', '{"x":NaN}', " 5 ", "null", '[{"id":"a"}]', '{"revision":5,"id":"c"}', '{"_end":"x","id":"d"}']
+    write_lines(f"{workdir}/cap", "c.txt", [f"data: {p}" for p in bad + good])
+    lines = read_feed_capture(spark, f"{workdir}/cap")
+    assert sorted(r["line"] for r in capture_rejects(lines).collect()) == sorted(f"data: {p}" for p in bad)
+    assert sorted(r["id"] for r in capture_events(lines).collect() if r["id"]) == ["b", "c", "d"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from editflow.operators.rules import LANDING_RULES, apply_rules
@@ -182,3 +183,53 @@ def test_publishing_again_adds_no_rows(spark, workdir, monkeypatch):
     write_json_lines(rows, source, stamp="20240101_000000")
     land_edits(spark, source, target, ckpt, rules=False)
     assert read_landed(spark, target).count() == 8
+
+
+def test_a_publication_cut_after_half_of_its_files(spark, workdir, monkeypatch):
+    """The retry names the rest of the decided files: all rows once, whatever the retry would compute."""
+    from editflow.sources import files
+
+    source, target, ckpt = f"{workdir}/in", f"{workdir}/raw", f"{workdir}/ckpt"
+    rows = spark.createDataFrame([(c,) for c in "abcdefgh"], "id string").repartition(4)
+    real, done = files.replace, []
+
+    def cut(spark, part, name):
+        if len(done) == 2:
+            raise OSError("lost")
+        done.append(name)
+        real(spark, part, name)
+
+    monkeypatch.setattr(files, "replace", cut)
+    with pytest.raises(OSError):
+        write_json_lines(rows, source, stamp="20240101_000000", run_id="r1")
+    land_edits(spark, source, target, ckpt, rules=False)
+    early = {r["id"] for r in read_landed(spark, target).collect()}
+    assert 0 < len(early) < 8
+    monkeypatch.setattr(files, "replace", real)
+    other = spark.createDataFrame([("never written",)], "id string")
+    written = [write_json_lines(other, source, stamp="20240101_000000", run_id="r1") for _ in range(2)]
+    assert written[0] == written[1] and len(written[0]) == 4
+    land_edits(spark, source, target, ckpt, rules=False)
+    assert sorted(r["id"] for r in read_landed(spark, target).collect()) == list("abcdefgh")
+    assert not files.list_names(spark, source, "_staging")
+
+
+def test_a_publication_copied_but_not_removed(spark, workdir, monkeypatch):
+    """A store that renames by copying may leave the staged file beside its copy: it is copied again, not added."""
+    from editflow.sources import files
+
+    rows = spark.createDataFrame([("a",), ("b",)], "id string").repartition(2)
+    real = files.rename
+
+    def copies(spark, source, target):
+        if target.endswith(".json"):
+            files.write_text(spark, target, files.read_text(spark, source)[:5])  # cut within the copy
+            raise OSError("lost")
+        real(spark, source, target)
+
+    monkeypatch.setattr(files, "rename", copies)
+    with pytest.raises(OSError):
+        write_json_lines(rows, workdir, stamp="20240101_000000", run_id="r1")
+    monkeypatch.setattr(files, "rename", real)
+    write_json_lines(rows, workdir, stamp="20240101_000000", run_id="r1")
+    assert sorted(r["id"] for r in read_edit_files(spark, workdir).collect()) == ["a", "b"]
