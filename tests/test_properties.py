@@ -94,3 +94,21 @@ def test_top_first_equals_single_pass(spark, rows, n):
         fast = [tuple(r) for r in rank(df, n).collect()]
         slow = [tuple(r) for r in rank(df, n, "single_pass").collect()]
         assert fast == slow  # same rows in the same order
+
+
+_SECONDS = st.one_of(
+    st.integers(-8_000_000_000_000, 8_000_000_000_000),
+    *(st.integers(edge - 10**7, edge + 10**7) for edge in (-377705116800, -62167219200, -62135596800, 0, 253402300800, 3093527980800, -3217862419200)),
+)
+
+
+@SETTINGS
+@given(st.lists(st.lists(_SECONDS, min_size=1, max_size=6), min_size=1, max_size=30))
+def test_time_bounds_have_the_order_of_the_texts(spark, groups):
+    """Years beyond 9999 and before 0 included, in one hash aggregate."""
+    rows = [(g, s) for g, seconds in enumerate(groups) for s in seconds]
+    df = spark.createDataFrame(rows, "g int, s long").select("g", F.from_unixtime("s", "yyyy-MM-dd HH:mm:ss").alias("t"))
+    texts = df.groupBy("g").agg(F.max("t").alias("hi"), F.min("t").alias("lo"))
+    bounds = df.groupBy("g").agg(latest_text("t").alias("hi"), earliest_text("t").alias("lo"))
+    assert "SortAggregate" not in bounds._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, bounds.collect())) == sorted(map(tuple, texts.collect()))
