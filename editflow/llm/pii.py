@@ -7,6 +7,10 @@ beside form a graph, which is scored in rounds: a pattern by the share of its
 instances that are known, an instance by its patterns. Identifiers beside
 high-confidence patterns that no base pattern finds are added, whatever their
 length and format.
+
+Most words beside an identifier say nothing: a number follows "of" now and then.
+So a pattern also has to earn its place against all of the corpus: of all places where its words
+stand, whatever is beside them, at least half must hold a known identifier.
 """
 
 from __future__ import annotations
@@ -35,6 +39,8 @@ _TOKEN = rf"(?<!\S)(?:(?:{_LEAD}){{0,4}}+[+(]*+[0-9]\S*+|(?=[^\s@]*+@|(?:[^\s0-9
 _HAS_TOKEN = rf"@|(?:[0-9][^\s0-9]*+[ \xa0]?+[^\s0-9]*+){{{_DIGITS}}}"
 #: The words of a pattern are runs of letters and digits within so many characters of the slot.
 _WORD, _NEAR = r"[\p{L}\p{N}]+", 128
+#: Slots that are counted in one scan of the texts: so many hashes are broadcast at a time.
+SLOTS = 1_000_000
 _EMPTY = "array<struct<start:bigint,kind:int,end:bigint,value:string>>"
 
 
@@ -112,34 +118,87 @@ def _occurrences(text: Column, base: Column) -> Column:
     return F.transform(F.concat(seeds, F.filter(F.transform(tokens, place), free)), about)
 
 
+#: Kinds of slots: a word; two words in a row; two words with one between them.
+_ALONE, _ROW, _AROUND = 1, 2, 3
+
+
+def _slot(kind: int, *words: Column) -> Column:
+    return F.xxhash64(F.lit(kind), *words)
+
+
 def _patterns() -> Column:
-    """The patterns that an occurrence stands beside: a word and the class, two words of a side, a word of either side."""
+    """The patterns that an occurrence stands beside, each with the hash of the words that make its slot.
+
+    A word and the class, two words of a side, a word of either side.
+    """
     first, second = (lambda c: F.get(F.col(c), F.lit(0))), (lambda c: F.get(F.col(c), F.lit(1)))
-    one = [F.concat(F.lit(f"{c} "), first(c), F.lit(" "), F.col("class")) for c in ("left", "right")]
-    two = [F.concat(F.lit(f"two {c} "), first(c), F.lit(" "), second(c)) for c in ("left", "right")]
-    return F.array_compact(F.array(*one, *two, F.concat(F.lit("between "), first("left"), F.lit(" "), first("right"))))
+    one = [(F.concat(F.lit(f"{c} "), first(c), F.lit(" "), F.col("class")), _slot(_ALONE, first(c))) for c in ("left", "right")]
+    two = [
+        (F.concat(F.lit("two left "), first("left"), F.lit(" "), second("left")), _slot(_ROW, second("left"), first("left"))),
+        (F.concat(F.lit("two right "), first("right"), F.lit(" "), second("right")), _slot(_ROW, first("right"), second("right"))),
+    ]
+    around = (F.concat(F.lit("between "), first("left"), F.lit(" "), first("right")), _slot(_AROUND, first("left"), first("right")))
+    every = [F.struct(name.alias("pattern"), slot.alias("slot")) for name, slot in (*one, *two, around)]
+    return F.filter(F.array(*every), lambda p: p["pattern"].isNotNull())
+
+
+def slot_counts(texts: DataFrame, slots: DataFrame) -> DataFrame:
+    """(slot, places): how often the words of each of ``slots`` stand in all texts, whatever is beside them.
+
+    The hashes that are asked for are broadcast, :data:`SLOTS` at a time; each
+    such part is one scan, and only counts are shuffled.
+    """
+    slots = cut(slots.distinct())
+    parts = max(1, -(-slots.count() // SLOTS))
+    words = texts.select(F.split(F.lower("text"), r"[^\p{L}\p{N}]+").alias("w"))
+    after = lambda n: F.slice("w", F.lit(n + 1), F.greatest(F.size("w") - n, F.lit(0)))
+    alone = F.transform("w", lambda a: _slot(_ALONE, a))
+    rows = F.zip_with("w", after(1), lambda a, b: _slot(_ROW, a, b))
+    around = F.zip_with("w", after(2), lambda a, b: _slot(_AROUND, a, b))
+    places = words.select(F.explode(F.concat(alone, rows, around)).alias("slot"))
+    out = None
+    for part in range(parts):
+        mine = F.pmod("slot", F.lit(parts)) == part
+        wanted, some = (slots, places) if parts == 1 else (slots.where(mine), places.where(mine))
+        counts = some.join(F.broadcast(wanted), "slot", "left_semi").groupBy("slot").agg(F.count(F.lit(1)).alias("places"))
+        out = counts if out is None else out.unionByName(counts)
+    return cut(out)
 
 
 def learn_patterns(
-    occurrences: DataFrame, rounds: int = 3, support: int = 3, confidence: float = 0.8, accept: float = 0.9
-) -> DataFrame:
-    """High-confidence patterns of occurrences (instance, pattern, known), as a table (pattern).
+    occurrences: DataFrame, texts: DataFrame, rounds: int = 3, support: int = 3, confidence: float = 0.8, accept: float = 0.9,
+    share: float = 0.5,
+) -> DataFrame:
+    """High-confidence patterns of occurrences (instance, pattern, slot, known) in ``texts`` (text), as a table (pattern, score).
 
     In each round a pattern's confidence is the share of its distinct instances
-    that are known, if at least ``support`` are; an instance that is not known
+    that are known, if at least ``support`` are and they stand in at least ``share`` of
+    all places of its words; other patterns count for nothing. An instance that is not known
     becomes so when 1 - prod(1 - confidence) over its patterns reaches ``accept``.
+    ``score`` is log2(known instances) times their share of all places, of the last round.
     """
-    edges = cut(occurrences.groupBy("pattern", "instance").agg(F.max("known").alias("known")))
-    patterns = None
+    edges = cut(
+        occurrences.groupBy("pattern", "slot", "instance").agg(F.max("known").alias("known"), F.count(F.lit(1)).alias("m"))
+    )
+    counted = patterns = None
     for _ in range(max(1, rounds)):
-        scores = edges.groupBy("pattern").agg(F.count("*").alias("n"), F.count_if("known").alias("k"))
-        patterns = scores.where(F.col("k") >= support).select("pattern", (F.col("k") / F.col("n")).alias("score"))
-        doubt = F.sum(F.log1p(-F.least(F.coalesce("score", F.lit(0.0)), F.lit(0.999))))
+        scores = edges.groupBy("pattern", "slot").agg(
+            F.count(F.lit(1)).alias("n"), F.count_if("known").alias("k"), F.sum(F.when(F.col("known"), F.col("m"))).alias("held")
+        )
+        scores = cut(scores.where(F.col("k") >= support))
+        fresh = scores.select("slot") if counted is None else scores.select("slot").join(counted, "slot", "left_anti")
+        if counted is None or not fresh.isEmpty():
+            more = slot_counts(texts, fresh)
+            counted = more if counted is None else cut(counted.unionByName(more))
+        of_all = F.col("held") / F.greatest(F.col("places"), F.col("held"))
+        patterns = scores.join(counted, "slot").where(of_all >= share)
+        patterns = patterns.select("pattern", (F.col("k") / F.col("n")).alias("sure"), (F.log2("k") * of_all).alias("score"))
+        doubt = F.sum(F.log1p(-F.least(F.coalesce("sure", F.lit(0.0)), F.lit(0.999))))
         instances = edges.join(patterns, "pattern", "left").groupBy("instance").agg(
             (F.max("known") | (1 - F.exp(doubt) >= accept)).alias("now")
         )
-        edges = cut(edges.join(instances, "instance").select("pattern", "instance", F.col("now").alias("known")))
-    return cut(patterns.where(F.col("score") >= confidence).select("pattern"))
+        edges = cut(edges.join(instances, "instance").select("pattern", "slot", "instance", F.col("now").alias("known"), "m"))
+    return cut(patterns.where(F.col("sure") >= confidence).select("pattern", "score"))
 
 
 def find(
@@ -161,7 +220,7 @@ def find(
     rows; other columns are not read.
     """
     scanned = _scanned(df, text_col, id_col)
-    added = _context_spans(scanned, rounds, support, confidence, accept)
+    added = _context_spans(scanned, _texts(df, text_col), rounds, support, confidence, accept)
     joined = scanned.select("own", "base").join(added, F.col("own") == F.col("id"), "left")
     return joined.select(F.col("own").alias(id_col), _named(F.col("base"), F.col("added")).alias("found"))
 
@@ -177,11 +236,20 @@ def _scanned(df: DataFrame, text_col: str, id_col: str) -> DataFrame:
     return stored(base.select("own", "base", _occurrences(F.col("text"), F.col("base")).alias("tokens")), "pii")
 
 
-def _context_spans(scanned: DataFrame, rounds: int, support: int, confidence: float, accept: float) -> DataFrame:
-    """(id, added): the spans that high-confidence patterns add to each id's text."""
+def _texts(df: DataFrame, text_col: str) -> DataFrame:
+    return pick(df, text=text_col).where(F.col("text").isNotNull())
+
+
+def _occurring(scanned: DataFrame) -> DataFrame:
+    """A row for each identifier-like token and pattern that it stands beside."""
     tokens = scanned.where(F.size("tokens") > 0).select(F.col("own").alias("id"), F.explode("tokens").alias("t")).select("id", "t.*")
-    graph = tokens.select("id", "start", "end", "instance", "known", F.explode(_patterns()).alias("pattern"))
-    patterns = learn_patterns(graph.select("pattern", "instance", "known"), rounds, support, confidence, accept)
+    return tokens.select("id", "start", "end", "instance", "known", F.explode(_patterns()).alias("p")).select("*", "p.pattern", "p.slot")
+
+
+def _context_spans(scanned: DataFrame, texts: DataFrame, rounds: int, support: int, confidence: float, accept: float) -> DataFrame:
+    """(id, added): the spans that high-confidence patterns add to each id's text."""
+    graph = _occurring(scanned)
+    patterns = learn_patterns(graph.select("pattern", "slot", "instance", "known"), texts, rounds, support, confidence, accept)
     added = graph.where(~F.col("known") & F.col("id").isNotNull()).join(patterns, "pattern", "left_semi")
     return added.groupBy("id").agg(F.collect_set(F.struct("start", F.lit(4).alias("kind"), "end")).alias("added"))
 
@@ -209,7 +277,7 @@ def mask(
     Null texts stay null. Only the few spans that patterns add are joined; the
     base spans are found again in the row. Rows without an id get base spans only.
     """
-    added = _context_spans(_scanned(df, text_col, id_col), rounds, support, confidence, accept)
+    added = _context_spans(_scanned(df, text_col, id_col), _texts(df, text_col), rounds, support, confidence, accept)
     names = {c: f"c{i}" for i, c in enumerate(df.columns)}  # the columns of df may be named like those of this function
     rows, text = pick(df, **{new: c for c, new in names.items()}), F.col(names[text_col])
     joined = rows.join(added, F.col(names[id_col]) == F.col("id"), "left")

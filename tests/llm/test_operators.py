@@ -185,6 +185,39 @@ def test_pii_patterns_discover_other_formats(spark):
     assert all(found[300 + i] == [] for i in range(len(clean))) and all(len(found[i]) == 1 for i in range(40))
 
 
+def test_pii_numbers_beside_function_words_are_left_alone(spark):
+    """Words that stand beside identifiers and far more often beside others are no patterns, however many identifiers they have."""
+    rows = [(i, f"{w} born in +1555123{4567 + i} of {w}.{i}@example.com and the 10.0.{i}.7 for {x}") for i, (w, x) in enumerate(zip(WORDS[:60], WORDS[60:120]))]
+    rows += [(100 + i, f"{w} of {x} in {w} of {x} for {w} and the {x} born in {w} of the {x}") for i, (w, x) in enumerate(zip(WORDS[:90], WORDS[90:180]))]
+    plain = ["a population of 45210 people in 20190401", "a total of 250000 votes and 123456 for 98765", "in 1234567 of the 7654321"]
+    rows += [(300 + i, t) for i, t in enumerate(plain)]
+    rows += [(400 + i, f"{w} to account +4930{1234500 + i} {x}") for i, (w, x) in enumerate(zip(WORDS[:30], WORDS[30:60]))]
+    rows += [(500, "sent to account GB29-NWBK-6016 then")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: [tuple(s) for s in r["found"]] for r in pii.find(df).collect()}
+    assert found[500] == [("context", 16, 30)]
+    assert all(s[0] != "context" for i, spans in found.items() if i != 500 for s in spans)
+    masked = {r["doc_id"]: r["text"] for r in pii.mask(df).collect()}
+    assert [masked[300 + i] for i in range(len(plain))] == plain
+
+
+def test_pii_pattern_scores_match_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(pii, "SLOTS", 7)  # several parts
+    rng = random.Random(9)
+    texts = [" ".join(rng.choices(WORDS[:12], k=rng.randint(0, 30))) for _ in range(60)]
+    words = [t.split() for t in texts]
+    slots = {("a", a): pii._slot(pii._ALONE, F.lit(a)) for a in WORDS[:10]}
+    slots |= {("r", a, b): pii._slot(pii._ROW, F.lit(a), F.lit(b)) for a in WORDS[:5] for b in WORDS[:5]}
+    slots |= {("b", a, b): pii._slot(pii._AROUND, F.lit(a), F.lit(b)) for a in WORDS[:5] for b in WORDS[:5]}
+    hashes = spark.range(1).select(*(c.alias(str(i)) for i, c in enumerate(slots.values()))).first()
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = {r["slot"]: r["places"] for r in pii.slot_counts(df, spark.createDataFrame([(h,) for h in hashes], "slot long")).collect()}
+    for key, h in zip(slots, hashes):
+        step = {"a": 0, "r": 1, "b": 2}[key[0]]
+        want = sum(tuple(w[i : i + step + 1 : max(step, 1)]) == key[1:] for w in words for i in range(len(w) - step))
+        assert got.get(h, 0) == want, key
+
+
 def test_pii_rows_without_an_id(spark):
     good = ["4111111111111111", "5500005555555559", "340000000000009", "6011000990139424", "30569309025904", "4012888888881881"]
     rows = [*((i, f"pay card {c} now") for i, c in enumerate(good)), (None, "pay card 4111111111111112 now"), (None, "a@b.co")]
