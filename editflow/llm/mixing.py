@@ -133,16 +133,43 @@ def _spot(seed: int, id_: Column, source: Column, text: Column) -> Column:
 
 
 def _dealt(taken: DataFrame, n_blocks: int) -> DataFrame:
-    """Each row of (id, source, spot, copies, ...) as often as it is taken, with its epoch, block and ``turn`` in the block.
+    """Each row of (id, source, spot, n, twin, copies, ...) as often as it is taken, with its epoch, block and ``turn`` in the block.
 
-    Copies of a row go to equal parts of the blocks, one each, and to the same
-    spot in them. All rows are spread alike, however often they are taken.
+    Copies of a row, and of the ``n`` rows that are equal to it, go to equal parts of the blocks, one each, and to the same
+    spot in them. All rows are spread alike, however often they are taken or occur.
     """
     taken = taken.where(F.col("copies") > 0)
     taken = taken.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1)))
     spot = F.least(F.shiftrightunsigned("spot", 1) / F.lit(2.0**63), F.lit(1 - 2.0**-53))
-    block = F.least(F.floor((F.col("epoch") + spot) / F.col("copies") * n_blocks), F.lit(n_blocks - 1)).cast("int")
-    return taken.withColumns({"block": block, "turn": F.xxhash64(F.lit("turn"), "spot", "epoch")})
+    turn = F.col("twin") * F.col("copies") + F.col("epoch")
+    block = F.least(F.floor((turn + spot) / (F.col("n") * F.col("copies")) * n_blocks), F.lit(n_blocks - 1)).cast("int")
+    return taken.withColumns({"block": block, "turn": F.xxhash64(F.lit("turn"), "spot", turn)})
+
+
+def _repeated(slim: DataFrame) -> DataFrame:
+    """(spot, n) of the rows that occur more than once."""
+    return cut(slim.groupBy("spot").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1))
+
+
+def _twins(rows: DataFrame, repeated: DataFrame) -> DataFrame:
+    """The rows with ``n``, how many are equal to each (itself included), and ``twin``, its number among them.
+
+    Rows that occur once are not moved. The others are stored with the partition
+    that they stand in, and numbered in it; the counts of the partitions before it are added. So
+    no task holds all rows that are equal.
+    """
+    one = {"n": F.lit(1).cast("bigint"), "twin": F.lit(0).cast("bigint")}
+    if repeated.isEmpty():
+        return rows.withColumns(one)
+    beside = F.broadcast(repeated) if repeated.count() <= SMALL_SOURCES else repeated
+    single = rows.join(beside, "spot", "left_anti").withColumns(one)
+    more = stored(rows.join(beside, "spot").withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}), "twins")
+    counts = more.groupBy("spot", "_part").agg(F.count(F.lit(1)).alias("_held"))
+    before = F.sum("_held").over(Window.partitionBy("spot").orderBy("_part")) - F.col("_held")
+    counts = counts.select("spot", "_part", before.alias("_before"))
+    number = F.row_number().over(Window.partitionBy("spot", "_part").orderBy("_at")) - 1
+    more = more.join(counts, ["spot", "_part"]).withColumn("twin", F.col("_before") + number).drop("_part", "_at", "_before")
+    return single.unionByName(more)
 
 
 def _blocks(slim: DataFrame, rows_per_block: int) -> int:
@@ -150,7 +177,7 @@ def _blocks(slim: DataFrame, rows_per_block: int) -> int:
 
 
 #: The order within a block.
-_ORDER = ("turn", "id", "source", "epoch")
+_ORDER = ("turn", "id", "source", "twin", "epoch")
 
 
 def _copies() -> Column:
@@ -213,12 +240,17 @@ def deal(
 
     ``epoch`` counts a document's copies from 0, ``block`` the blocks and
     ``position`` the rows of a block, in the order of ``mix``; documents that
-    are not taken have no row. What ``mix_plan`` says of null sources, texts
+    are not taken have no row. Rows that are equal in id, source and text are dealt to
+    blocks as the copies of one row are, evenly. What ``mix_plan`` says of null sources, texts
     without a word and repeated rows holds here.
     """
     slim = _slim(df, text_col, source_col, id_col, seed)
     ends, small = _source_ends(slim, budget_ratio, max_repeats, entropy)
-    taken = _dealt(_beside(slim, ends, small, "left").withColumn("copies", _copies()), _blocks(slim, rows_per_block))
+    # only numbers of rows are needed here: equal ones are counted and dealt by their count
+    equal = slim.groupBy("spot", "id", "source", "h").agg(F.count(F.lit(1)).alias("n"), F.first("tokens").alias("tokens"))
+    taken = _beside(equal, ends, small, "left").withColumn("copies", _copies())
+    taken = taken.withColumn("twin", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)))
+    taken = _dealt(taken, _blocks(slim, rows_per_block))
     order = Window.partitionBy("block").orderBy(*_ORDER)  # a block holds about rows_per_block rows, whatever the input
     return taken.select(
         F.col("id").alias(id_col), "source", "tokens", F.coalesce("weight", F.lit(0.0)).alias("weight"), "copies", "epoch", "block",
@@ -251,6 +283,7 @@ def mix(
     id_, source = F.col(names[id_col]), F.col(names[source_col])
     spot = _spot(seed, id_, source, F.col(names[text_col]))
     rows = rows.withColumns({"id": id_, "source": source, "h": _hash(seed, id_, source), "spot": spot})
+    rows = _twins(rows, _repeated(slim))
     taken = _dealt(_beside(rows, ends, small, "left").withColumn("copies", _copies()), _blocks(slim, rows_per_block))
     taken = taken.repartition("block").sortWithinPartitions("block", *_ORDER)
     return taken.select(*(F.col(new).alias(c) for c, new in names.items()))

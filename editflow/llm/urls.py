@@ -34,7 +34,7 @@ CACHED_LABELS = 200_000
 SEED_SHARE = 5e-4
 #: Added to the number of all words for those that are not among them.
 UNSEEN = 10
-#: The longest label that a host name can have, so the longest word in one.
+#: The longest label of a host name: up to this, all parts of a run of letters are looked up.
 LABEL = 63
 
 
@@ -72,12 +72,12 @@ def word_counts(pages: DataFrame, html_col: str = "html") -> DataFrame:
 
 
 class Segmenter:
-    """Unigram Viterbi over concatenated words; an unknown word of length k costs log(total * 10^k)."""
+    """Unigram Viterbi over concatenated words of any length; an unknown word of length k costs log(total * 10^k)."""
 
-    def __init__(self, counts: dict[str, float], longest: int = 24, total: float | None = None):
+    def __init__(self, counts: dict[str, float], total: float | None = None):
         self.total = sum(counts.values()) + UNSEEN if total is None else total
         self.logs = {w: math.log(n / self.total) for w, n in counts.items()}
-        self.longest = longest  # of unknown words too, whatever words are known
+        self.sizes = sorted({len(w) for w in counts})
         self.cache: dict[str, list[str]] = {}
 
     def split(self, label: str) -> list[str]:
@@ -90,15 +90,21 @@ class Segmenter:
 
     def _viterbi(self, label: str) -> list[str]:
         best, back = [0.0], [0]
+        letter, unseen = math.log(10), math.log(self.total)
+        # the best place for an unknown word to begin: its letters cost the same each, so one place is the best for all ends
+        lead, place = 0.0, 0
         for end in range(1, len(label) + 1):
-            options = []
-            for begin in range(max(0, end - self.longest), end):
-                known = self.logs.get(label[begin:end])
-                cost = -math.log(self.total) - (end - begin) * math.log(10) if known is None else known
-                options.append((best[begin] + cost, begin))
-            score, begin = max(options, key=lambda x: (x[0], -x[1]))
+            score, begin = lead - unseen - end * letter, place
+            for size in self.sizes:
+                if size > end:
+                    break
+                known = self.logs.get(label[end - size : end])
+                if known is not None and (best[end - size] + known, size) > (score, end - begin):
+                    score, begin = best[end - size] + known, end - size
             best.append(score)
             back.append(begin)
+            if score + end * letter > lead:
+                lead, place = score + end * letter, end
         words, end = [], len(label)
         while end:
             words.append(label[back[end] : end])
@@ -116,7 +122,8 @@ def segmented(hosts: DataFrame, counts: DataFrame, seed_words: Sequence[str] = S
     """Rows (host, words), one for each different host: its runs, split by the counts (w, n) of all words.
 
     Each run meets the words that are a part of it by a join, so no lexicon of
-    the corpus is held anywhere; a seed word has ``seed_share`` of all words besides.
+    the corpus is held anywhere. Runs beyond :data:`LABEL` letters, which no real
+    host has, also meet the words of each greater length that there is. A seed word has ``seed_share`` of all words besides.
     """
     counts = stored(counts, "words")
     corpus = counts.agg(F.sum("n")).first()[0] or 0
@@ -127,7 +134,12 @@ def segmented(hosts: DataFrame, counts: DataFrame, seed_words: Sequence[str] = S
     runs = stored(runs.withColumn("key", F.monotonically_increasing_id()), "runs")
     parts = runs.select("key", "run", F.explode(F.sequence(F.lit(1), F.length("run"))).alias("at"))
     left = F.length("run") - F.col("at") + 1
-    parts = parts.where(left > 1).withColumn("k", F.explode(F.sequence(F.lit(2), F.least(left, F.lit(LABEL)))))
+    long = counts.where(F.length("w") > LABEL).select(F.length("w").alias("k")).distinct().collect()  # one row a length
+    sizes = F.sequence(F.lit(2), F.least(left, F.lit(LABEL)))
+    if long:
+        every = F.array(*(F.lit(r["k"]) for r in long))
+        sizes = F.when(left > LABEL, F.concat(sizes, F.filter(every, lambda k: k <= F.length("run") - F.col("at") + 1))).otherwise(sizes)
+    parts = parts.where(left > 1).withColumn("k", F.explode(sizes))
     parts = parts.select("key", F.substring("run", F.col("at"), F.col("k")).alias("w")).distinct()
     known = parts.join(counts, "w").groupBy("key").agg(F.collect_list("w").alias("w"), F.collect_list("n").alias("n"))
 
@@ -137,7 +149,7 @@ def segmented(hosts: DataFrame, counts: DataFrame, seed_words: Sequence[str] = S
             for run, words, n in zip(*(c.to_pylist() for c in batch.columns)):
                 about = Counter(dict(zip(words or [], n or [])))
                 about.update({w: c for w, c in seeds.items() if w in run})
-                out.append(Segmenter(about, LABEL, total).split(run))
+                out.append(Segmenter(about, total).split(run))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.string()))], names=["run", "words"])
 
     words = runs.join(known, "key", "left").select("run", "w", "n").mapInArrow(split, "run string, words array<string>")
@@ -163,11 +175,12 @@ class NaiveBayes:
     The share is a parameter: how many training URLs a rule blocks says little about the others.
     """
 
-    def __init__(self, rows: Iterable[tuple[str, list[str]]], blocked_share: float = 0.2):
+    def __init__(self, rows: Iterable[tuple[str, list[str], float]], blocked_share: float = 0.2):
         self.words = {"allow": Counter(), "block": Counter()}
         self.prior = math.log(blocked_share / (1 - blocked_share))
-        for label, tokens in rows:
-            self.words[label].update(tokens)
+        for label, tokens, weight in rows:
+            for t in tokens:
+                self.words[label][t] += weight
         size = len(set().union(*self.words.values())) + 1
         self.sums = {label: sum(c.values()) + size for label, c in self.words.items()}
 
@@ -186,13 +199,18 @@ def parsed(pages: DataFrame, url_col: str, id_col: str, rules: Sequence[tuple[st
     return rows.withColumn("r", rule_for(F.col("host"), F.col("path"), rules)).select("id", "host", "path", "r.rule", "r.verdict")
 
 
-def train(rows: DataFrame, sample: int = 20_000, seed_words: Sequence[str] = SEED_WORDS) -> NaiveBayes:
-    """Fit on at most ``sample`` URLs that a rule decides, in order of a hash, and on as many blocked seed words."""
-    decided = rows.where(F.col("verdict").isNotNull()).select("host", "path", "verdict", "words")
-    some = decided.orderBy(F.xxhash64("host", "path"), "host", "path", "verdict").limit(sample).collect()
-    labelled = [(r["verdict"], features(r["words"], r["path"])) for r in some]
-    weight = max(50, len(labelled) // max(1, len(seed_words)))
-    return NaiveBayes(labelled + [("block", ["h:" + w]) for w in seed_words for _ in range(weight)])
+def train(rows: DataFrame, sample: int = 20_000, seed_words: Sequence[str] = SEED_WORDS, seed_part: float = 0.02) -> NaiveBayes:
+    """Fit on at most ``sample`` different URLs that a rule decides, in order of a hash of their smallest id, and the seed words.
+
+    Copies of a URL are one row of weight 1 + log2 of their number, so none fills the
+    sample. The seed words together weigh as blocked rows what ``seed_part`` of the sample does, and each as three rows at least.
+    """
+    decided = rows.where(F.col("verdict").isNotNull()).groupBy("host", "path", "verdict")
+    decided = decided.agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id"), F.first("words").alias("words"))
+    some = decided.orderBy(F.xxhash64("id"), "host", "path", "verdict").limit(sample).collect()
+    labelled = [(r["verdict"], features(r["words"], r["path"]), 1 + math.log2(r["n"])) for r in some]
+    seeds = max(3.0, seed_part * sum(n for _, _, n in labelled) / max(1, len(seed_words)))
+    return NaiveBayes(labelled + [("block", ["h:" + w], seeds) for w in seed_words])
 
 
 def filter_urls(

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
+import math
 import random
 import re
 from collections import defaultdict
@@ -575,7 +577,7 @@ def test_segmentation_by_parts_is_that_of_the_whole_lexicon(spark):
     total = sum(counts.values())
     for w in urls.SEED_WORDS:
         counts[w] = counts.get(w, 0) + urls.SEED_SHARE * (total + urls.UNSEEN)
-    whole = urls.Segmenter(counts, urls.LABEL)
+    whole = urls.Segmenter(counts)
     for r in urls.segmented(urls.parsed(df, "url", "page_id", urls.RULES), urls.word_counts(df)).collect():
         labels = r["host"].split(":")[0].split(".")
         assert r["words"] == [w for x in labels[: max(1, len(labels) - 1)] for run in re.findall("[a-z]+", x) for w in whole.split(run)]
@@ -588,5 +590,56 @@ def test_segmentation_and_verdicts():
         (tuple(segmenter.split(w)) for w in ["newsfreex"]), key=len
     )
     assert best[:2] == ("news", "free")
-    model = urls.NaiveBayes([("block", ["h:bets"])] * 30 + [("allow", ["h:news"])] * 30)
+    model = urls.NaiveBayes([("block", ["h:bets"], 1)] * 30 + [("allow", ["h:news"], 1)] * 30)
     assert model.verdict(["h:bets"]) == "block" and model.verdict(["h:news"]) == "allow" and model.verdict([]) == "allow"
+
+
+def test_segmentation_matches_brute_force():
+    rng, total = random.Random(3), 1000.0
+    counts = {"".join(rng.choices("ab", k=rng.randint(2, 5))): rng.randint(1, 60) for _ in range(12)}
+    cost = lambda w: math.log(counts[w] / total) if w in counts else -math.log(total) - len(w) * math.log(10)
+    for _ in range(40):
+        label = "".join(rng.choices("abc", k=rng.randint(1, 11)))
+        cuts = ([label[i:j] for i, j in zip((0, *c), (*c, len(label)))] for n in range(len(label)) for c in itertools.combinations(range(1, len(label)), n))
+        got = urls.Segmenter(counts, total).split(label)
+        assert "".join(got) == label and abs(sum(map(cost, got)) - max(sum(map(cost, c)) for c in cuts)) < 1e-9
+
+
+def test_hosts_of_any_length(spark):
+    """Words and runs of more than 63 letters, and a run of many thousand."""
+    long = "".join(random.Random(1).choices("bcdfgh", k=90))
+    pages = [(0, f"http://news{long}daily{long}.org/", f"news daily {long} news daily"), (1, "http://" + "newsdaily" * 700 + ".org/", None)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {len(r["host"]): r["words"] for r in urls.segmented(urls.parsed(df, "url", "page_id", urls.RULES), urls.word_counts(df)).collect()}
+    assert got[len(f"news{long}daily{long}.org")] == ["news", long, "daily", long] and got[6304] == ["news", "daily"] * 700
+    assert {r["verdict"] for r in urls.filter_urls(df).collect()} <= {"allow", "block"}
+
+
+def test_blocked_urls_teach_words(spark):
+    """A word that no list holds and only blocked URLs have blocks an undecided URL; one hot URL does not fill the sample."""
+    html = "quokka xylem daily news garden " * 5
+    rules = [("block", "bad.net", "/"), ("allow", "com", "/")]
+    pages = [f"http://quokka{w}.bad.net/{w}" for w in WORDS[:40]] + [f"http://garden{w}.com/{w}" for w in WORDS[:60]]
+    pages += ["http://hot.com/same"] * 400 + ["http://myquokka.org/", "http://mygarden.org/", "http://xylem.org/", "http://casinoxylem.org/"]
+    df = spark.createDataFrame([(i, u, html) for i, u in enumerate(pages)], "page_id long, url string, html string")
+    got = {r["host"]: r["verdict"] for r in urls.filter_urls(df, rules=rules, sample=101).collect()}
+    assert (got["myquokka.org"], got["mygarden.org"], got["xylem.org"], got["casinoxylem.org"]) == ("block", "allow", "allow", "block")
+    without = {r["host"]: r["verdict"] for r in urls.filter_urls(df, rules=rules, sample=101, seed_words=()).collect()}
+    assert (without["myquokka.org"], without["mygarden.org"], without["casinoxylem.org"]) == ("block", "allow", "allow")
+
+
+def test_hot_equal_rows_are_spread_over_the_blocks(spark):
+    rows = [(None if i < 10_000 else 7, None if i < 10_000 else "w " * 3, "hot", i % 5) for i in range(20_000)]
+    rows += [(100 + i, f"{i} w w", "s", 0) for i in range(10_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars int").repartition(6)
+    dealt = mixing.deal(df, rows_per_block=1024).cache()
+    sizes = [r["count"] for r in dealt.groupBy("block").count().collect()]
+    assert len(sizes) > 20 and max(sizes) <= 2 * 1024
+    mixed = mixing.mix(df, rows_per_block=1024)
+    assert mixed.columns == df.columns
+    count = lambda d: sorted((tuple(r) for r in d.groupBy("doc_id", "source").count().collect()), key=repr)
+    assert count(mixed) == count(dealt)
+    # all five kinds of the equal rows are taken as often as they occur
+    taken = {(i, source): n for i, source, n in count(dealt)}[7, "hot"]
+    assert {r["count"] for r in mixed.where("doc_id = 7").groupBy("n_chars").count().collect()} == {taken // 5}
+    dealt.unpersist()

@@ -63,3 +63,16 @@ def test_stages_carry_other_columns(spark):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF0001).columns == ["doc_id", "ids"]
+
+
+def test_near_duplicates_of_repeated_ids(spark):
+    """Of rows that share an id the one of the smallest text stays; rows without an id all stay."""
+    from tests.llm.test_operators import prose
+
+    a, b, c = prose(40, 1), prose(40, 2), prose(40, 3)
+    rows = [(1, b, "en", "s", 1), (1, a, "en", "s", 2), (1, a, "de", "s", 2), (2, max(a, b), "en", "s", 3), (3, c, "en", "s", 4), (3, c, "en", "s", 4)]
+    rows += [(4, None, "en", "s", 0), (4, "", "en", "s", 0), (None, a, "en", "s", 5), (None, a, "en", "s", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(map(repr, map(tuple, corpus_pipeline.near_duplicates(spark, docs, SF0001).collect())))
+    kept = [(1, min(a, b), "de" if a < b else "en", "s", 2 if a < b else 1), (2, max(a, b), "en", "s", 3), (3, c, "en", "s", 4), (4, None, "en", "s", 0)]
+    assert got == sorted(map(repr, [*kept, (None, a, "en", "s", 5), (None, a, "en", "s", 5)]))
