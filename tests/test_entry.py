@@ -38,6 +38,22 @@ def test_entry_without_the_optional_part(tmp_path):
     assert out.stdout.split() == sorted(QUERIES)
 
 
+def test_an_import_that_fails_inside_the_optional_part_is_an_error(tmp_path):
+    import shutil
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(entry.__file__).parent
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    shutil.copytree(root / "editflow", tmp_path / "editflow", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    (tmp_path / "editflow" / "llm").mkdir()
+    (tmp_path / "editflow" / "llm" / "__init__.py").write_text("")
+    (tmp_path / "editflow" / "llm" / "queries.py").write_text("import no_such_module\n")
+    out = subprocess.run([sys.executable, "-c", "import __spark_entry__"], cwd=tmp_path, capture_output=True, text=True)
+    assert out.returncode != 0 and "no_such_module" in out.stderr
+
+
 def _norm(rows, cols):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
 
