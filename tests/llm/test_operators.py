@@ -103,7 +103,11 @@ def test_repeats_on_odd_rows(odd, empty):
 
 # -- 2: embedding near-dedup ---------------------------------------------------
 
-def test_vector_links_match_brute_force(spark):
+@pytest.mark.parametrize("small", [False, True])
+def test_vector_links_match_brute_force(spark, monkeypatch, small):
+    if small:  # buckets and families are dealt into many blocks, and blocks into many tiles
+        for name, n in {"BUCKET_ROWS": 16, "FAMILY_ROWS": 64, "TILE": 16, "STEP": 100}.items():
+            monkeypatch.setattr(vectors, name, n)
     r = np.random.default_rng(2)
     x = r.standard_normal((300, 16))
     x[100:220] = x[5] + 0.12 * r.standard_normal((120, 16))
@@ -125,6 +129,25 @@ def test_vector_links_match_brute_force(spark):
     assert vectors.near_duplicates(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("dim", [2, 5, 64, 300])
+def test_codes_estimate_without_bias(dim):
+    r = np.random.default_rng(dim)
+    x, z = r.standard_normal((2, 600, dim))
+    x, z = (v / np.linalg.norm(v, axis=1, keepdims=True) for v in (x, x + 0.5 / math.sqrt(dim) * z))
+    code, factor, spread = vectors.encode(z, 5)
+    assert code.shape[1] % 8 == 0 and np.allclose((vectors.turned(z, 5) * vectors.signs(code, dim)).sum(axis=1), factor)
+    error = (vectors.turned(x, 5) * vectors.signs(code, dim)).sum(axis=1) / factor - (x * z).sum(axis=1)
+    assert abs(error.mean()) < 4 * error.std() / math.sqrt(600) + 1e-4
+    assert (np.abs(error) <= 6 * spread).all()
+
+
+def test_code_distance_of_a_pair_at_the_threshold():
+    h = vectors.most_apart(256, 0.95, 1e-5)
+    p = math.acos(0.95) / math.pi
+    tail = lambda n: sum(math.comb(256, k) * p**k * (1 - p) ** (256 - k) for k in range(n + 1, 257))
+    assert tail(h) <= 1e-5 < tail(h - 1)
+
+
 # -- 3: personal data ----------------------------------------------------------
 
 def brute_pii(text):
