@@ -241,30 +241,39 @@ def _together(groups) -> Iterator[list[tuple[int, pa.Table]]]:
 def _near_codes(many: list[tuple[int, pa.Table]], apart: dict[int, int]) -> Iterator[pa.RecordBatch]:
     """Links (u, v) that join all rows of a group whose codes are near, directly or by others of the group.
 
-    Rows near the first of their group are linked to it and not compared with
-    each other, so that a group of near copies costs one comparison a row.
+    Rows near the most central one of their group are linked to it and not
+    compared with each other, so that a group of near copies costs one
+    comparison a row; and no step gives more links than it has rows.
     """
     dim = many[0][0]
     part = pa.concat_tables(t for _, t in many).combine_chunks()
     size = np.array([t.num_rows for _, t in many])
+    group, begin = np.repeat(np.arange(len(size)), size), np.cumsum(size) - size
     ids = part.column("id").to_numpy()
     words = np.frombuffer(b"".join(part.column("code").to_pylist()), dtype=np.uint64).reshape(len(ids), -1)
-    first = np.repeat(np.cumsum(size) - size, size)
-    near = np.bitwise_count(words ^ words[first]).sum(axis=1, dtype=np.int32) <= apart[dim]
-    yield pa.RecordBatch.from_arrays([pa.array(ids[near]), pa.array(ids[first[near]])], names=["u", "v"])
+
+    def differ(i, j) -> np.ndarray:
+        return np.bitwise_count(words[i] ^ words[j]).sum(axis=1, dtype=np.int32)
+
+    # The row that differs least from the majority of each bit.
+    ones = np.add.reduceat(np.unpackbits(words.view(np.uint8), axis=1), begin, axis=0, dtype=np.int32)
+    most = np.packbits(ones * 2 > size[:, None], axis=1).view(np.uint64)
+    away = np.bitwise_count(words ^ most[group]).sum(axis=1, dtype=np.int32)
+    center = np.lexsort((away, group))[begin][group]
+    near = differ(np.arange(len(ids)), center) <= apart[dim]
+    linked = near & (center != np.arange(len(ids)))
+    yield pa.RecordBatch.from_arrays([pa.array(ids[linked]), pa.array(ids[center[linked]])], names=["u", "v"])
     # The others come first in their group, and each is compared with all that follow it.
-    order = np.lexsort((near, first))
-    ids, words, near, end = ids[order], words[order], near[order], np.repeat(np.cumsum(size), size)
-    left = np.flatnonzero(~near)
+    order, end = np.lexsort((near, group)), np.repeat(np.cumsum(size), size)
+    left = np.flatnonzero(~near[order])
     follow = end[left] - left - 1
     total = np.cumsum(follow)
     for a in range(0, int(total[-1]) if len(total) else 0, STEP):
         at = np.arange(a, min(a + STEP, int(total[-1])))
-        i = np.searchsorted(total, at, side="right")
-        j = left[i] + 1 + at - (total[i] - follow[i])
-        i = left[i]
-        same = np.bitwise_count(words[i] ^ words[j]).sum(axis=1, dtype=np.int32) <= apart[dim]
-        yield pa.RecordBatch.from_arrays([pa.array(ids[i[same]]), pa.array(ids[j[same]])], names=["u", "v"])
+        k = np.searchsorted(total, at, side="right")
+        i, j = order[left[k]], order[left[k] + 1 + at - (total[k] - follow[k])]
+        same = differ(i, j) <= apart[dim]
+        yield from _star(ids, i[same], j[same])
 
 
 def _links(part: pa.Table, dim: int, own: np.ndarray, b1: int, b2: int, threshold: float, seed: int, sigmas: float) -> tuple[np.ndarray, np.ndarray]:

@@ -141,6 +141,22 @@ def test_codes_estimate_without_bias(dim):
     assert (np.abs(error) <= 6 * spread).all()
 
 
+def test_near_copies_of_a_bucket_are_joined_by_few_links():
+    r = np.random.default_rng(4)
+    x = r.standard_normal((1300, 64))
+    x[100:1100] = x[100] + 0.05 * r.standard_normal((1000, 64))
+    x[1100:1110] = x[1100] + 0.05 * r.standard_normal((10, 64))
+    ids = r.permutation(5000)[:1300]
+    code, _, _ = vectors.encode(x / np.linalg.norm(x, axis=1, keepdims=True), 5)
+    rows = vectors.pa.table({"id": ids, "code": vectors.pa.array([c.tobytes() for c in code], vectors.pa.binary())})
+    links = vectors.pa.Table.from_batches(vectors._near_codes([(64, rows), (64, rows.slice(0, 1))], {64: 48})).to_pydict()
+    assert len(links["u"]) == 1008
+    place = {d: i for i, d in enumerate(ids.tolist())}
+    root = vectors.local_roots(1300, *(np.array([place[d] for d in links[c]]) for c in "uv"), ids)
+    assert (root[100:1100] == ids[100:1100].min()).all() and (root[1100:1110] == ids[1100:1110].min()).all()
+    assert (root[:100] == ids[:100]).all() and (root[1110:] == ids[1110:]).all()
+
+
 def test_code_distance_of_a_pair_at_the_threshold():
     h = vectors.most_apart(256, 0.95, 1e-5)
     p = math.acos(0.95) / math.pi
