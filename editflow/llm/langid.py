@@ -25,8 +25,12 @@ UNKNOWN = "und"
 BLOCK = 512
 
 
-def suffix_automaton(codes: list[int], width: int) -> np.ndarray:
-    """Transitions of the suffix automaton of ``codes``: row = state (0 is the root), column = code, -1 = none."""
+def suffix_automaton(codes: list[int]) -> tuple[int, np.ndarray]:
+    """Number of states of the suffix automaton of ``codes`` (0 is the root), and its transitions (state, code, next state).
+
+    There are fewer than twice as many states and three times as many
+    transitions as codes, whatever the alphabet.
+    """
     moves, link, length, last = [{}], [-1], [0], 0
     for c in codes:
         state = len(moves)
@@ -51,11 +55,42 @@ def suffix_automaton(codes: list[int], width: int) -> np.ndarray:
                     moves[p][c] = copy
                     p = link[p]
         last = state
-    table = np.full((len(moves), width), -1, dtype=np.int32)
-    for state, out in enumerate(moves):
-        for c, to in out.items():
-            table[state, c] = to
-    return table
+    edges = [(state, c, to) for state, out in enumerate(moves) for c, to in out.items()]
+    return len(moves), np.array(edges, dtype=np.int64).reshape(-1, 3)
+
+
+class Transitions:
+    """Next states by key (state and code in one integer), in a hash table with at most a quarter of its places taken."""
+
+    def __init__(self, keys: np.ndarray, to: np.ndarray):
+        bits = max(4, math.ceil(math.log2(4 * len(keys) + 1)))
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys = np.full(1 << bits, -1, dtype=np.int64)
+        self.to = np.full(1 << bits, -1, dtype=np.int32)
+        at, left = self._place(keys), np.arange(len(keys))
+        while len(left):
+            free = left[self.keys[at[left]] < 0]
+            self.keys[at[free]] = keys[free]  # of several, the last one has the place
+            self.to[at[free]] = to[free]
+            left = left[self.keys[at[left]] != keys[left]]
+            at[left] = (at[left] + 1) & self.mask
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The next state of each key, -1 = none."""
+        keys, shape = keys.ravel(), keys.shape
+        at = self._place(keys)
+        held = self.keys[at]
+        out = self.to[at]  # of an empty place: none
+        left = np.flatnonzero((held != keys) & (held >= 0))
+        while len(left):
+            at[left] = (at[left] + 1) & self.mask
+            held = self.keys[at[left]]
+            out[left] = self.to[at[left]]
+            left = left[(held != keys[left]) & (held >= 0)]
+        return out.reshape(shape)
 
 
 class CrossParser:
@@ -67,25 +102,25 @@ class CrossParser:
         letters = sorted({ch for s in folded.values() for ch in s if ch.isalpha()})
         # Class 0: everything that is no letter; 1: a letter of no sample; then one class a letter.
         self.width = len(letters) + 2
-        self.classes = np.zeros(0x110000, dtype=np.uint16)
+        self.classes = np.zeros(0x110000, dtype=np.uint32)
         for code in range(0x110000):
             if not 0xD800 <= code < 0xE000 and chr(code).isalpha():
                 self.classes[code] = 1
         for i, ch in enumerate(letters):
             self.classes[ord(ch)] = i + 2
-        tables, base = [], 0
+        keys, to, base = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)], 0
         self.roots = np.zeros(len(self.langs), dtype=np.int64)
         self.bits = np.zeros(len(self.langs))
         for i, lang in enumerate(self.langs):
-            table = suffix_automaton(self.encode(folded[lang]).tolist(), self.width)
-            tables.append(np.where(table < 0, -1, table + base))
-            self.roots[i], base = base, base + len(table)
+            n_states, edges = suffix_automaton(self.encode(folded[lang]).tolist())
+            keys.append((edges[:, 0] + base) * self.width + edges[:, 1])
+            to.append(edges[:, 2] + base)
+            self.roots[i], base = base, base + n_states
             self.bits[i] = math.log2(len(folded[lang]) + 2)
-        flat = np.concatenate(tables) if tables else np.zeros((0, self.width), dtype=np.int32)
-        first = flat[self.roots] if tables else flat
+        self.moves = Transitions(np.concatenate(keys), np.concatenate(to))
+        first = self.moves.find(self.roots[:, None] * self.width + np.arange(self.width))
         self.restart = np.where(first < 0, self.roots[:, None], first).astype(np.int32)
         self.unseen = (first < 0).astype(np.int32)
-        self.moves = flat.ravel()
 
     def encode(self, text: str) -> np.ndarray:
         return self.classes[np.frombuffer(text.encode("utf-32-le", "replace"), dtype="<u4")]
@@ -94,7 +129,7 @@ class CrossParser:
         """Row = text, column = language of ``langs``: phrases * log2(sample length) per code point."""
         coded = [self.encode(_fold(t)) for t in texts]
         sizes = np.array([len(c) for c in coded], dtype=np.int64)
-        codes = np.concatenate([*coded, np.zeros(0, dtype=np.uint16)])
+        codes = np.concatenate([*coded, np.zeros(0, dtype=np.uint32)])
         per = -(-sizes // BLOCK)
         owner = np.repeat(np.arange(len(texts)), per)
         k = np.arange(len(owner)) - np.repeat(np.cumsum(per) - per, per)
@@ -103,14 +138,14 @@ class CrossParser:
         order = np.argsort(-length, kind="stable")
         owner, begin, length = owner[order], begin[order], length[order]
         active = len(length) - np.searchsorted(length[::-1], np.arange(BLOCK), side="right")
-        state = np.repeat(self.roots[:, None], len(owner), axis=1)
+        state = np.repeat(self.roots[:, None], len(owner), axis=1)  # 64 bits, as keys are
         phrases = np.ones((len(self.langs), len(owner)), dtype=np.int32)
         for j in range(BLOCK):
             n = active[j]
             if not n:
                 break
             c = codes[begin[:n] + j]
-            to = self.moves[state[:, :n] * self.width + c]
+            to = self.moves.find(state[:, :n] * self.width + c)
             ends = to < 0
             phrases[:, :n] += ends
             phrases[:, :n] += ends & (self.unseen[:, c] > 0)

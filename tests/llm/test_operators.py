@@ -458,6 +458,30 @@ def test_cross_parsing_matches_brute_force():
     assert np.allclose(got, want)
 
 
+def test_transitions_are_found_in_full_places():
+    r = np.random.default_rng(7)
+    keys = r.choice(5000, 900, replace=False).astype(np.int64)
+    keys = np.concatenate([keys, keys[:300] * 2**40 + 7_000_000])
+    table = langid.Transitions(keys, np.arange(len(keys)))
+    asked = np.arange(5000)
+    want = dict(zip(keys.tolist(), range(len(keys))))
+    assert table.find(asked.reshape(50, 100)).ravel().tolist() == [want.get(k, -1) for k in asked.tolist()]
+    assert (table.find(keys) == np.arange(len(keys))).all()
+    assert (langid.Transitions(keys[:0], keys[:0]).find(keys) == -1).all()
+
+
+def test_many_alphabets_need_little_memory():
+    starts = (0x4E00, 0x3400, 0xAC00, 0x0400, 0x0370, 0x05D0, 0x0620, 0x0905, 0x0985, 0x0E01,
+              0x10D0, 0x0531, 0x3041, 0x30A1, 0x1200, 0x1780, 0x0B85, 0x0C05, 0x61, 0xC0)
+    samples = {}
+    for i, start in enumerate(starts):
+        letters = [chr(start + k) for k in range(6000 if i < 3 else 40) if chr(start + k).isalpha()]
+        samples[f"l{i:02d}"] = "".join(random.Random(i).choices(letters, k=16_000))
+    parser = langid.CrossParser(samples)
+    assert parser.moves.keys.nbytes + parser.moves.to.nbytes + parser.restart.nbytes + parser.unseen.nbytes < 100e6
+    assert parser.entropies([s[5000:6000] for s in samples.values()]).argmin(axis=1).tolist() == list(range(20))
+
+
 def test_language_held_out_accuracy(spark):
     lang = {i: x for i, _, x in documents(spark)}
     rows = op7_language_id(spark, SF0001).collect()
