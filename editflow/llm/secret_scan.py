@@ -2,7 +2,8 @@
 
 Two character bigram models, one trained on labelled random strings and one on
 labelled ordinary identifiers, are compared by log-likelihood ratio on every
-long token; tokens that are likelier random add spans of kind ``markov``.
+token of six or more characters; tokens that are likelier random by enough add
+spans of kind ``markov``. A short token needs a higher mean ratio than a long one.
 """
 
 from __future__ import annotations
@@ -26,12 +27,12 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile("AKIA[A-Z0-9]+")
 # The runs of [0-9a-f]+ that are long enough: a match of that pattern is always a whole run.
 _HEX = re.compile("(?<![0-9a-f])[0-9a-f]{24,}")
-_TOKEN = re.compile("(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
-_MIXED = re.compile("[A-Za-z].*[0-9]|[0-9].*[A-Za-z]|[a-z][A-Z]")
-_IDENTIFIER = re.compile("(?<![A-Za-z0-9+/_=-])[A-Za-z][A-Za-z_-]{3,}")
+_IDENTIFIER = re.compile("(?<![A-Za-z0-9+/_=-])(?:[A-Za-z][A-Za-z_-]{3,}|[0-9][0-9_-]{3,})(?![A-Za-z0-9+/_=-])")
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _CODE = np.zeros(128, dtype=np.int64)
 _CODE[[ord(c) for c in _ALPHABET]] = np.arange(1, len(_ALPHABET) + 1)  # 0 stands before the first character
+#: Characters of a scored token, and what its summed ratio must exceed beyond the threshold's share of each character.
+TOKEN, EVIDENCE, DIGITS_EVIDENCE = 6, 10.0, 40.0
 
 
 def base_spans(text: str) -> list[tuple[int, int, int, str]]:
@@ -67,6 +68,43 @@ class MarkovRatio:
         c = _codes(s)
         return float(self.ratio[c[:-1], c[1:]].mean())
 
+    def spans(self, texts: list[str], threshold: float) -> list[list[tuple[int, int]]]:
+        """(start, end) of the tokens of each text that are random by enough, all characters in one step.
+
+        A token is a longest run of letters, digits and ``+/_=-``. Its summed ratio must exceed ``threshold`` a character
+        and ``EVIDENCE``, or ``DIGITS_EVIDENCE`` where it has no letter: numbers are as random as digits can be. Letters
+        of one written in capitals count as lower case, as capitals by themselves say nothing.
+        """
+        points = np.frombuffer("\n".join([*texts, ""]).encode("utf-32-le", "replace"), dtype="<u4")
+        code = _CODE[np.where(points < 128, points, 10)]
+        inside = np.concatenate(([False], code > 0, [False]))
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        start, end = edges[::2], edges[1::2]
+        long = end - start >= TOKEN
+        start, end = start[long], end[long]
+        capital, small = (code > 0) & (code <= 26), (code > 26) & (code <= 52)
+        digit = (code > 52) & (code <= 62)
+        n_capital, n_small, n_digit = (_counts(x, start, end) for x in (capital, small, digit))
+        shout = np.zeros(len(code) + 1, dtype=np.int8)
+        shouted = (n_capital > 0) & (n_small == 0) & (n_digit == 0)
+        shout[start[shouted]], shout[end[shouted]] = 1, -1
+        code = code + 26 * (capital & (np.cumsum(shout[:-1]) > 0))
+        before = np.concatenate(([0], code[:-1]))
+        total = np.concatenate(([0.0], np.cumsum(np.where(code > 0, self.ratio[before, code], 0.0))))
+        strict = np.where(n_capital + n_small > 0, EVIDENCE, DIGITS_EVIDENCE)
+        found = total[end] - total[start] > threshold * (end - start) + strict
+        begin = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts], dtype=np.int64)))
+        owner = np.searchsorted(begin, start[found], side="right") - 1
+        out: list[list[tuple[int, int]]] = [[] for _ in texts]
+        for i, a, b in zip(owner.tolist(), start[found].tolist(), end[found].tolist()):
+            out[i].append((a - int(begin[i]), b - int(begin[i])))
+        return out
+
+
+def _counts(flags: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    total = np.concatenate(([0], np.cumsum(flags)))
+    return total[end] - total[start]
+
 
 def synthetic_secrets(n: int = 400, seed: int = 11) -> list[str]:
     """Labelled random strings over the alphabets in which secrets are written."""
@@ -78,8 +116,8 @@ def synthetic_secrets(n: int = 400, seed: int = 11) -> list[str]:
 def train(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", sample: int = 500, chars: int = 20_000) -> MarkovRatio:
     """Fit on the first ``chars`` code points of about ``sample`` documents, taken by a hash of the id.
 
-    The base patterns label the secrets of the sample, and its words without
-    digits are the ordinary identifiers; generated random strings join the secrets.
+    The base patterns label the secrets of the sample, and its words and numbers
+    outside of all matches are the ordinary identifiers; generated random strings join the secrets.
     """
     rows = pick(df, id=id_col, text=text_col)
     n = rows.count()
@@ -90,7 +128,7 @@ def train(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", sample:
     for t in texts:
         found = base_spans(t)
         secrets += [s for _, _, _, s in found if re.fullmatch("[A-Za-z0-9+/_=-]{16,}", s)]
-        ordinary += [w for w in _IDENTIFIER.findall(t) if not any(w in s for _, _, _, s in found)]
+        ordinary += [m[0] for m in _IDENTIFIER.finditer(t) if not any(m.start() < b and a < m.end() for a, _, b, _ in found)]
     return MarkovRatio(secrets, ordinary or ["identifier", "password", "description"])
 
 
@@ -100,10 +138,10 @@ def scan(
     """Rows (``id_col``, found), one for each row of ``df``.
 
     ``found`` lists (kind, start, end) in code points, end exclusive, by start
-    and then by kind as in ``KINDS``. A token of 16 or more characters whose
-    mean ratio is above ``threshold`` and that mixes letters with digits, or
-    lower with upper case, adds a ``markov`` span. Null and empty texts have no spans;
-    repeated rows are each scanned; other columns are not read.
+    and then by kind as in ``KINDS``. A token of ``TOKEN`` or more characters
+    whose summed ratio exceeds ``threshold`` a character by the evidence that
+    ``MarkovRatio.spans`` asks for adds a ``markov`` span. Null and empty texts
+    have no spans; repeated rows are each scanned; other columns are not read.
     """
     rows = pick(df, id=id_col, text=text_col)
     shared = df.sparkSession.sparkContext.broadcast(model)  # two tables of 69 x 69 numbers
@@ -113,12 +151,9 @@ def scan(
         for batch in batches:
             for part, texts in slices(batch, "text"):
                 found = []
-                for t in texts:
+                for t, random_ in zip(texts, model.spans(texts, threshold)):
                     spans = [(start, kind, end) for start, kind, end, _ in base_spans(t)]
-                    for m in _TOKEN.finditer(t):
-                        s = m[0]
-                        if _MIXED.search(s) and model.score(s) > threshold:
-                            spans.append((m.start(), 3, m.end()))
+                    spans += [(start, 3, end) for start, end in random_]
                     found.append([{"kind": KINDS[k], "start": a, "end": b} for a, k, b in sorted(spans)])
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, spans_type)], names=["id", "found"])
 

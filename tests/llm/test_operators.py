@@ -427,6 +427,37 @@ def test_markov_ratio_on_held_out_strings():
     assert np.mean([model.score(s) > 0.4 for s in secrets]) > 0.95 and np.mean([model.score(s) <= 0.4 for s in names]) > 0.95
 
 
+def test_random_tokens_of_any_length_and_case():
+    r = random.Random(3)
+    numbers = [str(r.randint(1000, 10**9)) for _ in range(300)]
+    model = secret_scan.MarkovRatio(secret_scan.synthetic_secrets(300, 1), WORDS * 20 + numbers)
+    letters = secret_scan._ALPHABET
+    found = lambda s: bool(model.spans([s], 0.4)[0])
+    many = lambda alphabet, n: ["".join(r.choices(alphabet, k=n)) for _ in range(200)]
+    assert np.mean([found(s) for s in many(letters[:62], 12)]) > 0.9  # shorter than 16
+    assert np.mean([found(s) for s in many(letters[26:52], 24)]) > 0.7  # one case, no digit
+    assert not any(found(s) for s in many(letters[52:62], 16))
+    assert not any(found(s) or found(s.upper()) for s in WORDS)
+
+
+def test_random_tokens_match_one_by_one():
+    model = secret_scan.MarkovRatio(secret_scan.synthetic_secrets(300, 1), WORDS)
+    r = random.Random(5)
+    texts = ["", "é" * 20, "\n", "abcdef"] + [
+        "".join(r.choices("aQ7xZ/ \n\u00e9\U0001f600", weights=[6, 6, 6, 6, 6, 1, 1, 1, 1, 1], k=r.randint(0, 300))) for _ in range(60)
+    ]
+    want = []
+    for t in texts:
+        spans = []
+        for m in re.finditer("[A-Za-z0-9+/_=-]+", t):
+            s = m[0].lower() if re.search("[A-Z]", m[0]) and not re.search("[a-z0-9]", m[0]) else m[0]
+            need = 10.0 if re.search("[A-Za-z]", s) else 40.0
+            if len(s) >= 6 and model.score(s) * len(s) > 0.4 * len(s) + need:
+                spans.append((m.start(), m.end()))
+        want.append(spans)
+    assert model.spans(texts, 0.4) == want and sum(map(len, want)) > 20 and model.spans([], 0.4) == []
+
+
 def test_secrets_on_odd_rows(odd, empty):
     assert secret_scan.scan(odd, secret_scan.train(odd)).count() == len(odd_rows())
     assert secret_scan.scan(empty, secret_scan.train(empty)).count() == 0
