@@ -4,7 +4,9 @@ Documents are sets of word shingles. MinHash bands deal the distinct sets into
 buckets; inside a bucket the MinHash values of two sets are compared a few at a
 time, and a pair is dropped as soon as the posterior probability that its
 similarity reaches the threshold falls below a tolerance. The pairs left over
-span families, and within a family similarities are computed exactly.
+span families, and within a family similarities are computed exactly, from
+each set's difference to the set of the family's root: two sets differ by what
+their differences do not share. Near copies then carry few shingles.
 """
 
 from __future__ import annotations
@@ -23,7 +25,9 @@ from .common import cut, pick, slices, stored
 from .families import block_pairs, components, local_roots, map_groups
 
 HASHES, BAND, STEP = 128, 4, 16
-BUCKET_ROWS, FAMILY_ROWS = 512, 256
+BUCKET_ROWS = 512
+#: Sets, and shingles of them, that a block of a family holds about.
+FAMILY_ROWS, FAMILY_SHINGLES = 1024, 1 << 20
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _WORDS: dict[str, int] = {}
 
@@ -179,17 +183,18 @@ def jaccard_join(
                 sums = [np.add.reduceat(_mix(hashes ^ np.uint64(x)), begin) if len(begin) else np.zeros(0, np.uint64) for x in (1, 2)]
                 key = np.stack([*sums, sizes[some].astype(np.uint64)], axis=1)
                 same, sigs = np.full((2, len(texts)), None, dtype=object)
+                count = pa.array(sizes.astype(np.int64))
                 same[some], sigs[some] = [k.tobytes() for k in key], [r.tobytes() for r in sig]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(same, pa.binary()), pa.array(sigs, pa.binary())], names=["id", "same", "sig"]
+                    [part.column(0), pa.array(same, pa.binary()), pa.array(sigs, pa.binary()), count], names=["id", "same", "sig", "size"]
                 )
 
-    sketched = stored(docs.mapInArrow(sketch, T.StructType.fromDDL("id bigint, same binary, sig binary")), "sketches")
+    sketched = stored(docs.mapInArrow(sketch, T.StructType.fromDDL("id bigint, same binary, sig binary, size bigint")), "sketches")
     sound = sketched.where(F.col("id").isNotNull() & F.col("same").isNotNull())
     # Equal sets become one: the smallest id stands for them.
-    rep = F.min(F.struct("id", "sig"))
+    rep = F.min(F.struct("id", "sig", "size"))
     distinct = sound.groupBy("same").agg(rep.alias("r"), F.count("*").alias("w"))
-    distinct = cut(distinct.select("same", "r.id", "r.sig", "w"))
+    distinct = cut(distinct.select("same", "r.id", "r.sig", "r.size", "w"))
 
     def bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -221,16 +226,44 @@ def jaccard_join(
 
     # Repeated rows of an id are one text here; the aggregation needs no shuffle of its own.
     texts = docs.join(family.select("id"), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
-    full = texts.mapInArrow(sets, T.StructType.fromDDL("id bigint, set array<bigint>"))
-    members = block_pairs(family, FAMILY_ROWS, "root").join(full, "id").join(distinct.select("id", "w"), "id")
+    full = stored(texts.mapInArrow(sets, T.StructType.fromDDL("id bigint, set array<bigint>")), "sets")
+    sized = family.join(distinct.select("id", "w", "size"), "id")
+    g = F.ceil(F.greatest(F.count("*") / FAMILY_ROWS, F.sum("size") / FAMILY_SHINGLES)).cast("int")
+    blocks = cut(sized.groupBy("root").agg(g.alias("g")))
+    own = F.pmod(F.xxhash64("id", F.lit(17)), F.col("g")).cast("int")
+    members = sized.join(blocks, "root").withColumn("b", own).join(full, "id").select("root", "b", "g", "id", "w", "set")
+    # Every block of a family gets the root's set as well.
+    roots = blocks.join(full.withColumnRenamed("id", "root"), "root").withColumn("b", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
+    roots = roots.select("root", "b", "g", F.lit(None).cast("bigint").alias("id"), F.lit(0).cast("bigint").alias("w"), "set")
+
+    def differences(groups) -> Iterator[pa.RecordBatch]:
+        for _, part in groups:
+            lists = part.column("set").combine_chunks()
+            all_, edge = lists.flatten().to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            is_root = part.column("id").combine_chunks().is_null().to_numpy(zero_copy_only=False)
+            k = int(np.flatnonzero(is_root)[0])
+            root = all_[edge[k] : edge[k + 1]]
+            mine = np.flatnonzero(~is_root)
+            differ = [np.setxor1d(all_[edge[i] : edge[i + 1]], root, assume_unique=True) for i in mine]
+            offsets = np.concatenate(([0], np.cumsum([len(x) for x in differ], dtype=np.int64)))
+            rest = part.select(["root", "b", "g", "id", "w"]).take(pa.array(mine)).combine_chunks()
+            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *differ])))
+            for batch in rest.append_column("size", pa.array(np.diff(edge)[mine].astype(np.int64))).append_column("differ", lists).to_batches():
+                yield batch
+
+    kind_of = T.StructType.fromDDL("root bigint, b int, g int, id bigint, w bigint, size bigint, differ array<bigint>")
+    near = map_groups(members.unionByName(roots), ["root", "b"], differences, kind_of)
+    other = F.explode(F.sequence(F.lit(0), F.col("g") - 1))
+    dealt = near.withColumn("o", other).withColumn("b1", F.least("b", "o")).withColumn("b2", F.greatest("b", "o")).drop("g", "o")
 
     def exact(groups) -> Iterator[pa.RecordBatch]:
         for _, part in groups:
-            ids, own, w = (part.column(c).to_numpy() for c in ("id", "b", "w"))
-            lists = part.column("set").combine_chunks()
-            sizes = np.diff(lists.offsets.to_numpy())
-            both = intersections(lists.flatten().to_numpy(), sizes)
-            union = sizes[:, None] + sizes[None, :] - both
+            ids, own, w, sizes = (part.column(c).to_numpy() for c in ("id", "b", "w", "size"))
+            lists = part.column("differ").combine_chunks()
+            apart = np.diff(lists.offsets.to_numpy())
+            only = apart[:, None] + apart[None, :] - 2 * intersections(lists.flatten().to_numpy(), apart)
+            total = sizes[:, None] + sizes[None, :]
+            both, union = (total - only) / 2, (total + only) / 2
             left, right = np.nonzero((both >= (threshold - 1e-12) * union) & _once(own))
             count = np.bincount(left, w[right], len(ids)) + np.bincount(right, w[left], len(ids))
             for star in _star(ids, left, right):
@@ -239,7 +272,7 @@ def jaccard_join(
             linked = pa.array(ids[some])
             yield pa.RecordBatch.from_arrays([linked, linked, pa.array(count[some].astype(np.int64))], names=["u", "v", "n"])
 
-    found = cut(map_groups(members, ["root", "b1", "b2"], exact, T.StructType.fromDDL("u bigint, v bigint, n bigint")))
+    found = cut(map_groups(dealt, ["root", "b1", "b2"], exact, T.StructType.fromDDL("u bigint, v bigint, n bigint")))
     counts = found.groupBy(F.col("u").alias("id")).agg(F.sum("n").alias("n"))
     about = (
         distinct.join(counts, "id", "left")
