@@ -90,9 +90,10 @@ class MarkovRatio:
         shout[start[shouted]], shout[end[shouted]] = 1, -1
         code = code + 26 * (capital & (np.cumsum(shout[:-1]) > 0))
         before = np.concatenate(([0], code[:-1]))
-        total = np.concatenate(([0.0], np.cumsum(np.where(code > 0, self.ratio[before, code], 0.0))))
+        each = np.where(code > 0, self.ratio[before, code], 0.0)
+        total = np.add.reduceat(each, np.stack([start, end], axis=1).ravel())[::2] if len(start) else np.zeros(0)
         strict = np.where(n_capital + n_small > 0, EVIDENCE, DIGITS_EVIDENCE)
-        found = total[end] - total[start] > threshold * (end - start) + strict
+        found = total > threshold * (end - start) + strict
         begin = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts], dtype=np.int64)))
         owner = np.searchsorted(begin, start[found], side="right") - 1
         out: list[list[tuple[int, int]]] = [[] for _ in texts]
