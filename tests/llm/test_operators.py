@@ -539,7 +539,6 @@ def shingles(t, width=5):
 
 def test_jaccard_matches_brute_force(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "FAMILY_ROWS", 16)
-    monkeypatch.setattr(jaccard, "FAMILY_SHINGLES", 600)
     monkeypatch.setattr(jaccard, "BUCKET_ROWS", 16)
     rows = []
     for i in range(160):
