@@ -2,10 +2,11 @@
 
 Queries and data share one tree: a cover tree is fitted on a bounded sample of
 all vectors, every vector is routed to a leaf of it, and covering radii and
-largest norms of the nodes are computed over all rows. The queries of a leaf,
-in blocks, descend the tree; a node pair is pruned when the largest inner
-product that the covering radii allow is below the worst kth score of the
-query block so far. What is left is scored exactly, in blocks.
+largest norms of the nodes are computed over all rows, apart for queries and
+data. Pairs of a query node and a data node descend from the root; a pair is
+pruned when the largest inner product that the covering radii allow is below
+the worst kth score of the query node's queries so far. The leaf pairs that are
+left are narrowed for each block of queries and scored exactly, in blocks.
 """
 
 from __future__ import annotations
@@ -20,8 +21,8 @@ from pyspark.sql import types as T
 
 from .common import cut, pick
 
-#: Rows of a block of queries or data; blocks of data that one task scores for a query block.
-QUERY_ROWS, DATA_ROWS, RUN = 1024, 1024, 8
+#: Rows of a block of queries or data; query blocks that one task scores for a data block.
+QUERY_ROWS, DATA_ROWS, RUN = 1024, 1024, 32
 
 
 class CoverTree:
@@ -153,161 +154,179 @@ def top_k(
     placed = cut(rows.mapInArrow(routed, leafed))
     # Exact covering radii over all rows: of a leaf's vectors around the leaf's center and around each ancestor.
     sizes = placed.groupBy("dim", "leaf").agg(F.count("*").alias("n"), F.count_if(is_query).alias("nq"))
-    around = placed.select("dim", "leaf", "norm", F.posexplode("gap").alias("up", "gap"))
-    reach = around.groupBy("dim", "leaf", "up").agg(F.max("gap").alias("gap"), F.max("norm").alias("norm")).collect()
-    radii: dict[int, tuple[np.ndarray, np.ndarray]] = {
-        dim: (np.full(len(t.parents), -1.0), np.zeros(len(t.parents))) for dim, t in trees.items()
-    }
-    for r in reach:  # bounded by the nodes of the fitted trees
+    around = placed.select("dim", "leaf", "norm", is_query.alias("asks"), F.posexplode("gap").alias("up", "gap"))
+    wide = [F.max("gap").alias("gap"), F.max("norm").alias("norm")]
+    wide += [F.max(F.when(F.col("asks"), F.col(c))).alias(f"q{c}") for c in ("gap", "norm")]
+    reach = around.groupBy("dim", "leaf", "up").agg(*wide).collect()  # bounded by the nodes of the fitted trees
+    radii = {dim: {side: np.full((2, len(t.parents)), -1.0) for side in ("data", "queries")} for dim, t in trees.items()}
+    for r in reach:
         node = trees[r["dim"]].path(r["leaf"])[r["up"]]
-        gaps, norms = radii[r["dim"]]
-        gaps[node], norms[node] = max(gaps[node], r["gap"]), max(norms[node], r["norm"])
-    bounds = spark.sparkContext.broadcast(radii)
+        for side, pair in (("data", (r["gap"], r["norm"])), ("queries", (r["qgap"], r["qnorm"]))):
+            if pair[0] is not None:
+                radii[r["dim"]][side][:, node] = np.maximum(radii[r["dim"]][side][:, node], pair)
 
     def blocks(part: DataFrame, per: int, count: str) -> DataFrame:
         n_blocks = F.ceil(F.col(count) / per).cast("int")
         salted = part.join(F.broadcast(sizes), ["dim", "leaf"])  # as many rows as the trees have leaves
-        salted = salted.withColumn("block", F.pmod(F.xxhash64("id", F.lit(29)), n_blocks))
-        return salted.groupBy("dim", "leaf", "block").agg(F.collect_list(F.struct("id", "v")).alias("rows"))
+        salted = salted.withColumn("block", F.pmod(F.xxhash64("id", F.lit(29)), n_blocks).cast("bigint"))
+        together = salted.groupBy("dim", "leaf", "block").agg(F.collect_list(F.struct("id", "v")).alias("rows"))
+        return together.select("dim", "leaf", "block", F.col("rows.id").alias("ids"), F.flatten("rows.v").alias("flat"))
 
     data = cut(blocks(placed, DATA_ROWS, "n"))
-    asked = cut(blocks(placed.where(is_query), QUERY_ROWS, "nq").withColumnRenamed("rows", "queries"))
-    found = T.StructType.fromDDL("query_id bigint, id bigint, score bigint")
+    asked = cut(blocks(placed.where(is_query), QUERY_ROWS, "nq").withColumnsRenamed({"leaf": "qleaf", "block": "qblock"}))
 
-    # First pass: each query block against its own leaf's first block of data gives a first worst kth score.
-    home = asked.withColumnRenamed("block", "qblock").join(data.where("block = 0"), ["dim", "leaf"])
+    # First pass: each query block against its own leaf's first block of data gives each query a first kth score.
+    home = asked.select("dim", "qleaf", "qblock", "ids", "flat").join(
+        data.where("block = 0").select("dim", F.col("leaf").alias("qleaf"), F.col("ids").alias("ids2"), F.col("flat").alias("flat2")),
+        ["dim", "qleaf"],
+    )
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.to_pylist():
-                qi, q = _block(r["queries"], r["dim"])
-                di, d = _block(r["rows"], r["dim"])
-                best = _Best(qi, q, k)
-                best.add(di, d)
-                yield pa.RecordBatch.from_pylist(
-                    [{"dim": r["dim"], "leaf": r["leaf"], "block": r["qblock"], "worst": best.worst()}], schema=worst_type
-                )
-
-    worst_type = pa.schema([("dim", pa.int32()), ("leaf", pa.int64()), ("block", pa.int64()), ("worst", pa.float64())])
-    worst = home.select("dim", "leaf", "qblock", "queries", "rows").mapInArrow(
-        first, T.StructType.fromDDL("dim int, leaf bigint, block bigint, worst double")
-    )
-    groups = asked.withColumn("block", F.col("block").cast("bigint")).join(worst, ["dim", "leaf", "block"], "left")
+            for i in range(batch.num_rows):
+                ids, q = _block(batch, i, "ids", "flat")
+                score = _scores(ids, q, *_block(batch, i, "ids2", "flat2"))
+                floor = np.partition(score, -k, axis=1)[:, -k] if score.shape[1] >= k else np.full(len(ids), -np.inf)
+                lists = pa.array([floor], pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([*batch.slice(i, 1).columns[:3], lists], names=["dim", "qleaf", "qblock", "floors"])
+
+    floors = home.mapInArrow(first, T.StructType.fromDDL("dim int, qleaf bigint, qblock bigint, floors array<double>"))
+    none = F.transform("ids", lambda _: F.lit(float("-inf")))
+    groups = asked.join(floors, ["dim", "qleaf", "qblock"], "left").withColumn("floors", F.coalesce("floors", none))
+    groups = cut(groups.withColumn("worst", F.array_min("floors")))
+
+    # Node pairs: the trees' nodes, which the sample bounds, descend against each other.
+    worst = {}
+    for r in groups.groupBy("dim", "qleaf").agg(F.min("worst").alias("worst")).collect():
+        worst.setdefault(r["dim"], {})[r["qleaf"]] = r["worst"]
+    meets = {dim: node_pairs(tree, radii[dim]["queries"], radii[dim]["data"], worst.get(dim, {})) for dim, tree in trees.items()}
+    reached = spark.sparkContext.broadcast((meets, {dim: r["data"] for dim, r in radii.items()}))
 
     def descend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Dual-tree descent of a query block: the data leaves that the bounds leave."""
+        """Of the data leaves that a query block's leaf meets, those that the block's own center and radius leave."""
+        pairs, data_radii = reached.value
         for batch in batches:
-            for r in batch.to_pylist():
-                _, q = _block(r["queries"], r["dim"])
-                tree, (gaps, norms) = shared.value.get(r["dim"]), bounds.value.get(r["dim"], (None, None))
-                if tree is None:
-                    leaves = [-1]
-                else:
+            for i in range(batch.num_rows):
+                dim, qleaf, least = (batch.column(c)[i].as_py() for c in ("dim", "qleaf", "worst"))
+                _, q = _block(batch, i, "ids", "flat")
+                leaves = np.array([-1])
+                if dim in pairs:
+                    leaves = pairs[dim].get(qleaf, np.zeros(0, dtype=np.int64))
                     center = q.mean(axis=0)
                     radius = np.linalg.norm(q - center, axis=1).max()
-                    leaves = _surviving(tree, gaps, norms, center, radius, -np.inf if r["worst"] is None else r["worst"])
-                key = {"qdim": r["dim"], "qleaf": r["leaf"], "qblock": r["block"]}
-                yield pa.RecordBatch.from_pylist([{**key, "leaves": leaves}], schema=leaves_type)
-
-    leaves_type = pa.schema([("qdim", pa.int32()), ("qleaf", pa.int64()), ("qblock", pa.int64()), ("leaves", pa.list_(pa.int64()))])
-    left = groups.mapInArrow(descend, T.StructType.fromDDL("qdim int, qleaf bigint, qblock bigint, leaves array<bigint>"))
-    places = data.select("dim", "leaf", F.col("block").cast("bigint").alias("block"))
-    pairs = (
-        left.select(F.col("qdim").alias("dim"), "qleaf", "qblock", F.explode("leaves").alias("leaf"))
-        .join(places, ["dim", "leaf"])
-        .select("dim", "qleaf", "qblock", "leaf", "block")
+                    c, (gap, norm) = shared.value[dim].centers[leaves], data_radii[dim][:, leaves]
+                    high = np.linalg.norm(q, axis=1).max()
+                    size = np.linalg.norm(c, axis=1)
+                    leaves = leaves[_bound(c @ center, np.linalg.norm(center), radius, high, size, gap, norm) >= least]
+                lists = pa.array([leaves], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([*batch.slice(i, 1).columns[:3], lists], names=["dim", "qleaf", "qblock", "leaves"])
+
+    left = groups.select("dim", "qleaf", "qblock", "ids", "flat", "worst").mapInArrow(
+        descend, T.StructType.fromDDL("dim int, qleaf bigint, qblock bigint, leaves array<bigint>")
     )
+    pairs = left.select("dim", "qleaf", "qblock", F.explode("leaves").alias("leaf")).join(data.select("dim", "leaf", "block"), ["dim", "leaf"])
     pairs = cut(pairs)
-    # Runs of at most about RUN data blocks a query block, each scored in one task.
-    per = pairs.groupBy("dim", "qleaf", "qblock").agg(F.count("*").alias("n_pairs"))
-    run = F.pmod(F.xxhash64("leaf", "block", F.lit(31)), F.ceil(F.col("n_pairs") / RUN).cast("int"))
-    pairs = pairs.join(per, ["dim", "qleaf", "qblock"]).withColumn("run", run).drop("n_pairs")
-    key = ["dim", "qleaf", "qblock", "run"]
-    sides = pairs.join(data.withColumn("block", F.col("block").cast("bigint")), ["dim", "leaf", "block"]).select(*key, F.lit(1).alias("side"), "rows")
-    heads = pairs.select(*key).distinct().join(
-        asked.select("dim", F.col("leaf").alias("qleaf"), F.col("block").cast("bigint").alias("qblock"), "queries"), ["dim", "qleaf", "qblock"]
-    ).select(*key, F.lit(0).alias("side"), F.col("queries").alias("rows"))
+    # A data block is scored in one task against runs of at most about RUN query blocks: queries are the smaller side to move.
+    per = pairs.groupBy("dim", "leaf", "block").agg(F.count("*").alias("n_pairs"))
+    run = F.pmod(F.xxhash64("qleaf", "qblock", F.lit(31)), F.ceil(F.col("n_pairs") / RUN).cast("int"))
+    pairs = pairs.join(per, ["dim", "leaf", "block"]).withColumn("run", run).drop("n_pairs")
+    key = ["dim", "leaf", "block", "run"]
+    sides = pairs.join(groups, ["dim", "qleaf", "qblock"]).select(*key, F.lit(1).alias("side"), "ids", "flat", "floors")
+    heads = pairs.select(*key).distinct().join(data, ["dim", "leaf", "block"])
+    heads = heads.select(*key, F.lit(0).alias("side"), "ids", "flat", F.lit(None).cast("array<double>").alias("floors"))
     together = sides.unionByName(heads).repartition(*key).sortWithinPartitions(*key, "side")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best, held = None, None
+        held = None
         for batch in batches:
+            side = batch.column("side").to_numpy()
             for i in range(batch.num_rows):
-                r = batch.slice(i, 1).to_pylist()[0]
-                if held != (now := tuple(r[c] for c in key)):
-                    if best is not None:
-                        yield best.rows()
-                    best, held = _Best(*_block(r["rows"], r["dim"]), k), now
+                ids, v = _block(batch, i, "ids", "flat")
+                if not side[i]:
+                    held = ids.copy(), v.copy()
                 else:
-                    best.add(*_block(r["rows"], r["dim"]))
-        if best is not None:
-            yield best.rows()
+                    yield _best(ids, v, batch.column("floors")[i].values.to_numpy(), *held, k)
 
-    scored = together.mapInArrow(score, found)
+    scored = together.mapInArrow(score, T.StructType.fromDDL("query_id bigint, id bigint, score bigint"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     out = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return out.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias(id_col), "score")
 
 
+def node_pairs(tree: CoverTree, queries: np.ndarray, data: np.ndarray, worst: dict[int, float]) -> dict[int, np.ndarray]:
+    """Dual-tree descent: the data leaves that each query leaf has to meet.
+
+    ``queries`` and ``data`` hold the covering radius (row 0) and the largest
+    norm (row 1) of every node, minus one where none lies; ``worst`` is the
+    smallest kth score of the queries of a leaf, and a node's is the smallest
+    of its leaves'. Of a pair that its bound leaves, the wider node is split.
+    """
+    n = len(tree.parents)
+    least = np.full(n, np.inf)
+    for leaf, score in worst.items():
+        on = tree.path(leaf)
+        least[on] = np.minimum(least[on], score)
+    size, gram = np.linalg.norm(tree.centers, axis=1), tree.centers @ tree.centers.T
+    n_kids = np.array([len(kids) for kids in tree.children])
+    begin = np.cumsum(n_kids) - n_kids
+    kid = np.array([c for kids in tree.children for c in kids], dtype=np.int64)
+
+    def split(node: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        many = n_kids[node]
+        within = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        return kid[np.repeat(begin[node], many) + within], np.repeat(other, many)
+
+    q, d, ends = np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64), []
+    while len(q):
+        bound = _bound(gram[q, d], size[q], queries[0, q], queries[1, q], size[d], data[0, d], data[1, d])
+        alive = (queries[0, q] >= 0) & (data[0, d] >= 0) & (bound >= least[q])
+        q, d = q[alive], d[alive]
+        done = (n_kids[q] == 0) & (n_kids[d] == 0)
+        ends.append((q[done], d[done]))
+        q, d = q[~done], d[~done]
+        by_query = (n_kids[q] > 0) & ((n_kids[d] == 0) | (queries[0, q] > data[0, d]))
+        q1, d1 = split(q[by_query], d[by_query])
+        d2, q2 = split(d[~by_query], q[~by_query])
+        q, d = np.concatenate([q1, q2]), np.concatenate([d1, d2])
+    q, d = (np.concatenate(side) for side in zip(*ends))
+    return {int(leaf): d[q == leaf] for leaf in np.unique(q)}
+
+
+def _bound(inner, q_size, q_radius, q_norm, d_size, d_radius, d_norm):
+    """No less than the largest inner product of two vectors within the radii of two centers, rounding included."""
+    bound = np.minimum(inner + q_radius * d_size + (q_size + q_radius) * d_radius, q_norm * d_norm)
+    return bound + 1e-9 * (q_size + q_radius) * (d_size + d_radius) + 1e-6  # sums whose terms may cancel
+
+
 def _rows(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
 
 
-def _block(rows: list[dict], dim: int) -> tuple[np.ndarray, np.ndarray]:
-    return np.array([r["id"] for r in rows], dtype=np.int64), np.array([r["v"] for r in rows], dtype=np.float64).reshape(-1, dim)
-
-
-def _surviving(tree: CoverTree, gaps, norms, center, radius, worst) -> list[int]:
-    """Leaves of the tree whose vectors could reach ``worst`` with some query within ``radius`` of ``center``."""
-    out, stack = [], [0]
-    high = np.linalg.norm(center) + radius
-    while stack:
-        node = stack.pop()
-        if gaps[node] < 0:
-            continue  # no vector lies there
-        c = tree.centers[node]
-        bound = min(center @ c + radius * np.linalg.norm(c) + high * gaps[node], high * norms[node])
-        rounding = 1e-9 * high * (np.linalg.norm(c) + gaps[node]) + 1e-6  # of sums whose terms may cancel
-        if bound + rounding < worst:
-            continue
-        kids = tree.children[node]
-        stack.extend(kids)
-        if not kids:
-            out.append(node)
+def _block(batch: pa.RecordBatch, i: int, ids: str, flat: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and vectors of row ``i``, a block; views into the batch."""
+    out = batch.column(ids)[i].values.to_numpy(zero_copy_only=False)
+    return out, batch.column(flat)[i].values.to_numpy(zero_copy_only=False).reshape(len(out), -1)
+
+
+def _scores(ids: np.ndarray, queries: np.ndarray, others: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """Inner products; minus infinity for a query and itself."""
+    out = queries @ data.T
+    _, row, at = np.intersect1d(ids, others, assume_unique=True, return_indices=True)
+    out[row, at] = -np.inf
     return out
 
 
-class _Best:
-    """The best ``k`` (score, id) of each query of a block, over blocks of data."""
-
-    def __init__(self, ids: np.ndarray, queries: np.ndarray, k: int):
-        self.ids, self.queries, self.k = ids, queries, k
-        self.score = np.full((len(ids), 0), -np.inf)
-        self.other = np.zeros((len(ids), 0), dtype=np.int64)
-
-    def add(self, ids: np.ndarray, data: np.ndarray) -> None:
-        fresh = self.queries @ data.T
-        fresh[self.ids[:, None] == ids[None, :]] = -np.inf
-        score = np.concatenate([self.score, fresh], axis=1)
-        other = np.concatenate([self.other, np.broadcast_to(ids, fresh.shape)], axis=1)
-        low = np.partition(score, -self.k, axis=1)[:, -self.k][:, None] if score.shape[1] > self.k else -np.inf
-        row, at = np.nonzero((score >= low) & (score > -np.inf))  # the k best and what ties with the last of them
-        score, other = score[row, at], other[row, at]
-        order = np.lexsort((other, -score, row))
-        row, score, other = row[order], score[order], other[order]
-        place = np.arange(len(row)) - np.searchsorted(row, row)
-        best = place < self.k
-        self.score = np.full((len(self.ids), self.k), -np.inf)
-        self.other = np.zeros((len(self.ids), self.k), dtype=np.int64)
-        self.score[row[best], place[best]], self.other[row[best], place[best]] = score[best], other[best]
-
-    def worst(self) -> float:
-        """The smallest kth score of the block; minus infinity where a query has fewer."""
-        return float(self.score[:, self.k - 1].min()) if self.score.shape[1] >= self.k else -np.inf
-
-    def rows(self) -> pa.RecordBatch:
-        q, at = np.nonzero(np.isfinite(self.score))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(self.ids[q]), pa.array(self.other[q, at]), pa.array(self.score[q, at].astype(np.int64))],
-            names=["query_id", "id", "score"],
-        )
+def _best(ids: np.ndarray, queries: np.ndarray, floors: np.ndarray, others: np.ndarray, data: np.ndarray, k: int) -> pa.RecordBatch:
+    """Of each query the ``k`` best of a block that reach the query's floor, ties to the smaller id."""
+    score = _scores(ids, queries, others, data)
+    if score.shape[1] > k:
+        floors = np.maximum(floors, np.partition(score, -k, axis=1)[:, -k])
+    row, at = np.nonzero((score >= floors[:, None]) & (score > -np.inf))
+    order = np.lexsort((others[at], -score[row, at], row))
+    row, at = row[order], at[order]
+    best = np.arange(len(row)) - np.searchsorted(row, row) < k
+    row, at = row[best], at[best]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(ids[row]), pa.array(others[at]), pa.array(score[row, at].astype(np.int64))],
+        names=["query_id", "id", "score"],
+    )

@@ -387,11 +387,34 @@ def test_topk_matches_brute_force(spark):
     assert not got and topk.top_k(df.limit(0), F.col("id") % 20 == 0).count() == 0
 
 
+def _reach(tree, leaf, x):
+    out = np.full((2, len(tree.parents)), -1.0)
+    for at, v in zip(leaf, x):
+        on = tree.path(int(at))
+        out[0, on] = np.maximum(out[0, on], np.linalg.norm(tree.centers[on] - v, axis=1))
+        out[1, on] = np.maximum(out[1, on], np.linalg.norm(v))
+    return out
+
+
 def test_pruning_keeps_equal_negative_scores():
-    tree = topk.CoverTree(np.array([[-1000.0, 0.0]] * 20))
-    gaps, norms = np.zeros(len(tree.parents)), np.full(len(tree.parents), 1000.0)
-    query = np.array([1000.0, 0.0])
-    assert topk._surviving(tree, gaps, norms, query, 0.0, -1e6) and not topk._surviving(tree, gaps, norms, query, 0.0, -1e6 + 1)
+    bound = topk._bound(-1e6, 1000.0, 0.0, 1000.0, 1000.0, 0.0, 1000.0)
+    assert -1e6 <= bound < -1e6 + 1
+
+
+def test_node_pairs_lose_nothing_and_prune():
+    r = np.random.default_rng(6)
+    x = np.repeat(50 * r.standard_normal((12, 6)), 40, axis=0) + r.standard_normal((480, 6))
+    tree = topk.CoverTree(x[r.permutation(480)[:300]])
+    leaf = tree.route(x)
+    asks = np.arange(480) % 7 == 0
+    score = x[asks] @ x.T
+    kth = np.sort(score, axis=1)[:, -5]
+    worst = {int(v): float(kth[leaf[asks] == v].min()) for v in np.unique(leaf[asks])}
+    found = topk.node_pairs(tree, _reach(tree, leaf[asks], x[asks]), _reach(tree, leaf, x), worst)
+    for i, at in enumerate(leaf[asks]):
+        needed = set(leaf[score[i] >= kth[i]].tolist())
+        assert needed <= set(found[int(at)].tolist())
+    assert sum(map(len, found.values())) < 0.5 * len(worst) * len(np.unique(leaf))
 
 
 # -- 6: secrets ----------------------------------------------------------------
