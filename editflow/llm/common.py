@@ -39,6 +39,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """At the end of a Python task: free memory that Arrow holds goes back, since workers live on into other stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 def pick(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns, under the operator's own names; other columns cannot clash with them."""
     return df.select(*(F.col(f"`{c}`").alias(name) for name, c in columns.items()))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, pick, slices, stored
+from .common import cut, give_back, pick, slices, stored
 from .families import block_pairs, components, local_roots, map_groups
 
 HASHES, BAND, STEP = 128, 4, 16
@@ -183,6 +183,8 @@ def jaccard_join(
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(same, pa.binary()), pa.array(sigs, pa.binary())], names=["id", "same", "sig"]
                 )
+        _WORDS.clear()
+        give_back()
 
     sketched = stored(docs.mapInArrow(sketch, T.StructType.fromDDL("id bigint, same binary, sig binary")), "sketches")
     sound = sketched.where(F.col("id").isNotNull() & F.col("same").isNotNull())
@@ -218,6 +220,8 @@ def jaccard_join(
                 offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32())
                 lists = pa.ListArray.from_arrays(offsets, pa.array(hashes.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["id", "set"])
+        _WORDS.clear()
+        give_back()
 
     # Repeated rows of an id are one text here; the aggregation needs no shuffle of its own.
     texts = docs.join(family.select("id"), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))

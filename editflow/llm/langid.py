@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import pick, slices
+from .common import give_back, pick, slices
 
 UNKNOWN = "und"
 #: Greedy parsing starts anew after so many code points, so that the blocks of all texts are parsed side by side.
@@ -261,6 +261,7 @@ def identify(
                         score[seen] = 1.0
                 columns = [*(part.column(i) for i in places), pa.array(pred, pa.string()), pa.array(score)]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+        give_back()
 
     schema = T.StructType(
         [*kept, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]

@@ -26,15 +26,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import pick, slices
+from .common import give_back, pick, slices
 
 SPACE = "▁"
 #: No piece goes on from a letter into a marked space, or holds a line end (``load`` sees to both), so a text's best
 #: segmentation is that of its marked words.
 _WORDS = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n|[^{SPACE}\n]+")
-CACHED_WORDS, CACHED_PAIRS = 500_000, 300_000
+CACHED_WORDS, CACHED_PAIRS = 200_000, 150_000
 #: Code points of text that are encoded together: the more, the fewer words are looked up again.
-ENCODED_CHARS = 2_500_000
+ENCODED_CHARS = 1_000_000
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MODEL_LIMIT = 64 << 20
 
@@ -229,6 +229,7 @@ def encode(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", model:
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32()))], names=["id", "ids"]
                 )
+        give_back()
 
     schema = T.StructType([T.StructField("id", rows.schema["id"].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))])
     return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)
