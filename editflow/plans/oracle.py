@@ -226,6 +226,10 @@ def _sql() -> dict[str, str]:
         "meta_offset FROM clean"
     )
     q["hourly_activity"] = _with(RAW, LANDED, CLEAN, HOURLY) + "SELECT * FROM hourly"
+    q["daily_unique_editors"] = _with(RAW, LANDED, CLEAN) + (
+        "SELECT date_trunc('day', CAST(event_timestamp AS TIMESTAMP)) AS \"day\", wiki_language, is_bot_edit, "
+        "COUNT(DISTINCT editor) AS unique_editors FROM clean GROUP BY 1, 2, 3 HAVING COUNT(editor) > 0"
+    )
     q["hourly_activity_ordered"] = (
         _with(RAW, LANDED, CLEAN, HOURLY)
         + 'SELECT * FROM hourly ORDER BY "hour", wiki_language NULLS FIRST, is_bot_edit NULLS FIRST'

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from editflow.operators import rules as R
 from editflow.operators.activity import hourly_activity, hourly_activity_sorted
+from editflow.operators.distinct_bitmaps import hourly_bitmaps, merged_counts, value_ids
 from editflow.operators.clean import clean_edits
 from editflow.operators.profiles import class_mix, editor_profile, page_profile
 from editflow.operators.rankings import editor_stats, page_stats, rank_editors, rank_pages
@@ -116,6 +117,13 @@ def q_hourly_activity(spark, sf_dir):
     return R.apply_rules(hourly_activity(cleaned(spark, sf_dir)), R.HOURLY_RULES)
 
 
+def q_daily_unique_editors(spark, sf_dir):
+    """Exact distinct editors of whole days, put together from the bitmaps of their hours."""
+    clean, path = cleaned(spark, sf_dir), scratch_dir(spark, "editor_ids")
+    value_ids(clean, "editor").write.parquet(path)
+    return merged_counts(hourly_bitmaps(clean, "editor", spark.read.parquet(path)), "unique_editors")
+
+
 def q_hourly_activity_ordered(spark, sf_dir):
     """The summary in presentation order (a range-partitioned global sort)."""
     return R.apply_rules(hourly_activity_sorted(cleaned(spark, sf_dir)), R.HOURLY_RULES)
@@ -263,6 +271,7 @@ QUERIES: dict[str, Query] = {
     "edit_size_change": q_edit_size_change,
     "edit_metadata": q_edit_metadata,
     "hourly_activity": q_hourly_activity,
+    "daily_unique_editors": q_daily_unique_editors,
     "hourly_activity_ordered": q_hourly_activity_ordered,
     "editor_ranking": q_editor_ranking,
     "editor_ranking_unchecked": q_editor_ranking_unchecked,
