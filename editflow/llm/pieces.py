@@ -2,8 +2,10 @@
 
 The distinct marked words of a chunk of texts are sorted, which is a
 depth-first walk over their trie: the forward states of the prefix that a word
-shares with the one before it are kept, and only the rest is computed. Words
-are then replaced by their ids.
+shares with the one before it are kept, and only the rest is computed. For a
+byte-pair model all words go down their trie together, and the states of a
+depth are computed at once; few long words are walked one by one. Words are
+then replaced by their ids.
 
 For a unigram model a state is the best sum of piece scores up to a place. The
 sums do not give a byte-pair model's ids. There the state is the last piece of
@@ -18,6 +20,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from math import inf
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +36,10 @@ SPACE = "▁"
 #: segmentation is that of its marked words.
 _WORDS = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n|[^{SPACE}\n]+")
 CACHED_WORDS, CACHED_PAIRS = 200_000, 150_000
+#: Words that go down together keep whether a piece may follow another in 2 ** PAIR_BITS places, the newer one where two meet.
+PAIR_BITS = 19
+#: Words go down their trie together while at least so many are as long, and up to so many code points of words at once.
+TOGETHER, TRIE_CHARS = 32, 500_000
 #: Code points of text that are encoded together: the more, the fewer words are looked up again.
 ENCODED_CHARS = 1_000_000
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -48,6 +55,23 @@ def marked_words(text: str) -> str:
     return SPACE + text.replace(" ", " " + SPACE).replace("\n", " \n ")
 
 
+@dataclass
+class Merging:
+    """How a byte-pair model's pieces come about: which symbols (pieces, and characters that are none) merge, and each piece's own merges.
+
+    ``begin`` has the first step of a piece by its id; a step has the ``first`` and ``last`` symbol
+    and the score of the ``next`` merge, none (-inf) at the end, where a piece ``stands`` if it is one symbol.
+    """
+
+    pairs: np.ndarray  # first << 31 | second, sorted
+    score: np.ndarray
+    begin: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+    next: np.ndarray
+    stands: np.ndarray
+
+
 @dataclass
 class Pieces:
     """The pieces of a model file: (id, score) of each text piece, ids of the byte pieces, bytes of every id."""
@@ -62,17 +86,77 @@ class Pieces:
     known: dict[str, int] = field(default_factory=dict)
     # Pairs of pieces, the second of which may or may not follow the first.
     beside: dict[int, bool] = field(default_factory=dict)
+    # The trie of the reversed pieces: sorted (place << 21 | character) and the place each leads to; the piece that ends at a place, or -1.
+    steps: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    leads: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
+    piece_at: np.ndarray = field(default_factory=lambda: np.full(1, -1, np.int32))
+    merging: Merging | None = None
+    # Pairs that words which go down together asked for: twice the pair's key, and one more if the second may follow; -1 where there is none.
+    pairs: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     # The words seen: their number, and where each one's ids begin and how many they are.
     number: dict[str, int] = field(default_factory=dict)
     ids: array = field(default_factory=lambda: array("i"))
     begin: array = field(default_factory=lambda: array("q"))
     size: array = field(default_factory=lambda: array("q"))
 
+    def prepared(self) -> Pieces:
+        """These, with what words that go down their trie together need, if the model merges."""
+        if not self.merges or not self.known or self.merging:
+            return self
+        steps, piece_at = {}, [-1]
+        for piece, i in self.known.items():
+            place = 0
+            for char in reversed(piece):
+                place = steps.setdefault(place << 21 | ord(char), len(piece_at))
+                if place == len(piece_at):
+                    piece_at.append(-1)
+            piece_at[place] = i
+        self.steps = np.array(sorted(steps), np.int64)
+        self.leads = np.array([steps[k] for k in self.steps.tolist()], np.int32)
+        self.piece_at = np.array(piece_at, np.int32)
+        symbol = dict(self.known)
+        for piece in self.known:
+            for char in piece:
+                symbol.setdefault(char, len(self.bytes_of) + len(symbol))
+        pairs = {}
+        begin, stands = np.zeros(len(self.bytes_of), np.int64), np.zeros(len(self.bytes_of), bool)
+        first, last, after = array("q"), array("q"), array("d")
+        for piece, i in self.known.items():
+            for k in range(1, len(piece)):
+                if (x := symbol.get(piece[:k])) is not None and (y := symbol.get(piece[k:])) is not None:
+                    pairs[x << 31 | y] = self.scores[piece][1]
+            begin[i], symbols = len(first), list(piece)
+            for score, symbols in self._merges(symbols):
+                first.append(symbol[symbols[0]])
+                last.append(symbol[symbols[-1]])
+                after.append(score)
+            stands[i] = len(symbols) == 1
+        keys = np.array(sorted(pairs) or [-1], np.int64)
+        scores = np.array([pairs.get(k, -inf) for k in keys.tolist()])
+        self.merging = Merging(keys, scores, begin, np.array(first), np.array(last), np.array(after), stands)
+        return self
+
     def learn(self, words: set[str]) -> None:
         """Encode some new words; forward states are shared along common prefixes of the sorted words."""
+        ordered = sorted(words)
+        if len(ordered) < TOGETHER or not self.merges or not self.prepared().merging:
+            return self._learn_singly(ordered)
+        length = np.fromiter(map(len, ordered), np.int64, len(ordered))
+        most = min(int(np.partition(length, -TOGETHER)[-TOGETHER]), TRIE_CHARS)
+        if int(length.max()) > most:
+            self._learn_singly([w for w in ordered if len(w) > most])
+            ordered = [w for w in ordered if len(w) <= most]
+            length = length[length <= most]
+        block = np.cumsum(length) // TRIE_CHARS
+        edges = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1).tolist(), len(ordered)]
+        for begin, end in zip(edges[:-1], edges[1:]):
+            self._learn_together(ordered[begin:end], length[begin:end])
+
+    def _learn_singly(self, ordered: list[str]) -> None:
+        """Sorted words one after another."""
         best, back, last, before = [0.0], [0], [-2], ""
         extend = self._by_merges if self.merges else self._by_scores
-        for word in sorted(words):
+        for word in ordered:
             shared, n = 0, len(word)
             for x, y in zip(before, word):
                 if x != y:
@@ -92,6 +176,97 @@ class Pieces:
             self.ids.extend(ids)
             before = word
 
+    def _learn_together(self, ordered: list[str], length: np.ndarray) -> None:
+        """Sorted words, one depth of their trie after another; its root is place 0, and a prefix comes after those it begins with."""
+        chars = np.frombuffer("".join(ordered).encode("utf-32-le"), np.int32)
+        start, at, alive = np.cumsum(length) - length, np.zeros(len(ordered), np.int32), np.arange(len(ordered))
+        parent, char, back, last, width, total = (np.zeros(len(chars) + 1, np.int32) for _ in range(6))
+        last[0], end = -2, 1
+        for depth in range(int(length.max())):
+            alive = alive[length[alive] > depth]
+            before, c = at[alive], chars[start[alive] + depth]
+            new = np.ones(len(alive), bool)
+            new[1:] = (before[1:] != before[:-1]) | (c[1:] != c[:-1])
+            at[alive] = end + np.cumsum(new) - 1
+            first, end = end, end + int(np.count_nonzero(new))
+            parent[first:end], char[first:end] = before[new], c[new]
+            self._by_merges_together(first, end, parent, char, back, last)
+            wide = char[first:end] if self.byte_ids else np.zeros(end - first, np.int32)
+            wide = np.where(last[first:end] < 0, wide, 0)
+            width[first:end] = 1 + (wide > 0x7F) + (wide > 0x7FF) + (wide > 0xFFFF)
+            total[first:end] = total[back[first:end]] + width[first:end]
+        size = total[at].astype(np.int64)
+        put = np.cumsum(size)
+        ids, begin, odd, odd_at = np.empty(int(put[-1]), np.int32), put - size, [], []
+        while True:  # from the last pieces to the first
+            put, at = put[at > 0], at[at > 0]
+            if not len(at):
+                break
+            put = put - width[at]
+            ids[put] = last[at]
+            odd.append(char[at[last[at] < 0]])
+            odd_at.append(put[last[at] < 0])
+            at = back[at]
+        if odd and len(found := np.concatenate(odd)):
+            distinct, which = np.unique(found, return_inverse=True)
+            codes = [self._fallback(chr(c))[::-1] for c in distinct.tolist()]
+            place, n = np.concatenate(odd_at), np.array([len(x) for x in codes])[which]
+            for k in range(max(map(len, codes))):
+                ids[place[n > k] + k] = np.array([x[k] if len(x) > k else 0 for x in codes], np.int32)[which[n > k]]
+        self.number.update(zip(ordered, range(len(self.begin), len(self.begin) + len(ordered))))
+        self.begin.frombytes((begin + len(self.ids)).tobytes())
+        self.size.frombytes(size.tobytes())
+        self.ids.frombytes(ids.tobytes())
+
+    def _by_merges_together(self, first: int, end: int, parent: np.ndarray, char: np.ndarray, back: np.ndarray, last: np.ndarray) -> None:
+        """What ``_by_merges`` finds for the places from ``first`` on: where the last piece begins, and that piece."""
+        back[first:end], last[first:end] = parent[first:end], -1
+        place = begin = np.arange(first, end)
+        suffix = np.zeros(end - first, np.int64)  # how far the reversed text is a reversed piece's beginning
+        while len(place):
+            step = suffix << 21 | char[begin]
+            found = np.minimum(np.searchsorted(self.steps, step), len(self.steps) - 1)
+            goes = self.steps[found] == step
+            place, begin, suffix = place[goes], parent[begin[goes]], self.leads[found[goes]].astype(np.int64)
+            piece = self.piece_at[suffix]
+            some = np.flatnonzero(piece >= 0)
+            some = some[self._follow(last[begin[some]], piece[some])]
+            back[place[some]], last[place[some]] = begin[some], piece[some]
+            goes = begin > 0
+            goes[some] = False
+            place, begin, suffix = place[goes], begin[goes], suffix[goes]
+
+    def _follow(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """``_may_follow`` of pairs of ids, those known from ``pairs``; below 0 on the left is no piece."""
+        if not len(self.pairs):
+            self.pairs = np.full(1 << PAIR_BITS, -1, np.int64)
+        key = np.maximum(left, -1).astype(np.int64) + 1 << 31 | right
+        slot = (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
+        held = self.pairs[slot]
+        miss = np.flatnonzero(held >> 1 != key)
+        if len(miss):
+            held[miss] = key[miss] << 1 | self._may_follow_together(left[miss], right[miss])
+            self.pairs[slot[miss]] = held[miss]
+        return (held & 1).astype(bool)
+
+    def _may_follow_together(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """``_may_follow`` of pairs of ids: the merges inside of each, the higher score first, unless one across comes before."""
+        merging = self.merging
+        fits = merging.stands[right] & ((left < 0) | merging.stands[left])
+        pair = np.flatnonzero(fits & (left >= 0))
+        x, y = merging.begin[left[pair]], merging.begin[right[pair]]
+        while len(pair):
+            key = merging.last[x] << 31 | merging.first[y]
+            found = np.minimum(np.searchsorted(merging.pairs, key), len(merging.pairs) - 1)
+            across = np.where(merging.pairs[found] == key, merging.score[found], -np.inf)
+            of_x, of_y = merging.next[x], merging.next[y]
+            bad = (across > of_x) & (across >= of_y)  # of equal scores the first place comes first
+            fits[pair[bad]] = False
+            on = ~bad & (np.maximum(of_x, of_y) > -np.inf)
+            in_x = of_x >= of_y
+            pair, x, y = pair[on], (x + in_x)[on], (y + ~in_x)[on]
+        return fits
+
     def _by_scores(self, word: str, first: int, best: list, back: list, last: list) -> None:
         """States from ``first`` on: the best sum of scores of the pieces so far; a tie goes to the longer last piece."""
         for end in range(first, len(word) + 1):
@@ -129,13 +304,20 @@ class Pieces:
 
     def _may_follow(self, left: str, right: str) -> bool:
         """Whether merging the characters of both, the highest score first, ends in just these two pieces."""
-        symbols = list(left + right)
+        for _, symbols in self._merges(list(left + right)):
+            pass
+        return symbols == ([left, right] if left else [right])
+
+    def _merges(self, symbols: list[str]) -> Iterator[tuple[float, list[str]]]:
+        """The symbols before each merge, the highest score first, and its score; at the end -inf and what is left."""
         while True:
             pairs = [(self.scores[symbols[i] + symbols[i + 1]][1], -i) for i in range(len(symbols) - 1) if symbols[i] + symbols[i + 1] in self.scores]
             if not pairs:
-                return symbols == ([left, right] if left else [right])
-            i = -max(pairs)[1]
-            symbols[i : i + 2] = [symbols[i] + symbols[i + 1]]
+                yield -inf, symbols
+                return
+            score, i = max(pairs)
+            yield score, symbols
+            symbols[-i : 2 - i] = [symbols[-i] + symbols[1 - i]]
 
     def _fallback(self, char: str) -> list[int]:
         """Ids of an unknown character's bytes, last first."""
@@ -218,7 +400,7 @@ def encode(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", model:
     empty table gives no rows; other columns are not read.
     """
     rows = pick(df, id=id_col, text=text_col)
-    shared = df.sparkSession.sparkContext.broadcast(load(model))
+    shared = df.sparkSession.sparkContext.broadcast(load(model).prepared())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = shared.value

@@ -612,6 +612,47 @@ def test_encoding_equals_the_library_and_round_trips(spark):
         assert own.tolist() == library.encode(t)
 
 
+def test_words_go_down_their_trie_together(monkeypatch):
+    """Many words are not walked one by one, nor pairs of pieces merged one by one, and the ids are the library's."""
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    rng = np.random.default_rng(9)
+    alphabets = [list("thenrsaio"), list("abcXYZ019.-"), list("漢字日本語é"), ["\U0001f600", "ß", "\t", "a"]]
+    words = ["".join(rng.choice(alphabets[k % 4], rng.integers(1, 9))) for k in range(3000)]
+    texts = [" ".join(words[i : i + 100]) for i in range(0, len(words), 100)] + ["", " ", "  a   b ", "\n\n x"]
+    known = pieces.load()
+    with monkeypatch.context() as patched:
+        for name in ("_by_merges", "_may_follow"):
+            patched.setattr(pieces.Pieces, name, None)
+        ids, sizes = known.encode(texts)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == [library.encode(t) for t in texts]
+    # Small blocks, with words too long to go together, and characters without bytes.
+    monkeypatch.setattr(pieces, "TRIE_CHARS", 300)
+    texts += ["x" * 500, "漢" * 400 + " the" * 9]
+    for byte_ids in (known.byte_ids, []):
+        together, singly = pieces.load(), pieces.load()
+        together.byte_ids = singly.byte_ids = byte_ids
+        monkeypatch.setattr(pieces, "TOGETHER", 2)
+        ids, sizes = together.encode(texts)
+        monkeypatch.setattr(pieces, "TOGETHER", 1 << 30)
+        own, own_sizes = singly.encode(texts)
+        assert ids.tolist() == own.tolist() and sizes.tolist() == own_sizes.tolist()
+
+
+def test_pairs_that_may_follow_match_merging_them(monkeypatch):
+    known = pieces.load().prepared()
+    rng = np.random.default_rng(9)
+    text = {i: piece for piece, i in known.known.items()}
+    left, right = rng.choice(list(text), (2, 3000))
+    left[:100] = -1
+    want = [known._may_follow(text.get(x, ""), text[y]) for x, y in zip(left.tolist(), right.tolist())]
+    assert known._may_follow_together(left, right).tolist() == want and 0 < sum(want) < len(want)
+    monkeypatch.setattr(pieces, "PAIR_BITS", 4)  # the places are few, so answers give way to others
+    for _ in range(2):
+        assert known._follow(left, right).tolist() == want
+
+
 def test_scored_states_match_brute_force():
     known = pieces.load()
     known.merges = False
